@@ -6,7 +6,7 @@ import importlib
 
 from eventloom.catalog.registry import QUERIES, SQL, Query
 
-MODULES = ["sources", "records", "joins", "aggregates", "windows", "jobs"]
+MODULES = ["sources", "records", "joins", "aggregates", "windows", "jobs", "streams"]
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:

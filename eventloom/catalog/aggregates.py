@@ -1,6 +1,7 @@
 """Un-windowed aggregates, final and updates forms."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.catalog.bindings import EVENTS, PARTS, RECEIVED, SENT, events, parts, received, sent, table
 from eventloom.catalog.registry import query
@@ -129,17 +130,14 @@ def grouped_parts(spark, sf_dir):
     f"SELECT key, COUNT(*) FILTER (value > 10) AS counter, MAX(ts_ms) AS last FROM {EVENTS} GROUP BY key",
 )
 def udaf(spark, sf_dir):
-    def add(state, batch):
-        return [state[0] + int((batch["value"] > 10).sum()), max(state[1], int(batch["ts_ms"].max()))]
+    def add(rows):
+        large = rows.assign(counter=(rows["value"] > 10).astype("int64"), last=rows["ts_ms"])
+        return merge(large)
 
-    def merge(a, b):
-        return [a[0] + b[0], max(a[1], b[1])]
+    def merge(states):
+        return states.groupby("key", as_index=False).agg({"counter": "sum", "last": "max"})
 
+    state = T.StructType([T.StructField("counter", T.LongType()), T.StructField("last", T.LongType())])
     return fold_by_key(
-        events(spark, sf_dir).select("key", "ts_ms", "value"),
-        "key",
-        init=[0, 0],
-        add=add,
-        merge=merge,
-        state_schema="counter BIGINT, last BIGINT",
+        events(spark, sf_dir).select("key", "ts_ms", "value"), "key", add, merge, state
     )

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.codecs import encode_json, encode_long
 from eventloom.functions.eventtime import wall_clock_millis
+from eventloom.schemas import TABLES
+from eventloom.sources.feeds import file_feed
 
 HOUR_MS = 3_600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return file_feed(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
 # -- keyed event feed ---------------------------------------------------------------------
@@ -77,6 +79,23 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_and_views(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Views play page views; an error retracts the view time of its key.
+
+    The view time is put half an hour ahead, so that the comparison of times bites.
+    """
+    e = e.select("key", "ts_ms", "arrival", "type")
+    others = e.where(~F.col("type").isin("view", "error"))
+    views = e.where(F.col("type").isin("view", "error")).select(
+        "key", "arrival", F.when(F.col("type") == "view", F.col("ts_ms") + 1_800_000).alias("view_ms")
+    )
+    return others, views
+
+
+VIEWS = f"""(SELECT key, arrival, CASE WHEN type='view' THEN ts_ms + 1800000 END AS view_ms
+  FROM {EVENTS} WHERE type IN ('view','error'))"""
+NOT_VIEWS = f"(SELECT key, ts_ms, arrival, type FROM {EVENTS} WHERE type NOT IN ('view','error'))"
+
 # -- multipart messages -------------------------------------------------------------------
 
 # Start of the feed, a multiple of the ten-minute window; and the time expiry looks from.
@@ -92,12 +111,19 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     thirteenth is sent as single messages, and every tenth straddles a window bound.
     """
     rows = table(spark, sf_dir, "conversations")
-    sizes = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    return shape_parts(rows, message_sizes(rows))
+
+
+def message_sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def shape_parts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     conv, turn = F.col("conv_id"), F.col("turn")
     single = conv % 13 == 0
     base = rows.join(sizes, "conv_id").where(~((turn == 0) & (conv % 5 == 0)))
     provider, ident = F.floor(conv / 10000), conv % 10000
-    shaped = base.select(
+    return base.select(
         F.concat_ws("_", provider, ident, F.when(single, turn)).alias("key"),
         ident.cast("smallint").alias("id"),
         F.when(single, F.lit(1)).otherwise(F.col("n")).cast("smallint").alias("size"),
@@ -115,7 +141,6 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("text"),
         (F.lit(PARTS_START) + conv * 60_000 + turn * 1_000 - 3_000).alias("sent_time"),
     )
-    return shaped
 
 
 PARTS = f"""(WITH sized AS (
@@ -162,11 +187,15 @@ _MESSAGES = """(SELECT o_orderkey AS n, o_orderkey::VARCHAR AS id, epoch_us(o_or
 
 
 def received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return received_rows(_messages(spark, sf_dir))
+
+
+def received_rows(messages: DataFrame) -> DataFrame:
     """Every message, every ninth received twice."""
     times = F.filter(
         F.array(F.col("t"), F.when(F.col("n") % 9 == 0, F.col("t") + 5)), lambda t: t.isNotNull()
     )
-    rows = _messages(spark, sf_dir).select("id", F.explode(times).alias("received_time"))
+    rows = messages.select("id", F.explode(times).alias("received_time"))
     return rows.withColumn("arrival", F.col("received_time"))
 
 
@@ -175,6 +204,10 @@ RECEIVED = f"""(SELECT id, t AS received_time, t AS arrival FROM {_MESSAGES}
 
 
 def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sent_rows(_messages(spark, sf_dir))
+
+
+def sent_rows(messages: DataFrame) -> DataFrame:
     """Three of four messages 10 ms later; some of those that get no status are sent twice,
     some come before their message was received."""
     n, t = F.col("n"), F.col("t")
@@ -185,7 +218,7 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     )
-    rows = _messages(spark, sf_dir).where(n % 4 != 0).select(
+    rows = messages.where(n % 4 != 0).select(
         "id", "provider_id", "ext_message_id", "from", "to",
         F.lit("SENT").alias("status"), F.explode(times).alias("sent_time"),
     )
@@ -202,11 +235,15 @@ SENT = f"""(SELECT id, provider_id, ext_message_id, "from", "to", 'SENT' AS stat
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_rows(_messages(spark, sf_dir))
+
+
+def status_rows(messages: DataFrame) -> DataFrame:
     """Delivery status 30 ms after the message; every seventh before the sent record, every
     eleventh a minute too late for the match."""
     n, t = F.col("n"), F.col("t")
     delay = F.when(n % 7 == 0, 2).when(n % 11 == 0, 60_011).when(n % 11 == 1, 60_010).otherwise(30)
-    rows = _messages(spark, sf_dir).where((n % 4 != 0) & (n % 6 != 0)).select(
+    rows = messages.where((n % 4 != 0) & (n % 6 != 0)).select(
         "id", "provider_id", "ext_message_id", "from", "to",
         F.lit("DELIVERED").alias("status"), (t + delay).alias("status_time"),
     )

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from eventloom.catalog.bindings import MONITOR_NOW, PARTS, PARTS_NOW, RECEIVED, SENT, STATUS
-from eventloom.catalog.bindings import parts, received, sent, status
-from eventloom.catalog.joins import ACTIVE, FINAL_STATUS, SETTLED, _events_and_views
+from eventloom.catalog.bindings import events, events_and_views, parts, received, sent, status
+from eventloom.catalog.joins import ACTIVE, FINAL_STATUS, SETTLED
 from eventloom.catalog.registry import query
 from eventloom.plans import monitoring, reassembly, sections
 
@@ -180,7 +180,7 @@ def delivery_final_status(spark, sf_dir):
     UNION ALL SELECT key, arrival, type, 'settled' FROM ({SETTLED})""",
 )
 def active_section_events(spark, sf_dir):
-    e, views = _events_and_views(spark, sf_dir)
+    e, views = events_and_views(events(spark, sf_dir))
     columns = ["key", "arrival", "type"]
     active = sections.active_events(e, views).select(*columns, F.lit("active").alias("rule"))
     settled = sections.settled_events(e, views).select(*columns, F.lit("settled").alias("rule"))

@@ -2,8 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from eventloom.catalog.bindings import EVENTS, HOUR_MS, RECEIVED, SENT, SHUFFLED, STATUS
-from eventloom.catalog.bindings import events, received, sent, shuffled, status, table
+from eventloom.catalog.bindings import (
+    EVENTS,
+    HOUR_MS,
+    NOT_VIEWS,
+    RECEIVED,
+    SENT,
+    SHUFFLED,
+    STATUS,
+    VIEWS,
+)
+from eventloom.catalog.bindings import events, events_and_views, received, sent, shuffled, status, table
 from eventloom.catalog.registry import query
 from eventloom.operators.joins import asof_join, interval_join, lookup, raise_to_running_max
 from eventloom.plans.monitoring import final_status, sent_rows, status_rows
@@ -57,37 +66,22 @@ def join_interval_rekeyed(spark, sf_dir):
     return final_status(sent(spark, sf_dir), status(spark, sf_dir))
 
 
-def _events_and_views(spark, sf_dir):
-    """Views play page views; an error retracts the view time of its key."""
-    e = events(spark, sf_dir).select("key", "ts_ms", "arrival", "type")
-    others = e.where(~F.col("type").isin("view", "error"))
-    views = e.where(F.col("type").isin("view", "error")).select(
-        "key", "arrival", F.when(F.col("type") == "view", F.col("ts_ms") + 1_800_000).alias("view_ms")
-    )
-    return others, views
-
-
-# The view time is put half an hour ahead, so that the comparison of times bites.
-_VIEWS = f"""(SELECT key, arrival, CASE WHEN type='view' THEN ts_ms + 1800000 END AS view_ms
-  FROM {EVENTS} WHERE type IN ('view','error'))"""
-_OTHERS = f"(SELECT key, ts_ms, arrival, type FROM {EVENTS} WHERE type NOT IN ('view','error'))"
-
-ACTIVE = f"""SELECT e.key, e.ts_ms, e.arrival, e.type, v.view_ms FROM {_OTHERS} e
-  ASOF JOIN {_VIEWS} v ON e.key=v.key AND e.arrival > v.arrival
+ACTIVE = f"""SELECT e.key, e.ts_ms, e.arrival, e.type, v.view_ms FROM {NOT_VIEWS} e
+  ASOF JOIN {VIEWS} v ON e.key=v.key AND e.arrival > v.arrival
   WHERE v.view_ms IS NOT NULL AND e.ts_ms > v.view_ms"""
-SETTLED = f"""SELECT e.key, e.ts_ms, e.arrival, e.type, v.view_ms FROM {_OTHERS} e
-  ASOF LEFT JOIN {_VIEWS} v ON e.key=v.key AND e.arrival > v.arrival
+SETTLED = f"""SELECT e.key, e.ts_ms, e.arrival, e.type, v.view_ms FROM {NOT_VIEWS} e
+  ASOF LEFT JOIN {VIEWS} v ON e.key=v.key AND e.arrival > v.arrival
   WHERE v.view_ms IS NULL OR e.ts_ms >= v.view_ms + 2000"""
 
 
 @query("join_stream_table", ACTIVE)
 def join_stream_table(spark, sf_dir):
-    return active_events(*_events_and_views(spark, sf_dir))
+    return active_events(*events_and_views(events(spark, sf_dir)))
 
 
 @query("join_stream_table_left", SETTLED)
 def join_stream_table_left(spark, sf_dir):
-    return settled_events(*_events_and_views(spark, sf_dir))
+    return settled_events(*events_and_views(events(spark, sf_dir)))
 
 
 @query(

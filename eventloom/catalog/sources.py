@@ -199,9 +199,7 @@ def _customer_changes(spark, sf_dir):
       CASE WHEN c_custkey%3<>2 THEN c_name || '@example.com' END AS email FROM customer""",
 )
 def cdc_unwrap_value(spark, sf_dir):
-    rows = _customer_changes(spark, sf_dir).select(
-        "c_custkey", unwrap_value(F.col("value"), CUSTOMER).alias("row")
-    )
+    rows = unwrap_value(_customer_changes(spark, sf_dir), "value", CUSTOMER, "row")
     return rows.select("c_custkey", F.col("row").isNull().alias("deleted"), "row.*")
 
 
@@ -219,7 +217,8 @@ def cdc_unwrap_key(spark, sf_dir):
         .when(n % 5 == 3, F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('"')))
         .otherwise(encode_json(n.alias("a"), F.col("c_mktsegment").alias("b")))
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", unwrap_key(key).alias("key"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", key.alias("raw"))
+    return unwrap_key(rows, "raw", "key").drop("raw")
 
 
 @query(
@@ -230,6 +229,12 @@ def cdc_unwrap_key(spark, sf_dir):
     WHERE rn=1 AND o_orderstatus<>'P'""",
 )
 def cdc_materialize(spark, sf_dir):
+    changes = order_changes(table(spark, sf_dir, "orders"))
+    return keyed_table(changes, ["key"], ["arrival"], "row").select("key", "arrival", "row.*")
+
+
+def order_changes(orders):
+    """Orders as changes of their customer, through the JSON envelope and back."""
     deleted = F.col("o_orderstatus") == "P"
     row = F.struct(
         F.col("o_custkey").alias("id"),
@@ -237,19 +242,16 @@ def cdc_materialize(spark, sf_dir):
         F.col("o_orderstatus").alias("last_name"),
         F.col("o_orderkey").cast("string").alias("email"),
     )
-    raw = table(spark, sf_dir, "orders").select(
+    raw = orders.select(
         F.col("o_orderkey").alias("arrival"),
         encode_json(F.col("o_custkey").alias("id")).alias("key"),
         encode_json(
             F.when(deleted, "d").otherwise("u").alias("op"), F.when(~deleted, row).alias("after")
         ).alias("value"),
     )
-    changes = raw.select(
-        unwrap_key(F.col("key")).try_cast("int").alias("key"),
-        "arrival",
-        unwrap_value(F.col("value"), CUSTOMER).alias("row"),
+    return unwrap_value(unwrap_key(raw, "key", "id"), "value", CUSTOMER, "row").select(
+        F.col("id").try_cast("int").alias("key"), "arrival", "row"
     )
-    return keyed_table(changes, ["key"], ["arrival"], "row").select("key", "arrival", "row.*")
 
 
 @query("ts_from_field", "SELECT event_id AS arrival, epoch_us(ts)//1000 AS ts_ms FROM events")

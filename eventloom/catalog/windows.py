@@ -47,7 +47,7 @@ def win_tumbling_grace(spark, sf_dir):
     return tumbling(_kept(spark, sf_dir, 600_000), ["key"], "ts_ms", SIZE)
 
 
-_SESSIONS = f"""(SELECT key, MIN(ts_ms) AS window_start, MAX(ts_ms) AS window_end, COUNT(*) AS counter FROM (
+SESSIONS = f"""(SELECT key, MIN(ts_ms) AS window_start, MAX(ts_ms) AS window_end, COUNT(*) AS counter FROM (
   SELECT key, ts_ms, SUM(new) OVER (PARTITION BY key ORDER BY ts_ms, arrival) AS s FROM (
     SELECT key, ts_ms, arrival, CASE WHEN ts_ms - LAG(ts_ms) OVER (PARTITION BY key ORDER BY ts_ms, arrival)
       <= {GAP} THEN 0 ELSE 1 END AS new FROM {EVENTS})) GROUP BY key, s)"""
@@ -56,14 +56,14 @@ _SESSIONS = f"""(SELECT key, MIN(ts_ms) AS window_start, MAX(ts_ms) AS window_en
 @query(
     "win_session",
     f"""SELECT window_start::VARCHAR || '_' || window_end::VARCHAR || '_' || key::VARCHAR AS window_key,
-      counter FROM {_SESSIONS}""",
+      counter FROM {SESSIONS}""",
 )
 def win_session(spark, sf_dir):
     found = session(events(spark, sf_dir), ["key"], "ts_ms", GAP)
     return found.select(window_key("window_start", "window_end", "key").alias("window_key"), "counter")
 
 
-@query("win_session_count", f"SELECT key, counter FROM {_SESSIONS} WHERE counter > 1")
+@query("win_session_count", f"SELECT key, counter FROM {SESSIONS} WHERE counter > 1")
 def win_session_count(spark, sf_dir):
     found = session(events(spark, sf_dir), ["key"], "ts_ms", GAP)
     return found.where(F.col("counter") > 1).select("key", "counter")
@@ -87,7 +87,7 @@ def late_drop(spark, sf_dir):
 
 @query(
     "session_merge",
-    f"""SELECT key, window_start, window_end, counter FROM {_SESSIONS}""",
+    f"""SELECT key, window_start, window_end, counter FROM {SESSIONS}""",
 )
 def session_merge(spark, sf_dir):
     """Arrival out of order: a row that bridges two sessions leaves one."""

@@ -1,8 +1,11 @@
-"""Change-data-capture envelopes: value and key unwrapping."""
+"""Change-data-capture envelopes: value and key unwrapping.
+
+Both work in steps over columns of their own, so that each record is parsed once.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +16,8 @@ OP = "op"
 DELETE = "d"
 
 
-def unwrap_value(value: Column, row: T.StructType) -> Column:
-    """The row after the change, or NULL for a delete, a NULL and an empty record.
+def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> DataFrame:
+    """Add ``out``, the row after the change; NULL for a delete, a NULL and an empty record.
 
     Both layouts are read: ``{schema, payload: {...}}`` and the bare envelope. Row fields
     are read as text and cast, so a number arriving as text (or the other way round) is
@@ -24,25 +27,36 @@ def unwrap_value(value: Column, row: T.StructType) -> Column:
     text_row = T.StructType([T.StructField(f.name, T.StringType()) for f in row.fields])
     envelope = T.StructType([T.StructField(OP, T.StringType()), T.StructField(AFTER, text_row)])
     either = T.StructType(envelope.fields + [T.StructField(PAYLOAD, envelope)])
-    text = value.cast("string")
-    parsed = F.from_json(text, either)
-    wrapped = parsed[PAYLOAD].isNotNull()
-    op = F.when(wrapped, parsed[PAYLOAD][OP]).otherwise(parsed[OP])
-    after = F.when(wrapped, parsed[PAYLOAD][AFTER]).otherwise(parsed[AFTER])
+    parsed = df.withColumn("_cdc", F.from_json(F.col(value).cast("string"), either))
+    wrapped = F.col(f"_cdc.{PAYLOAD}").isNotNull()
+    bare = F.struct(F.col(f"_cdc.{OP}").alias(OP), F.col(f"_cdc.{AFTER}").alias(AFTER))
+    change = F.when(wrapped, F.col(f"_cdc.{PAYLOAD}")).otherwise(bare)
+    picked = parsed.withColumn("_change", change)
+    after = F.col(f"_change.{AFTER}")
     typed = F.struct(*[after[f.name].try_cast(f.dataType).alias(f.name) for f in row.fields])
-    gone = after.isNull() | (F.coalesce(op, F.lit("")) == DELETE)
-    return F.when(~gone, typed)
-
-
-def unwrap_key(key: Column) -> Column:
-    """The key as text: a bare scalar or the value of a one-field object; larger objects stay JSON."""
-    text = key.cast("string")
-    fields = F.from_json(text, "map<string,string>")
-    body = F.when(F.map_contains_key(fields, PAYLOAD), fields[PAYLOAD]).otherwise(text)
-    members = F.from_json(body, "map<string,string>")
-    inner = F.when(F.size(members) == 1, F.map_values(members)[0]).otherwise(body)
-    return (
-        F.when(F.trim(text) == "", None)
-        .when(F.json_object_keys(text).isNull(), F.get_json_object(text, "$"))
-        .otherwise(inner)
+    gone = after.isNull() | (F.coalesce(F.col(f"_change.{OP}"), F.lit("")) == DELETE)
+    return picked.withColumn(out, F.when(~gone, typed)).drop("_cdc", "_change")
+
+
+def unwrap_key(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Add ``out``, the key as text: a bare scalar or the value of a one-field object, also
+    below ``payload``; larger objects stay JSON."""
+    text = F.col(key).cast("string")
+    members = "map<string,string>"
+    outer = df.withColumn("_outer", F.from_json(text, members))
+    has_payload = F.map_contains_key("_outer", F.lit(PAYLOAD))
+    body = outer.withColumn(
+        "_body", F.when(has_payload, F.try_element_at("_outer", F.lit(PAYLOAD))).otherwise(text)
     )
+    inner = body.withColumn(
+        "_inner", F.when(has_payload, F.from_json("_body", members)).otherwise(F.col("_outer"))
+    )
+    single = F.when(F.size("_inner") == 1, F.element_at(F.map_values("_inner"), 1))
+    scalar = F.ltrim(text).startswith("{") == F.lit(False)
+    return inner.withColumn(
+        out,
+        F.when(F.trim(text) == "", None)
+        .when(scalar, F.get_json_object(text, "$"))
+        .when(F.size("_inner") == 1, single)
+        .otherwise(F.col("_body")),
+    ).drop("_outer", "_body", "_inner")

@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from eventloom.operators.running import not_null, running
 
 
+def position(order: Sequence[str]) -> Column:
+    """Arrival position as one comparable value."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def count_by_key(df: DataFrame, keys: Sequence[str], min_count: int = 1) -> DataFrame:
     counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.where(F.col("n") >= min_count)
@@ -29,7 +34,7 @@ def count_updates(
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     values = [c for c in df.columns if c not in keys]
-    row = pick(F.struct(*values), F.struct(*order)).alias("_row")
+    row = pick(F.struct(*values), position(order)).alias("_row")
     picked = df.where(not_null(keys)).groupBy(*keys).agg(row)
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
@@ -74,10 +79,9 @@ def merge_fields(
     The later non-null text and the later positive time win, counters add up, and ``oldest``
     keeps the smallest value.
     """
-    position = F.struct(*order)
 
     def last_set(name: str, is_set: Column) -> Column:
-        return F.max_by(F.col(name), F.when(is_set, position)).alias(name)
+        return F.max_by(F.col(name), F.when(is_set, position(order))).alias(name)
 
     return df.where(not_null(keys)).groupBy(*keys).agg(
         *[last_set(c, F.col(c).isNotNull()) for c in texts],
@@ -91,7 +95,7 @@ def seen_once(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     """Final form of "count is 1": the rows whose key occurs exactly once."""
     values = [c for c in df.columns if c not in keys]
     grouped = df.where(not_null(keys)).groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.struct(*order)).alias("_row"), F.count(F.lit(1)).alias("_n")
+        F.max_by(F.struct(*values), position(order)).alias("_row"), F.count(F.lit(1)).alias("_n")
     )
     return grouped.where(F.col("_n") == 1).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns]

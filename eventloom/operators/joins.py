@@ -93,6 +93,21 @@ def asof_join(
     return out.drop("_live")
 
 
+def join_keyed_table(
+    stream: DataFrame, table: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+) -> DataFrame:
+    """Inner join with a table that has one row per key and is too large to replicate.
+
+    Hot keys of the stream, at most ``HOT_KEYS``, meet a replica of their own table rows, one
+    per key and so just as few; only the other keys are shuffled.
+    """
+    hot = F.broadcast(hot_keys(stream, keys) if hot is None else hot)
+    hot_rows = F.broadcast(table.join(hot, list(keys), "left_semi"))
+    split = stream.join(hot_rows, list(keys))
+    rest = stream.where(not_null(keys)).join(hot, list(keys), "left_anti").join(table, list(keys))
+    return split.unionByName(rest)
+
+
 def lookup(stream: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Per-record lookup in a keyed table.
 

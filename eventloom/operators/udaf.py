@@ -1,10 +1,9 @@
-"""Custom aggregates: initial state, adder, merger."""
+"""Custom aggregates: adder and merger."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,46 +15,44 @@ MAX_STATES = 100_000
 def fold_by_key(
     df: DataFrame,
     key: str,
-    init: list,
-    add: Callable[[list, object], list],
-    merge: Callable[[list, list], list],
-    state_schema: str,
+    add: Callable,
+    merge: Callable,
+    state: T.StructType,
     max_states: int = MAX_STATES,
 ) -> DataFrame:
-    """Fold the rows of each key with ``add`` and join partial states with ``merge``.
+    """Aggregate per key with user code, for what SQL aggregates cannot express.
 
-    ``add(state, rows)`` takes a pandas frame of rows of one key, ``merge(a, b)`` two states;
-    both must not depend on order. As with a built-in aggregate, each task folds its own rows
-    first, so a hot key is shuffled as about one state per task, and states are merged in a
-    second, shuffled step. For what SQL aggregates cannot express.
+    ``add`` turns a pandas frame of rows into a frame of states, one row per key with columns
+    (key, state fields); ``merge`` does the same with a frame of states. Neither may depend on
+    row order. As with a built-in aggregate each task folds its own rows first, so a hot key
+    is shuffled as about one state per task. States are then sorted by key within their
+    partitions and merged batch by batch, at most ``max_states`` in memory.
     """
-    fields = T.StructType.fromDDL(state_schema).fields
-    names = [f.name for f in fields]
-    schema = T.StructType([df.schema[key], *fields])
+    import pandas as pd
+
+    schema = T.StructType([df.schema[key], *state.fields])
+    columns = schema.names
 
     def fold(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        states: dict = {}
-        for frame in batches:
-            for k, part in frame.groupby(key, sort=False):
-                states[k] = add(states[k] if k in states else list(init), part)
-            if len(states) >= max_states:
-                yield pd.DataFrame([[k, *s] for k, s in states.items()], columns=[key, *names])
-                states = {}
-        yield pd.DataFrame([[k, *s] for k, s in states.items()], columns=[key, *names])
-
-    def join(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, state, out_schema = None, list(init), None
-        for batch in group:
-            out_schema = batch.schema
-            columns = batch.to_pydict()
-            first = columns[key][0] if len(batch) else first
-            for values in zip(*[columns[n] for n in names]):
-                state = merge(state, list(values))
-        yield pa.RecordBatch.from_pydict(
-            {key: [first], **{n: [v] for n, v in zip(names, state)}}, schema=out_schema
-        )
+        held = None
+        for rows in batches:
+            states = add(rows)[columns]
+            held = states if held is None else merge(pd.concat([held, states]))[columns]
+            if len(held) >= max_states:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    def join(batches: Iterator) -> Iterator:
+        held = None
+        for states in batches:
+            held = merge(states if held is None else pd.concat([held, states]))[columns]
+            last = held[key].max()
+            yield held[held[key] != last]
+            held = held[held[key] == last]
+        if held is not None:
+            yield held
 
     partial = df.where(F.col(key).isNotNull()).mapInPandas(fold, schema)
-    return partial.groupBy(key).applyInArrow(join, schema)
+    return partial.repartition(key).sortWithinPartitions(key).mapInPandas(join, schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.keys import joined_key
 from eventloom.operators.changelog import first_by_key, merge_fields
-from eventloom.operators.joins import asof_join, interval_join
+from eventloom.operators.joins import interval_join, join_keyed_table
 
 JOIN_WITHIN_MS = 60_000
 ALERT_AFTER_MS = 120_000
@@ -46,45 +46,54 @@ def received_rows(received: DataFrame) -> DataFrame:
     )
 
 
-def _with_received(feed: DataFrame, received: DataFrame) -> DataFrame:
-    """Feed rows that come after their message was received, with its received time."""
+def _after_received(rows: DataFrame, received: DataFrame) -> DataFrame:
+    """Monitor rows that come after their message was received, with its received time.
+
+    The received table never changes its first row, so meeting it as of arrival is a join on
+    the key and ``arrival``.
+    """
     first = first_by_key(received.select("id", "received_time", "arrival"), ["id"], ["arrival"])
-    return asof_join(feed, first, ["id"], "arrival", ["received_time"])
+    table = first.select("id", F.struct("received_time", "arrival").alias("_first"))
+    met = join_keyed_table(rows, table, ["id"]).where(F.col("arrival") > F.col("_first.arrival"))
+    return met.withColumn("received_time", F.col("_first.received_time")).select(*rows.columns)
 
 
-def sent_rows(sent: DataFrame, received: DataFrame) -> DataFrame:
+def _sent_layout(sent: DataFrame) -> DataFrame:
     return _monitor_row(
-        _with_received(sent, received),
+        sent,
         provider_id=F.col("provider_id"),
         ext_message_id=F.col("ext_message_id"),
         sent_status=F.col("status"),
         sent_status_time=F.col("sent_time"),
-        received_time=F.col("received_time"),
         seen=F.col("arrival"),
         counter=F.lit(1),
     )
 
 
-def status_rows(status: DataFrame, received: DataFrame) -> DataFrame:
+def _status_layout(status: DataFrame) -> DataFrame:
     return _monitor_row(
-        _with_received(status, received),
+        status,
         provider_id=F.col("provider_id"),
         ext_message_id=F.col("ext_message_id"),
         dr_status=F.col("status"),
         dr_status_time=F.col("status_time"),
-        received_time=F.col("received_time"),
         seen=F.col("arrival"),
         counter=F.lit(1),
     )
 
 
+def sent_rows(sent: DataFrame, received: DataFrame) -> DataFrame:
+    return _after_received(_sent_layout(sent), received)
+
+
+def status_rows(status: DataFrame, received: DataFrame) -> DataFrame:
+    return _after_received(_status_layout(status), received)
+
+
 def monitor_rows(received: DataFrame, sent: DataFrame, status: DataFrame) -> DataFrame:
-    """The monitoring feed: all three sources in one layout."""
-    return (
-        received_rows(received)
-        .unionByName(sent_rows(sent, received))
-        .unionByName(status_rows(status, received))
-    )
+    """The monitoring feed: all three sources in one layout, the later two joined at once."""
+    later = _sent_layout(sent).unionByName(_status_layout(status))
+    return received_rows(received).unionByName(_after_received(later, received))
 
 
 def monitor_state(received: DataFrame, sent: DataFrame, status: DataFrame) -> DataFrame:
@@ -101,9 +110,12 @@ def monitor_state(received: DataFrame, sent: DataFrame, status: DataFrame) -> Da
 
 
 def is_complete(mode: str = "count") -> Column:
-    """``count``: two records of whatever kind; ``flags``: at least one sent and one status."""
+    """``count``: two records of whatever kind; ``flags``: at least one sent and one status.
+
+    The second record completes a message and ends its state, so a later one changes nothing.
+    """
     if mode == "count":
-        return F.col("counter") == 2
+        return F.col("counter") >= 2
     if mode == "flags":
         return F.col("sent_status_time").isNotNull() & F.col("dr_status_time").isNotNull()
     raise ValueError(f"mode is count or flags, not {mode!r}")
