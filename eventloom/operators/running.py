@@ -10,6 +10,8 @@ exchange.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +30,7 @@ _CARRY = "_carry"
 
 
 def not_null(names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for name in names:
-        cond = cond & F.col(name).isNotNull()
-    return cond
+    return reduce(and_, [F.col(name).isNotNull() for name in names])
 
 
 def hot_keys(

@@ -60,6 +60,7 @@ MONITOR_ROW = _struct(
     "currentTime BIGINT, counter INT"
 )
 WINDOW_COUNTER = _struct("counter BIGINT")
+COUNTER_JSON = _struct("counter INT")
 CUSTOMER = _struct("id INT, first_name STRING, last_name STRING, email STRING")
 SECTION_DATA = _struct("sectionId INT, dyid BIGINT, rri BIGINT, timestamp BIGINT")
 SECTION_KEY = _struct("sectionId INT, dyid BIGINT, rri BIGINT")
