@@ -32,6 +32,10 @@ MONITOR_STATE = (
 MONITOR_OUTPUT = f"id STRING, outcome STRING, {MONITOR_STATE}"
 
 
+# A timer fires when the watermark reaches it; what is due strictly after a time waits one more.
+PAST = 1
+
+
 class DeliveryMonitor(StatefulProcessor):
     """Follow a message from received to sent to status; ``complete`` on the second record after
     received, ``alert`` when that has not come ``alert_after_ms`` after the message was first seen.
@@ -74,12 +78,12 @@ class DeliveryMonitor(StatefulProcessor):
         message["counter"] += later
         if message["counter"] >= 2:
             if known is not None:
-                self.handle.deleteTimer(message["seen"] + self.alert_after_ms)
+                self.handle.deleteTimer(message["seen"] + self.alert_after_ms + PAST)
                 self.state.clear()
             yield Row(id=key[0], outcome="complete", **message)
         else:
             if known is None:
-                self.handle.registerTimer(message["seen"] + self.alert_after_ms)
+                self.handle.registerTimer(message["seen"] + self.alert_after_ms + PAST)
             self.state.update(tuple(message[f] for f in MONITOR_FIELDS))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -135,8 +139,8 @@ class Reassembly(StatefulProcessor):
             first_seen = row.sent_time if first_seen is None else min(first_seen, row.sent_time)
         if timer != first_seen:
             if timer is not None:
-                self.handle.deleteTimer(timer + self.expire_after_ms)
-            self.handle.registerTimer(first_seen + self.expire_after_ms)
+                self.handle.deleteTimer(timer + self.expire_after_ms + PAST)
+            self.handle.registerTimer(first_seen + self.expire_after_ms + PAST)
         self.group.update((size, size_time, n, first_seen))
         if n == size:
             parts = [dict(zip(PART_FIELDS, p)) for p in self.parts.keys()]
@@ -213,7 +217,7 @@ class SlidingCounts(StatefulProcessor):
             self.handle.deleteTimer(timer)
         if len(waiting):
             self.state.update((times[keep].tolist(), counts[keep].tolist(), int(closed)))
-            self.handle.registerTimer(int(waiting[0]))
+            self.handle.registerTimer(int(waiting[0]) + PAST)
         else:
             self.state.clear()
         yield pd.DataFrame(
