@@ -15,7 +15,7 @@ from eventloom.operators.changelog import (
     seen_once,
 )
 from eventloom.operators.udaf import fold_by_key
-from eventloom.plans.reassembly import distinct_parts, group_parts
+from eventloom.plans.reassembly import group_parts, grouped
 
 
 @query("count_by_key", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key HAVING COUNT(*) > 1")
@@ -122,7 +122,7 @@ def first_occurrence_final(spark, sf_dir):
     FROM (SELECT DISTINCT * FROM {PARTS}) GROUP BY key""",
 )
 def grouped_parts(spark, sf_dir):
-    return group_parts(distinct_parts(parts(spark, sf_dir), ["key"], "sent_time"), ["key"])
+    return group_parts(grouped(parts(spark, sf_dir), ["key"]))
 
 
 @query(

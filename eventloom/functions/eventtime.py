@@ -14,6 +14,11 @@ def wall_clock_millis(ts: Column) -> Column:
     return F.unix_millis(instant)
 
 
+def bucket(col: Column, width: int) -> Column:
+    """Number of the interval of ``width`` a whole number lies in, also below zero, in integers."""
+    return F.call_function("div", col - F.pmod(col, F.lit(width)), F.lit(width))
+
+
 def field_time(millis: Column, required: bool = True) -> Column:
     """Event time from an epoch-millisecond field. A missing time fails the job unless allowed."""
     if required:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.eventtime import bucket
 from eventloom.operators.running import hot_keys, not_null, running
 
 
@@ -29,11 +30,10 @@ def interval_join(
     """
     cell_ms = cell_ms or 2 * max(within_ms, 1)
     reach = F.expr(f"INTERVAL '{within_ms / 1000:.3f}' SECOND")
-    left_cell = F.floor(F.unix_millis(left_ts) / F.lit(cell_ms))
+    left_cell = bucket(F.unix_millis(left_ts), cell_ms)
     right_ms = F.unix_millis(right_ts)
     right_cells = F.sequence(
-        F.floor((right_ms - within_ms) / F.lit(cell_ms)),
-        F.floor((right_ms + within_ms) / F.lit(cell_ms)),
+        bucket(right_ms - within_ms, cell_ms), bucket(right_ms + within_ms, cell_ms)
     )
     near = left.where(not_null([*keys, left_ts])).withColumn("_cell", left_cell)
     far = right.where(not_null([*keys, right_ts])).select(

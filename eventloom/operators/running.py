@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from eventloom.functions.eventtime import bucket
+
 # A key is worth splitting from this many rows on.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 # Bound of the broadcast list of hot keys. Keys beyond it are computed unsplit, so the
 # bound affects speed, never results; such a key has under 1/HOT_KEYS of all rows.
 HOT_KEYS = 50_000
@@ -81,7 +83,7 @@ def running(
     keyed = df.where(not_null(keys)).select(
         "*", *[col.alias(f"_in_{name}") for name, (_, col) in outputs.items()]
     )
-    chunk_no = F.floor(F.col(order[0]) / F.lit(chunk)).cast("bigint")
+    chunk_no = bucket(F.col(order[0]), chunk)
     if split_all:
         marked = split = keyed.withColumn(_CHUNK, chunk_no)
     else:

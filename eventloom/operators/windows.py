@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from eventloom.functions.eventtime import bucket
 from eventloom.operators.running import hot_keys, not_null, running
 
 
@@ -55,7 +56,7 @@ def session(
     aggs = aggs or {"counter": ("count", F.lit(1))}
     cells = (
         df.where(not_null([*keys, ts]))
-        .withColumn("_cell", F.floor(F.col(ts) / F.lit(max(gap_ms, 1))))
+        .withColumn("_cell", bucket(F.col(ts), max(gap_ms, 1)))
         .groupBy(*keys, "_cell")
         .agg(
             F.min(ts).alias("_first"),
@@ -135,4 +136,4 @@ def drop_late(
 
 
 def tumbling_end(ts: str, size_ms: int) -> Column:
-    return (F.floor(F.col(ts) / F.lit(size_ms)) + 1) * size_ms
+    return F.col(ts) - F.pmod(F.col(ts), F.lit(size_ms)) + size_ms

@@ -1,14 +1,16 @@
 """Multipart messages: grouping, completion, windows and expiry.
 
-A message is complete when the number of distinct parts equals its announced size. The size
-is a SMALLINT, so a complete message has at most 32,767 parts: parts are brought together
-only for groups known to be complete, and a group that grew past that bound, whatever its
-share of the rows, is counted but never collected.
+A message is complete when the number of distinct parts equals its announced size, a
+SMALLINT. A group with few rows is brought together in one exchange and handled as one array.
+A group with many rows, whatever its share of all rows, never is: its copies are collapsed
+where they lie, its parts are counted, and they are brought together only if the count equals
+the size, so at most 32,767 of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from eventloom.operators.running import HOT_KEYS, not_null
 
 # Largest value of the SMALLINT size field.
 MAX_PARTS = 32_767
+# Rows up to which a group is handled as one array.
+GROUP_ROWS = 65_536
 WINDOW_MS = 600_000
 EXPIRY_MS = 60_000
 
@@ -29,78 +33,124 @@ def is_multipart() -> Column:
     return F.col("size") > 1
 
 
-def distinct_parts(parts: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
-    """Each part once, at its first arrival. Whole records are compared: the same index with
-    another text is another part."""
-    return (
-        parts.where(not_null(keys))
-        .groupBy(*keys, *PART)
-        .agg(F.min(arrival).alias("_arrival"))
-    )
+@dataclass(frozen=True)
+class Groups:
+    """Parts by group.
 
+    ``small`` has one row per group: keys, ``parts`` (array of distinct parts), group_size,
+    n_parts, first_seen, complete. ``large`` has the same without ``parts``, which are the
+    rows of ``large_parts``.
+    """
 
-def group_parts(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group: the size announced by the first part, the number of parts, the first arrival.
+    keys: list[str]
+    small: DataFrame
+    large: DataFrame
+    large_parts: DataFrame
 
-    ``distinct`` comes from ``distinct_parts``. A zero size is "not set yet".
-    """
-    first_size = F.min_by("size", F.when(F.col("size") != 0, F.struct("_arrival", "ind", "size")))
-    grouped = distinct.groupBy(*keys).agg(
-        F.coalesce(first_size, F.lit(0).cast("smallint")).alias("group_size"),
-        F.count(F.lit(1)).alias("n_parts"),
+
+def _first_size(arrival: str) -> Column:
+    """Size announced by the first part; zero is "not set yet"."""
+    first = F.min_by("size", F.when(F.col("size") != 0, F.struct(arrival, "ind", "size")))
+    return F.coalesce(first, F.lit(0).cast("smallint")).alias("group_size")
+
+
+def _with_complete(groups: DataFrame) -> DataFrame:
+    return groups.withColumn("complete", F.col("n_parts") == F.col("group_size"))
+
+
+def grouped(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", group_rows: int = GROUP_ROWS
+) -> Groups:
+    """Group parts by key. Whole records are compared: the same index with another text is
+    another part."""
+    keys = list(keys)
+    rows = parts.where(not_null(keys)).select(*keys, *PART, F.col(arrival).alias("_arrival"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    # The largest groups leave before any exchange by key; the list is bounded, and groups
+    # beyond it are told apart after the exchange.
+    over = F.col("_rows") > group_rows
+    hot = F.broadcast(
+        counts.where(over).orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
+    )
+    rest = rows.join(hot, keys, "left_anti").join(counts, keys)
+
+    small = rest.where(~over).groupBy(*keys).agg(
+        F.collect_set(F.struct(*PART)).alias("parts"),
+        _first_size("_arrival"),
         F.min("_arrival").alias("first_seen"),
     )
-    return grouped.withColumn("complete", F.col("n_parts") == F.col("group_size"))
+    small = _with_complete(small.withColumn("n_parts", F.size("parts").cast("bigint")))
 
+    large_rows = rows.join(hot, keys, "left_semi").unionByName(rest.where(over).drop("_rows"))
+    distinct = large_rows.groupBy(*keys, *PART).agg(F.min("_arrival").alias("_arrival"))
+    large = distinct.groupBy(*keys).agg(
+        _first_size("_arrival"),
+        F.min("_arrival").alias("first_seen"),
+        F.count(F.lit(1)).alias("n_parts"),
+    )
+    return Groups(keys, small, _with_complete(large), distinct)
 
-def _without_oversized(distinct: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop the largest groups that can never complete before parts are shuffled by key.
 
-    The list is bounded by ``HOT_KEYS``; groups beyond it are dropped by the join on
-    complete groups instead.
-    """
-    oversized = (
-        groups.where(F.col("n_parts") > MAX_PARTS)
-        .orderBy(F.desc("n_parts"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
-    return distinct.join(F.broadcast(oversized), list(keys), "left_anti")
+def group_parts(groups: Groups) -> DataFrame:
+    """Per group: announced size, number of parts, first arrival, completeness."""
+    columns = [*groups.keys, "group_size", "n_parts", "first_seen", "complete"]
+    return groups.small.select(*columns).unionByName(groups.large.select(*columns))
 
 
-def assemble(distinct: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ready messages of the complete groups: texts in index order, id, provider and time of
+def assemble(groups: Groups) -> DataFrame:
+    """Ready messages of the complete groups: texts in index order; id, provider and time of
     the earliest part."""
-    complete = groups.where("complete").select(*keys)
-    rows = _without_oversized(distinct, groups, keys).join(complete, list(keys))
-    by_index = F.array_sort(F.collect_list(F.struct("ind", "text", "sent_time", "id")))
-    earliest = F.min_by(
-        F.struct("id", "provider_id", "sent_time"), F.struct("sent_time", "ind", "id")
+    keys = groups.keys
+    found = groups.large.where("complete").select(*keys)
+    large = (
+        groups.large_parts.join(found, keys)
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct(*PART)).alias("parts"))
     )
-    grouped = rows.groupBy(*keys).agg(by_index.alias("_parts"), earliest.alias("_first"))
-    return grouped.select(
+    complete = groups.small.where("complete").select(*keys, "parts").unionByName(large)
+    by_index = F.array_sort(
+        F.transform("parts", lambda p: F.struct(p["ind"].alias("ind"), p["text"].alias("text")))
+    )
+    earliest = F.array_min(
+        F.transform(
+            "parts",
+            lambda p: F.struct(
+                p["sent_time"].alias("sent_time"),
+                p["ind"].alias("ind"),
+                p["id"].alias("id"),
+                p["provider_id"].alias("provider_id"),
+            ),
+        )
+    )
+    ready = complete.select(*keys, by_index.alias("_by_index"), earliest.alias("_first"))
+    return ready.select(
         *keys,
         F.col("_first.id").alias("id"),
         F.col("_first.provider_id").alias("provider_id"),
-        F.array_join(F.transform("_parts", lambda p: p["text"]), "").alias("text"),
+        F.array_join("_by_index.text", "").alias("text"),
         F.lit(True).alias("full_message"),
         F.col("_first.sent_time").alias("sent_time"),
     )
 
 
-def reassemble(parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time") -> DataFrame:
+def reassemble(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", **limits
+) -> DataFrame:
     """Ready messages, no window: whatever the time between the parts."""
-    distinct = distinct_parts(parts, keys, arrival)
-    return assemble(distinct, group_parts(distinct, keys), keys)
+    return assemble(grouped(parts, keys, arrival, **limits))
 
 
 def reassemble_windowed(
-    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", size_ms: int = WINDOW_MS
+    parts: DataFrame,
+    keys: Sequence[str],
+    arrival: str = "sent_time",
+    size_ms: int = WINDOW_MS,
+    **limits,
 ) -> DataFrame:
     """Ready messages of tumbling windows: parts in different windows never meet."""
-    start = F.floor(F.col("sent_time") / F.lit(size_ms)) * size_ms
-    windowed = parts.where(F.col("sent_time").isNotNull()).withColumn("window_start", start)
-    return reassemble(windowed, [*keys, "window_start"], arrival)
+    start = F.col("sent_time") - F.pmod("sent_time", F.lit(size_ms))
+    windowed = parts.withColumn("window_start", start)
+    return reassemble(windowed, [*keys, "window_start"], arrival, **limits)
 
 
 def pass_through(parts: DataFrame) -> DataFrame:
@@ -129,42 +179,52 @@ def expire(
     now_ms: int,
     arrival: str = "sent_time",
     after_ms: int = EXPIRY_MS,
+    **limits,
 ) -> DataFrame:
     """Parts of incomplete groups older than ``after_ms``, each as a message of its own.
 
-    The parts are joined to the expired groups row by row, nothing is collected. ``ind`` is
-    kept: it is the order in which the parts of a group are sent on.
+    ``ind`` is kept: it is the order in which the parts of a group are sent on.
     """
-    distinct = distinct_parts(parts, keys, arrival)
-    groups = group_parts(distinct, keys)
-    old = F.lit(now_ms) - F.col("first_seen") > after_ms
-    expired = groups.where(~F.col("complete") & old).select(*keys)
-    return distinct.join(expired, list(keys)).select(
+    groups = grouped(parts, keys, arrival, **limits)
+    expired = ~F.col("complete") & (F.lit(now_ms) - F.col("first_seen") > after_ms)
+    small = groups.small.where(expired).select(*keys, F.inline("parts"))
+    large = groups.large_parts.join(groups.large.where(expired).select(*keys), list(keys))
+    return small.unionByName(large.select(*small.columns)).select(
         *keys, "ind", "id", "provider_id", "text", F.lit(False).alias("full_message"), "sent_time"
     )
 
 
-def index_list(parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time") -> DataFrame:
+def index_list(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", **limits
+) -> DataFrame:
     """Comma-joined part indexes per group, in index order.
 
-    Indexes are SMALLINTs, so counting per index first leaves at most 65,536 entries to
-    collect. In a group with more than ``MAX_PARTS`` parts a repeated index is written once,
-    as ``index*count``; else it is repeated.
+    In a group with more than ``MAX_PARTS`` parts a repeated index is written once, as
+    ``index*count``. Indexes are SMALLINTs, so counting per index first leaves at most
+    65,536 entries to bring together.
     """
-    per_index = distinct_parts(parts, keys, arrival).groupBy(*keys, "ind").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    grouped = per_index.groupBy(*keys).agg(
+    groups = grouped(parts, keys, arrival, **limits)
+    small = groups.small.select(
+        *keys, F.array_sort(F.col("parts.ind")).alias("_inds"), "n_parts"
+    ).where(F.col("n_parts") <= MAX_PARTS)
+    plain = F.array_join(F.transform("_inds", lambda i: i.cast("string")), ",")
+
+    wide = groups.small.where(F.col("n_parts") > MAX_PARTS).select(*keys, F.inline("parts"))
+    rows = wide.select(*keys, "ind").unionByName(groups.large_parts.select(*keys, "ind"))
+    per_index = rows.groupBy(*keys, "ind").agg(F.count(F.lit(1)).alias("_n"))
+    large = per_index.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("ind", "_n"))).alias("_inds"),
         F.sum("_n").alias("n_parts"),
     )
-    plain = F.flatten(
+    repeated = F.flatten(
         F.transform("_inds", lambda e: F.array_repeat(e["ind"].cast("string"), e["_n"].cast("int")))
     )
     counted = F.transform(
         "_inds", lambda e: F.concat_ws("*", e["ind"].cast("string"), e["_n"].cast("string"))
     )
-    shown = F.when(F.col("n_parts") <= MAX_PARTS, F.array_join(plain, ",")).otherwise(
+    listed = F.when(F.col("n_parts") <= MAX_PARTS, F.array_join(repeated, ",")).otherwise(
         F.array_join(counted, ",")
     )
-    return grouped.select(*keys, "n_parts", shown.alias("indexes"))
+    return small.select(*keys, "n_parts", plain.alias("indexes")).unionByName(
+        large.select(*keys, "n_parts", listed.alias("indexes"))
+    )

@@ -15,7 +15,8 @@ def parts(spark, *data):
     return spark.createDataFrame([(k, 1, n, i, 9, t, s) for k, n, i, t, s in data], PART)
 
 
-def test_reassemble(spark, rows):
+@pytest.mark.parametrize("group_rows", [0, 2, R.GROUP_ROWS])
+def test_reassemble(spark, rows, group_rows):
     df = parts(
         spark,
         ("a", 2, 1, "lo", 10), ("a", 2, 0, "hel", 20), ("a", 2, 0, "hel", 20),  # repeated part
@@ -24,7 +25,7 @@ def test_reassemble(spark, rows):
         ("d", 1, 0, "one", 5), (None, 1, 0, "no", 5),
         ("e", 0, 0, "m", 1), ("e", 2, 1, "n", 2),  # size set by the second part
     )
-    got = R.reassemble(df, ["key"])
+    got = R.reassemble(df, ["key"], group_rows=group_rows)
     assert rows(got, "key", "text", "sent_time", "full_message") == [
         ("a", "hello", 10, True), ("d", "one", 5, True), ("e", "mn", 1, True),
     ]
@@ -40,17 +41,22 @@ def test_windowed(spark, rows):
     assert rows(got, "key", "text", "sent_time") == [("b", "xy", 600_000), ("s", "one", None), ("z", "zero", None)]
 
 
-def test_expire(spark, rows):
+@pytest.mark.parametrize("group_rows", [0, 1, R.GROUP_ROWS])
+def test_expire(spark, rows, group_rows):
     df = parts(
         spark, ("a", 3, 2, "z", 1000), ("a", 3, 0, "x", 2000), ("b", 1, 0, "ok", 1000), ("c", 2, 0, "new", 50_000)
     )
-    assert rows(R.expire(df, ["key"], 61_000)) == []
-    got = R.expire(df, ["key"], 61_001)
+    assert rows(R.expire(df, ["key"], 61_000, group_rows=group_rows)) == []
+    got = R.expire(df, ["key"], 61_001, group_rows=group_rows)
     assert rows(got, "key", "ind", "text", "full_message") == [("a", 0, "x", False), ("a", 2, "z", False)]
 
 
-def test_oversized_group(spark, rows, monkeypatch):
-    """A group grown past any announced size is counted, listed and left out, never collected."""
+@pytest.mark.parametrize("hot_list", [0, R.HOT_KEYS])
+@pytest.mark.parametrize("group_rows", [1000, R.GROUP_ROWS])
+def test_oversized_group(spark, rows, monkeypatch, group_rows, hot_list):
+    """A group grown past any announced size is counted, listed and left out; also when it is
+    not among the hot keys."""
+    monkeypatch.setattr(R, "HOT_KEYS", hot_list)
     n = 40_000
     big = spark.range(n).select(
         F.lit("big").alias("key"), F.lit(1).cast("smallint").alias("id"), F.lit(3).cast("smallint").alias("size"),
@@ -58,15 +64,18 @@ def test_oversized_group(spark, rows, monkeypatch):
         F.concat(F.lit("t"), F.col("id")).alias("text"), F.col("id").alias("sent_time"),
     )
     df = big.unionByName(parts(spark, ("a", 2, 0, "x", 1), ("a", 2, 1, "y", 2)))
-    assert rows(R.reassemble(df, ["key"]), "key", "text") == [("a", "xy")]
-    listed = {r.key: (r.n_parts, r.indexes) for r in R.index_list(df, ["key"]).collect()}
+    assert rows(R.reassemble(df, ["key"], group_rows=group_rows), "key", "text") == [("a", "xy")]
+    listed = {r.key: (r.n_parts, r.indexes) for r in R.index_list(df, ["key"], group_rows=group_rows).collect()}
     assert listed == {"a": (2, "0,1"), "big": (n, "0*8000,1*8000,2*8000,3*8000,4*8000")}
-    assert R.expire(df, ["key"], 10**9).count() == n
+    assert R.expire(df, ["key"], 10**9, group_rows=group_rows).count() == n
+    summary = R.group_parts(R.grouped(df, ["key"], group_rows=group_rows))
+    assert rows(summary, "key", "n_parts", "complete") == [("a", 2, True), ("big", n, False)]
 
 
-def test_index_list(spark, rows):
+@pytest.mark.parametrize("group_rows", [0, R.GROUP_ROWS])
+def test_index_list(spark, rows, group_rows):
     df = parts(spark, ("a", 3, 2, "z", 1), ("a", 3, 0, "x", 2), ("a", 3, 2, "Z", 3), ("a", 3, 2, "Z", 3))
-    assert rows(R.index_list(df, ["key"])) == [("a", 3, "0,2,2")]
+    assert rows(R.index_list(df, ["key"], group_rows=group_rows)) == [("a", 3, "0,2,2")]
 
 
 def feeds(spark, n=10):
