@@ -14,12 +14,13 @@ from eventloom.catalog.sources import ENCODED, order_changes
 from eventloom.catalog.windows import GAP, SESSIONS, SIZE
 from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.changelog import latest_by_key
+from eventloom.operators.windows import tumbling
 from eventloom.schemas import TABLES
 from eventloom.session import work_dir
 from eventloom.sources.feeds import file_feed
-from eventloom.sources.sinks import for_each_batch, log_changes, read_log, split_sink, topic_rows
+from eventloom.sources.sinks import for_each_batch, log_changes, read_child, read_log, split_sink, topic_rows
 from eventloom.streaming.flows import (
-    asof_stream,
+    asof_batches,
     first_occurrence_stream,
     last_seen_stream,
     monitor_stream,
@@ -28,14 +29,14 @@ from eventloom.streaming.flows import (
     session_stream,
     sliding_stream,
     stored_state,
-    tumbling_stream,
 )
 
 MAX_TS = f"(SELECT MAX(ts_ms) FROM {EVENTS})"
 
 
 def _stream(spark, sf_dir, name):
-    return file_feed(spark, f"{sf_dir}/{name}.parquet", TABLES[name], streaming=True)
+    path = f"{sf_dir}/{name}.parquet"
+    return file_feed(spark, path, TABLES[name], streaming=True, max_files_per_batch=1000)
 
 
 def event_stream(spark, sf_dir):
@@ -93,10 +94,9 @@ def outcomes(spark, sf_dir, label):
     """Run the monitor once, alerts and completed messages to tables of their own."""
     work = work_dir(spark, label)
     children = {name: F.col("outcome") == name for name in ("complete", "alert")}
-    for_each_batch(
-        monitor_stream(monitor_feed(spark, sf_dir)), split_sink(children, work), f"{work}/checkpoint"
-    ).awaitTermination()
-    return {name: spark.read.parquet(f"{work}/{name}").drop("batch") for name in children}
+    found = monitor_stream(monitor_feed(spark, sf_dir))
+    for_each_batch(found, split_sink(children, f"{work}/out"), f"{work}/checkpoint").awaitTermination()
+    return {name: read_child(spark, f"{work}/out", name, found.schema) for name in children}
 
 
 # Records of one micro-batch are simultaneous: all of them count.
@@ -183,7 +183,7 @@ def cdc_materialize_stream(spark, sf_dir):
     f"SELECT * FROM ({SQL['win_tumbling']}) WHERE window_end <= {MAX_TS}",
 )
 def win_tumbling_stream(spark, sf_dir):
-    windows = tumbling_stream(event_stream(spark, sf_dir), ["key"], SIZE)
+    windows = tumbling(event_stream(spark, sf_dir), ["key"], "ts", SIZE)
     return run_to_files(spark, windows, work_dir(spark, "win_tumbling_stream"))
 
 
@@ -210,9 +210,15 @@ def join_interval_stream(spark, sf_dir):
 
 @query("join_stream_table_stream", ACTIVE)
 def join_stream_table_stream(spark, sf_dir):
+    work = work_dir(spark, "join_stream_table_stream")
     e, views = B.events_and_views(B.shape_events(_stream(spark, sf_dir, "events")))
-    met = asof_stream(e, views).where(F.col("ts_ms") > F.col("view_ms"))
-    return run_to_files(spark, met, work_dir(spark, "join_stream_table_stream"))
+    both = e.withColumn("is_update", F.lit(False)).unionByName(
+        views.withColumn("is_update", F.lit(True)), allowMissingColumns=True
+    )
+    action = asof_batches(work, ["key"], "arrival", ["view_ms"], tombstone="view_ms")
+    for_each_batch(both, action, f"{work}/checkpoint").awaitTermination()
+    met = spark.read.schema(both.drop("is_update").schema).parquet(f"{work}/out")
+    return met.where(F.col("ts_ms") > F.col("view_ms"))
 
 
 @query("first_occurrence_stream", f"SELECT DISTINCT key, type FROM {EVENTS}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.eventtime import bucket
-from eventloom.operators.running import hot_keys, not_null, running
+from eventloom.operators.running import hot_keys, hot_ranges, not_null, running
 
 
 def interval_join(
@@ -77,8 +77,8 @@ def asof_join(
     arriving = stream.where(not_null(keys)).withColumn("_side", F.lit(1))
     both = arriving.unionByName(updates, allowMissingColumns=True)
     if "hot" not in split:
-        narrow = stream.select(*keys).unionAll(table.select(*keys))
-        split["hot"] = hot_keys(narrow, keys)
+        narrow = stream.select(*keys, order).unionAll(table.select(*keys, order))
+        split["hot"] = hot_ranges(narrow, keys, order)
     met = running(both, keys, [order, "_side"], {"_seen": ("last", F.col("_update"))}, **split)
     live = F.col("_seen").isNotNull() & ~F.coalesce(F.col("_seen._deleted"), F.lit(False))
     out = met.where(F.col("_side") == 1).select(
@@ -94,18 +94,29 @@ def asof_join(
 
 
 def join_keyed_table(
-    stream: DataFrame, table: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+    stream: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner join with a table that has one row per key and is too large to replicate.
+    """Inner or left join with a table that has one row per key and is too large to replicate.
 
     Hot keys of the stream, at most ``HOT_KEYS``, meet a replica of their own table rows, one
-    per key and so just as few; only the other keys are shuffled.
+    per key and so just as few; only the other keys are shuffled. Rows without a key are not
+    shuffled at all.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"join with a keyed table is inner or left, not {how!r}")
+    keys = list(keys)
     hot = F.broadcast(hot_keys(stream, keys) if hot is None else hot)
-    hot_rows = F.broadcast(table.join(hot, list(keys), "left_semi"))
-    split = stream.join(hot_rows, list(keys))
-    rest = stream.where(not_null(keys)).join(hot, list(keys), "left_anti").join(table, list(keys))
-    return split.unionByName(rest)
+    hot_rows = F.broadcast(table.join(hot, keys, "left_semi"))
+    keyed = stream.where(not_null(keys))
+    split = keyed.join(hot, keys, "left_semi").join(hot_rows, keys, how)
+    joined = split.unionByName(keyed.join(hot, keys, "left_anti").join(table, keys, how))
+    if how == "left":
+        joined = joined.unionByName(stream.where(~not_null(keys)), allowMissingColumns=True)
+    return joined
 
 
 def lookup(stream: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -113,7 +124,8 @@ def lookup(stream: DataFrame, table: DataFrame, keys: Sequence[str], how: str =
 
     No hint: the planner replicates the table when its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` (checked on the plan and again at run time) and
-    shuffles it otherwise, with adaptive splitting of skewed partitions.
+    shuffles it otherwise, with adaptive splitting of skewed partitions. For a table known to
+    be large, ``join_keyed_table`` keeps hot keys out of the shuffle.
     """
     return stream.join(table, list(keys), how)
 

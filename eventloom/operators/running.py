@@ -19,12 +19,12 @@ from pyspark.sql import Window as W
 
 from eventloom.functions.eventtime import bucket
 
-# A key is worth splitting from this many rows on.
+# A key is worth splitting from this many rows on, into chunks of about as many.
 HOT_ROWS = 1_000_000
 # Bound of the broadcast list of hot keys. Keys beyond it are computed unsplit, so the
 # bound affects speed, never results; such a key has under 1/HOT_KEYS of all rows.
 HOT_KEYS = 50_000
-# Width of a chunk in units of the order column (offsets, or milliseconds).
+# Width of a chunk of the order column where all keys are split (``split_all``).
 CHUNK = 1_000_000
 
 _CHUNK = "_chunk"
@@ -39,12 +39,32 @@ def hot_keys(
     df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
 ) -> DataFrame:
     """The largest keys of ``df`` with at least ``min_rows`` rows, never more than ``max_keys``."""
-    counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return _largest(df, keys, [], min_rows, max_keys).select(*keys)
+
+
+def hot_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    min_rows: int = HOT_ROWS,
+    max_keys: int = HOT_KEYS,
+) -> DataFrame:
+    """Hot keys with the start and width of their chunks: as many equal ranges of ``order`` as
+    the key has times ``min_rows`` rows."""
+    bounds = [F.min(order).alias("_from"), F.max(order).alias("_to")]
+    chunks = F.ceil(F.col("_rows") / F.lit(min_rows))
+    width = F.ceil((F.col("_to") - F.col("_from") + 1) / chunks)
+    return _largest(df, keys, bounds, min_rows, max_keys).select(
+        *keys, "_from", F.greatest(width, F.lit(1)).alias("_width")
+    )
+
+
+def _largest(
+    df: DataFrame, keys: Sequence[str], more: list[Column], min_rows: int, max_keys: int
+) -> DataFrame:
+    counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *more)
     return (
-        counts.where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(max_keys)
-        .select(*keys)
+        counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), *keys).limit(max_keys)
     )
 
 
@@ -77,24 +97,25 @@ def running(
 
     ``outputs`` maps a name to (``sum`` | ``max`` | ``last`` non-null, column). ``order`` is a
     BIGINT column followed by tie-breaks. ``inclusive=False`` leaves the current row out.
+    ``hot`` takes the result of ``hot_ranges`` where it is better had from a cheaper frame.
     ``split_all`` skips the search for hot keys where the keys are known to be few and large.
     Rows with a NULL key are dropped.
     """
     keyed = df.where(not_null(keys)).select(
         "*", *[col.alias(f"_in_{name}") for name, (_, col) in outputs.items()]
     )
-    chunk_no = bucket(F.col(order[0]), chunk)
+    at = F.col(order[0])
     if split_all:
-        marked = split = keyed.withColumn(_CHUNK, chunk_no)
+        marked = split = keyed.withColumn(_CHUNK, bucket(at, chunk))
     else:
-        hot = hot_keys(df, keys) if hot is None else hot
-        hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        hot = F.broadcast(hot_ranges(df, keys, order[0]) if hot is None else hot)
+        number = F.call_function("div", at - F.col("_from"), F.col("_width"))
+        split = keyed.join(hot, list(keys)).withColumn(_CHUNK, number).drop("_from", "_width")
         marked = (
             keyed.join(hot, list(keys), "left")
-            .withColumn(_CHUNK, F.when(F.col("_hot"), chunk_no))
-            .drop("_hot")
+            .withColumn(_CHUNK, number)
+            .drop("_from", "_width")
         )
-        split = keyed.join(hot, list(keys)).withColumn(_CHUNK, chunk_no)
 
     position = F.struct(*[F.col(c) for c in order])
     partial = split.groupBy(*keys, _CHUNK).agg(

@@ -11,19 +11,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from eventloom.functions.eventtime import bucket
-from eventloom.operators.running import hot_keys, not_null, running
+from eventloom.operators.running import hot_ranges, not_null, running
 
 
 def tumbling(
     df: DataFrame, keys: Sequence[str], ts: str, size_ms: int, *aggs: Column
 ) -> DataFrame:
-    """Aggregate per key and tumbling window; rows combine on the map side first."""
+    """Aggregate per key and tumbling window; rows combine on the map side first.
+
+    ``ts`` is epoch milliseconds, or a TIMESTAMP: on a stream the watermarked one, which also
+    decides which rows are late.
+    """
     aggs = aggs or (F.count(F.lit(1)).alias("counter"),)
+    time = F.col(ts)
+    if not isinstance(df.schema[ts].dataType, T.TimestampType):
+        time = F.timestamp_millis(time)
     grouped = (
         df.where(not_null([*keys, ts]))
-        .groupBy(*keys, F.window(F.timestamp_millis(F.col(ts)), f"{size_ms} milliseconds"))
+        .groupBy(*keys, F.window(time, f"{size_ms} milliseconds"))
         .agg(*aggs)
     )
     return grouped.select(
@@ -93,18 +101,18 @@ def sliding(
     """
     events = df.where(not_null([*keys, ts]))
     if "hot" not in split:
-        split["hot"] = hot_keys(events, keys)
-    per_time = events.groupBy(*keys, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    changes = per_time.select(
+        split["hot"] = hot_ranges(events, keys, ts)
+    at, one = F.col(ts), F.lit(1).cast("bigint")
+    changes = events.select(
         *keys,
-        F.explode(
+        F.inline(
             F.array(
-                F.struct(F.col("_t").alias("_x"), F.col("_n").alias("_d")),
-                F.struct((F.col("_t") + span_ms + 1).alias("_x"), (-F.col("_n")).alias("_d")),
+                F.struct(at.alias("_x"), one.alias("_d")),
+                F.struct((at + span_ms + 1).alias("_x"), (-one).alias("_d")),
             )
-        ).alias("_c"),
+        ),
     )
-    points = changes.groupBy(*keys, F.col("_c._x").alias("_x")).agg(F.sum("_c._d").alias("_d"))
+    points = changes.groupBy(*keys, "_x").agg(F.sum("_d").alias("_d"))
     counted = running(points, keys, ["_x"], {"counter": ("sum", F.col("_d"))}, **split)
     return counted.where(F.col("counter") > 0).select(
         *keys,

@@ -62,22 +62,28 @@ def for_each_batch(
     )
 
 
-def split_sink(paths: dict[str, Column], root: str) -> Callable[[DataFrame, int], None]:
-    """Batch action that sends rows to several child tables by condition.
+def split_sink(children: dict[str, Column], root: str) -> Callable[[DataFrame, int], None]:
+    """Batch action that sends rows to child tables by condition, in one write.
 
-    Each batch has its own folder, overwritten when the batch is repeated after a failure,
-    so a retry leaves no row twice.
+    A row goes to every child whose condition holds. Each batch has its own folder,
+    overwritten when the batch is repeated after a failure, so a retry leaves no row twice.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows = rows.persist()
-        for name, cond in paths.items():
-            rows.where(cond).write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
-        rows.unpersist()
+        names = F.array(*[F.when(cond, F.lit(name)) for name, cond in children.items()])
+        sent = rows.withColumn("child", F.explode(F.array_compact(names)))
+        sent.write.mode("overwrite").partitionBy("child").parquet(f"{root}/batch={batch_id}")
 
     return write
 
 
+def read_child(spark: SparkSession, root: str, child: str, schema: T.StructType) -> DataFrame:
+    """Rows of one child table; the others' files are not read."""
+    partitions = [T.StructField("batch", T.LongType()), T.StructField("child", T.StringType())]
+    rows = spark.read.schema(T.StructType(schema.fields + partitions)).parquet(root)
+    return rows.where(F.col("child") == child).drop("batch", "child")
+
+
 def log_changes(root: str) -> Callable[[DataFrame, int], None]:
     """Batch action that appends the changes of a batch to a keyed table's change log."""
 
@@ -88,14 +94,22 @@ def log_changes(root: str) -> Callable[[DataFrame, int], None]:
 
 
 def read_log(
-    spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    order: Sequence[str],
+    before: int | None = None,
 ) -> DataFrame:
     """The keyed table behind a change log: the latest row per key, deletes included.
 
-    Reading merges the log; a stream never rewrites rows it has already written.
+    Reading merges the log; a stream never rewrites rows it has already written. ``before``
+    gives the table as it was when that batch began.
     """
     with_batch = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
     log = spark.read.schema(with_batch).parquet(root)
+    if before is not None:
+        log = log.where(F.col("batch") < before)
     return latest_by_key(log, keys, ["batch", *order]).drop("batch")
 
 

@@ -1,39 +1,26 @@
-"""Stream forms of the operators: watermarked windows, sessions, de-duplication, state machines."""
+"""Stream forms of the operators: sessions, de-duplication, state machines, as-of joins.
+
+Tumbling windows and interval joins are the batch operators on a watermarked stream.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.operators.changelog import latest_by_key
+from eventloom.operators.joins import asof_join
 from eventloom.operators.running import not_null
-from eventloom.sources.sinks import write_files
+from eventloom.sources.sinks import read_log, write_files
 from eventloom.streaming import processors as P
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(P)
 
 
-def tumbling_stream(
-    stream: DataFrame, keys: Sequence[str], size_ms: int, *aggs: Column
-) -> DataFrame:
-    """Tumbling windows over the watermarked ``ts``; late rows are dropped by the watermark."""
-    aggs = aggs or (F.count(F.lit(1)).alias("counter"),)
-    grouped = (
-        stream.where(not_null(keys))
-        .groupBy(*keys, F.window("ts", f"{size_ms} milliseconds"))
-        .agg(*aggs)
-    )
-    return grouped.select(
-        *keys,
-        F.unix_millis("window.start").alias("window_start"),
-        F.unix_millis("window.end").alias("window_end"),
-        *[c for c in grouped.columns if c not in (*keys, "window")],
-    )
-
-
 def session_stream(
     stream: DataFrame, keys: Sequence[str], gap_ms: int, *aggs: Column
 ) -> DataFrame:
@@ -78,20 +65,32 @@ def sliding_stream(stream: DataFrame, span_ms: int) -> DataFrame:
     )
 
 
-def asof_stream(events: DataFrame, views: DataFrame) -> DataFrame:
-    """Events with the view time of their key on arrival, from the union of both streams."""
-    both = events.select(
-        "key", "arrival", "ts_ms", "type",
-        F.lit(False).alias("is_view"), F.lit(None).cast("bigint").alias("view_ms"),
-    ).unionByName(
-        views.select(
-            "key", "arrival", F.lit(None).cast("bigint").alias("ts_ms"),
-            F.lit(None).cast("string").alias("type"), F.lit(True).alias("is_view"), "view_ms",
+def asof_batches(
+    root: str, keys: Sequence[str], order: str, values: Sequence[str], **how
+) -> Callable[[DataFrame, int], None]:
+    """Batch action for a feed of events and table updates (``is_update``) in one stream.
+
+    Each micro-batch is an as-of join of its events with its own updates and the table as the
+    batches before left it, so hot keys are split as in batch. The table is a change log of
+    the latest update per key and batch; output and log of a batch are overwritten when it is
+    repeated. ``compact_log`` keeps the log short.
+    """
+
+    def act(rows: DataFrame, batch_id: int) -> None:
+        session = rows.sparkSession
+        columns = [*keys, order, *values]
+        updates = rows.where("is_update").select(*columns)
+        events = rows.where("NOT is_update").drop("is_update", *values)
+        latest_by_key(updates, keys, [order]).write.mode("overwrite").parquet(
+            f"{root}/table/batch={batch_id}"
         )
-    )
-    return both.where(F.col("key").isNotNull()).groupBy("key").transformWithStateInPandas(
-        P.AsOfView(), P.ASOF_OUTPUT, "append", "none"
-    )
+        known = read_log(session, f"{root}/table", updates.schema, keys, [order], before=batch_id)
+        met = asof_join(
+            events, updates.unionByName(known.select(*columns)), keys, order, values, **how
+        )
+        met.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    return act
 
 
 def last_seen_stream(stream: DataFrame) -> DataFrame:

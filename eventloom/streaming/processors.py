@@ -1,8 +1,8 @@
 """State machines for ``transformWithState``: per-key state with event-time timers.
 
 Rows of one key in one micro-batch come in no fixed order, so each machine folds them in a
-way that does not depend on it, or orders them by arrival itself. The module is shipped to
-the executors by value and uses nothing of this package.
+way that does not depend on it and never holds more than one frame of them. The module is
+shipped to the executors by value and uses nothing of this package.
 """
 
 from __future__ import annotations
@@ -246,40 +246,6 @@ class SlidingCounts(StatefulProcessor):
         pass
 
 
-ASOF_OUTPUT = "key BIGINT, arrival BIGINT, ts_ms BIGINT, type STRING, view_ms BIGINT"
-
-
-class AsOfView(StatefulProcessor):
-    """Each event with the view time its key had on arrival.
-
-    Input frames hold both sides: key, arrival, ts_ms, type, is_view, view_ms. Rows are put in
-    arrival order within the micro-batch, whose size the source's admission limit bounds.
-    """
-
-    def init(self, handle) -> None:
-        self.state = handle.getValueState("view", "view_ms BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        both = pd.concat(list(rows)).sort_values("arrival", kind="stable").reset_index(drop=True)
-        known = self.state.get()[0] if self.state.exists() else None
-        is_view = both["is_view"].to_numpy(bool)
-        last = np.maximum.accumulate(np.where(is_view, np.arange(len(both)), -1))
-        views = both["view_ms"].astype("Int64")
-        met = views.take(np.maximum(last, 0)).reset_index(drop=True)
-        met[last < 0] = pd.NA if known is None else known
-        if is_view.any():
-            view = met.iloc[-1]
-            if pd.isna(view):
-                self.state.clear()
-            else:
-                self.state.update((int(view),))
-        out = both.assign(view_ms=met)[~is_view]
-        yield out[["key", "arrival", "ts_ms", "type", "view_ms"]]
-
-    def close(self) -> None:
-        pass
-
-
 STORE_OUTPUT = "key BIGINT, n BIGINT, last_arrival BIGINT, last_type STRING"
 
 

@@ -24,7 +24,7 @@ from eventloom.operators.joins import (
     raise_to_running_max,
 )
 from eventloom.operators.kv import branch, collect_maps, flat_map, keep_if, keep_unless, partition_by_prefix
-from eventloom.operators.running import hot_keys, running
+from eventloom.operators.running import hot_keys, hot_ranges, running
 from eventloom.operators.udaf import fold_by_key
 
 
@@ -61,8 +61,9 @@ def test_running_split(skewed, rows, how, inclusive):
         F.max("ts_ms").over(w).alias("m"),
         F.last("v", ignorenulls=True).over(w).alias("l"),
     )
+    ranges = hot_ranges(skewed, ["key"], "arrival", min_rows=100)
     outputs = {"s": ("sum", F.col("v")), "m": ("max", F.col("ts_ms")), "l": ("last", F.col("v"))}
-    split = {"hot": {"hot": hot_of(skewed)}, "all": {"split_all": True}, "plain": {}}[how]
+    split = {"hot": {"hot": ranges}, "all": {"split_all": True}, "plain": {}}[how]
     got = running(skewed, ["key"], ["arrival"], outputs, chunk=97, inclusive=inclusive, **split)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
@@ -119,8 +120,7 @@ def test_asof(spark, rows, see_equal, min_rows):
     table = [(k, a, rng.randrange(50) if rng.random() < 0.8 else None) for k, a in slots]
     e = spark.createDataFrame(events, "key STRING, arrival BIGINT")
     t = spark.createDataFrame(table, "key STRING, arrival BIGINT, v BIGINT")
-    hot = hot_keys(e.unionAll(t.select("key", "arrival")), ["key"], min_rows)
-    split = dict(hot=hot, chunk=16)
+    split = dict(hot=hot_ranges(e.unionAll(t.select("key", "arrival")), ["key"], "arrival", min_rows))
     want = brute_asof(events, table, see_equal)
     got = asof_join(e, t, ["key"], "arrival", ["v"], "left", "v", see_equal, **split)
     assert rows(got) == want
@@ -146,8 +146,20 @@ def test_keyed_table_join(skewed, rows):
     table = skewed.where("key IS NOT NULL").groupBy("key").agg(F.max("ts_ms").alias("top"))
     table = table.where(F.col("key") != "k7")
     want = skewed.join(table, "key")
-    assert rows(join_keyed_table(skewed, table, ["key"], hot_of(skewed))) == rows(want)
+    assert rows(join_keyed_table(skewed, table, ["key"], hot=hot_of(skewed))) == rows(want)
     assert rows(join_keyed_table(skewed, table, ["key"])) == rows(want)
+    outer = skewed.join(table, "key", "left")
+    without_hot = table.where("key <> 'hot'")
+    for t, want in ((table, outer), (without_hot, skewed.join(without_hot, "key", "left"))):
+        assert rows(join_keyed_table(skewed, t, ["key"], "left", hot_of(skewed))) == rows(want)
+
+
+def test_hot_ranges(skewed, rows):
+    """Chunks of a hot key cover its range and hold about as many rows as asked."""
+    r = hot_ranges(skewed, ["key"], "arrival", 100).collect()
+    assert [(x.key, x._from) for x in r] == [("hot", 0)]
+    chunks = (5997 // r[0]._width) + 1
+    assert chunks == 20
 
 
 def test_running_max(spark, rows):

@@ -11,7 +11,7 @@ from eventloom.operators.joins import interval_join
 from eventloom.operators.windows import session, sliding, tumbling
 from eventloom.schemas import TOPIC_RECORD
 from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options
-from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_log, split_sink
+from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink
 from eventloom.streaming import flows
 
 EVENT = "key BIGINT, ts_ms BIGINT, arrival BIGINT"
@@ -39,10 +39,10 @@ def test_tumbling_late(spark, work, rows):
         spark, work + "/in", EVENT,
         [(1, 500, 1), (1, 4500, 2)], [(1, 4550, 3)], [(1, 700, 4), (1, 4600, 5)], [(1, 20_000, 6)],
     )
-    strict = flows.tumbling_stream(stream(spark, work + "/in", EVENT), ["key"], 1000)
+    strict = tumbling(stream(spark, work + "/in", EVENT), ["key"], "ts", 1000)
     got = flows.run_to_files(spark, strict, work + "/a")
     assert rows(got) == [(1, 0, 1000, 1), (1, 4000, 5000, 3)]
-    loose = flows.tumbling_stream(stream(spark, work + "/in", EVENT, lateness="5 seconds"), ["key"], 1000)
+    loose = tumbling(stream(spark, work + "/in", EVENT, lateness="5 seconds"), ["key"], "ts", 1000)
     got = flows.run_to_files(spark, loose, work + "/b")
     assert rows(got) == [(1, 0, 1000, 2), (1, 4000, 5000, 3)]
 
@@ -67,7 +67,7 @@ def test_window_parity(spark, work, rows):
     write_batches(spark, work + "/in", EVENT, data[:40], data[40:], [(9, 10**7, 99)])
     batch = spark.createDataFrame(data, EVENT)
     s = stream(spark, work + "/in", EVENT, lateness="2 seconds")
-    got = flows.run_to_files(spark, flows.tumbling_stream(s, ["key"], 5000), work + "/a")
+    got = flows.run_to_files(spark, tumbling(s, ["key"], "ts", 5000), work + "/a")
     assert rows(got) == rows(tumbling(batch, ["key"], "ts_ms", 5000))
     got = flows.run_to_files(spark, flows.session_stream(s, ["key"], 3000), work + "/b")
     assert rows(got) == rows(session(batch, ["key"], "ts_ms", 3000))
@@ -110,16 +110,16 @@ def test_monitor(spark, work, rows):
     monitored = flows.monitor_stream(stream(spark, work + "/in", FEED, "time", "10 seconds"))
     children = {n: F.col("outcome") == n for n in ("complete", "alert")}
     for_each_batch(monitored, split_sink(children, work + "/out"), work + "/c").awaitTermination()
-    done = spark.read.parquet(work + "/out/complete")
+    done = read_child(spark, work + "/out", "complete", monitored.schema)
     assert rows(done, "id", "counter", "provider_id", "dr_status", "received_time") == [
         ("a", 2, "p", "DELIVERED", 1000), ("c", 2, "r", None, 2000),
     ]
     # watermark 111,701: nothing is 120 s old yet
-    assert spark.read.parquet(work + "/out/alert").count() == 0
+    assert read_child(spark, work + "/out", "alert", monitored.schema).count() == 0
     write_batches(spark, work + "/in", FEED, [("y", "received", None, None, None, 131_700)])
     for_each_batch(monitored, split_sink(children, work + "/out"), work + "/c").awaitTermination()
     # watermark 121,700: b (due 121,000) is alerted, x (due 121,700) not yet, nor z and y
-    alerts = spark.read.parquet(work + "/out/alert")
+    alerts = read_child(spark, work + "/out", "alert", monitored.schema)
     assert rows(alerts, "id", "counter", "sent_status") == [("b", 1, "SENT")]
 
 
@@ -158,8 +158,15 @@ def test_asof_and_store(spark, work, rows):
         [(1, 7, 70, "click", None), (1, 8, None, "view", 9), (1, 9, 90, "click", None)],
     )
     feed = stream(spark, work + "/in", layout, None)
-    met = flows.asof_stream(feed.where("type <> 'view'"), feed.where("type = 'view'"))
-    got = flows.run_to_files(spark, met, work + "/a")
+    action = flows.asof_batches(work + "/a", ["key"], "arrival", ["view_ms"], how="left", tombstone="view_ms")
+
+    def twice(df, batch):
+        action(df, batch)
+        action(df, batch)
+
+    both = feed.withColumn("is_update", F.col("type") == "view")
+    for_each_batch(both, twice, work + "/c").awaitTermination()
+    got = spark.read.parquet(work + "/a/out")
     assert rows(got, "key", "arrival", "view_ms") == [
         (1, 2, 5), (1, 4, 5), (1, 6, None), (1, 7, None), (1, 9, 9), (2, 3, None),
     ]

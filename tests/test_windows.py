@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators.running import hot_ranges
 from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end
 
 
@@ -79,14 +80,13 @@ def brute_sliding(events, d):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("split", [{}, {"chunk": 50}])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("d", [0, 1, 40, 1000])
 def test_sliding(spark, rows, d, split):
     events = random_events(d + 1)
     df = feed(spark, events)
-    if split:
-        split = {**split, "hot": df.where("key = 'a'").select("key").distinct()}
-    assert rows(sliding(df, ["key"], "ts_ms", d, **split)) == brute_sliding(events, d)
+    hot = {"hot": hot_ranges(df, ["key"], "ts_ms", 9)} if split else {}
+    assert rows(sliding(df, ["key"], "ts_ms", d, **hot)) == brute_sliding(events, d)
 
 
 @pytest.mark.parametrize("chunk", [3, 10**6])
