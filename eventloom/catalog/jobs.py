@@ -146,6 +146,22 @@ def monitor_state(spark, sf_dir):
     return _state(spark, sf_dir)
 
 
+def _latest(column):
+    return f"LAST_VALUE({column} IGNORE NULLS) OVER w AS {column}"
+
+
+@query(
+    "monitor_state_updates",
+    f"""SELECT id, arrival, {", ".join(_latest(c) for c in (*monitoring.TEXTS, *monitoring.TIMES))},
+      SUM(counter) OVER w::BIGINT AS counter, MIN(arrival) OVER w AS seen FROM {_rows_sql()}
+    WINDOW w AS (PARTITION BY id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def monitor_state_updates(spark, sf_dir):
+    return monitoring.monitor_updates(
+        received(spark, sf_dir), sent(spark, sf_dir), status(spark, sf_dir)
+    )
+
+
 @query("monitor_complete", f"SELECT * FROM {STATE} WHERE counter >= 2")
 def monitor_complete(spark, sf_dir):
     return monitoring.completed(_state(spark, sf_dir))

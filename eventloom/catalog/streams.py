@@ -217,7 +217,7 @@ def join_stream_table_stream(spark, sf_dir):
     )
     action = asof_batches(work, ["key"], "arrival", ["view_ms"], tombstone="view_ms")
     for_each_batch(both, action, f"{work}/checkpoint").awaitTermination()
-    met = spark.read.schema(both.drop("is_update").schema).parquet(f"{work}/out")
+    met = spark.read.parquet(f"{work}/out").drop("batch")
     return met.where(F.col("ts_ms") > F.col("view_ms"))
 
 

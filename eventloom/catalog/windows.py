@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from eventloom.catalog.bindings import EVENTS, HOUR_MS, SHUFFLED, events, shuffled
 from eventloom.catalog.registry import query
 from eventloom.functions.keys import window_key
-from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end
+from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end, tumbling_updates
 
 SIZE = 6 * HOUR_MS
 GAP = 2 * HOUR_MS
@@ -20,6 +20,15 @@ def win_tumbling(spark, sf_dir):
     return tumbling(events(spark, sf_dir), ["key"], "ts_ms", SIZE)
 
 
+@query(
+    "win_tumbling_updates",
+    f"""SELECT key, arrival, ts_ms - ts_ms%{SIZE} AS window_start, ts_ms - ts_ms%{SIZE} + {SIZE} AS window_end,
+      ROW_NUMBER() OVER (PARTITION BY key, ts_ms - ts_ms%{SIZE} ORDER BY arrival) AS counter FROM {EVENTS}""",
+)
+def win_tumbling_updates(spark, sf_dir):
+    return tumbling_updates(events(spark, sf_dir), ["key"], "ts_ms", SIZE, ["arrival"])
+
+
 def _kept(spark, sf_dir, grace_ms):
     return drop_late(
         shuffled(events(spark, sf_dir)).select("source", "key", "ts_ms", "arrival", "late_arrival"),

@@ -91,6 +91,27 @@ def merge_fields(
     )
 
 
+def merge_updates(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    texts: Sequence[str] = (),
+    times: Sequence[str] = (),
+    counters: Sequence[str] = (),
+    oldest: Sequence[str] = (),
+    **split,
+) -> DataFrame:
+    """The updates form of ``merge_fields``: the folded record as each input record left it."""
+    outputs = {
+        **{c: ("last", F.col(c)) for c in texts},
+        **{c: ("last", F.when(F.col(c) > 0, F.col(c))) for c in times},
+        **{c: ("sum", F.col(c)) for c in counters},
+        **{c: ("min", F.col(c)) for c in oldest},
+    }
+    merged = running(df, keys, order, {f"_{c}": out for c, out in outputs.items()}, **split)
+    return merged.select(*keys, *order, *[F.col(f"_{c}").alias(c) for c in outputs])
+
+
 def seen_once(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Final form of "count is 1": the rows whose key occurs exactly once."""
     values = [c for c in df.columns if c not in keys]

@@ -73,13 +73,17 @@ def _partial(kind: str, col: Column, order: Column) -> Column:
         return F.sum(col)
     if kind == "max":
         return F.max(col)
+    if kind == "min":
+        return F.min(col)
     if kind == "last":
         return F.max_by(col, F.when(col.isNotNull(), order))
     raise ValueError(f"unknown running value {kind!r}")
 
 
 def _fold(kind: str, col: Column) -> Column:
-    return {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[kind](col)
+    if kind == "last":
+        return F.last(col, ignorenulls=True)
+    return {"sum": F.sum, "max": F.max, "min": F.min}[kind](col)
 
 
 def running(
@@ -95,7 +99,7 @@ def running(
 ) -> DataFrame:
     """``df`` plus one running column per entry of ``outputs``.
 
-    ``outputs`` maps a name to (``sum`` | ``max`` | ``last`` non-null, column). ``order`` is a
+    ``outputs`` maps a name to (``sum`` | ``max`` | ``min`` | ``last`` non-null, column). ``order`` is a
     BIGINT column followed by tie-breaks. ``inclusive=False`` leaves the current row out.
     ``hot`` takes the result of ``hot_ranges`` where it is better had from a cheaper frame.
     ``split_all`` skips the search for hot keys where the keys are known to be few and large.

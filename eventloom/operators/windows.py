@@ -42,6 +42,20 @@ def tumbling(
     )
 
 
+def tumbling_updates(
+    df: DataFrame, keys: Sequence[str], ts: str, size_ms: int, order: Sequence[str], **split
+) -> DataFrame:
+    """Every intermediate count of a tumbling window, one row per input row, as a table with
+    caching off emits it."""
+    start = F.col(ts) - F.pmod(F.col(ts), F.lit(size_ms))
+    placed = df.where(not_null([*keys, ts])).select(
+        *keys, *order, start.alias("window_start"), (start + size_ms).alias("window_end")
+    )
+    return running(
+        placed, [*keys, "window_start"], order, {"counter": ("sum", F.lit(1))}, **split
+    )
+
+
 # How partial results of a session aggregate are merged.
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _START = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}

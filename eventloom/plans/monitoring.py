@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.keys import joined_key
-from eventloom.operators.changelog import first_by_key, merge_fields
+from eventloom.operators.changelog import first_by_key, merge_fields, merge_updates
 from eventloom.operators.joins import interval_join, join_keyed_table
 
 JOIN_WITHIN_MS = 60_000
@@ -109,6 +109,22 @@ def monitor_state(received: DataFrame, sent: DataFrame, status: DataFrame) -> Da
     )
 
 
+def monitor_updates(
+    received: DataFrame, sent: DataFrame, status: DataFrame, **split
+) -> DataFrame:
+    """The state of a message after each of its records, as the monitoring feed sends it on."""
+    return merge_updates(
+        monitor_rows(received, sent, status),
+        ["id"],
+        ["arrival"],
+        texts=TEXTS,
+        times=TIMES,
+        counters=["counter"],
+        oldest=["seen"],
+        **split,
+    )
+
+
 def is_complete(mode: str = "count") -> Column:
     """``count``: two records of whatever kind; ``flags``: at least one sent and one status.
 

@@ -14,6 +14,7 @@ from eventloom.operators.changelog import (
     latest_by_key,
     max_by_key,
     merge_fields,
+    merge_updates,
     seen_once,
     table_filter,
 )
@@ -100,6 +101,11 @@ def test_merge_fields(spark, rows):
     )
     got = merge_fields(df, ["key"], ["arrival"], ["t"], ["time"], ["n"], ["arrival"])
     assert rows(got) == [("a", "y", 7, 2, 1), ("b", None, None, 0, 1)]
+    for hot in (None, hot_ranges(df, ["key"], "arrival", 2)):
+        updates = merge_updates(df, ["key"], ["arrival"], ["t"], ["time"], ["n"], hot=hot)
+        assert rows(updates) == [
+            ("a", 1, "x", None, 0), ("a", 2, "x", 7, 1), ("a", 3, "y", 7, 2), ("b", 1, None, None, 0),
+        ]
 
 
 def brute_asof(events, table, see_equal):
