@@ -1,11 +1,12 @@
 """Change-data-capture envelopes: value and key unwrapping.
 
-Both work in steps over columns of their own, so that each record is parsed once.
+Both work in steps over columns of their own, so that each record is parsed once. The result
+comes out of a generator: a filter on it cannot be moved below, where it would parse again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +17,10 @@ OP = "op"
 DELETE = "d"
 
 
+def _once(col: Column, out: str) -> Column:
+    return F.inline(F.array(F.struct(col.alias(out))))
+
+
 def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> DataFrame:
     """Add ``out``, the row after the change; NULL for a delete, a NULL and an empty record.
 
@@ -35,7 +40,7 @@ def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> Data
     after = F.col(f"_change.{AFTER}")
     typed = F.struct(*[after[f.name].try_cast(f.dataType).alias(f.name) for f in row.fields])
     gone = after.isNull() | (F.coalesce(F.col(f"_change.{OP}"), F.lit("")) == DELETE)
-    return picked.withColumn(out, F.when(~gone, typed)).drop("_cdc", "_change")
+    return picked.select(*df.columns, _once(F.when(~gone, typed), out))
 
 
 def unwrap_key(df: DataFrame, key: str, out: str) -> DataFrame:
@@ -53,10 +58,10 @@ def unwrap_key(df: DataFrame, key: str, out: str) -> DataFrame:
     )
     single = F.when(F.size("_inner") == 1, F.element_at(F.map_values("_inner"), 1))
     scalar = F.ltrim(text).startswith("{") == F.lit(False)
-    return inner.withColumn(
-        out,
+    unwrapped = (
         F.when(F.trim(text) == "", None)
         .when(scalar, F.get_json_object(text, "$"))
         .when(F.size("_inner") == 1, single)
-        .otherwise(F.col("_body")),
-    ).drop("_outer", "_body", "_inner")
+        .otherwise(F.col("_body"))
+    )
+    return inner.select(*df.columns, _once(unwrapped, out))
