@@ -36,9 +36,10 @@ def not_null(names: Sequence[str]) -> Column:
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = None, max_keys: int | None = None
 ) -> DataFrame:
-    """The largest keys of ``df`` with at least ``min_rows`` rows, never more than ``max_keys``."""
+    """The largest keys of ``df`` with at least ``min_rows`` (``HOT_ROWS``) rows, never more than
+    ``max_keys`` (``HOT_KEYS``)."""
     return _largest(df, keys, [], min_rows, max_keys).select(*keys)
 
 
@@ -46,13 +47,13 @@ def hot_ranges(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    min_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
+    min_rows: int | None = None,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """Hot keys with the start and width of their chunks: as many equal ranges of ``order`` as
     the key has times ``min_rows`` rows."""
     bounds = [F.min(order).alias("_from"), F.max(order).alias("_to")]
-    chunks = F.ceil(F.col("_rows") / F.lit(min_rows))
+    chunks = F.ceil(F.col("_rows") / F.lit(min_rows or HOT_ROWS))
     width = F.ceil((F.col("_to") - F.col("_from") + 1) / chunks)
     return _largest(df, keys, bounds, min_rows, max_keys).select(
         *keys, "_from", F.greatest(width, F.lit(1)).alias("_width")
@@ -60,12 +61,15 @@ def hot_ranges(
 
 
 def _largest(
-    df: DataFrame, keys: Sequence[str], more: list[Column], min_rows: int, max_keys: int
+    df: DataFrame,
+    keys: Sequence[str],
+    more: list[Column],
+    min_rows: int | None,
+    max_keys: int | None,
 ) -> DataFrame:
     counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *more)
-    return (
-        counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), *keys).limit(max_keys)
-    )
+    large = counts.where(F.col("_rows") >= (min_rows or HOT_ROWS))
+    return large.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS if max_keys is None else max_keys)
 
 
 def _partial(kind: str, col: Column, order: Column) -> Column:

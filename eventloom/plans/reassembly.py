@@ -59,16 +59,16 @@ def _with_complete(groups: DataFrame) -> DataFrame:
 
 
 def grouped(
-    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", group_rows: int = GROUP_ROWS
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", group_rows: int | None = None
 ) -> Groups:
     """Group parts by key. Whole records are compared: the same index with another text is
-    another part."""
+    another part. ``group_rows`` (``GROUP_ROWS``) is the bound of small groups."""
     keys = list(keys)
     rows = parts.where(not_null(keys)).select(*keys, *PART, F.col(arrival).alias("_arrival"))
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     # The largest groups leave before any exchange by key; the list is bounded, and groups
     # beyond it are told apart after the exchange.
-    over = F.col("_rows") > group_rows
+    over = F.col("_rows") > (GROUP_ROWS if group_rows is None else group_rows)
     hot = F.broadcast(
         counts.where(over).orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
     )

@@ -3,11 +3,24 @@
 import pytest
 
 import __spark_entry__ as entry
+from eventloom.operators import running
+from eventloom.plans import reassembly
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+# Queries that run a stream.
+STREAMED = [
+    "lookup_state_store",
+    "sink_foreach",
+    "sink_processor",
+    "sink_topic",
+    "src_earliest",
+    "state_read",
+    "stateful_processor",
+    "timers",
+]
 
 
 @pytest.fixture(scope="module")
@@ -20,5 +33,23 @@ def test_query(spark, con, name):
     assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) == []
 
 
+# Streams do not split keys; a hot prefix is spread on purpose and has its own test.
+SPLIT = sorted(
+    name
+    for name in QUERIES
+    if not name.endswith("_stream") and name not in (*STREAMED, "partition_by_prefix")
+)
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_query_with_all_keys_hot(spark, con, monkeypatch, name):
+    """The same with every repeated key taken for a hot one and every group for a large one."""
+    monkeypatch.setattr(running, "HOT_ROWS", 2)
+    monkeypatch.setattr(running, "HOT_KEYS", 40)
+    monkeypatch.setattr(reassembly, "GROUP_ROWS", 1)
+    monkeypatch.setattr(reassembly, "HOT_KEYS", 5)
+    assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) == []
+
+
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
