@@ -74,6 +74,24 @@ def udhi_reassemble(spark, sf_dir):
     return reassembly.reassemble(parts(spark, sf_dir), KEY)
 
 
+_EARLY = f"""(SELECT * FROM (SELECT *,
+    ROW_NUMBER() OVER (PARTITION BY key ORDER BY sent_time, ind, text) AS n,
+    FIRST_VALUE(size) OVER (PARTITION BY key ORDER BY sent_time, ind, text) AS wanted FROM {_DISTINCT})
+  WHERE n <= wanted)"""
+
+
+@query(
+    "udhi_reassemble_updates",
+    f"""SELECT key, arg_min(id, (sent_time, ind))::SMALLINT AS id,
+      arg_min(provider_id, (sent_time, ind))::INTEGER AS provider_id,
+      string_agg(text, '' ORDER BY ind, text) AS text, TRUE AS full_message,
+      MIN(sent_time) AS sent_time, MAX(sent_time) AS completed_at
+    FROM {_EARLY} GROUP BY key HAVING COUNT(*) = MAX(wanted)""",
+)
+def udhi_reassemble_updates(spark, sf_dir):
+    return reassembly.reassemble_when_complete(parts(spark, sf_dir), KEY)
+
+
 _WINDOWED = f"(SELECT *, sent_time - sent_time%600000 AS window_start FROM {_DISTINCT})"
 
 

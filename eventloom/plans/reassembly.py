@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.kv import branch
-from eventloom.operators.running import HOT_KEYS, not_null
+from eventloom.operators.joins import join_keyed_table
+from eventloom.operators.running import HOT_KEYS, not_null, running
 
 # Largest value of the SMALLINT size field.
 MAX_PARTS = 32_767
@@ -108,6 +109,11 @@ def assemble(groups: Groups) -> DataFrame:
         .agg(F.collect_list(F.struct(*PART)).alias("parts"))
     )
     complete = groups.small.where("complete").select(*keys, "parts").unionByName(large)
+    return _ready(complete, keys)
+
+
+def _ready(complete: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Messages from arrays of their ``parts``."""
     by_index = F.array_sort(
         F.transform("parts", lambda p: F.struct(p["ind"].alias("ind"), p["text"].alias("text")))
     )
@@ -140,6 +146,37 @@ def reassemble(
     return assemble(grouped(parts, keys, arrival, **limits))
 
 
+def reassemble_when_complete(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", **split
+) -> DataFrame:
+    """Ready messages as they were when they first became complete, also of groups that got
+    more parts afterwards; ``completed_at`` is the arrival of the part that completed them.
+
+    Distinct parts are numbered by arrival and those up to the announced size kept, so no more
+    than that is brought together, whatever the size of the group.
+    """
+    keys = list(keys)
+    rows = parts.where(not_null(keys)).select(*keys, *PART, F.col(arrival).alias("_arrival"))
+    distinct = rows.groupBy(*keys, *PART).agg(F.min("_arrival").alias("_arrival"))
+    sized_at = F.min(F.when(F.col("size") != 0, F.col("_arrival"))).alias("_sized_at")
+    sizes = rows.groupBy(*keys).agg(_first_size("_arrival"), sized_at)
+    numbered = running(
+        distinct, keys, ["_arrival", "ind", "text", "size", "sent_time", "id", "provider_id"],
+        {"_n": ("sum", F.lit(1))}, **split,
+    )
+    early = join_keyed_table(numbered, sizes, keys).where(F.col("_n") <= F.col("group_size"))
+    complete = (
+        early.groupBy(*keys, "group_size", "_sized_at")
+        .agg(
+            F.collect_list(F.struct(*PART)).alias("parts"),
+            F.max("_arrival").alias("completed_at"),
+        )
+        .where(F.size("parts") == F.col("group_size"))
+        .where(F.col("completed_at") >= F.col("_sized_at"))
+    )
+    return _ready(complete, [*keys, "completed_at"])
+
+
 def reassemble_windowed(
     parts: DataFrame,
     keys: Sequence[str],

@@ -99,17 +99,17 @@ def read_log(
     schema: T.StructType,
     keys: Sequence[str],
     order: Sequence[str],
-    before: int | None = None,
+    batches: range | None = None,
 ) -> DataFrame:
     """The keyed table behind a change log: the latest row per key, deletes included.
 
-    Reading merges the log; a stream never rewrites rows it has already written. ``before``
-    gives the table as it was when that batch began.
+    Reading merges the log; a stream never rewrites rows it has already written. With
+    ``batches`` only those of the log are read.
     """
     with_batch = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
     log = spark.read.schema(with_batch).parquet(root)
-    if before is not None:
-        log = log.where(F.col("batch") < before)
+    if batches is not None:
+        log = log.where((F.col("batch") >= batches.start) & (F.col("batch") < batches.stop))
     return latest_by_key(log, keys, ["batch", *order]).drop("batch")
 
 

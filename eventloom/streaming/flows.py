@@ -66,28 +66,40 @@ def sliding_stream(stream: DataFrame, span_ms: int) -> DataFrame:
 
 
 def asof_batches(
-    root: str, keys: Sequence[str], order: str, values: Sequence[str], **how
+    root: str,
+    keys: Sequence[str],
+    order: str,
+    values: Sequence[str],
+    snapshot_every: int = 50,
+    **how,
 ) -> Callable[[DataFrame, int], None]:
     """Batch action for a feed of events and table updates (``is_update``) in one stream.
 
     Each micro-batch is an as-of join of its events with its own updates and the table as the
-    batches before left it, so hot keys are split as in batch. The table is a change log of
-    the latest update per key and batch; output and log of a batch are overwritten when it is
-    repeated. ``compact_log`` keeps the log short.
+    batches before left it, so hot keys are split as in batch. The table is a change log: each
+    batch adds the latest update per key, every ``snapshot_every``-th the whole table, so
+    reading goes back to the last snapshot only. Output and log of a batch are overwritten
+    when it is repeated.
     """
 
     def act(rows: DataFrame, batch_id: int) -> None:
-        session = rows.sparkSession
         columns = [*keys, order, *values]
         updates = rows.where("is_update").select(*columns)
         events = rows.where("NOT is_update").drop("is_update", *values)
-        latest_by_key(updates, keys, [order]).write.mode("overwrite").parquet(
-            f"{root}/table/batch={batch_id}"
-        )
-        known = read_log(session, f"{root}/table", updates.schema, keys, [order], before=batch_id)
-        met = asof_join(
-            events, updates.unionByName(known.select(*columns)), keys, order, values, **how
-        )
+        log, changes = f"{root}/table", latest_by_key(updates, keys, [order])
+        known = None
+        if batch_id > 0:
+            since = (batch_id - 1) // snapshot_every * snapshot_every
+            known = read_log(
+                rows.sparkSession, log, updates.schema, keys, [order], range(since, batch_id)
+            ).select(*columns)
+            if batch_id % snapshot_every == 0:
+                changes = latest_by_key(changes.unionByName(known), keys, [order])
+        changes.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        if known is not None:
+            needed = known.join(events.select(*keys).distinct(), list(keys), "left_semi")
+            updates = updates.unionByName(needed)
+        met = asof_join(events, updates, keys, order, values, **how)
         met.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     return act

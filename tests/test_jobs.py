@@ -31,6 +31,20 @@ def test_reassemble(spark, rows, group_rows):
     ]
 
 
+def test_reassemble_when_complete(spark, rows):
+    """A group that got too many parts was complete before."""
+    df = parts(
+        spark,
+        ("a", 2, 1, "lo", 30), ("a", 2, 0, "hel", 20), ("a", 2, 0, "hel", 40), ("a", 2, 1, "LO", 50),
+        ("b", 3, 0, "x", 1), ("b", 3, 1, "y", 2),
+        ("c", 0, 0, "m", 1), ("c", 2, 1, "n", 2), ("c", 2, 2, "o", 3),
+        ("d", 0, 0, "m", 1), ("d", 0, 1, "n", 2), ("d", 2, 2, "o", 3),  # size known too late
+    )
+    got = R.reassemble_when_complete(df, ["key"])
+    assert rows(got, "key", "text", "completed_at") == [("a", "hello", 30), ("c", "mn", 2)]
+    assert rows(R.reassemble(df, ["key"]), "key") == []
+
+
 def test_windowed(spark, rows):
     df = parts(
         spark, ("a", 2, 0, "x", 599_999), ("a", 2, 1, "y", 600_000), ("b", 2, 0, "x", 600_000), ("b", 2, 1, "y", 1_199_999)

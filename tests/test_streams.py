@@ -149,7 +149,8 @@ def test_reassembly(spark, work, rows):
     ]
 
 
-def test_asof_and_store(spark, work, rows):
+@pytest.mark.parametrize("snapshot_every", [1, 2, 50])
+def test_asof_and_store(spark, work, rows, snapshot_every):
     layout = "key BIGINT, arrival BIGINT, ts_ms BIGINT, type STRING, view_ms BIGINT"
     write_batches(
         spark, work + "/in", layout,
@@ -158,7 +159,7 @@ def test_asof_and_store(spark, work, rows):
         [(1, 7, 70, "click", None), (1, 8, None, "view", 9), (1, 9, 90, "click", None)],
     )
     feed = stream(spark, work + "/in", layout, None)
-    action = flows.asof_batches(work + "/a", ["key"], "arrival", ["view_ms"], how="left", tombstone="view_ms")
+    action = flows.asof_batches(work + "/a", ["key"], "arrival", ["view_ms"], how="left", tombstone="view_ms", snapshot_every=snapshot_every)
 
     def twice(df, batch):
         action(df, batch)
