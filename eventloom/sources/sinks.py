@@ -22,15 +22,20 @@ def topic_rows(df: DataFrame, key: Column | str, values: Sequence[str] | None =
 
 
 def write_files(
-    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append"
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", every: str | None = None
 ) -> StreamingQuery:
-    """Append a stream to files, exactly once."""
+    """Append a stream to files, exactly once: what is available, or ``every`` so often until
+    stopped.
+
+    State machines on the wall clock need ``every``, as their timers never run out of work.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.outputMode("append")
         .format(fmt)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

@@ -44,18 +44,23 @@ def first_occurrence_stream(stream: DataFrame, keys: Sequence[str]) -> DataFrame
     return stream.where(not_null(keys)).dropDuplicatesWithinWatermark(list(keys))
 
 
-def monitor_stream(rows: DataFrame, alert_after_ms: int = 120_000) -> DataFrame:
-    """Outcomes of messages; ``rows`` is the union of the three feeds, watermarked on ``ts``."""
-    return rows.groupBy("id").transformWithState(
-        P.DeliveryMonitor(alert_after_ms), P.MONITOR_OUTPUT, "append", "eventTime"
-    )
+def monitor_stream(
+    rows: DataFrame, alert_after_ms: int = 120_000, clock: str = "eventTime"
+) -> DataFrame:
+    """Outcomes of messages; ``rows`` is the union of the three feeds.
+
+    ``clock`` is ``eventTime``, with ``rows`` watermarked on ``ts``, or ``processingTime``.
+    """
+    machine = P.DeliveryMonitor(alert_after_ms, clock == "processingTime")
+    return rows.groupBy("id").transformWithState(machine, P.MONITOR_OUTPUT, "append", clock)
 
 
-def reassembly_stream(parts: DataFrame, expire_after_ms: int = 60_000) -> DataFrame:
-    """Ready messages, and the parts of expired ones; ``parts`` is watermarked on ``ts``."""
-    return parts.groupBy("key").transformWithState(
-        P.Reassembly(expire_after_ms), P.REASSEMBLY_OUTPUT, "append", "eventTime"
-    )
+def reassembly_stream(
+    parts: DataFrame, expire_after_ms: int = 60_000, clock: str = "eventTime"
+) -> DataFrame:
+    """Ready messages, and the parts of expired ones; ``clock`` as for ``monitor_stream``."""
+    machine = P.Reassembly(expire_after_ms, clock == "processingTime")
+    return parts.groupBy("key").transformWithState(machine, P.REASSEMBLY_OUTPUT, "append", clock)
 
 
 def sliding_stream(stream: DataFrame, span_ms: int) -> DataFrame:

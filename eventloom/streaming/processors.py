@@ -43,10 +43,12 @@ class DeliveryMonitor(StatefulProcessor):
     Input rows: id, feed (received | sent | status), provider_id, ext_message_id, status, time.
     Records of one micro-batch count as simultaneous; a sent or status record that comes in an
     earlier one than its message is dropped. One timer per message stands in for a scan of all.
+    With ``wall_clock`` a message is first seen when it is processed, else at its received time.
     """
 
-    def __init__(self, alert_after_ms: int) -> None:
+    def __init__(self, alert_after_ms: int, wall_clock: bool) -> None:
         self.alert_after_ms = alert_after_ms
+        self.wall_clock = wall_clock
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -66,7 +68,8 @@ class DeliveryMonitor(StatefulProcessor):
             message = dict(zip(MONITOR_FIELDS, known))
         elif first_received is not None:
             message = dict.fromkeys(MONITOR_FIELDS)
-            message.update(received_time=first_received, seen=first_received, counter=0)
+            now = timerValues.getCurrentProcessingTimeInMs() if self.wall_clock else first_received
+            message.update(received_time=first_received, seen=now, counter=0)
         else:
             return
         for feed, row in sorted(last.items(), key=lambda item: item[1].time):
@@ -111,10 +114,13 @@ class Reassembly(StatefulProcessor):
 
     Parts lie in a map state, keyed by the whole part, and are read together only when their
     number equals the announced size, a SMALLINT. Expired parts are passed on one at a time.
+    With ``wall_clock`` the age counts from when the first part is processed, else from the
+    earliest sent time.
     """
 
-    def __init__(self, expire_after_ms: int) -> None:
+    def __init__(self, expire_after_ms: int, wall_clock: bool) -> None:
         self.expire_after_ms = expire_after_ms
+        self.wall_clock = wall_clock
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -129,6 +135,8 @@ class Reassembly(StatefulProcessor):
             timer = first_seen
         else:
             size, size_time, n, first_seen, timer = 0, None, 0, None, None
+            if self.wall_clock:
+                first_seen = timerValues.getCurrentProcessingTimeInMs()
         for row in rows:
             part = tuple(row[f] for f in PART_FIELDS)
             if not self.parts.containsKey(part):
@@ -136,7 +144,8 @@ class Reassembly(StatefulProcessor):
                 n += 1
             if row.size and (size_time is None or row.sent_time < size_time):
                 size, size_time = row.size, row.sent_time
-            first_seen = row.sent_time if first_seen is None else min(first_seen, row.sent_time)
+            if not self.wall_clock:
+                first_seen = row.sent_time if first_seen is None else min(first_seen, row.sent_time)
         if timer != first_seen:
             if timer is not None:
                 self.handle.deleteTimer(timer + self.expire_after_ms + PAST)

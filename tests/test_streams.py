@@ -1,6 +1,7 @@
 """Streams over several micro-batches: late rows, timers, repeated batches, and parity with batch."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from eventloom.operators.joins import interval_join
 from eventloom.operators.windows import session, sliding, tumbling
 from eventloom.schemas import TOPIC_RECORD
 from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options
-from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink
+from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink, write_files
 from eventloom.streaming import flows
 
 EVENT = "key BIGINT, ts_ms BIGINT, arrival BIGINT"
@@ -149,6 +150,32 @@ def test_reassembly(spark, work, rows):
     ]
 
 
+def test_wall_clock(spark, work, rows):
+    """Age counts from when a record is processed, whatever its event time."""
+    write_batches(spark, work + "/p", PART, [("a", 1, 2, 0, 9, "x", 5), ("b", 1, 1, 0, 9, "y", 5)])
+    write_batches(spark, work + "/m", FEED, [("a", "received", None, None, None, 10**13)])
+    parts = flows.reassembly_stream(stream(spark, work + "/p", PART, None), 1500, "processingTime")
+    feed = flows.monitor_stream(stream(spark, work + "/m", FEED, None), 1500, "processingTime")
+    queries = [
+        write_files(parts, work + "/a", work + "/ca", every="500 milliseconds"),
+        write_files(feed, work + "/b", work + "/cb", every="500 milliseconds"),
+    ]
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            time.sleep(2)
+            assert all(q.exception() is None for q in queries)
+            got = spark.read.schema(parts.schema).parquet(work + "/a")
+            alerts = spark.read.schema(feed.schema).parquet(work + "/b")
+            if got.count() == 2 and alerts.count() == 1:
+                break
+    finally:
+        for q in queries:
+            q.stop()
+    assert rows(got, "key", "text", "full_message") == [("a", "x", False), ("b", "y", True)]
+    assert rows(alerts, "id", "outcome") == [("a", "alert")]
+
+
 @pytest.mark.parametrize("snapshot_every", [1, 2, 50])
 def test_asof_and_store(spark, work, rows, snapshot_every):
     layout = "key BIGINT, arrival BIGINT, ts_ms BIGINT, type STRING, view_ms BIGINT"
