@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import functools
+import re
 import tempfile
 import uuid
 
@@ -35,16 +36,20 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, for written tables and stream checkpoints.
 
-    It lies below ``spark.checkpoint.dir``. Only a local session without that setting
-    gets a temporary folder; on a cluster the setting is required.
+    It lies below ``spark.checkpoint.dir``. Only a session whose driver and executors are one
+    process may leave that unset, as tests do; elsewhere the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, "eventloom", f"{label}-{uuid.uuid4().hex}")
+        base = _local_folder()
+    return f"{base.rstrip('/')}/eventloom/{label}-{uuid.uuid4().hex}"
