@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm.lines import drop_lines
+from eventloom.llm.minhash import near_duplicates
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.quality import COUNTS, judged
 from eventloom.llm.registry import QUERIES, SQL, query, table
@@ -117,3 +118,8 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sharded = assign_shards(docs, ["doc_id"], [1.0] * SHARDS)
     return sharded.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op4_minhash")
+def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

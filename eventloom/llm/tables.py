@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from eventloom.session import work_dir
@@ -28,3 +29,12 @@ def fresh_name(name: str, taken: Iterable[str]) -> str:
 def extended(schema: StructType, **columns: str) -> StructType:
     """``schema`` followed by more columns, given as name and DDL type."""
     return StructType([*schema.fields, *(StructField(n, DataType.fromDDL(t)) for n, t in columns.items())])
+
+
+# Rows of at most 100 bytes that may be sent to every executor: about 100 MB at the most.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written narrow table, marked for broadcast if it has at most ``rows`` rows; else it is shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
