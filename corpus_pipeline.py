@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.llm.decontamination import find_passages
 from eventloom.llm.lines import drop_lines
+from eventloom.llm.minhash import near_duplicates
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.quality import keep_good
 from eventloom.llm.queries import public_tokenizer
-from eventloom.llm.tables import written
+from eventloom.llm.tables import small, written
 
 # The last stage depends on a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
@@ -33,12 +35,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(row.alias("row")).select("row.*")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates, once; those without an id stay."""
+    repeated = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    kept = docs.join(small(written(repeated, "repeated")), "doc_id", "left_anti")
+    twice = kept.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    twice = small(written(twice, "twice"))
+    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_passages(docs, items).where(F.size("hits") == 0).select("row.*")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in sequences of 1,024."""
     return pack_documents(docs, *public_tokenizer())
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("packing", packing)]
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.llm.decontamination import find_passages
 from eventloom.llm.lines import drop_lines
 from eventloom.llm.minhash import near_duplicates
 from eventloom.llm.packing import pack_documents
@@ -123,3 +124,12 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_minhash")
 def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item that a document holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_passages(docs, table(spark, sf_dir, "benchmark"))
+    hits = found.select("row.doc_id", F.explode("hits").alias("hit"))
+    return hits.select("doc_id", F.col("hit.item").alias("item_id"), "hit.start", "hit.similarity")
