@@ -11,6 +11,7 @@ from eventloom.llm.minhash import near_duplicates
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.quality import COUNTS, judged
 from eventloom.llm.registry import QUERIES, SQL, query, table
+from eventloom.llm.repeats import without_repeats
 from eventloom.llm.sharding import assign_shards
 
 SHARDS = 40
@@ -133,3 +134,9 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_passages(docs, table(spark, sf_dir, "benchmark"))
     hits = found.select("row.doc_id", F.explode("hits").alias("hit"))
     return hits.select("doc_id", F.col("hit.item").alias("item_id"), "hit.start", "hit.similarity")
+
+
+@query("op5_repeats")
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
