@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
+from eventloom.llm.chat import best_conversations, formatted, read_back
+from eventloom.llm.classifier import score_documents
 from eventloom.llm.decontamination import find_passages
 from eventloom.llm.lines import drop_lines
 from eventloom.llm.minhash import near_duplicates
@@ -13,6 +16,8 @@ from eventloom.llm.quality import COUNTS, judged
 from eventloom.llm.registry import QUERIES, SQL, query, table
 from eventloom.llm.repeats import without_repeats
 from eventloom.llm.sharding import assign_shards
+from eventloom.llm.warc import read_archives, write_archives
+from eventloom.session import work_dir
 
 SHARDS = 40
 
@@ -140,3 +145,56 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op7_warc")
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    records = read_archives(spark, folder, with_payload=False).where("record_type IN ('response', 'revisit')")
+
+    def page(header: str):
+        return F.regexp_extract(F.col("headers")[header], "^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
+
+    return records.select(
+        page("WARC-Record-ID").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("WARC-Refers-To").alias("refers_to")
+    )
+
+
+@query(
+    "op8_chat",
+    r"""
+    WITH told AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(25 + length(role) + length(text) + len(regexp_extract_all(text,
+            '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|</?s>|\[/?INST\]|<</?SYS>>'))) AS BIGINT) AS formatted_chars
+    FROM told GROUP BY conv_id
+    """,
+)
+def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of a conversation answer one another, so each is a tree of a single path."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    forged = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", forged), (-7, 1, "assistant", forged)], told.schema)
+    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
+    chained = told.unionAll(extra).withColumn("at", F.row_number().over(order).cast("long"))
+    chained = chained.withColumn("answers", F.when(F.col("at") > 1, F.col("at") - 1))
+    done = read_back(formatted(best_conversations(chained, "conv_id", "at", "answers", "role", "text")))
+    return done.withColumnRenamed("tree", "conv_id")
+
+
+@query("op10_classifier")
+def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    # The rest 1 is held out; 0 and 2 are the folds.
+    scores = score_documents(docs, labels, train=third != 1, fold=F.when(third == 0, 0).otherwise(1))
+    held_out = F.coalesce(third == 1, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
