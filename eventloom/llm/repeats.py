@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,7 @@ def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(gram, key, version, first, anchor, last, left, right) of a frame (key, version, text, found)."""
+    """(gram, key, version, first, anchor, last, left, right, span) of a frame (key, version, text, found)."""
     names = ["first", "anchor", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,13 +124,13 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
                 right = [data[a : b + length] for a, b in zip(anchor, last)]
                 own = pa.array([i] * len(first), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [found.field("gram"), batch.column(0).take(own), batch.column(1).take(own), *(found.field(n) for n in names), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                    names=["gram", "key", "version", *names, "left", "right"],
+                    [found.field("gram"), batch.column(0).take(own), batch.column(1).take(own), *(found.field(n) for n in names), pa.array(left, pa.binary()), pa.array(right, pa.binary()), found.field("span")],
+                    names=["gram", "key", "version", *names, "left", "right", "span"],
                 )
 
     id_ = texts.select("key", "version").schema
     schema = extended(extended(type(id_)([]), gram="long"))
-    schema = extended(type(id_)([*schema.fields, *id_.fields]), first="long", anchor="long", last="long", left="binary", right="binary")
+    schema = extended(type(id_)([*schema.fields, *id_.fields]), first="long", anchor="long", last="long", left="binary", right="binary", span="long")
     return texts.mapInArrow(run, schema)
 
 
@@ -186,21 +187,40 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Ite
                 yield left, right, members[a : b + 1]
 
 
-def _repeats(length: int):
-    """Rows of ``contexts``, sorted by gram, to (gram, repeat, size, key, version, start), one for each occurrence."""
+def _repeats(length: int, merged: bool):
+    """Rows of ``contexts``, sorted by gram, to what the maximal repeats say.
 
-    def found(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(group).combine_chunks().to_batches()[0]
-        anchor = rows.column(4).to_numpy()
-        repeats = maximal_repeats(rows.column(6).to_pylist(), rows.column(7).to_pylist(), length)
+    Either (gram, repeat, left, right, span) for each repeat and range it occurs in. Or, ``merged``,
+    (key, version, start, size) for each row that has a repeat: the union of its repeats, which is one range
+    as all go through the anchor.
+    """
+
+    def groups(rows: pa.RecordBatch, repeats: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for number, (left, right, members) in enumerate(repeats):
-            own = pa.array(members)
-            n = len(members)
+            n, own = len(members), pa.array(members)
+            sides = [pa.array(np.full(n, x)) for x in (number, left, right)]
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(own), pa.array(np.full(n, number)), pa.array(np.full(n, left + right)), rows.column(1).take(own), rows.column(2).take(own), pa.array(anchor[members] - left)],
-                names=["gram", "repeat", "size", "key", "version", "start"],
+                [rows.column(0).take(own), *sides, rows.column(8).take(own)], names=["gram", "repeat", "left", "right", "span"]
             )
 
+    def unions(rows: pa.RecordBatch, repeats: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        before, after = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows, np.int64)
+        for left, right, members in repeats:
+            before[members] = np.maximum(before[members], left)
+            after[members] = np.maximum(after[members], right)
+        own = np.flatnonzero(after)
+        start = rows.column(4).to_numpy()[own] - before[own]
+        at = pa.array(own)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(1).take(at), rows.column(2).take(at), pa.array(start), pa.array((before + after)[own])],
+            names=["key", "version", "start", "size"],
+        )
+
+    def found(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(group).combine_chunks().to_batches()[0]
+        repeats = maximal_repeats(rows.column(6).to_pylist(), rows.column(7).to_pylist(), length)
+        yield from (unions if merged else groups)(rows, repeats)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[pa.RecordBatch] = []
         for batch in batches:
@@ -237,56 +257,91 @@ def _windows(length: int):
     return run
 
 
+class Repeats:
+    """The tables of steps 1 and 2 for the texts of a frame, each written once."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, length: int, gram: int, group: int):
+        self.length = length
+        id_ = F.col(key).alias("key"), F.xxhash64(text).alias("version")
+        texts = docs.where(F.octet_length(text) >= length).select(*id_, F.col(text).alias("text"))
+        self.id = texts.select("key", "version").schema
+        every = written(anchors(texts, length, gram), "anchors")
+        grams = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("span") != F.max("span")).alias("mixed"))
+        grams = written(grams.where("n > 1").select("gram", "mixed"), "grams")
+        again = written(every.join(small(grams), "gram"), "repeated-anchors")
+        #: Anchors of grams all of whose occurrences have the same range, and of the others.
+        self.alike, self.mixed = again.where("NOT mixed"), again.where("mixed")
+
+        place = F.struct("key", "version", "first", "anchor", "last")
+        spans = self.mixed.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"))
+        self.spans = written(spans, "spans")
+        large = self.spans.groupBy("gram").count().where(F.col("count") > group).select("gram")
+        self.large = small(written(large, "large-grams"))
+        chosen = self.spans.select("gram", "span", "place.*")
+        fields = ["gram", "first", "anchor", "last", "span"]
+        by_text = chosen.groupBy("key", "version").agg(F.collect_list(F.struct(*fields)).alias("found"))
+        wanted = written(chosen.select("version").distinct(), "wanted-texts")
+        # One text stands for all rows with its key.
+        own = texts.join(small(wanted), "version", "left_semi").dropDuplicates(["key", "version"])
+        same = own.key.eqNullSafe(by_text.key) & (own.version == by_text.version)
+        joined = own.join(by_text, same).select(own.key, own.version, "text", "found")
+        self.around = written(contexts(joined, length), "contexts")
+
+    def _schema(self, *before: str, **after: str):
+        kind = type(self.id)
+        return extended(kind([*extended(kind([]), **dict.fromkeys(before, "long")).fields, *self.id.fields]), **after)
+
+    def trees(self, merged: bool) -> DataFrame:
+        """The repeats through grams that fit into one task."""
+        fitting = self.around.join(self.large, "gram", "left_anti").select(self.around.columns)
+        if merged:
+            schema = self._schema(start="long", size="long")
+        else:
+            schema = extended(type(self.id)([]), **dict.fromkeys(["gram", "repeat", "left", "right", "span"], "long"))
+        return fitting.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeats(self.length, merged), schema)
+
+    def counted(self) -> DataFrame:
+        """(key, version, start) of the windows that occur twice or more, for the other grams."""
+        rest = self.around.join(self.large, "gram", "left_semi").select(self.around.columns)
+        windows = written(rest.mapInArrow(_windows(self.length), self._schema("gram", "window", start="long")), "windows")
+        often = windows.groupBy("gram", "window").count().where("count > 1").drop("count")
+        return windows.join(often, ["gram", "window"], "left_semi").select("key", "version", "start")
+
+    def copied(self) -> DataFrame:
+        """Anchors of mixed grams whose range occurs twice or more."""
+        twice = written(self.spans.where("n > 1").select("gram", "span"), "copied-spans")
+        return self.mixed.join(small(twice), ["gram", "span"], "left_semi")
+
+
 def repeated_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """(key, version, start, size, gram, repeat): ranges of bytes all of whose windows of ``length`` bytes are repeated.
+    """(key, version, start, size): ranges of bytes that cover what lies in a repeated string of ``length`` bytes.
 
-    Rows of one (gram, repeat) other than null are the occurrences of one maximal repeat, of which equal
-    ranges are given once. ``version`` is the hash of the text.
+    Ranges may overlap. ``version`` is the hash of the text.
     """
-    texts = docs.where(F.octet_length(text) >= length).select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    every = written(anchors(texts, length, gram), "anchors")
-    none = F.lit(None).cast("long")
+    found = Repeats(docs, key, text, length, gram, group)
 
     def whole(df: DataFrame) -> DataFrame:
-        size = F.col("last") + length - F.col("first")
-        return df.select("key", "version", F.col("first").alias("start"), size.alias("size"), none.alias("gram"), none.alias("repeat"))
-
-    grams = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("span") != F.max("span")).alias("mixed"))
-    grams = written(grams.where("n > 1").select("gram", "mixed"), "grams")
-    again = written(every.join(small(grams), "gram"), "repeated-anchors")
-    alike = whole(again.where("NOT mixed"))
-
-    place = F.struct("key", "version", "first", "anchor", "last")
-    spans = again.where("mixed").groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"))
-    spans = written(spans, "spans")
-    copied = whole(again.where("mixed").join(small(written(spans.where("n > 1").select("gram", "span"), "copied-spans")), ["gram", "span"], "left_semi"))
-
-    large = written(spans.groupBy("gram").count().where(F.col("count") > group).select("gram"), "large-grams")
-    chosen = spans.select("gram", "place.*")
-    by_text = chosen.groupBy("key", "version").agg(F.collect_list(F.struct("gram", "first", "anchor", "last")).alias("found"))
-    wanted = written(chosen.select("version").distinct(), "wanted-texts")
-    # One text stands for all rows with its key.
-    own = texts.join(small(wanted), "version", "left_semi").dropDuplicates(["key", "version"])
-    same = own.key.eqNullSafe(by_text.key) & (own.version == by_text.version)
-    joined = own.join(by_text, same).select(own.key, own.version, "text", "found")
-    around = written(contexts(joined, length), "contexts")
+        return df.select("key", "version", F.col("first").alias("start"), (F.col("last") + length - F.col("first")).alias("size"))
 
-    id_ = texts.select("key", "version").schema
-    parts = type(id_)
-    kind = extended(parts([]), gram="long", repeat="long", size="long")
-    kind = extended(parts([*kind.fields, *id_.fields]), start="long")
-    sorted_ = around.join(small(large), "gram", "left_anti").select(around.columns).repartition("gram").sortWithinPartitions("gram")
-    trees = sorted_.mapInArrow(_repeats(length), kind)
-
-    kind = extended(parts([]), gram="long", window="long")
-    kind = extended(parts([*kind.fields, *id_.fields]), start="long")
-    windows = around.join(small(large), "gram", "left_semi").select(around.columns).mapInArrow(_windows(length), kind)
-    windows = written(windows, "windows")
-    counted = windows.groupBy("gram", "window").count().where("count > 1").drop("count")
-    single = windows.join(counted, ["gram", "window"], "left_semi")
-    single = single.select("key", "version", "start", F.lit(length).cast("long").alias("size"), none.alias("gram"), none.alias("repeat"))
-    ranges = trees.select("key", "version", "start", "size", "gram", "repeat")
-    return written(ranges.unionAll(alike).unionAll(copied).unionAll(single), "ranges")
+    single = found.counted().withColumn("size", F.lit(length).cast("long"))
+    parts = [found.trees(merged=True), whole(found.alike), whole(found.copied()), single]
+    return written(reduce(DataFrame.unionByName, parts), "ranges")
+
+
+def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """(gram, repeat, size, key, version, start): the maximal repeats through each gram, with all occurrences.
+
+    A repeat is seen through each anchor in it, as far as the windows with that anchor reach. Repeat 0 of a
+    gram whose occurrences are all alike is that range. Grams with more than ``group`` ranges are left to
+    ``repeated_ranges``.
+    """
+    found = Repeats(docs, key, text, length, gram, group)
+    ranges = found.trees(merged=False).join(found.mixed.select("gram", "span", "key", "version", "anchor"), ["gram", "span"])
+    size, start = F.col("left") + F.col("right"), F.col("anchor") - F.col("left")
+    mixed = ranges.select("gram", "repeat", size.alias("size"), "key", "version", start.alias("start"))
+    size = F.col("last") + length - F.col("first")
+    alike = found.alike.select("gram", F.lit(0).cast("long").alias("repeat"), size.alias("size"), "key", "version", F.col("first").alias("start"))
+    return mixed.unionByName(alike)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
