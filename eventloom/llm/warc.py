@@ -21,7 +21,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from collections import deque
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -144,29 +146,37 @@ class _Open:
     """A member whose end has not come."""
 
     def __init__(self):
-        self.raw = b""
+        self.parts: list[bytes] = []
         self.unpacker = zlib.decompressobj(GZIP)
         self.content: list[bytes] = []
         self.ended = False
 
     def feed(self, data: bytes) -> None:
         self.content.append(self.unpacker.decompress(data))
-        self.raw += data
+        self.parts.append(data)
         self.ended = self.unpacker.eof
 
     def plausible(self) -> bool:
-        start = b"".join(self.content)[:5]
+        start = b"".join(self.content[:9])[:5]
         return b"WARC/".startswith(start) or (self.ended and not start)
 
+    def certain(self) -> bool:
+        """Whether it has begun as a record does; a few bytes of header say little."""
+        return self.ended or b"".join(self.content[:9])[:5] == b"WARC/"
+
 
 def _started(data: bytes) -> _Open | None:
     """A member that starts with these bytes, if they can be one."""
     member = _Open()
+    return member if _goes_on(member, data) else None
+
+
+def _goes_on(member: _Open, data: bytes) -> bool:
     try:
         member.feed(data)
     except zlib.error:
-        return None
-    return member if member.plausible() else None
+        return False
+    return member.plausible()
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -196,58 +206,69 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
             yield table(waiting)
 
     def scan(cuts: Iterator[tuple[str, int, bytes]]) -> Iterator[dict]:
-        at, member, owned, turn = None, None, False, 0
+        for (file, begin), group in groupby(cuts, key=lambda cut: cut[:2]):
+            values = (value for _, _, value in group)
+            if begin == 0:  # what comes before the first magic
+                next(values, None)
+            yield from own(file, begin, values)
+
+    def own(file: str, begin: int, values: Iterator[bytes]) -> Iterator[dict]:
+        """Records that start in one range, and rests that may belong to one from a range before or go on in the next."""
+        waiting: deque[bytes] = deque()
+        member, owned, turn = None, begin == 0, 0
 
         def rest(data: bytes) -> dict:
-            return {"file": at[0], "range": at[1], "turn": turn, "rest": data}
-
-        for file, begin, value in cuts:
-            if (file, begin) != at:
-                if member is not None:
-                    yield rest(member.raw)
-                at, member, owned, turn = (file, begin), None, False, 0
-                if begin == 0:  # what comes before the first magic
-                    owned = True
+            return {"file": file, "range": begin, "turn": turn, "rest": data}
+
+        while waiting or (value := next(values, None)) is not None:
+            data = waiting.popleft() if waiting else MAGIC + value
+            if member is None:
+                member = _started(data)
+                if member is None:
+                    if not owned:
+                        yield rest(data)
+                        turn += 1
                     continue
-            if member is not None:
-                try:
-                    member.feed(MAGIC + value)
-                except zlib.error:  # damaged; this may be the next member
-                    member = _started(MAGIC + value)
-            else:
-                member = _started(MAGIC + value)
-                if member is None and not owned:
-                    yield rest(value)
-                    turn += 1
-            if member is not None:
-                owned = True
-                if member.ended:
-                    if (found := parse(b"".join(member.content), with_payload)) is not None:
-                        yield found
-                    member = None
+            elif not _goes_on(member, data):
+                # Either damaged, or no member at all: then what it took may hold the next one.
+                taken = member.parts if member.parts[-1] is data else [*member.parts, data]
+                if not member.certain():
+                    if not owned:
+                        yield rest(taken[0])
+                        turn += 1
+                    waiting.extendleft(reversed(taken[1:]))
+                else:
+                    waiting.appendleft(data)
+                member = None
+                continue
+            owned = owned or member.certain()
+            if member.ended:
+                if (found := parse(b"".join(member.content), with_payload)) is not None:
+                    yield found
+                member = None
         if member is not None:
-            turn = 1 << 40
-            yield rest(member.raw)
+            yield rest(b"".join(member.parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(scan(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))))
 
     def join(rests: Iterator[tuple[str, int, int, bytes]]) -> Iterator[dict]:
-        file, member = None, None
-        for name, _, _, data in rests:
-            if name != file:
-                file, member = name, None
-            if data.startswith(MAGIC) and (begun := _started(data)) is not None:
-                member = begun
-            elif member is not None:
-                try:
-                    member.feed(MAGIC + data)
-                except zlib.error:
-                    member = None
-            if member is not None and member.ended:
-                if (found := parse(b"".join(member.content), with_payload)) is not None:
-                    yield found
-                member = None
+        for _, group in groupby(rests, key=lambda rest: rest[0]):
+            member = None
+            for _, _, _, data in group:
+                while data:
+                    # What follows a member that has not ended belongs to it.
+                    if member is not None and not _goes_on(member, data):
+                        member = None
+                    elif member is not None:
+                        data = b""
+                    if member is None:
+                        member, data = _started(data), b""
+                    if member is not None and member.ended:
+                        if (found := parse(b"".join(member.content), with_payload)) is not None:
+                            yield found
+                        more = member.unpacker.unused_data
+                        member, data = None, more if more.startswith(MAGIC) else b""
 
     def run_rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(join(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))))
