@@ -54,7 +54,7 @@ def union_feeds(spark, sf_dir):
 
 @query(
     "index_list",
-    f"SELECT key, COUNT(*) AS n_parts, string_agg(ind::VARCHAR, ',' ORDER BY ind) AS indexes FROM {_DISTINCT} GROUP BY key",
+    f"SELECT key, ind::SMALLINT AS ind, COUNT(*) AS n FROM {_DISTINCT} GROUP BY key, ind",
 )
 def index_list(spark, sf_dir):
     return reassembly.index_list(parts(spark, sf_dir), KEY)

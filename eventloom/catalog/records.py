@@ -1,6 +1,5 @@
 """Projections, filters and key operators."""
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from eventloom.catalog.bindings import EVENTS, HOUR_MS, RECEIVED, SENT, events, received, sent, table
@@ -17,6 +16,7 @@ from eventloom.operators.kv import (
     keep_unless,
     partition_by_prefix,
 )
+from eventloom.operators.kv import peek as look_at
 from eventloom.operators.windows import tumbling
 from eventloom.plans.monitoring import delivery_key
 
@@ -156,16 +156,16 @@ def composite_key(spark, sf_dir):
 
 @query(
     "partition_by_prefix",
-    f"""SELECT section_id, dyid, COUNT(*) AS n, 1::BIGINT AS partitions FROM {SECTIONS} GROUP BY ALL""",
+    f"""SELECT section_id, dyid, COUNT(*) AS n, TRUE AS within_spread FROM {SECTIONS} GROUP BY ALL""",
 )
 def by_prefix(spark, sf_dir):
     placed = partition_by_prefix(
-        _sections(spark, sf_dir), 16, ["section_id", "dyid"], ["section_id", "dyid", "rri"]
+        _sections(spark, sf_dir), 16, ["section_id", "dyid"], ["section_id", "dyid", "rri"], spread=4
     )
     return (
         placed.withColumn("part", F.spark_partition_id())
         .groupBy("section_id", "dyid")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("partitions"))
+        .agg(F.count(F.lit(1)).alias("n"), (F.count_distinct("part") <= 4).alias("within_spread"))
     )
 
 
@@ -185,10 +185,7 @@ def branches(spark, sf_dir):
 @query("peek", f"SELECT key, arrival, ts_ms FROM {EVENTS}")
 def peek(spark, sf_dir):
     e = events(spark, sf_dir).select("key", "arrival", "ts_ms")
-    seen = Observation("peek")
-    return e.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.min("ts_ms").alias("first"), F.max("ts_ms").alias("last")
-    )
+    return look_at(e, rows=F.count(F.lit(1)), first=F.min("ts_ms"), last=F.max("ts_ms"))[0]
 
 
 @query(

@@ -37,14 +37,14 @@ def src_json(spark, sf_dir):
 @query(
     "src_primitive",
     """SELECT user_id::VARCHAR AS key, event_id AS arrival, epoch_us(ts)//1000 - 1704200000000 AS long_value,
-      (event_id - 500)::INTEGER AS int_value, event_type AS text_value FROM events""",
+      (event_id % 1000000 - 500)::INTEGER AS int_value, event_type AS text_value FROM events""",
 )
 def src_primitive(spark, sf_dir):
     raw = events(spark, sf_dir).select(
         F.col("key").cast("string").cast("binary").alias("key"),
         "arrival",
         encode_long(F.col("ts_ms") - 1_704_200_000_000).alias("l"),
-        encode_int(F.col("arrival") - 500).alias("i"),
+        encode_int(F.col("arrival") % 1_000_000 - 500).alias("i"),
         F.col("type").cast("binary").alias("t"),
     )
     return raw.select(
@@ -193,7 +193,7 @@ def _customer_changes(spark, sf_dir):
 @query(
     "cdc_unwrap_value",
     """SELECT c_custkey, c_custkey%3=2 AS deleted,
-      CASE WHEN c_custkey%3<>2 THEN c_custkey::INTEGER END AS id,
+      CASE WHEN c_custkey%3<>2 THEN c_custkey END AS id,
       CASE WHEN c_custkey%3<>2 THEN c_name END AS first_name,
       CASE WHEN c_custkey%3<>2 THEN c_mktsegment END AS last_name,
       CASE WHEN c_custkey%3<>2 THEN c_name || '@example.com' END AS email FROM customer""",
@@ -223,7 +223,7 @@ def cdc_unwrap_key(spark, sf_dir):
 
 @query(
     "cdc_materialize",
-    """SELECT o_custkey::INTEGER AS key, o_orderkey AS arrival, o_custkey::INTEGER AS id,
+    """SELECT o_custkey AS key, o_orderkey AS arrival, o_custkey AS id,
       o_orderpriority AS first_name, o_orderstatus AS last_name, o_orderkey::VARCHAR AS email
     FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders)
     WHERE rn=1 AND o_orderstatus<>'P'""",
@@ -250,7 +250,7 @@ def order_changes(orders):
         ).alias("value"),
     )
     return unwrap_value(unwrap_key(raw, "key", "id"), "value", CUSTOMER, "row").select(
-        F.col("id").try_cast("int").alias("key"), "arrival", "row"
+        F.col("id").cast("bigint").alias("key"), "arrival", "row"
     )
 
 

@@ -17,6 +17,15 @@ OP = "op"
 DELETE = "d"
 
 
+FAILFAST = {"mode": "FAILFAST"}
+
+
+def _filled(col: Column) -> Column:
+    """The text, NULL if it is blank."""
+    text = col.cast("string")
+    return F.when(F.trim(text) != "", text)
+
+
 def _once(col: Column, out: str) -> Column:
     return F.inline(F.array(F.struct(col.alias(out))))
 
@@ -24,6 +33,9 @@ def _once(col: Column, out: str) -> Column:
 def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> DataFrame:
     """Add ``out``, the row after the change; NULL for a delete, a NULL and an empty record.
 
+    Malformed JSON fails the job: taken for a NULL it would delete the row. Use
+    ``codecs.split_bad_records`` beforehand to split it off.
+
     Both layouts are read: ``{schema, payload: {...}}`` and the bare envelope. Row fields
     are read as text and cast, so a number arriving as text (or the other way round) is
     taken over whatever the embedded schema says; what cannot be cast becomes NULL. A
@@ -32,7 +44,7 @@ def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> Data
     text_row = T.StructType([T.StructField(f.name, T.StringType()) for f in row.fields])
     envelope = T.StructType([T.StructField(OP, T.StringType()), T.StructField(AFTER, text_row)])
     either = T.StructType(envelope.fields + [T.StructField(PAYLOAD, envelope)])
-    parsed = df.withColumn("_cdc", F.from_json(F.col(value).cast("string"), either))
+    parsed = df.withColumn("_cdc", F.from_json(_filled(F.col(value)), either, FAILFAST))
     wrapped = F.col(f"_cdc.{PAYLOAD}").isNotNull()
     bare = F.struct(F.col(f"_cdc.{OP}").alias(OP), F.col(f"_cdc.{AFTER}").alias(AFTER))
     change = F.when(wrapped, F.col(f"_cdc.{PAYLOAD}")).otherwise(bare)
@@ -45,22 +57,24 @@ def unwrap_value(df: DataFrame, value: str, row: T.StructType, out: str) -> Data
 
 def unwrap_key(df: DataFrame, key: str, out: str) -> DataFrame:
     """Add ``out``, the key as text: a bare scalar or the value of a one-field object, also
-    below ``payload``; larger objects stay JSON."""
-    text = F.col(key).cast("string")
+    below ``payload``; larger objects stay JSON. Malformed JSON fails the job."""
+    text = _filled(F.col(key))
     members = "map<string,string>"
-    outer = df.withColumn("_outer", F.from_json(text, members))
+    is_object = F.ltrim(text).startswith("{")
+    outer = df.withColumn("_outer", F.from_json(F.when(is_object, text), members, FAILFAST))
     has_payload = F.map_contains_key("_outer", F.lit(PAYLOAD))
     body = outer.withColumn(
         "_body", F.when(has_payload, F.try_element_at("_outer", F.lit(PAYLOAD))).otherwise(text)
     )
     inner = body.withColumn(
-        "_inner", F.when(has_payload, F.from_json("_body", members)).otherwise(F.col("_outer"))
+        "_inner", F.when(has_payload & F.ltrim("_body").startswith("{"), F.from_json("_body", members, FAILFAST)).otherwise(F.col("_outer"))
     )
     single = F.when(F.size("_inner") == 1, F.element_at(F.map_values("_inner"), 1))
-    scalar = F.ltrim(text).startswith("{") == F.lit(False)
+    scalar = F.get_json_object(text, "$")
+    bad = F.raise_error(F.concat(F.lit("malformed key: "), text))
     unwrapped = (
-        F.when(F.trim(text) == "", None)
-        .when(scalar, F.get_json_object(text, "$"))
+        F.when(text.isNull() | (F.trim(text) == "null"), None)
+        .when(~is_object, F.coalesce(scalar, bad))
         .when(F.size("_inner") == 1, single)
         .otherwise(F.col("_body"))
     )

@@ -71,5 +71,8 @@ def decode_int(value: Column) -> Column:
 
 
 def encode_int(value: Column) -> Column:
-    """INT to 4 big-endian bytes."""
-    return F.unhex(F.right(F.lpad(F.hex(value.cast("bigint")), 16, "0"), F.lit(8)))
+    """INT to 4 big-endian bytes. A number beyond an INT fails the job."""
+    whole = value.cast("bigint")
+    fits = whole.between(-(1 << 31), (1 << 31) - 1)
+    checked = F.when(fits | whole.isNull(), whole).otherwise(F.raise_error(F.lit("not an INT")))
+    return F.unhex(F.right(F.lpad(F.hex(checked.cast("bigint")), 16, "0"), F.lit(8)))

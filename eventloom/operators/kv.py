@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventloom.operators.changelog import latest_by_key
-from eventloom.operators.running import hot_keys, not_null
-
-# Largest number of entries put in one map value.
-MAP_ENTRIES = 100_000
+from eventloom.operators.running import not_null
 
 
 def holds(pred: Column) -> Column:
@@ -42,49 +39,37 @@ def branch(df: DataFrame, preds: Sequence[Column]) -> list[DataFrame]:
     return [df.where(label == i) for i in range(len(preds))]
 
 
+def peek(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` unchanged, and the metrics of the rows that pass, to be read after it has run."""
+    seen = Observation()
+    return df.observe(seen, *[col.alias(name) for name, col in metrics.items()]), seen
+
+
 def partition_by_prefix(
-    df: DataFrame,
-    partitions: int,
-    prefix: Sequence[str],
-    full_key: Sequence[str],
-    spread: int = 16,
-    **hot,
+    df: DataFrame, partitions: int, prefix: Sequence[str], full_key: Sequence[str], spread: int = 1
 ) -> DataFrame:
     """Hash partitions by a prefix of the key; rows without a key are spread over all of them.
 
-    A prefix with a large share of the rows is spread by its full key over ``spread`` parts:
-    equal full keys still lie together, so grouping by the full key loses nothing.
+    Each prefix lies in at most ``spread`` partitions, by its full key, whatever its size: equal full
+    keys lie together, so grouping by the full key loses nothing. Choose more than 1 where a
+    prefix may hold a large share of the rows.
     """
-    has_key = not_null(prefix)
-    large = F.broadcast(hot_keys(df, prefix, **hot).withColumn("_hot", F.lit(True)))
-    marked = df.join(large, list(prefix), "left").withColumn(
-        "_part",
-        F.when(~has_key, F.pmod(F.xxhash64(*df.columns), F.lit(partitions)))
-        .when(F.col("_hot"), F.pmod(F.xxhash64(*full_key), F.lit(spread)))
-        .otherwise(F.lit(0)),
-    )
+    part = F.when(not_null(prefix), F.pmod(F.xxhash64(*full_key), F.lit(spread)))
+    spread_out = F.pmod(F.xxhash64(*df.columns), F.lit(partitions))
+    marked = df.withColumn("_part", F.coalesce(part, spread_out))
     return marked.repartition(partitions, *prefix, "_part").select(*df.columns)
 
 
 def collect_maps(
-    df: DataFrame,
-    group: Sequence[str],
-    key: str,
-    value: str,
-    order: Sequence[str],
-    max_entries: int = MAP_ENTRIES,
+    df: DataFrame, group: Sequence[str], key: str, value: str, order: Sequence[str], shards: int = 1
 ) -> DataFrame:
     """Map of key to last value per group, null values allowed.
 
-    A group with more than ``max_entries`` keys gives several rows, numbered by ``shard``,
-    whose maps are disjoint and together complete, so no row grows without bound.
+    A group gives up to ``shards`` rows, numbered by ``shard``, whose maps are disjoint and together
+    complete. Choose more than 1 where the keys of a group do not fit into a row.
     """
     entries = latest_by_key(df.select(*group, key, value, *order), [*group, key], order)
-    sizes = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("_entries"))
-    shards = F.ceil(F.col("_entries") / F.lit(max_entries))
-    sharded = entries.join(sizes, list(group)).withColumn(
-        "shard", F.pmod(F.xxhash64(key), shards).cast("int")
-    )
+    sharded = entries.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
     return sharded.groupBy(*group, "shard").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("entries")
     )

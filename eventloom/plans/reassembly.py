@@ -19,8 +19,6 @@ from eventloom.operators.kv import branch
 from eventloom.operators.joins import join_keyed_table
 from eventloom.operators.running import HOT_KEYS, not_null, running
 
-# Largest value of the SMALLINT size field.
-MAX_PARTS = 32_767
 # Rows up to which a group is handled as one array.
 GROUP_ROWS = 65_536
 WINDOW_MS = 600_000
@@ -231,37 +229,7 @@ def expire(
     )
 
 
-def index_list(
-    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", **limits
-) -> DataFrame:
-    """Comma-joined part indexes per group, in index order.
-
-    In a group with more than ``MAX_PARTS`` parts a repeated index is written once, as
-    ``index*count``. Indexes are SMALLINTs, so counting per index first leaves at most
-    65,536 entries to bring together.
-    """
-    groups = grouped(parts, keys, arrival, **limits)
-    small = groups.small.select(
-        *keys, F.array_sort(F.col("parts.ind")).alias("_inds"), "n_parts"
-    ).where(F.col("n_parts") <= MAX_PARTS)
-    plain = F.array_join(F.transform("_inds", lambda i: i.cast("string")), ",")
-
-    wide = groups.small.where(F.col("n_parts") > MAX_PARTS).select(*keys, F.inline("parts"))
-    rows = wide.select(*keys, "ind").unionByName(groups.large_parts.select(*keys, "ind"))
-    per_index = rows.groupBy(*keys, "ind").agg(F.count(F.lit(1)).alias("_n"))
-    large = per_index.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("ind", "_n"))).alias("_inds"),
-        F.sum("_n").alias("n_parts"),
-    )
-    repeated = F.flatten(
-        F.transform("_inds", lambda e: F.array_repeat(e["ind"].cast("string"), e["_n"].cast("int")))
-    )
-    counted = F.transform(
-        "_inds", lambda e: F.concat_ws("*", e["ind"].cast("string"), e["_n"].cast("string"))
-    )
-    listed = F.when(F.col("n_parts") <= MAX_PARTS, F.array_join(repeated, ",")).otherwise(
-        F.array_join(counted, ",")
-    )
-    return small.select(*keys, "n_parts", plain.alias("indexes")).unionByName(
-        large.select(*keys, "n_parts", listed.alias("indexes"))
-    )
+def index_list(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, ind, n): the distinct parts of each group by index, a row for each index."""
+    distinct = parts.where(not_null(keys)).select(*keys, *PART).distinct()
+    return distinct.groupBy(*keys, "ind").agg(F.count(F.lit(1)).alias("n"))

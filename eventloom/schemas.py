@@ -35,38 +35,9 @@ TOPIC_RECORD = T.StructType(
     ]
 )
 
-OBJECT = _struct("timestamp BIGINT, value STRING, key STRING")
 EVENT = _struct("id STRING, timestamp BIGINT, type STRING, data STRING")
-MESSAGE_PART = _struct(
-    "id SMALLINT, size SMALLINT, ind SMALLINT, providerId INT, text STRING, sentTime BIGINT"
-)
-READY_MESSAGE = _struct(
-    "id SMALLINT, providerId INT, text STRING, fullMessage BOOLEAN, sentTime BIGINT"
-)
-RECEIVED_MESSAGE = _struct(
-    "receivedTime BIGINT, id STRING, from STRING, to STRING, text STRING, order INT"
-)
-SENT_MESSAGE = _struct(
-    "id STRING, providerId STRING, extMessageId STRING, from STRING, to STRING, "
-    "status STRING, statusTime BIGINT, sentTime BIGINT, order INT"
-)
-MESSAGE_STATUS = _struct(
-    "id STRING, providerId STRING, from STRING, to STRING, extMessageId STRING, "
-    "status STRING, statusTime BIGINT"
-)
-MONITOR_ROW = _struct(
-    "id STRING, providerId STRING, sentTime BIGINT, receivedTime BIGINT, drStatusTime BIGINT, "
-    "drStatus STRING, extMessageId STRING, sentStatusTime BIGINT, sentStatus STRING, "
-    "currentTime BIGINT, counter INT"
-)
-WINDOW_COUNTER = _struct("counter BIGINT")
 COUNTER_JSON = _struct("counter INT")
-CUSTOMER = _struct("id INT, first_name STRING, last_name STRING, email STRING")
-SECTION_DATA = _struct("sectionId INT, dyid BIGINT, rri BIGINT, timestamp BIGINT")
-SECTION_KEY = _struct("sectionId INT, dyid BIGINT, rri BIGINT")
-ERROR_RECORD = _struct(
-    "MIMEMESSAGEID STRING, STATE STRING, ERROR_MESSAGE STRING, RECIPIENTS STRING, FROM STRING"
-)
+CUSTOMER = _struct("id BIGINT, first_name STRING, last_name STRING, email STRING")
 
 # Tables the queries run on; with a fixed layout no file is opened to find it.
 TABLES = {

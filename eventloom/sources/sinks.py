@@ -29,21 +29,34 @@ def write_files(
 
     State machines on the wall clock need ``every``, as their timers never run out of work.
     """
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.outputMode("append")
         .format(fmt)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
-def write_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Send (key, value) rows to a topic; needs Spark's Kafka connector."""
+def _trigger(every: str | None) -> dict[str, str | bool]:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def write_kafka(
+    stream: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    mode: str = "append",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Send (key, value) rows to a topic: what is available, or ``every`` so often until stopped;
+    needs Spark's Kafka connector. An aggregate sends its changed rows with ``mode`` update."""
     return (
-        stream.writeStream.format("kafka")
+        stream.writeStream.outputMode(mode)
+        .trigger(**_trigger(every))
+        .format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
@@ -56,13 +69,15 @@ def for_each_batch(
     action: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Run ``action(rows, batch_id)`` on every micro-batch of what is available."""
+    """Run ``action(rows, batch_id)`` on every micro-batch: of what is available, or ``every`` so
+    often until stopped."""
     return (
         stream.writeStream.outputMode(mode)
         .foreachBatch(action)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
@@ -108,14 +123,15 @@ def read_log(
 ) -> DataFrame:
     """The keyed table behind a change log: the latest row per key, deletes included.
 
-    Reading merges the log; a stream never rewrites rows it has already written. With
-    ``batches`` only those of the log are read.
+    The latest is the last by ``order``, in whichever batch it came; without an order, and among
+    equals, that of the last batch. Reading merges the log; a stream never rewrites rows it has
+    already written. With ``batches`` only those of the log are read.
     """
     with_batch = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
     log = spark.read.schema(with_batch).parquet(root)
     if batches is not None:
         log = log.where((F.col("batch") >= batches.start) & (F.col("batch") < batches.stop))
-    return latest_by_key(log, keys, ["batch", *order]).drop("batch")
+    return latest_by_key(log, keys, [*order, "batch"]).drop("batch")
 
 
 def compact_log(

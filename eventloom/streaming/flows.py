@@ -40,8 +40,8 @@ def session_stream(
 
 
 def first_occurrence_stream(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key within the watermark's lateness; state is dropped after it."""
-    return stream.where(not_null(keys)).dropDuplicatesWithinWatermark(list(keys))
+    """One row per key, once for good: the keys seen are kept, in the RocksDB store."""
+    return stream.where(not_null(keys)).dropDuplicates(list(keys))
 
 
 def monitor_stream(

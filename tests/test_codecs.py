@@ -65,6 +65,18 @@ def test_cdc_value(spark):
     assert got == [None, other, one, None, None, one, one, None, (12, None, None, "5")]
 
 
+def test_cdc_malformed(spark):
+    """Neither a delete nor a key: it fails. Ids go beyond an INT."""
+    for bad in ("not json", '{"op":"u","after":{"id":1', '{"id":'):
+        df = values(spark, bad)
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            unwrap_value(df, "v", CUSTOMER, "row").collect()
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            unwrap_key(df, "v", "k").collect()
+    big = values(spark, '{"op":"c","after":{"id":2147483649}}')
+    assert unwrap_value(big, "v", CUSTOMER, "row").select("row.id").first()[0] == 2147483649
+
+
 def test_json(spark):
     good = values(spark, '{"id":"a","timestamp":5,"type":"t","data":null}', None)
     got = [r[0] for r in good.orderBy("i").select(decode_json(F.col("v"), EVENT)).collect()]

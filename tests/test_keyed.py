@@ -24,7 +24,7 @@ from eventloom.operators.joins import (
     join_keyed_table,
     raise_to_running_max,
 )
-from eventloom.operators.kv import branch, collect_maps, flat_map, keep_if, keep_unless, partition_by_prefix
+from eventloom.operators.kv import branch, collect_maps, flat_map, keep_if, keep_unless, partition_by_prefix, peek
 from eventloom.operators.running import hot_keys, hot_ranges, running
 from eventloom.operators.udaf import fold_by_key
 
@@ -185,15 +185,15 @@ def test_record_operators(spark, rows):
     assert rows(flat_map(lists, F.col("xs"), "x"), "k", "x") == [(1, "a")]
 
 
-@pytest.mark.parametrize("max_entries", [3, 1000])
-def test_collect_maps(spark, rows, max_entries):
+@pytest.mark.parametrize("shards", [1, 7])
+def test_collect_maps(spark, rows, shards):
     data = [("g", f"k{i % 40}", i, None if i % 7 == 0 else i) for i in range(100)] + [("h", "k", 1, 5)]
     df = spark.createDataFrame(data, "g STRING, k STRING, arrival BIGINT, v BIGINT")
     want = {}
     for g, k, _, v in data:
         want[(g, k)] = v
     got = {}
-    for row in collect_maps(df, ["g"], "k", "v", ["arrival"], max_entries).collect():
+    for row in collect_maps(df, ["g"], "k", "v", ["arrival"], shards).collect():
         for k, v in row.entries.items():
             assert (row.g, k) not in got
             got[(row.g, k)] = v
@@ -202,14 +202,21 @@ def test_collect_maps(spark, rows, max_entries):
 
 def test_partition_by_prefix(skewed, spark):
     df = skewed.select("key", "arrival", F.lit(1).alias("x"))
-    placed = partition_by_prefix(df, 16, ["key"], ["key", "arrival"], min_rows=100)
+    placed = partition_by_prefix(df, 16, ["key"], ["key", "arrival"], spread=6)
     parts = placed.withColumn("part", F.spark_partition_id()).groupBy("key").agg(
         F.count("*").alias("n"), F.count_distinct("part").alias("p")
     )
     by_key = {r.key: (r.n, r.p) for r in parts.collect()}
     assert sum(n for n, _ in by_key.values()) == 6000
-    assert by_key["hot"][1] > 4 and by_key[None][1] > 4
-    assert all(p == 1 for k, (_, p) in by_key.items() if k not in ("hot", None))
+    assert by_key["hot"][1] > 3 and by_key[None][1] > 4
+    assert all(p <= 6 for k, (_, p) in by_key.items() if k is not None)
+
+
+def test_peek(skewed):
+    seen, metrics = peek(skewed, rows=F.count(F.lit(1)), last=F.max("ts_ms"))
+    want = skewed.agg(F.count(F.lit(1)), F.max("ts_ms")).first()
+    assert sorted(map(tuple, seen.collect()), key=repr) == sorted(map(tuple, skewed.collect()), key=repr)
+    assert (metrics.get["rows"], metrics.get["last"]) == tuple(want)
 
 
 def test_fold(skewed, rows):
