@@ -208,13 +208,13 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sent_rows(messages: DataFrame) -> DataFrame:
-    """Three of four messages 10 ms later; some of those that get no status are sent twice,
+    """Three of four messages 10 ms later; some are sent twice, with or without a status to come,
     some come before their message was received."""
     n, t = F.col("n"), F.col("t")
     times = F.filter(
         F.array(
             F.when(n % 25 == 1, t - 10).otherwise(t + 10),
-            F.when((n % 6 == 0) & (n % 10 == 6), t + 15),
+            F.when(((n % 6 == 0) & (n % 10 == 6)) | (n % 10 == 3), t + 15),
         ),
         lambda x: x.isNotNull(),
     )
@@ -231,7 +231,7 @@ SENT = f"""(SELECT id, provider_id, ext_message_id, "from", "to", 'SENT' AS stat
     CASE WHEN n%25=1 THEN t-10 ELSE t+10 END AS sent_time,
     CASE WHEN n%25=1 THEN t-10 ELSE t+10 END AS arrival FROM {_MESSAGES} WHERE n%4<>0
   UNION ALL SELECT id, provider_id, ext_message_id, "from", "to", 'SENT', t+15, t+15
-    FROM {_MESSAGES} WHERE n%4<>0 AND n%6=0 AND n%10=6)"""
+    FROM {_MESSAGES} WHERE n%4<>0 AND (n%6=0 AND n%10=6 OR n%10=3))"""
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,9 +240,10 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_rows(messages: DataFrame) -> DataFrame:
     """Delivery status 30 ms after the message; every seventh before the sent record, every
-    eleventh a minute too late for the match."""
+    eleventh a minute too late for the match, some after the alert."""
     n, t = F.col("n"), F.col("t")
-    delay = F.when(n % 7 == 0, 2).when(n % 11 == 0, 60_011).when(n % 11 == 1, 60_010).otherwise(30)
+    delay = F.when(n % 7 == 0, 2).when(n % 11 == 0, 60_011).when(n % 11 == 1, 60_010)
+    delay = delay.when(n % 11 == 2, 120_001).when(n % 11 == 3, 120_000).otherwise(30)
     rows = messages.where((n % 4 != 0) & (n % 6 != 0)).select(
         "id", "provider_id", "ext_message_id", "from", "to",
         F.lit("DELIVERED").alias("status"), (t + delay).alias("status_time"),
@@ -254,5 +255,6 @@ def status_rows(messages: DataFrame) -> DataFrame:
 
 STATUS = f"""(SELECT id, provider_id, ext_message_id, "from", "to", 'DELIVERED' AS status,
     t + d AS status_time, t + d AS arrival
-  FROM (SELECT *, CASE WHEN n%7=0 THEN 2 WHEN n%11=0 THEN 60011 WHEN n%11=1 THEN 60010 ELSE 30 END AS d
+  FROM (SELECT *, CASE WHEN n%7=0 THEN 2 WHEN n%11=0 THEN 60011 WHEN n%11=1 THEN 60010
+      WHEN n%11=2 THEN 120001 WHEN n%11=3 THEN 120000 ELSE 30 END AS d
     FROM {_MESSAGES} WHERE n%4<>0 AND n%6<>0))"""

@@ -132,17 +132,31 @@ def monitor_received(spark, sf_dir):
     )
 
 
-def _rows_sql():
+# The rows of each message that count: those after it, up to two minutes, until it is complete.
+_UNTIL_COMPLETE = {
+    "count": "ROW_NUMBER() OVER (PARTITION BY id ORDER BY arrival) <= 2",
+    "flags": """arrival <= CASE
+      WHEN COUNT(sent_status_time) OVER (PARTITION BY id) > 0 AND COUNT(dr_status_time) OVER (PARTITION BY id) > 0
+      THEN greatest(MIN(arrival) FILTER (sent_status_time IS NOT NULL) OVER (PARTITION BY id),
+        MIN(arrival) FILTER (dr_status_time IS NOT NULL) OVER (PARTITION BY id)) ELSE arrival END""",
+}
+
+
+def _rows_sql(mode="count"):
     first = f"(SELECT id, MIN(received_time) AS received_time, MIN(arrival) AS arrival FROM {RECEIVED} GROUP BY id)"
+    in_time = "s.id=r.id AND s.arrival > r.arrival AND s.arrival <= r.arrival + 120000"
     return f"""(SELECT id, NULL AS provider_id, NULL AS ext_message_id, NULL AS sent_status, NULL AS dr_status,
         received_time, NULL AS sent_status_time, NULL AS dr_status_time, 0 AS counter, arrival FROM {first}
-      UNION ALL SELECT s.id, provider_id, ext_message_id, status, NULL, r.received_time, sent_time, NULL, 1, s.arrival
-        FROM {SENT} s JOIN {first} r ON s.id=r.id AND s.arrival > r.arrival
-      UNION ALL SELECT s.id, provider_id, ext_message_id, NULL, status, r.received_time, NULL, status_time, 1, s.arrival
-        FROM {STATUS} s JOIN {first} r ON s.id=r.id AND s.arrival > r.arrival)"""
+      UNION ALL SELECT * FROM (
+        SELECT s.id, provider_id, ext_message_id, status AS sent_status, NULL AS dr_status, r.received_time,
+            sent_time AS sent_status_time, NULL AS dr_status_time, 1 AS counter, s.arrival
+          FROM {SENT} s JOIN {first} r ON {in_time}
+        UNION ALL SELECT s.id, provider_id, ext_message_id, NULL, status, r.received_time, NULL, status_time, 1, s.arrival
+          FROM {STATUS} s JOIN {first} r ON {in_time}) QUALIFY {_UNTIL_COMPLETE[mode]})"""
 
 
-STATE = f"""(SELECT id, arg_max(provider_id, arrival) FILTER (provider_id IS NOT NULL) AS provider_id,
+def state_sql(mode="count"):
+    return f"""(SELECT id, arg_max(provider_id, arrival) FILTER (provider_id IS NOT NULL) AS provider_id,
     arg_max(ext_message_id, arrival) FILTER (ext_message_id IS NOT NULL) AS ext_message_id,
     arg_max(sent_status, arrival) FILTER (sent_status IS NOT NULL) AS sent_status,
     arg_max(dr_status, arrival) FILTER (dr_status IS NOT NULL) AS dr_status,
@@ -150,12 +164,15 @@ STATE = f"""(SELECT id, arg_max(provider_id, arrival) FILTER (provider_id IS NOT
     arg_max(sent_status_time, arrival) FILTER (sent_status_time > 0) AS sent_status_time,
     arg_max(dr_status_time, arrival) FILTER (dr_status_time > 0) AS dr_status_time,
     SUM(counter)::BIGINT AS counter, MIN(arrival) AS seen
-  FROM {_rows_sql()} GROUP BY id)"""
+  FROM {_rows_sql(mode)} GROUP BY id)"""
+
 
+STATE = state_sql()
 
-def _state(spark, sf_dir):
+
+def _state(spark, sf_dir, mode="count"):
     return monitoring.monitor_state(
-        received(spark, sf_dir), sent(spark, sf_dir), status(spark, sf_dir)
+        received(spark, sf_dir), sent(spark, sf_dir), status(spark, sf_dir), mode
     )
 
 
@@ -187,10 +204,10 @@ def monitor_complete(spark, sf_dir):
 
 @query(
     "monitor_complete_flags",
-    f"SELECT * FROM {STATE} WHERE sent_status_time IS NOT NULL AND dr_status_time IS NOT NULL",
+    f"SELECT * FROM {state_sql('flags')} WHERE sent_status_time IS NOT NULL AND dr_status_time IS NOT NULL",
 )
 def monitor_complete_flags(spark, sf_dir):
-    return monitoring.completed(_state(spark, sf_dir), mode="flags")
+    return monitoring.completed(_state(spark, sf_dir, "flags"), mode="flags")
 
 
 @query(

@@ -1,18 +1,18 @@
 """Queries that run a stream over the tables to its end and return what it wrote.
 
-On one pass the watermark ends at the largest event time, so windows and timers up to it are
-closed; the SQL says so.
+A table is replayed whatever the order of its files (``replay``). At the end the watermark is at
+the largest event time, so windows and timers up to it are closed; the SQL says so.
 """
 
 from pyspark.sql import functions as F
 
 from eventloom.catalog import bindings as B
 from eventloom.catalog.bindings import EVENTS, HOUR_MS, PARTS, RECEIVED, SENT, STATUS
+from eventloom.catalog.jobs import STATE
 from eventloom.catalog.joins import ACTIVE, JOINED_OBJECTS, joined_objects
 from eventloom.catalog.registry import SQL, query
 from eventloom.catalog.sources import ENCODED, order_changes
 from eventloom.catalog.windows import GAP, SESSIONS, SIZE
-from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.changelog import latest_by_key
 from eventloom.operators.windows import tumbling
 from eventloom.schemas import TABLES
@@ -20,28 +20,31 @@ from eventloom.session import work_dir
 from eventloom.sources.feeds import file_feed
 from eventloom.sources.sinks import for_each_batch, log_changes, read_child, read_log, split_sink, topic_rows
 from eventloom.streaming.flows import (
-    asof_batches,
+    asof_stream,
     first_occurrence_stream,
     last_seen_stream,
     monitor_stream,
     reassembly_stream,
+    replay,
+    replay_to_files,
     run_to_files,
     session_stream,
     sliding_stream,
     stored_state,
 )
 
+FILES_PER_BATCH = 1000
 MAX_TS = f"(SELECT MAX(ts_ms) FROM {EVENTS})"
 
 
 def _stream(spark, sf_dir, name):
     path = f"{sf_dir}/{name}.parquet"
-    return file_feed(spark, path, TABLES[name], streaming=True, max_files_per_batch=1000)
+    return file_feed(spark, path, TABLES[name], streaming=True, max_files_per_batch=FILES_PER_BATCH)
 
 
-def event_stream(spark, sf_dir):
-    feed = B.shape_events(_stream(spark, sf_dir, "events"))
-    return with_event_time(feed, field_time(F.col("ts_ms")), "0 seconds")
+def _replay_events(spark, sf_dir, label):
+    stream = B.shape_events(_stream(spark, sf_dir, "events"))
+    return replay(stream, B.events(spark, sf_dir), "ts_ms", work_dir(spark, label), key=-1)
 
 
 @query("src_earliest", "SELECT event_id, user_id, event_type FROM events")
@@ -58,17 +61,17 @@ def sink_topic(spark, sf_dir):
     return run_to_files(spark, topic_rows(rows, "user_id"), work_dir(spark, "sink_topic"))
 
 
-@query("sink_foreach", "SELECT event_id, event_type, 0::BIGINT AS batch FROM events WHERE value > 10")
+@query("sink_foreach", "SELECT event_id, event_type FROM events WHERE value > 10")
 def sink_foreach(spark, sf_dir):
     work = work_dir(spark, "sink_foreach")
     rows = _stream(spark, sf_dir, "events").where(F.col("value") > 10).select("event_id", "event_type")
     for_each_batch(rows, log_changes(f"{work}/out"), f"{work}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{work}/out").withColumn("batch", F.col("batch").cast("bigint"))
+    return spark.read.parquet(f"{work}/out").drop("batch")
 
 
-def monitor_feed(spark, sf_dir):
-    """The three delivery feeds as one watermarked stream."""
-    messages = B.shape_messages(_stream(spark, sf_dir, "orders"))
+def _monitor_rows(orders):
+    """The three delivery feeds in one layout."""
+    messages = B.shape_messages(orders)
     received = B.received_rows(messages).select(
         "id",
         F.lit("received").alias("feed"),
@@ -84,35 +87,29 @@ def monitor_feed(spark, sf_dir):
             F.col(time).alias("time"),
         )
 
-    rows = received.unionByName(later(B.sent_rows(messages), "sent", "sent_time")).unionByName(
+    return received.unionByName(later(B.sent_rows(messages), "sent", "sent_time")).unionByName(
         later(B.status_rows(messages), "status", "status_time")
     )
-    return with_event_time(rows, field_time(F.col("time")), "0 seconds")
 
 
 def outcomes(spark, sf_dir, label):
     """Run the monitor once, alerts and completed messages to tables of their own."""
     work = work_dir(spark, label)
+    stream = _monitor_rows(_stream(spark, sf_dir, "orders"))
+    table = _monitor_rows(B.table(spark, sf_dir, "orders"))
+    feed = replay(stream, table, "time", work, id="closing", feed="received")
     children = {name: F.col("outcome") == name for name in ("complete", "alert")}
-    found = monitor_stream(monitor_feed(spark, sf_dir))
-    for_each_batch(found, split_sink(children, f"{work}/out"), f"{work}/checkpoint").awaitTermination()
+    found = monitor_stream(feed.stream)
+    sink = split_sink(children, f"{work}/out")
+    feed.run(lambda: for_each_batch(found, sink, f"{work}/checkpoint"))
     return {name: read_child(spark, f"{work}/out", name, found.schema) for name in children}
 
 
-# Records of one micro-batch are simultaneous: all of them count.
-_OUTCOMES = f"""(SELECT r.id, CASE WHEN n >= 2 THEN 'complete' ELSE 'alert' END AS outcome, r.received_time,
-    COALESCE(st.provider_id, s.provider_id) AS provider_id,
-    COALESCE(st.ext_message_id, s.ext_message_id) AS ext_message_id, s.status AS sent_status,
-    s.sent_time AS sent_status_time, st.status AS dr_status, st.status_time AS dr_status_time,
-    n AS counter, r.received_time AS seen
-  FROM (SELECT id, MIN(received_time) AS received_time FROM {RECEIVED} GROUP BY id) r
-  LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY sent_time DESC) AS rn FROM {SENT}) s
-    ON s.id=r.id AND s.rn=1
-  LEFT JOIN {STATUS} st ON st.id=r.id
-  LEFT JOIN (SELECT id, COUNT(*) AS c FROM (SELECT id FROM {SENT} UNION ALL SELECT id FROM {STATUS}) GROUP BY id) k
-    ON k.id=r.id, LATERAL (SELECT COALESCE(k.c, 0) AS n)
-  WHERE n >= 2 OR r.received_time + 120000 < (SELECT greatest((SELECT MAX(arrival) FROM {RECEIVED}),
-    (SELECT MAX(arrival) FROM {SENT}), (SELECT MAX(arrival) FROM {STATUS}))))"""
+_OUTCOMES = f"""(SELECT CASE WHEN counter >= 2 THEN 'complete' ELSE 'alert' END AS outcome, s.*
+  FROM {STATE} s, (SELECT greatest((SELECT MAX(arrival) FROM {RECEIVED}),
+    (SELECT MAX(arrival) FROM {SENT}), (SELECT MAX(arrival) FROM {STATUS})) AS reached)
+  WHERE CASE WHEN counter >= 2 THEN greatest(sent_status_time, dr_status_time)
+    ELSE seen + 120000 END < reached)"""
 
 
 @query("sink_processor", f"SELECT id, outcome FROM {_OUTCOMES}")
@@ -137,8 +134,10 @@ def timers(spark, sf_dir):
     FROM {EVENTS} GROUP BY key""",
 )
 def lookup_state_store(spark, sf_dir):
+    """Each micro-batch sends what the store holds after it; the last of each key is its end."""
     stream = B.shape_events(_stream(spark, sf_dir, "events")).select("key", "arrival", "type")
-    return run_to_files(spark, last_seen_stream(stream), work_dir(spark, "lookup_state_store"))
+    stored = run_to_files(spark, last_seen_stream(stream), work_dir(spark, "lookup_state_store"))
+    return latest_by_key(stored, ["key"], ["n"])
 
 
 @query("state_read", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key")
@@ -183,8 +182,8 @@ def cdc_materialize_stream(spark, sf_dir):
     f"SELECT * FROM ({SQL['win_tumbling']}) WHERE window_end <= {MAX_TS}",
 )
 def win_tumbling_stream(spark, sf_dir):
-    windows = tumbling(event_stream(spark, sf_dir), ["key"], "ts", SIZE)
-    return run_to_files(spark, windows, work_dir(spark, "win_tumbling_stream"))
+    feed = _replay_events(spark, sf_dir, "win_tumbling_stream")
+    return replay_to_files(spark, feed, tumbling(feed.stream, ["key"], "ts", SIZE))
 
 
 @query(
@@ -192,56 +191,64 @@ def win_tumbling_stream(spark, sf_dir):
     f"SELECT * FROM {SESSIONS} WHERE window_end + {GAP} <= {MAX_TS}",
 )
 def win_session_stream(spark, sf_dir):
-    found = session_stream(event_stream(spark, sf_dir), ["key"], GAP)
-    return run_to_files(spark, found, work_dir(spark, "win_session_stream"))
+    feed = _replay_events(spark, sf_dir, "win_session_stream")
+    return replay_to_files(spark, feed, session_stream(feed.stream, ["key"], GAP))
 
 
 @query("win_sliding_stream", f"SELECT * FROM ({SQL['win_sliding']}) WHERE window_end < {MAX_TS}")
 def win_sliding_stream(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).select("key", "ts_ms", "ts")
-    return run_to_files(spark, sliding_stream(stream, SIZE), work_dir(spark, "win_sliding_stream"))
+    feed = _replay_events(spark, sf_dir, "win_sliding_stream")
+    stream = feed.stream.select("key", "ts_ms", "ts")
+    return replay_to_files(spark, feed, sliding_stream(stream, SIZE))
 
 
 @query("join_interval_stream", JOINED_OBJECTS)
 def join_interval_stream(spark, sf_dir):
-    pairs = joined_objects(event_stream(spark, sf_dir))
-    return run_to_files(spark, pairs, work_dir(spark, "join_interval_stream"))
+    feed = _replay_events(spark, sf_dir, "join_interval_stream")
+    return replay_to_files(spark, feed, joined_objects(feed.stream))
 
 
-@query("join_stream_table_stream", ACTIVE)
+@query(
+    "join_stream_table_stream",
+    f"SELECT * FROM ({ACTIVE}) WHERE arrival < (SELECT MAX(arrival) FROM {EVENTS})",
+)
 def join_stream_table_stream(spark, sf_dir):
+    def both(rows):
+        e, views = B.events_and_views(B.shape_events(rows))
+        return e.withColumn("is_update", F.lit(False)).unionByName(
+            views.withColumn("is_update", F.lit(True)), allowMissingColumns=True
+        )
+
     work = work_dir(spark, "join_stream_table_stream")
-    e, views = B.events_and_views(B.shape_events(_stream(spark, sf_dir, "events")))
-    both = e.withColumn("is_update", F.lit(False)).unionByName(
-        views.withColumn("is_update", F.lit(True)), allowMissingColumns=True
-    )
-    action = asof_batches(work, ["key"], "arrival", ["view_ms"], tombstone="view_ms")
-    for_each_batch(both, action, f"{work}/checkpoint").awaitTermination()
-    met = spark.read.parquet(f"{work}/out").drop("batch")
-    return met.where(F.col("ts_ms") > F.col("view_ms"))
+    stream, rows = both(_stream(spark, sf_dir, "events")), both(B.table(spark, sf_dir, "events"))
+    feed = replay(stream, rows, "arrival", work, key=-1, is_update=True)
+    met = asof_stream(feed.stream, "key", "arrival", ["view_ms"], tombstone="view_ms")
+    return replay_to_files(spark, feed, met.where(F.col("ts_ms") > F.col("view_ms")))
 
 
 @query("first_occurrence_stream", f"SELECT DISTINCT key, type FROM {EVENTS}")
 def first_seen_stream(spark, sf_dir):
-    seen = first_occurrence_stream(event_stream(spark, sf_dir), ["key", "type"]).select("key", "type")
+    stream = B.shape_events(_stream(spark, sf_dir, "events")).select("key", "type")
+    seen = first_occurrence_stream(stream, ["key", "type"])
     return run_to_files(spark, seen, work_dir(spark, "first_occurrence_stream"))
 
 
-_GROUPS = f"""(SELECT key, COUNT(*) = arg_min(size, sent_time) AS complete, MIN(sent_time) AS first_seen
-  FROM (SELECT DISTINCT * FROM {PARTS}) GROUP BY key)"""
+# Parts in time, and the groups that are complete with them.
+_IN_TIME = f"""(SELECT *, COUNT(*) OVER (PARTITION BY key) AS n, arg_min(size, sent_time) OVER (PARTITION BY key) AS sz
+  FROM (SELECT *, MIN(sent_time) OVER (PARTITION BY key) AS first_seen FROM (SELECT DISTINCT * FROM {PARTS}))
+  WHERE sent_time <= first_seen + 60000)"""
 
 
 @query(
     "udhi_expire_stream",
     f"""SELECT key, NULL::SMALLINT AS ind, id, provider_id, text, full_message, sent_time
-      FROM ({SQL['udhi_reassemble']})
-    UNION ALL SELECT p.key, ind::SMALLINT, id::SMALLINT, provider_id::INTEGER, text, FALSE, sent_time
-      FROM (SELECT DISTINCT * FROM {PARTS}) p JOIN {_GROUPS} g ON p.key=g.key
-      WHERE NOT complete AND first_seen + 60000 < (SELECT MAX(sent_time) FROM {PARTS})""",
+      FROM ({SQL['udhi_reassemble_updates']}) WHERE completed_at < (SELECT MAX(sent_time) FROM {PARTS})
+    UNION ALL SELECT key, ind::SMALLINT, id::SMALLINT, provider_id::INTEGER, text, FALSE, sent_time
+      FROM {_IN_TIME} WHERE n < sz AND first_seen + 60000 < (SELECT MAX(sent_time) FROM {PARTS})""",
 )
 def udhi_expire_stream(spark, sf_dir):
     sizes = B.message_sizes(B.table(spark, sf_dir, "conversations"))
-    parts = B.shape_parts(_stream(spark, sf_dir, "conversations"), sizes)
-    timed = with_event_time(parts, field_time(F.col("sent_time")), "0 seconds")
-    return run_to_files(spark, reassembly_stream(timed), work_dir(spark, "udhi_expire_stream"))
-
+    stream = B.shape_parts(_stream(spark, sf_dir, "conversations"), sizes)
+    work = work_dir(spark, "udhi_expire_stream")
+    feed = replay(stream, B.parts(spark, sf_dir), "sent_time", work, key="closing")
+    return replay_to_files(spark, feed, reassembly_stream(feed.stream))

@@ -6,14 +6,18 @@ Tumbling windows and interval joins are the batch operators on a watermarked str
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
+from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.changelog import latest_by_key
 from eventloom.operators.joins import asof_join
 from eventloom.operators.running import not_null
+from eventloom.sources.feeds import file_feed
 from eventloom.sources.sinks import read_log, write_files
 from eventloom.streaming import processors as P
 
@@ -52,7 +56,8 @@ def monitor_stream(
     ``clock`` is ``eventTime``, with ``rows`` watermarked on ``ts``, or ``processingTime``.
     """
     machine = P.DeliveryMonitor(alert_after_ms, clock == "processingTime")
-    return rows.groupBy("id").transformWithState(machine, P.MONITOR_OUTPUT, "append", clock)
+    keyed = rows.where(not_null(["id"]))
+    return keyed.groupBy("id").transformWithState(machine, P.MONITOR_OUTPUT, "append", clock)
 
 
 def reassembly_stream(
@@ -60,16 +65,103 @@ def reassembly_stream(
 ) -> DataFrame:
     """Ready messages, and the parts of expired ones; ``clock`` as for ``monitor_stream``."""
     machine = P.Reassembly(expire_after_ms, clock == "processingTime")
-    return parts.groupBy("key").transformWithState(machine, P.REASSEMBLY_OUTPUT, "append", clock)
+    keyed = parts.where(not_null(["key"]))
+    return keyed.groupBy("key").transformWithState(machine, P.REASSEMBLY_OUTPUT, "append", clock)
 
 
 def sliding_stream(stream: DataFrame, span_ms: int) -> DataFrame:
     """Record-aligned sliding counts; ``stream`` has key, ts_ms and the watermarked ``ts``."""
-    return stream.groupBy("key").transformWithStateInPandas(
+    return stream.where(not_null(["key"])).groupBy("key").transformWithStateInPandas(
         P.SlidingCounts(span_ms), P.SLIDING_OUTPUT, "append", "eventTime"
     )
 
 
+def asof_stream(
+    both: DataFrame,
+    key: str,
+    order: str,
+    values: Sequence[str],
+    how: str = "inner",
+    tombstone: str | None = None,
+) -> DataFrame:
+    """The as-of join of a feed of events and table updates (``is_update``) in one stream.
+
+    ``both`` is watermarked on ``order`` taken as milliseconds, see ``in_order``. Rows wait until the
+    watermark has passed them, so the result does not depend on how they fall into
+    micro-batches. ``asof_batches`` waits for nothing and splits hot keys, for feeds in order.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"as-of join is inner or left, not {how!r}")
+    timed = both.where(not_null([key]))
+    types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+
+    def layout(names: Sequence[str]) -> str:
+        return ", ".join(f"`{name}` {types[name]}" for name in names)
+
+    columns = [c for c in both.columns if c not in (key, "ts")]
+    events = [c for c in columns if c not in ("is_update", *values)]
+    machine = P.AsOf(
+        columns, layout(columns), list(values), layout(values), order, events, key, how, tombstone
+    )
+    output = layout([key, *events, *values])
+    return timed.groupBy(key).transformWithState(machine, output, "append", "eventTime")
+
+
+def in_order(stream: DataFrame, order: str, disorder: int) -> DataFrame:
+    """Watermark a stream on a whole-number position: no row comes after one whose ``order`` is
+    larger by more than ``disorder``."""
+    return with_event_time(stream, field_time(F.col(order)), f"{disorder} milliseconds")
+
+
+@dataclass(frozen=True)
+class Replay:
+    """A finite feed as a stream whose results do not depend on how its files fall into batches.
+
+    Files of a table come in no order of time, so the watermark of ``stream`` stays behind all rows
+    until the feed is over; ``close`` then adds a record that moves it to the largest time. A live
+    feed has a lateness of its own instead, as large as its real disorder.
+    """
+
+    stream: DataFrame
+    work: str
+    closing: DataFrame | None
+
+    def close(self) -> None:
+        if self.closing is not None:
+            self.closing.write.mode("append").parquet(f"{self.work}/closing")
+
+    def run(self, start: Callable[[], StreamingQuery]) -> None:
+        """Run the query that ``start`` starts to the end of the feed, and once more to close it."""
+        start().awaitTermination()
+        self.close()
+        start().awaitTermination()
+
+
+def replay(
+    stream: DataFrame, feed: DataFrame, time: str, work: str, /, **closing: object
+) -> Replay:
+    """``stream`` for a replay; ``feed`` has the same rows as a table. ``time`` is the event time in
+    milliseconds, or another whole number to go by. ``closing`` gives the values of the closing
+    record, at least the keys; it lies behind all others and so in no result."""
+    first, last = feed.agg(F.min(time), F.max(time)).first()
+    lateness = 0 if first is None else last - first + 1
+    values = {**closing, time: None if first is None else last + lateness}
+    record = stream.sparkSession.range(1).select(
+        *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    )
+    record.limit(0).write.mode("append").parquet(f"{work}/closing")
+    more = file_feed(stream.sparkSession, f"{work}/closing", stream.schema, streaming=True)
+    both = in_order(stream.unionByName(more), time, lateness)
+    return Replay(both, work, None if first is None else record)
+
+
+def replay_to_files(spark: SparkSession, feed: Replay, stream: DataFrame) -> DataFrame:
+    """Run ``stream``, made of a replay, to its end and read back what it wrote."""
+    out, checkpoint = f"{feed.work}/out", f"{feed.work}/checkpoint"
+    feed.run(lambda: write_files(stream, out, checkpoint))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def asof_batches(
     root: str,
     keys: Sequence[str],
@@ -112,7 +204,7 @@ def asof_batches(
 
 def last_seen_stream(stream: DataFrame) -> DataFrame:
     """Per key and micro-batch: the count and latest record its store holds after it."""
-    return stream.groupBy("key").transformWithStateInPandas(
+    return stream.where(not_null(["key"])).groupBy("key").transformWithStateInPandas(
         P.LastSeen(), P.STORE_OUTPUT, "append", "none"
     )
 

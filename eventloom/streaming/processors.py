@@ -36,14 +36,28 @@ MONITOR_OUTPUT = f"id STRING, outcome STRING, {MONITOR_STATE}"
 PAST = 1
 
 
+RECORD_FIELDS = ["at", "time", "feed", "provider_id", "ext_message_id", "status"]
+RECORD_STATE = (
+    "at BIGINT, time BIGINT, feed STRING, provider_id STRING, ext_message_id STRING, status STRING"
+)
+
+
+def _in_order(record: dict) -> tuple:
+    """Arrival, then whole content, so that equal times have one order."""
+    return tuple((record[f] is not None, record[f]) for f in RECORD_FIELDS)
+
+
 class DeliveryMonitor(StatefulProcessor):
     """Follow a message from received to sent to status; ``complete`` on the second record after
     received, ``alert`` when that has not come ``alert_after_ms`` after the message was first seen.
 
     Input rows: id, feed (received | sent | status), provider_id, ext_message_id, status, time.
-    Records of one micro-batch count as simultaneous; a sent or status record that comes in an
-    earlier one than its message is dropped. One timer per message stands in for a scan of all.
-    With ``wall_clock`` a message is first seen when it is processed, else at its received time.
+    Records that come before their message, after the second one, or after the deadline do not
+    count. On event time the records of a message wait until the watermark has passed them and
+    are taken in order of ``time``, so the outcome does not depend on how they fall into
+    micro-batches. With ``wall_clock`` they are taken as they are processed, in order of ``time``
+    within a micro-batch, and a message is first seen when it is processed.
+    A message received again after its outcome starts anew.
     """
 
     def __init__(self, alert_after_ms: int, wall_clock: bool) -> None:
@@ -52,47 +66,88 @@ class DeliveryMonitor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("message", MONITOR_STATE)
+        self.records = handle.getListState("records", RECORD_STATE)
+
+    def _load(self) -> list[dict]:
+        if not self.records.exists():
+            return []
+        return [dict(zip(RECORD_FIELDS, r)) for r in self.records.get()]
+
+    def _settle(
+        self, key, records: list[dict], reached: int, clock: int, timers: list[int]
+    ) -> Iterator[Row]:
+        """Send the outcome if it is settled: complete by records before ``reached``, before which
+        none can still come, or past the time of an alert on ``clock``. Otherwise keep the
+        records and wait; ``timers`` are those still open."""
+        records = sorted(records, key=_in_order)
+        first = next((r for r in records if r["feed"] == "received"), None)
+        if first is None:
+            due = None if self.wall_clock or not records else records[-1]["at"] + PAST
+            kept = records if due is not None and due > reached else []
+            self._wait(kept, due, timers)
+            return
+        position, deadline = (first["at"], first["time"]), first["at"] + self.alert_after_ms
+        later = [
+            r for r in records
+            if r["feed"] != "received" and (r["at"], r["time"]) > position and r["at"] <= deadline
+        ][:2]
+        if len(later) == 2 and later[1]["at"] < reached:
+            self._wait([], None, timers)
+            yield self._outcome(key, "complete", first, later)
+        elif deadline < clock:
+            self._wait([], None, timers)
+            yield self._outcome(key, "alert", first, later)
+        else:
+            # An earlier received record may still make those before this one count.
+            earlier = [r for r in records if r["feed"] != "received" and (r["at"], r["time"]) <= position]
+            kept = [first, *later] if self.wall_clock else [*earlier, first, *later]
+            due = (later[1]["at"] if len(later) == 2 else deadline) + PAST
+            self._wait(kept, due, timers)
+
+    def _wait(self, kept: list[dict], due: int | None, timers: list[int]) -> None:
+        for timer in timers:
+            if not kept or timer != due:
+                self.handle.deleteTimer(timer)
+        if kept:
+            self.records.put([tuple(r[f] for f in RECORD_FIELDS) for r in kept])
+            if due not in timers:
+                self.handle.registerTimer(due)
+        else:
+            self.records.clear()
+
+    def _outcome(self, key, outcome: str, first: dict, later: list[dict]) -> Row:
+        message = dict.fromkeys(MONITOR_FIELDS)
+        message.update(received_time=first["time"], seen=first["at"], counter=len(later))
+        for record in later:
+            prefix = "sent_status" if record["feed"] == "sent" else "dr_status"
+            found = {
+                "provider_id": record["provider_id"],
+                "ext_message_id": record["ext_message_id"],
+                prefix: record["status"],
+                f"{prefix}_time": record["time"],
+            }
+            message.update({name: value for name, value in found.items() if value is not None})
+        return Row(id=key[0], outcome=outcome, **message)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first_received, later, last = None, 0, {}
+        now = timerValues.getCurrentProcessingTimeInMs() if self.wall_clock else None
+        records = self._load()
+        timers = list(self.handle.listTimers()) if records else []
         for row in rows:
-            if row.feed == "received":
-                first_received = row.time if first_received is None else min(first_received, row.time)
-            else:
-                later += 1
-                if row.feed not in last or last[row.feed].time < row.time:
-                    last[row.feed] = row
-        known = self.state.get()
-        if known is not None:
-            message = dict(zip(MONITOR_FIELDS, known))
-        elif first_received is not None:
-            message = dict.fromkeys(MONITOR_FIELDS)
-            now = timerValues.getCurrentProcessingTimeInMs() if self.wall_clock else first_received
-            message.update(received_time=first_received, seen=now, counter=0)
-        else:
-            return
-        for feed, row in sorted(last.items(), key=lambda item: item[1].time):
-            message["provider_id"] = row.provider_id
-            message["ext_message_id"] = row.ext_message_id
-            prefix = "sent_status" if feed == "sent" else "dr_status"
-            message[prefix] = row.status
-            message[f"{prefix}_time"] = row.time
-        message["counter"] += later
-        if message["counter"] >= 2:
-            if known is not None:
-                self.handle.deleteTimer(message["seen"] + self.alert_after_ms + PAST)
-                self.state.clear()
-            yield Row(id=key[0], outcome="complete", **message)
-        else:
-            if known is None:
-                self.handle.registerTimer(message["seen"] + self.alert_after_ms + PAST)
-            self.state.update(tuple(message[f] for f in MONITOR_FIELDS))
+            at = row.time if now is None else now
+            records.append(
+                dict(zip(RECORD_FIELDS, (at, row.time, row.feed, row.provider_id, row.ext_message_id, row.status)))
+            )
+        # On the wall clock all that has come is in order; alerts are left to the timer.
+        reached = timerValues.getCurrentWatermarkInMs() if now is None else now + PAST
+        yield from self._settle(key, records, reached, reached if now is None else 0, timers)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        message = dict(zip(MONITOR_FIELDS, self.state.get()))
-        self.state.clear()
-        yield Row(id=key[0], outcome="alert", **message)
+        if self.wall_clock:
+            now = timerValues.getCurrentProcessingTimeInMs()
+        else:
+            now = timerValues.getCurrentWatermarkInMs()
+        yield from self._settle(key, self._load(), now, now, [])
 
     def close(self) -> None:
         pass
@@ -108,14 +163,22 @@ REASSEMBLY_OUTPUT = (
 )
 
 
+def _by_arrival(part: dict) -> tuple:
+    order = ("sent_time", "ind", "text", "size", "id", "provider_id")
+    return tuple((part[f] is not None, part[f]) for f in order)
+
+
 class Reassembly(StatefulProcessor):
-    """Collect the distinct parts of a message; send it when complete, send its parts one by one
-    when it is still incomplete ``expire_after_ms`` after its first part.
+    """Collect the distinct parts of a message; send it as it was when it first became complete,
+    send its parts one by one when that has not been ``expire_after_ms`` after its first part.
+
+    On event time parts are taken in order of ``sent_time`` once the watermark has passed them, so
+    the result does not depend on how they fall into micro-batches; parts after the deadline
+    start a new group. With ``wall_clock`` they are taken as they are processed, in order of
+    ``sent_time`` within a micro-batch, and the age counts from when the first one was.
 
-    Parts lie in a map state, keyed by the whole part, and are read together only when their
-    number equals the announced size, a SMALLINT. Expired parts are passed on one at a time.
-    With ``wall_clock`` the age counts from when the first part is processed, else from the
-    earliest sent time.
+    Parts lie in a map state, keyed by the whole part, and are read together only when there are
+    as many as the announced size, a SMALLINT, or the group expires.
     """
 
     def __init__(self, expire_after_ms: int, wall_clock: bool) -> None:
@@ -126,50 +189,99 @@ class Reassembly(StatefulProcessor):
         self.handle = handle
         self.parts = handle.getMapState("parts", PART_STATE, "held BOOLEAN")
         self.group = handle.getValueState(
-            "group", "size SMALLINT, size_time BIGINT, n BIGINT, first_seen BIGINT"
+            "group",
+            "size SMALLINT, size_time BIGINT, size_ind SMALLINT, n BIGINT, first_seen BIGINT, sent BOOLEAN",
+        )
+
+    def _held(self) -> list[dict]:
+        return sorted((dict(zip(PART_FIELDS, p)) for p in self.parts.keys()), key=_by_arrival)
+
+    def _add(self, key, rows, now: int | None, reached: int) -> Iterator[Row]:
+        size, size_time, size_ind, n, first_seen, sent = (
+            self.group.get() if self.group.exists() else (0, None, None, 0, now, False)
+        )
+        for part in rows:
+            values = tuple(part[f] for f in PART_FIELDS)
+            if not self.parts.containsKey(values):
+                self.parts.updateValue(values, (True,))
+                n += 1
+            position = (part["sent_time"], part["ind"])
+            if part["size"] and (not size or (now is None and position < (size_time, size_ind))):
+                size, size_time, size_ind = part["size"], *position
+            if now is None:
+                first_seen = min(first_seen, part["sent_time"]) if first_seen is not None else part["sent_time"]
+            elif not sent and n == size:
+                sent = True
+                yield self._ready(key, self._held())
+        self.group.update((size, size_time, size_ind, n, first_seen, sent))
+        yield from self._settle(key, reached)
+
+    def _settle(self, key, reached: int) -> Iterator[Row]:
+        size, size_time, size_ind, n, first_seen, sent = self.group.get()
+        deadline = first_seen + self.expire_after_ms
+        due = deadline + PAST
+        if not self.wall_clock and not sent and 0 < size <= n:
+            complete = self._held()[:size]
+            completed_at = complete[-1]["sent_time"]
+            if size_time <= completed_at <= deadline:
+                if completed_at < reached:
+                    self.group.update((size, size_time, size_ind, n, first_seen, True))
+                    yield self._ready(key, complete)
+                else:
+                    due = completed_at + PAST
+        timers = list(self.handle.listTimers())
+        for timer in timers:
+            if timer != due:
+                self.handle.deleteTimer(timer)
+        if due not in timers:
+            self.handle.registerTimer(due)
+
+    def _ready(self, key, parts: list[dict]) -> Row:
+        by_index = sorted(parts, key=lambda p: (p["ind"], p["text"] or ""))
+        first = min(parts, key=lambda p: (p["sent_time"], p["ind"], p["id"]))
+        return Row(
+            key=key[0],
+            ind=None,
+            id=first["id"],
+            provider_id=first["provider_id"],
+            text="".join(p["text"] for p in by_index if p["text"] is not None),
+            full_message=True,
+            sent_time=first["sent_time"],
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.group.exists():
-            size, size_time, n, first_seen = self.group.get()
-            timer = first_seen
+        if self.wall_clock:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            parts = sorted((r.asDict() for r in rows), key=_by_arrival)
+            yield from self._add(key, parts, now, now)
         else:
-            size, size_time, n, first_seen, timer = 0, None, 0, None, None
-            if self.wall_clock:
-                first_seen = timerValues.getCurrentProcessingTimeInMs()
-        for row in rows:
-            part = tuple(row[f] for f in PART_FIELDS)
-            if not self.parts.containsKey(part):
-                self.parts.updateValue(part, (True,))
-                n += 1
-            if row.size and (size_time is None or row.sent_time < size_time):
-                size, size_time = row.size, row.sent_time
-            if not self.wall_clock:
-                first_seen = row.sent_time if first_seen is None else min(first_seen, row.sent_time)
-        if timer != first_seen:
-            if timer is not None:
-                self.handle.deleteTimer(timer + self.expire_after_ms + PAST)
-            self.handle.registerTimer(first_seen + self.expire_after_ms + PAST)
-        self.group.update((size, size_time, n, first_seen))
-        if n == size:
-            parts = [dict(zip(PART_FIELDS, p)) for p in self.parts.keys()]
-            by_index = sorted(parts, key=lambda p: (p["ind"], p["text"]))
-            first = min(parts, key=lambda p: (p["sent_time"], p["ind"], p["id"]))
-            yield Row(
-                key=key[0],
-                ind=None,
-                id=first["id"],
-                provider_id=first["provider_id"],
-                text="".join(p["text"] for p in by_index if p["text"] is not None),
-                full_message=True,
-                sent_time=first["sent_time"],
-            )
+            yield from self._add(key, rows, None, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        size, _, n, _ = self.group.get()
-        if n != size:
-            for part in self.parts.keys():
-                p = dict(zip(PART_FIELDS, part))
+        if self.wall_clock:
+            now = timerValues.getCurrentProcessingTimeInMs()
+        else:
+            now = timerValues.getCurrentWatermarkInMs()
+        yield from self._expire(key, now)
+
+    def _expire(self, key, now: int) -> Iterator[Row]:
+        *_, first_seen, sent = self.group.get()
+        deadline = first_seen + self.expire_after_ms
+        if now <= deadline:
+            yield from self._settle(key, now)
+            return
+        if not sent and not self.wall_clock:
+            for row in self._settle(key, now):
+                sent = True
+                yield row
+        held = self._held()
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.parts.clear()
+        self.group.clear()
+        in_time = [p for p in held if self.wall_clock or p["sent_time"] <= deadline]
+        if not sent:
+            for p in in_time:
                 yield Row(
                     key=key[0],
                     ind=p["ind"],
@@ -179,8 +291,9 @@ class Reassembly(StatefulProcessor):
                     full_message=False,
                     sent_time=p["sent_time"],
                 )
-        self.parts.clear()
-        self.group.clear()
+        if len(in_time) < len(held):
+            yield from self._add(key, held[len(in_time):], None, now)
+            yield from self._expire(key, now)
 
     def close(self) -> None:
         pass
@@ -255,6 +368,70 @@ class SlidingCounts(StatefulProcessor):
         pass
 
 
+class AsOf(StatefulProcessor):
+    """Events of a key with the values of its latest update before them, in order of a position.
+
+    Input rows: the key, ``order``, ``is_update``, the event columns and the ``values``. All rows of a
+    key wait until the watermark has passed them. An update whose ``tombstone`` value is NULL
+    deletes the key; ``inner`` leaves out events without a live update.
+    """
+
+    def __init__(
+        self, columns: list[str], layout: str, values: list[str], value_layout: str, order: str,
+        events: list[str], key: str, how: str, tombstone: str | None,
+    ) -> None:
+        self.columns, self.layout = columns, layout
+        self.values, self.value_layout = values, value_layout
+        self.order, self.events, self.key = order, events, key
+        self.how, self.tombstone = how, tombstone
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.layout)
+        self.known = handle.getValueState("known", self.value_layout)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        added = [tuple(row[c] for c in self.columns) for row in rows]
+        self.waiting.appendList(added)
+        place = self.columns.index(self.order)
+        due = min(row[place] for row in added) + PAST
+        timers = list(self.handle.listTimers())
+        if not timers or due < min(timers):
+            for timer in timers:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.waiting.exists():
+            return
+        reached = timerValues.getCurrentWatermarkInMs()
+        rows = [dict(zip(self.columns, row)) for row in self.waiting.get()]
+        later = [row for row in rows if row[self.order] >= reached]
+        settled = [row for row in rows if row[self.order] < reached]
+        settled.sort(key=lambda row: (row[self.order], row["is_update"]))
+        known = dict(zip(self.values, self.known.get())) if self.known.exists() else None
+        for row in settled:
+            if row["is_update"]:
+                gone = self.tombstone is not None and row[self.tombstone] is None
+                known = None if gone else {v: row[v] for v in self.values}
+            elif known is not None or self.how == "left":
+                held = known or dict.fromkeys(self.values)
+                yield Row(**{self.key: key[0]}, **{c: row[c] for c in self.events}, **held)
+        if known is None:
+            self.known.clear()
+        else:
+            self.known.update(tuple(known[v] for v in self.values))
+        if later:
+            self.waiting.put([tuple(row[c] for c in self.columns) for row in later])
+            self.handle.registerTimer(min(row[self.order] for row in later) + PAST)
+        else:
+            self.waiting.clear()
+
+    def close(self) -> None:
+        pass
+
+
 STORE_OUTPUT = "key BIGINT, n BIGINT, last_arrival BIGINT, last_type STRING"
 
 

@@ -7,13 +7,18 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.catalog import load, streams
 from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.joins import interval_join
 from eventloom.operators.windows import session, sliding, tumbling
+from eventloom.plans import monitoring
 from eventloom.schemas import TOPIC_RECORD
 from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options
 from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink, write_files
 from eventloom.streaming import flows
+from oracle import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
 
 EVENT = "key BIGINT, ts_ms BIGINT, arrival BIGINT"
 
@@ -142,7 +147,7 @@ def test_reassembly(spark, work, rows):
     got = flows.run_to_files(spark, out, work + "/a")
     # watermark 62,000: b (due 62,000) is not over yet
     assert rows(got, "key", "text", "full_message") == [("a", "hello", True), ("c", "one", True)]
-    write_batches(spark, work + "/in", PART, [part("d", 2, 1, "r", 70_001)])
+    write_batches(spark, work + "/in", PART, [part("d", 2, 1, "r", 70_001)], [part("e", 2, 0, "f", 90_000)])
     got = flows.run_to_files(spark, out, work + "/a")
     assert rows(got, "key", "ind", "text", "full_message") == [
         ("a", None, "hello", True), ("b", 0, "x", False), ("b", 2, "z", False),
@@ -150,6 +155,89 @@ def test_reassembly(spark, work, rows):
     ]
 
 
+@pytest.mark.parametrize("cuts", [[], [3], [1, 2, 3, 4, 5, 6]])
+def test_monitor_rules(spark, work, rows, cuts):
+    """Third, late and early records do not count, in whatever batches they come; like batch."""
+    data = [
+        ("a", "status", "p", "e", "DELIVERED", 1030), ("a", "sent", "p", "e", "SENT", 1010),
+        ("b", "sent", "q", "e", "SENT", 990), ("a", "sent", "r", "e", "AGAIN", 1040),
+        ("b", "sent", "p", "e", "SENT", 1020), ("b", "status", "p", "e", "LATE", 121_001),
+        ("a", "received", None, None, None, 1000), ("b", "received", None, None, None, 1000),
+        ("c", "received", None, None, None, 1000), ("c", "sent", "p", "e", "SENT", 2000),
+        ("c", "status", "p", "e", "DELIVERED", 121_000), (None, "received", None, None, None, 1000),
+        ("a", "received", None, None, None, 1005), ("z", "received", None, None, None, 121_500),
+    ]
+    bounds = [0, *cuts, len(data)]
+    write_batches(spark, work + "/in", FEED, *[data[i:j] for i, j in zip(bounds, bounds[1:])])
+    layout = spark.createDataFrame([], FEED).schema
+    feed = file_feed(spark, work + "/in", layout, "json", streaming=True, max_files_per_batch=1)
+    table = spark.createDataFrame(data, FEED)
+    closed = flows.replay(feed, table, "time", work, id="closing", feed="received")
+    got = flows.replay_to_files(spark, closed, flows.monitor_stream(closed.stream))
+    fields = ["id", "provider_id", "sent_status", "dr_status", "sent_status_time", "counter"]
+    assert rows(got, "outcome", *fields) == [
+        ("alert", "b", "p", "SENT", None, 1020, 1),
+        ("complete", "a", "p", "SENT", "DELIVERED", 1010, 2),
+        ("complete", "c", "p", "SENT", "DELIVERED", 2000, 2),
+    ]
+
+    def of(name, time):
+        named = table.where(F.col("feed") == name).withColumn("arrival", F.col("time"))
+        return named.withColumnRenamed("time", time)
+
+    state = monitoring.monitor_state(of("received", "received_time"), of("sent", "sent_time"), of("status", "status_time"))
+    assert rows(monitoring.completed(state), *fields) == rows(got.where("outcome = 'complete'"), *fields)
+    assert rows(monitoring.alerts(state, 121_500), *fields) == rows(got.where("outcome = 'alert'"), *fields)
+    assert rows(monitoring.alerts(state, 121_000), "id") == []
+
+
+@pytest.mark.parametrize("batches", [[0, 1, 2, 3, 4, 5], [5, 3, 1, 4, 2, 0]])
+def test_reassembly_rules(spark, work, rows, batches):
+    """A message is sent as it first became complete; a part after the deadline starts a new group."""
+    data = [
+        ("a", 1, 2, 0, 9, "x", 1000), ("a", 1, 2, 1, 9, "y", 1001), ("a", 1, 2, 1, 9, "Y", 1002),
+        ("b", 1, 2, 0, 9, "p", 1000), ("b", 1, 2, 1, 9, "q", 61_001), ("c", 1, 1, 0, 9, "last", 130_000),
+    ]
+    write_batches(spark, work + "/in", PART, *[[data[i]] for i in batches])
+    layout = spark.createDataFrame([], PART).schema
+    feed = file_feed(spark, work + "/in", layout, "json", streaming=True, max_files_per_batch=1)
+    closed = flows.replay(feed, spark.createDataFrame(data, PART), "sent_time", work, key="closing")
+    got = flows.replay_to_files(spark, closed, flows.reassembly_stream(closed.stream))
+    assert rows(got, "key", "text", "full_message") == [
+        ("a", "xy", True), ("b", "p", False), ("b", "q", False),
+    ]
+
+
+def test_asof_stream(spark, work, rows):
+    layout = "key BIGINT, arrival BIGINT, view_ms BIGINT, is_update BOOLEAN"
+    data = [
+        (1, 2, None, False), (1, 1, 5, True), (2, 3, None, False), (1, 4, None, False), (1, 5, None, True),
+        (1, 6, None, False), (1, 7, 9, True), (1, 8, None, False), (3, 9, None, False), (None, 4, None, False),
+    ]
+    write_batches(spark, work + "/in", layout, *[[data[i]] for i in (7, 3, 0, 1, 9, 4, 8, 2, 6, 5)])
+    table = spark.createDataFrame(data, layout)
+    feed = file_feed(spark, work + "/in", table.schema, "json", streaming=True, max_files_per_batch=1)
+    for how, want in (("left", [(1, 2, 5), (1, 4, 5), (1, 6, None), (1, 8, 9), (2, 3, None)]), ("inner", [(1, 2, 5), (1, 4, 5), (1, 8, 9)])):
+        closed = flows.replay(feed, table, "arrival", f"{work}/{how}", key=-1, is_update=True)
+        met = flows.asof_stream(closed.stream, "key", "arrival", ["view_ms"], how, tombstone="view_ms")
+        assert rows(flows.replay_to_files(spark, closed, met), "key", "arrival", "view_ms") == want
+
+
+REPLAYED = sorted(name for name in load()[0] if name.endswith("_stream") or name in (
+    "lookup_state_store", "sink_foreach", "sink_processor", "stateful_processor", "timers"))
+
+
+@pytest.mark.parametrize("files", [6])
+@pytest.mark.parametrize("name", REPLAYED)
+def test_batches_do_not_matter(spark, work, monkeypatch, name, files):
+    """Each stream query with its table split at random, one file per micro-batch."""
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 1)
+    for table in ("events", "orders", "conversations"):
+        rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
+        rows.repartition(files, F.rand(7)).write.parquet(f"{work}/{table}.parquet")
+    assert compare(load()[0][name](spark, work), connect(SF_DIR), load()[1][name]) == []
+
+
 def test_wall_clock(spark, work, rows):
     """Age counts from when a record is processed, whatever its event time."""
     write_batches(spark, work + "/p", PART, [("a", 1, 2, 0, 9, "x", 5), ("b", 1, 1, 0, 9, "y", 5)])
