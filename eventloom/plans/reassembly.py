@@ -1,10 +1,8 @@
 """Multipart messages: grouping, completion, windows and expiry.
 
 A message is complete when the number of distinct parts equals its announced size, a
-SMALLINT. A group with few rows is brought together in one exchange and handled as one array.
-A group with many rows, whatever its share of all rows, never is: its copies are collapsed
-where they lie, its parts are counted, and they are brought together only if the count equals
-the size, so at most 32,767 of them.
+SMALLINT. Copies are collapsed where they lie and the parts counted; only complete groups are
+brought together, so at most 32,767 parts each, whatever the size of the others.
 """
 
 from __future__ import annotations
@@ -19,8 +17,8 @@ from eventloom.operators.kv import branch
 from eventloom.operators.joins import join_keyed_table
 from eventloom.operators.running import HOT_KEYS, not_null, running
 
-# Rows up to which a group is handled as one array.
-GROUP_ROWS = 65_536
+# An incomplete group with more parts is kept out of the exchange that brings groups together.
+LARGE_PARTS = 32_767
 WINDOW_MS = 600_000
 EXPIRY_MS = 60_000
 
@@ -34,17 +32,12 @@ def is_multipart() -> Column:
 
 @dataclass(frozen=True)
 class Groups:
-    """Parts by group.
-
-    ``small`` has one row per group: keys, ``parts`` (array of distinct parts), group_size,
-    n_parts, first_seen, complete. ``large`` has the same without ``parts``, which are the
-    rows of ``large_parts``.
-    """
+    """``parts``: the distinct parts with their first ``_arrival``. ``summary``: a row per group with
+    group_size, n_parts, first_seen, complete."""
 
     keys: list[str]
-    small: DataFrame
-    large: DataFrame
-    large_parts: DataFrame
+    parts: DataFrame
+    summary: DataFrame
 
 
 def _first_size(arrival: str) -> Column:
@@ -53,60 +46,42 @@ def _first_size(arrival: str) -> Column:
     return F.coalesce(first, F.lit(0).cast("smallint")).alias("group_size")
 
 
-def _with_complete(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("complete", F.col("n_parts") == F.col("group_size"))
-
-
-def grouped(
-    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", group_rows: int | None = None
-) -> Groups:
+def grouped(parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time") -> Groups:
     """Group parts by key. Whole records are compared: the same index with another text is
-    another part. ``group_rows`` (``GROUP_ROWS``) is the bound of small groups."""
+    another part. Both frames of the result read the same exchange."""
     keys = list(keys)
     rows = parts.where(not_null(keys)).select(*keys, *PART, F.col(arrival).alias("_arrival"))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    # The largest groups leave before any exchange by key; the list is bounded, and groups
-    # beyond it are told apart after the exchange.
-    over = F.col("_rows") > (GROUP_ROWS if group_rows is None else group_rows)
-    hot = F.broadcast(
-        counts.where(over).orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
-    )
-    rest = rows.join(hot, keys, "left_anti").join(counts, keys)
-
-    small = rest.where(~over).groupBy(*keys).agg(
-        F.collect_set(F.struct(*PART)).alias("parts"),
-        _first_size("_arrival"),
-        F.min("_arrival").alias("first_seen"),
-    )
-    small = _with_complete(small.withColumn("n_parts", F.size("parts").cast("bigint")))
-
-    large_rows = rows.join(hot, keys, "left_semi").unionByName(rest.where(over).drop("_rows"))
-    distinct = large_rows.groupBy(*keys, *PART).agg(F.min("_arrival").alias("_arrival"))
-    large = distinct.groupBy(*keys).agg(
+    distinct = rows.groupBy(*keys, *PART).agg(F.min("_arrival").alias("_arrival"))
+    summary = distinct.groupBy(*keys).agg(
         _first_size("_arrival"),
-        F.min("_arrival").alias("first_seen"),
         F.count(F.lit(1)).alias("n_parts"),
+        F.min("_arrival").alias("first_seen"),
     )
-    return Groups(keys, small, _with_complete(large), distinct)
+    complete = F.col("n_parts") == F.col("group_size")
+    return Groups(keys, distinct, summary.withColumn("complete", complete))
 
 
 def group_parts(groups: Groups) -> DataFrame:
     """Per group: announced size, number of parts, first arrival, completeness."""
-    columns = [*groups.keys, "group_size", "n_parts", "first_seen", "complete"]
-    return groups.small.select(*columns).unionByName(groups.large.select(*columns))
+    return groups.summary.select(*groups.keys, "group_size", "n_parts", "first_seen", "complete")
 
 
 def assemble(groups: Groups) -> DataFrame:
     """Ready messages of the complete groups: texts in index order; id, provider and time of
-    the earliest part."""
+    the earliest part.
+
+    Large incomplete groups leave before the exchange by key. Their list is bounded; one that is
+    not listed holds under 1/``HOT_KEYS`` of all parts, and is dropped after the exchange.
+    """
     keys = groups.keys
-    found = groups.large.where("complete").select(*keys)
-    large = (
-        groups.large_parts.join(found, keys)
+    large = groups.summary.where(~F.col("complete") & (F.col("n_parts") > LARGE_PARTS))
+    listed = large.orderBy(F.desc("n_parts"), *keys).limit(HOT_KEYS).select(*keys)
+    complete = (
+        groups.parts.join(F.broadcast(listed), keys, "left_anti")
+        .join(groups.summary.where("complete").select(*keys), keys)
         .groupBy(*keys)
         .agg(F.collect_list(F.struct(*PART)).alias("parts"))
     )
-    complete = groups.small.where("complete").select(*keys, "parts").unionByName(large)
     return _ready(complete, keys)
 
 
@@ -137,11 +112,9 @@ def _ready(complete: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def reassemble(
-    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", **limits
-) -> DataFrame:
+def reassemble(parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time") -> DataFrame:
     """Ready messages, no window: whatever the time between the parts."""
-    return assemble(grouped(parts, keys, arrival, **limits))
+    return assemble(grouped(parts, keys, arrival))
 
 
 def reassemble_when_complete(
@@ -180,12 +153,11 @@ def reassemble_windowed(
     keys: Sequence[str],
     arrival: str = "sent_time",
     size_ms: int = WINDOW_MS,
-    **limits,
 ) -> DataFrame:
     """Ready messages of tumbling windows: parts in different windows never meet."""
     start = F.col("sent_time") - F.pmod("sent_time", F.lit(size_ms))
     windowed = parts.withColumn("window_start", start)
-    return reassemble(windowed, [*keys, "window_start"], arrival, **limits)
+    return reassemble(windowed, [*keys, "window_start"], arrival)
 
 
 def pass_through(parts: DataFrame) -> DataFrame:
@@ -214,17 +186,16 @@ def expire(
     now_ms: int,
     arrival: str = "sent_time",
     after_ms: int = EXPIRY_MS,
-    **limits,
 ) -> DataFrame:
     """Parts of incomplete groups older than ``after_ms``, each as a message of its own.
 
-    ``ind`` is kept: it is the order in which the parts of a group are sent on.
+    ``ind`` is kept: it is the order in which the parts of a group are sent on. A large group is
+    never brought together: the join is the last step, so Spark may split its partition.
     """
-    groups = grouped(parts, keys, arrival, **limits)
-    expired = ~F.col("complete") & (F.lit(now_ms) - F.col("first_seen") > after_ms)
-    small = groups.small.where(expired).select(*keys, F.inline("parts"))
-    large = groups.large_parts.join(groups.large.where(expired).select(*keys), list(keys))
-    return small.unionByName(large.select(*small.columns)).select(
+    groups = grouped(parts, keys, arrival)
+    overdue = F.lit(now_ms) - F.col("first_seen") > after_ms
+    expired = groups.summary.where(~F.col("complete") & overdue).select(*keys)
+    return groups.parts.join(expired, groups.keys).select(
         *keys, "ind", "id", "provider_id", "text", F.lit(False).alias("full_message"), "sent_time"
     )
 

@@ -15,8 +15,9 @@ def parts(spark, *data):
     return spark.createDataFrame([(k, 1, n, i, 9, t, s) for k, n, i, t, s in data], PART)
 
 
-@pytest.mark.parametrize("group_rows", [0, 2, R.GROUP_ROWS])
-def test_reassemble(spark, rows, group_rows):
+@pytest.mark.parametrize("large", [0, 2, R.LARGE_PARTS])
+def test_reassemble(spark, rows, monkeypatch, large):
+    monkeypatch.setattr(R, "LARGE_PARTS", large)
     df = parts(
         spark,
         ("a", 2, 1, "lo", 10), ("a", 2, 0, "hel", 20), ("a", 2, 0, "hel", 20),  # repeated part
@@ -25,7 +26,7 @@ def test_reassemble(spark, rows, group_rows):
         ("d", 1, 0, "one", 5), (None, 1, 0, "no", 5),
         ("e", 0, 0, "m", 1), ("e", 2, 1, "n", 2),  # size set by the second part
     )
-    got = R.reassemble(df, ["key"], group_rows=group_rows)
+    got = R.reassemble(df, ["key"])
     assert rows(got, "key", "text", "sent_time", "full_message") == [
         ("a", "hello", 10, True), ("d", "one", 5, True), ("e", "mn", 1, True),
     ]
@@ -55,19 +56,17 @@ def test_windowed(spark, rows):
     assert rows(got, "key", "text", "sent_time") == [("b", "xy", 600_000), ("s", "one", None), ("z", "zero", None)]
 
 
-@pytest.mark.parametrize("group_rows", [0, 1, R.GROUP_ROWS])
-def test_expire(spark, rows, group_rows):
+def test_expire(spark, rows):
     df = parts(
         spark, ("a", 3, 2, "z", 1000), ("a", 3, 0, "x", 2000), ("b", 1, 0, "ok", 1000), ("c", 2, 0, "new", 50_000)
     )
-    assert rows(R.expire(df, ["key"], 61_000, group_rows=group_rows)) == []
-    got = R.expire(df, ["key"], 61_001, group_rows=group_rows)
+    assert rows(R.expire(df, ["key"], 61_000)) == []
+    got = R.expire(df, ["key"], 61_001)
     assert rows(got, "key", "ind", "text", "full_message") == [("a", 0, "x", False), ("a", 2, "z", False)]
 
 
 @pytest.mark.parametrize("hot_list", [0, R.HOT_KEYS])
-@pytest.mark.parametrize("group_rows", [1000, R.GROUP_ROWS])
-def test_oversized_group(spark, rows, monkeypatch, group_rows, hot_list):
+def test_oversized_group(spark, rows, monkeypatch, hot_list):
     """A group grown past any announced size is counted, listed and left out; also when it is
     not among the hot keys."""
     monkeypatch.setattr(R, "HOT_KEYS", hot_list)
@@ -78,14 +77,27 @@ def test_oversized_group(spark, rows, monkeypatch, group_rows, hot_list):
         F.concat(F.lit("t"), F.col("id")).alias("text"), F.col("id").alias("sent_time"),
     )
     df = big.unionByName(parts(spark, ("a", 2, 0, "x", 1), ("a", 2, 1, "y", 2)))
-    assert rows(R.reassemble(df, ["key"], group_rows=group_rows), "key", "text") == [("a", "xy")]
+    assert rows(R.reassemble(df, ["key"]), "key", "text") == [("a", "xy")]
     listed = rows(R.index_list(df, ["key"]))
     assert listed == [("a", 0, 1), ("a", 1, 1), *(("big", i, 8000) for i in range(5))]
-    assert R.expire(df, ["key"], 10**9, group_rows=group_rows).count() == n
-    summary = R.group_parts(R.grouped(df, ["key"], group_rows=group_rows))
+    assert R.expire(df, ["key"], 10**9).count() == n
+    summary = R.group_parts(R.grouped(df, ["key"]))
     assert rows(summary, "key", "n_parts", "complete") == [("a", 2, True), ("big", n, False)]
 
 
+def test_scans_of_reassembly(spark, work):
+    """The feed is read once per use of its distinct parts, which share an exchange when run."""
+    parts(spark, ("a", 2, 0, "x", 1)).write.parquet(work)
+    df = spark.read.parquet(work)
+
+    def scans(found):
+        return found._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    assert scans(R.reassemble(df, ["key"])) == 3
+    assert scans(R.expire(df, ["key"], 10**9)) == 2
+    assert scans(R.group_parts(R.grouped(df, ["key"]))) == 1
+
+
 def test_index_list(spark, rows):
     df = parts(spark, ("a", 3, 2, "z", 1), ("a", 3, 0, "x", 2), ("a", 3, 2, "Z", 3), ("a", 3, 2, "Z", 3))
     assert rows(R.index_list(df, ["key"])) == [("a", 0, 1), ("a", 2, 2)]

@@ -47,7 +47,7 @@ def test_query_with_all_keys_hot(spark, con, monkeypatch, name):
     """The same with every repeated key taken for a hot one and every group for a large one."""
     monkeypatch.setattr(running, "HOT_ROWS", 2)
     monkeypatch.setattr(running, "HOT_KEYS", 40)
-    monkeypatch.setattr(reassembly, "GROUP_ROWS", 1)
+    monkeypatch.setattr(reassembly, "LARGE_PARTS", 1)
     monkeypatch.setattr(reassembly, "HOT_KEYS", 5)
     assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) == []
 
