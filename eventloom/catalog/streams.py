@@ -12,7 +12,7 @@ from eventloom.catalog.jobs import STATE
 from eventloom.catalog.joins import ACTIVE, JOINED_OBJECTS, joined_objects
 from eventloom.catalog.registry import SQL, query
 from eventloom.catalog.sources import ENCODED, order_changes
-from eventloom.catalog.windows import GAP, SESSIONS, SIZE
+from eventloom.catalog.windows import GAP, SESSIONS, SIZE, sliding_sql
 from eventloom.operators.changelog import latest_by_key
 from eventloom.operators.windows import tumbling
 from eventloom.schemas import TABLES
@@ -195,7 +195,7 @@ def win_session_stream(spark, sf_dir):
     return replay_to_files(spark, feed, session_stream(feed.stream, ["key"], GAP))
 
 
-@query("win_sliding_stream", f"SELECT * FROM ({SQL['win_sliding']}) WHERE window_end < {MAX_TS}")
+@query("win_sliding_stream", f"SELECT * FROM ({sliding_sql(EVENTS)}) WHERE window_end < {MAX_TS}")
 def win_sliding_stream(spark, sf_dir):
     feed = _replay_events(spark, sf_dir, "win_sliding_stream")
     stream = feed.stream.select("key", "ts_ms", "ts")

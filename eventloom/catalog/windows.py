@@ -5,7 +5,17 @@ from pyspark.sql import functions as F
 from eventloom.catalog.bindings import EVENTS, HOUR_MS, SHUFFLED, events, shuffled
 from eventloom.catalog.registry import query
 from eventloom.functions.keys import window_key
-from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end, tumbling_updates
+from eventloom.operators.running import running
+from eventloom.operators.windows import (
+    drop_late,
+    session,
+    session_end,
+    sliding,
+    sliding_end,
+    tumbling,
+    tumbling_end,
+    tumbling_updates,
+)
 
 SIZE = 6 * HOUR_MS
 GAP = 2 * HOUR_MS
@@ -29,75 +39,100 @@ def win_tumbling_updates(spark, sf_dir):
     return tumbling_updates(events(spark, sf_dir), ["key"], "ts_ms", SIZE, ["arrival"])
 
 
-def _kept(spark, sf_dir, grace_ms):
+def _kept(spark, sf_dir, window_end, grace_ms=0):
+    """The feed in disorder without its late rows."""
     return drop_late(
         shuffled(events(spark, sf_dir)).select("source", "key", "ts_ms", "arrival", "late_arrival"),
         "source",
         ["late_arrival", "arrival"],
         "ts_ms",
-        tumbling_end("ts_ms", SIZE),
+        window_end,
         grace_ms,
     )
 
 
-def _kept_sql(grace_ms):
+def _kept_sql(window_end, grace_ms=0):
     return f"""(SELECT source, key, ts_ms, arrival, late_arrival FROM (SELECT *, MAX(ts_ms) OVER (
       PARTITION BY source ORDER BY late_arrival, arrival
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time FROM {SHUFFLED})
-    WHERE ts_ms - ts_ms%{SIZE} + {SIZE} > stream_time - {grace_ms})"""
+    WHERE {window_end} > stream_time - {grace_ms})"""
+
+
+TUMBLING_END = f"ts_ms - ts_ms%{SIZE} + {SIZE}"
+SESSION_GRACE = 2 * GAP
 
 
 @query(
     "win_tumbling_grace",
     f"""SELECT key, ts_ms - ts_ms%{SIZE} AS window_start, ts_ms - ts_ms%{SIZE} + {SIZE} AS window_end,
-      COUNT(*) AS counter FROM {_kept_sql(600_000)} GROUP BY ALL""",
+      COUNT(*) AS counter FROM {_kept_sql(TUMBLING_END, 600_000)} GROUP BY ALL""",
 )
 def win_tumbling_grace(spark, sf_dir):
-    return tumbling(_kept(spark, sf_dir, 600_000), ["key"], "ts_ms", SIZE)
+    return tumbling(_kept(spark, sf_dir, tumbling_end("ts_ms", SIZE), 600_000), ["key"], "ts_ms", SIZE)
+
 
+def sessions_sql(feed, more="", columns=""):
+    return f"""(SELECT key, MIN(ts_ms) AS window_start, MAX(ts_ms) AS window_end, COUNT(*) AS counter{more} FROM (
+  SELECT key, ts_ms{columns}, SUM(new) OVER (PARTITION BY key ORDER BY ts_ms, arrival) AS s FROM (
+    SELECT key, ts_ms, arrival{columns}, CASE WHEN ts_ms - LAG(ts_ms) OVER (PARTITION BY key ORDER BY ts_ms, arrival)
+      <= {GAP} THEN 0 ELSE 1 END AS new FROM {feed})) GROUP BY key, s)"""
 
-SESSIONS = f"""(SELECT key, MIN(ts_ms) AS window_start, MAX(ts_ms) AS window_end, COUNT(*) AS counter FROM (
-  SELECT key, ts_ms, SUM(new) OVER (PARTITION BY key ORDER BY ts_ms, arrival) AS s FROM (
-    SELECT key, ts_ms, arrival, CASE WHEN ts_ms - LAG(ts_ms) OVER (PARTITION BY key ORDER BY ts_ms, arrival)
-      <= {GAP} THEN 0 ELSE 1 END AS new FROM {EVENTS})) GROUP BY key, s)"""
+
+SESSIONS = sessions_sql(EVENTS)
 
 
 @query(
     "win_session",
     f"""SELECT window_start::VARCHAR || '_' || window_end::VARCHAR || '_' || key::VARCHAR AS window_key,
-      counter FROM {SESSIONS}""",
+      counter FROM {sessions_sql(_kept_sql(f"ts_ms + {GAP} + 1", SESSION_GRACE))}""",
 )
 def win_session(spark, sf_dir):
-    found = session(events(spark, sf_dir), ["key"], "ts_ms", GAP)
+    kept = _kept(spark, sf_dir, session_end("ts_ms", GAP), SESSION_GRACE)
+    found = session(kept, ["key"], "ts_ms", GAP)
     return found.select(window_key("window_start", "window_end", "key").alias("window_key"), "counter")
 
 
-@query("win_session_count", f"SELECT key, counter FROM {SESSIONS} WHERE counter > 1")
+@query(
+    "win_session_count",
+    f"""SELECT key, counter FROM {sessions_sql(_kept_sql(f"ts_ms + {GAP} + 1"))} WHERE counter > 1""",
+)
 def win_session_count(spark, sf_dir):
-    found = session(events(spark, sf_dir), ["key"], "ts_ms", GAP)
+    found = session(_kept(spark, sf_dir, session_end("ts_ms", GAP)), ["key"], "ts_ms", GAP)
     return found.where(F.col("counter") > 1).select("key", "counter")
 
 
-@query(
-    "win_sliding",
-    f"""WITH e AS (SELECT * FROM {EVENTS}),
+def sliding_sql(feed):
+    return f"""WITH e AS (SELECT * FROM {feed}),
     starts AS (SELECT DISTINCT key, ts_ms - {SIZE} AS st FROM e UNION SELECT DISTINCT key, ts_ms + 1 FROM e)
     SELECT s.key, s.st AS window_start, s.st + {SIZE} AS window_end, COUNT(*) AS counter
-    FROM starts s JOIN e ON e.key=s.key AND e.ts_ms BETWEEN s.st AND s.st + {SIZE} GROUP BY ALL""",
-)
+    FROM starts s JOIN e ON e.key=s.key AND e.ts_ms BETWEEN s.st AND s.st + {SIZE} GROUP BY ALL"""
+
+
+@query("win_sliding", sliding_sql(_kept_sql(f"ts_ms + {SIZE} + 1")))
 def win_sliding(spark, sf_dir):
-    return sliding(events(spark, sf_dir), ["key"], "ts_ms", SIZE)
+    return sliding(_kept(spark, sf_dir, sliding_end("ts_ms", SIZE)), ["key"], "ts_ms", SIZE)
 
 
-@query("late_drop", f"SELECT * FROM {_kept_sql(0)}")
+@query("late_drop", f"SELECT * FROM {_kept_sql(TUMBLING_END)}")
 def late_drop(spark, sf_dir):
-    return _kept(spark, sf_dir, 0)
+    return _kept(spark, sf_dir, tumbling_end("ts_ms", SIZE))
+
+
+MARKED = f"""(SELECT *, CASE WHEN ts_ms < MAX(ts_ms) OVER (PARTITION BY key ORDER BY late_arrival, arrival
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS behind
+  FROM {_kept_sql(f"ts_ms + {GAP} + 1", SESSION_GRACE)})"""
 
 
 @query(
     "session_merge",
-    f"""SELECT key, window_start, window_end, counter FROM {SESSIONS}""",
+    f"SELECT * FROM {sessions_sql(MARKED, ', SUM(behind)::BIGINT AS behind', ', behind')}",
 )
 def session_merge(spark, sf_dir):
-    """Arrival out of order: a row that bridges two sessions leaves one."""
-    return session(shuffled(events(spark, sf_dir)), ["key"], "ts_ms", GAP)
+    """Sessions of rows in disorder, with how many came behind a later row of their key: such rows
+    prolong a session at its start, fill it, or make one of two."""
+    kept = _kept(spark, sf_dir, session_end("ts_ms", GAP), SESSION_GRACE)
+    order = ["late_arrival", "arrival"]
+    met = running(kept, ["key"], order, {"top": ("max", F.col("ts_ms"))}, inclusive=False)
+    behind = F.coalesce(F.col("ts_ms") < F.col("top"), F.lit(False)).cast("bigint")
+    aggs = {"counter": ("count", F.lit(1)), "behind": ("sum", behind)}
+    return session(met, ["key"], "ts_ms", GAP, aggs)

@@ -56,6 +56,8 @@ def tumbling_updates(
     )
 
 
+# Cells of a session aggregate that are put in order at a time.
+CELLS = 1_000_000
 # How partial results of a session aggregate are merged.
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _START = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
@@ -71,11 +73,18 @@ def session(
     """Sessions closed by more than ``gap_ms`` without an event; ``window_end`` is the last event.
 
     Rows no further apart than the gap are one session for sure, so each key is first
-    aggregated into time cells as wide as the gap, with map-side combine. The ordered step
-    then sees at most (time range / gap) rows per key, however many events the key has.
+    aggregated into time cells as wide as the gap, with map-side combine, and the cells into
+    the sessions of a stretch of ``CELLS`` cells. Only the first and the last session of a
+    stretch can go on in another one; they are put in order per key, two rows for each stretch.
+    So no task orders more than ``CELLS`` cells, or two rows per stretch, of a key.
     ``aggs`` maps a name to (count | sum | min | max, column).
     """
     aggs = aggs or {"counter": ("count", F.lit(1))}
+    merged = [
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        *[_MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()],
+    ]
     cells = (
         df.where(not_null([*keys, ts]))
         .withColumn("_cell", bucket(F.col(ts), max(gap_ms, 1)))
@@ -86,20 +95,24 @@ def session(
             *[_START[kind](col).alias(name) for name, (kind, col) in aggs.items()],
         )
     )
-    in_order = W.partitionBy(*keys).orderBy("_cell")
-    opens = F.col("_first") - F.lag("_last").over(in_order)
-    is_new = F.coalesce(opens > gap_ms, F.lit(True)).cast("int")
-    numbered = cells.withColumn("_new", is_new).withColumn(
-        "_session", F.sum("_new").over(in_order.rowsBetween(W.unboundedPreceding, 0))
-    )
-    return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_first").alias("window_start"),
-            F.max("_last").alias("window_end"),
-            *[_MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()],
+
+    def merge(rows: DataFrame, by: list[str]) -> DataFrame:
+        in_order = W.partitionBy(*by).orderBy("_first")
+        opens = F.col("_first") - F.lag("_last").over(in_order) > gap_ms
+        numbered = rows.withColumn("_new", F.coalesce(opens, F.lit(True)).cast("int")).withColumn(
+            "_session", F.sum("_new").over(in_order.rowsBetween(W.unboundedPreceding, 0))
         )
-        .drop("_session")
+        return numbered.groupBy(*by, "_session").agg(*merged)
+
+    stretch = [*keys, "_stretch"]
+    within = merge(cells.withColumn("_stretch", bucket(F.col("_cell"), CELLS)), stretch)
+    number = F.col("_session")
+    edge = (number == 1) | (number == F.max(number).over(W.partitionBy(*stretch)))
+    # An inner session stays alone with the others of its stretch, which it cannot touch.
+    within = within.withColumn("_edge", edge)
+    placed = within.withColumn("_stretch", F.when(~F.col("_edge"), F.col("_stretch"))).drop("_session")
+    return merge(placed, stretch).select(
+        *keys, F.col("_first").alias("window_start"), F.col("_last").alias("window_end"), *aggs
     )
 
 
@@ -148,7 +161,8 @@ def drop_late(
     """Replay of arrival order: drop rows whose window closed before they came.
 
     Stream time is the largest ``ts`` seen so far in the source partition; a row is late when
-    its window end <= stream time - grace. Source partitions are few and large, so all of
+    its window end <= stream time - grace. ``window_end`` is ``tumbling_end``, ``session_end`` or
+    ``sliding_end``: a row is judged by its own time alone, not by a session it would prolong. Source partitions are few and large, so all of
     them are cut into chunks of arrival.
     """
     timed = running(
@@ -159,3 +173,13 @@ def drop_late(
 
 def tumbling_end(ts: str, size_ms: int) -> Column:
     return F.col(ts) - F.pmod(F.col(ts), F.lit(size_ms)) + size_ms
+
+
+def session_end(ts: str, gap_ms: int) -> Column:
+    """From when on no event can prolong a session that ends with this row."""
+    return F.col(ts) + gap_ms + 1
+
+
+def sliding_end(ts: str, span_ms: int) -> Column:
+    """End of the last sliding window that holds this row."""
+    return F.col(ts) + span_ms + 1

@@ -5,8 +5,17 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import windows
 from eventloom.operators.running import hot_ranges
-from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end
+from eventloom.operators.windows import (
+    drop_late,
+    session,
+    session_end,
+    sliding,
+    sliding_end,
+    tumbling,
+    tumbling_end,
+)
 
 
 def feed(spark, events):
@@ -40,8 +49,10 @@ def brute_sessions(events, gap):
     return sorted(out, key=repr)
 
 
+@pytest.mark.parametrize("cells", [1, 3, windows.CELLS])
 @pytest.mark.parametrize("gap", [0, 1, 7, 20, 500])
-def test_sessions(spark, rows, gap):
+def test_sessions(spark, rows, monkeypatch, gap, cells):
+    monkeypatch.setattr(windows, "CELLS", cells)
     events = random_events(gap)
     assert rows(session(feed(spark, events), ["key"], "ts_ms", gap)) == brute_sessions(events, gap)
 
@@ -103,3 +114,19 @@ def test_drop_late(spark, rows, grace, chunk):
     got = drop_late(df, "p", ["arrival"], "ts_ms", tumbling_end("ts_ms", 500), grace, chunk=chunk)
     assert rows(got) == sorted(want, key=repr)
     assert 0 < len(want) < len(data)
+
+
+@pytest.mark.parametrize("end", [session_end, sliding_end])
+def test_late_bounds(spark, rows, end):
+    """A row 100 ms behind is in time for a gap or span of 100 ms, one ms more is not."""
+    df = spark.createDataFrame([(0, 0, 300), (0, 1, 200), (0, 2, 199)], "p INT, arrival BIGINT, ts_ms BIGINT")
+    assert rows(drop_late(df, "p", ["arrival"], "ts_ms", end("ts_ms", 100)), "ts_ms") == [(200,), (300,)]
+    assert drop_late(df, "p", ["arrival"], "ts_ms", end("ts_ms", 100), 1).count() == 3
+
+
+def test_late_row_bridges(spark, rows):
+    """Two sessions become one by a row that is late but within the grace; a later one is dropped."""
+    data = [(0, i, t) for i, t in enumerate([100, 300, 200, 900, 880, 50])]
+    df = spark.createDataFrame(data, "p INT, arrival BIGINT, ts_ms BIGINT").withColumn("key", F.lit("a"))
+    kept = drop_late(df, "p", ["arrival"], "ts_ms", session_end("ts_ms", 100), 400)
+    assert rows(session(kept, ["key"], "ts_ms", 100)) == [("a", 100, 300, 3), ("a", 880, 900, 2)]
