@@ -2,9 +2,10 @@
 
 A plain window over ``PARTITION BY key ORDER BY arrival`` puts every row of a key in one
 task. Here the hot keys, found by a count with map-side combine, are cut into chunks of the
-order column. One row per chunk carries the value reached before it, so that each
-(key, chunk) is computed on its own. All other keys keep the plain window, in the same
-exchange.
+order column at its quantiles, so that chunks have about as many rows each whatever the unit
+of the column, bursts or outliers. One row per chunk carries the value reached before it, so
+that each (key, chunk) is computed on its own. All other keys keep the plain window, in the
+same exchange.
 """
 
 from __future__ import annotations
@@ -17,15 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from eventloom.functions.eventtime import bucket
-
 # A key is worth splitting from this many rows on, into chunks of about as many.
 HOT_ROWS = 1_000_000
-# Bound of the broadcast list of hot keys. Keys beyond it are computed unsplit, so the
-# bound affects speed, never results; such a key has under 1/HOT_KEYS of all rows.
-HOT_KEYS = 50_000
-# Width of a chunk of the order column where all keys are split (``split_all``).
-CHUNK = 1_000_000
+# Bound of the broadcast list of hot keys. A key beyond it has under 1/HOT_KEYS of all rows, no more
+# than a task has anyway, and is computed unsplit.
+HOT_KEYS = 10_000
+# Quantiles kept of the order column of a hot key; chunks are interpolated between them.
+SLICES = 128
 
 _CHUNK = "_chunk"
 _CARRY = "_carry"
@@ -40,7 +39,10 @@ def hot_keys(
 ) -> DataFrame:
     """The largest keys of ``df`` with at least ``min_rows`` (``HOT_ROWS``) rows, never more than
     ``max_keys`` (``HOT_KEYS``)."""
-    return _largest(df, keys, [], min_rows, max_keys).select(*keys)
+    counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.where(F.col("_rows") >= (min_rows or HOT_ROWS))
+    bound = HOT_KEYS if max_keys is None else max_keys
+    return large.orderBy(F.desc("_rows"), *keys).limit(bound).select(*keys)
 
 
 def hot_ranges(
@@ -49,27 +51,42 @@ def hot_ranges(
     order: str,
     min_rows: int | None = None,
     max_keys: int | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
-    """Hot keys with the start and width of their chunks: as many equal ranges of ``order`` as
-    the key has times ``min_rows`` rows."""
-    bounds = [F.min(order).alias("_from"), F.max(order).alias("_to")]
-    chunks = F.ceil(F.col("_rows") / F.lit(min_rows or HOT_ROWS))
-    width = F.ceil((F.col("_to") - F.col("_from") + 1) / chunks)
-    return _largest(df, keys, bounds, min_rows, max_keys).select(
-        *keys, "_from", F.greatest(width, F.lit(1)).alias("_width")
+    """Hot keys with quantiles of ``order`` and the number of their chunks: one for each
+    ``min_rows`` rows.
+
+    Quantiles are taken of hot keys only; keys of one chunk are left out. ``few_keys`` skips the
+    search where all keys are known to be few.
+    """
+    rows = df.where(not_null(keys)).select(*keys, order)
+    if not few_keys:
+        rows = rows.join(F.broadcast(hot_keys(df, keys, min_rows, max_keys)), list(keys), "left_semi")
+    ranges = rows.groupBy(*keys).agg(
+        F.percentile_approx(order, [i / SLICES for i in range(SLICES + 1)]).alias("_cuts"),
+        F.ceil(F.count(F.lit(1)) / F.lit(min_rows or HOT_ROWS)).alias("_chunks"),
     )
+    return ranges.where("_chunks > 1")
 
 
-def _largest(
-    df: DataFrame,
-    keys: Sequence[str],
-    more: list[Column],
-    min_rows: int | None,
-    max_keys: int | None,
-) -> DataFrame:
-    counts = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *more)
-    large = counts.where(F.col("_rows") >= (min_rows or HOT_ROWS))
-    return large.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS if max_keys is None else max_keys)
+def _cut(rows: DataFrame, order: str) -> DataFrame:
+    """``rows``, joined to hot ranges, with the number of their chunk, NULL for other keys.
+
+    It is the share of the key's rows up to ``order`` by the quantiles, linear between two of them,
+    times the number of chunks: it never falls as ``order`` rises, and equal rows stay together.
+    """
+    at, cuts = F.col(order), F.col("_cuts")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(SLICES.bit_length()))])
+
+    def forward(place: Column, step: Column) -> Column:
+        return F.when(F.get(cuts, place + step - 1) <= at, place + step).otherwise(place)
+
+    below = F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), forward))
+    low, high = (F.get(cuts, F.col("_below") + i).cast("double") for i in (-1, 0))
+    between = F.coalesce(F.try_divide(at.cast("double") - low, high - low), F.lit(0.0))
+    number = F.floor((F.col("_below") + between) / SLICES * F.col("_chunks"))
+    placed = rows.withColumn("_below", below).withColumn(_CHUNK, number)
+    return placed.drop("_cuts", "_chunks", "_below")
 
 
 def _partial(kind: str, col: Column, order: Column) -> Column:
@@ -97,8 +114,6 @@ def running(
     outputs: dict[str, tuple[str, Column]],
     *,
     hot: DataFrame | None = None,
-    split_all: bool = False,
-    chunk: int = CHUNK,
     inclusive: bool = True,
 ) -> DataFrame:
     """``df`` plus one running column per entry of ``outputs``.
@@ -106,24 +121,14 @@ def running(
     ``outputs`` maps a name to (``sum`` | ``max`` | ``min`` | ``last`` non-null, column). ``order`` is a
     BIGINT column followed by tie-breaks. ``inclusive=False`` leaves the current row out.
     ``hot`` takes the result of ``hot_ranges`` where it is better had from a cheaper frame.
-    ``split_all`` skips the search for hot keys where the keys are known to be few and large.
     Rows with a NULL key are dropped.
     """
     keyed = df.where(not_null(keys)).select(
         "*", *[col.alias(f"_in_{name}") for name, (_, col) in outputs.items()]
     )
-    at = F.col(order[0])
-    if split_all:
-        marked = split = keyed.withColumn(_CHUNK, bucket(at, chunk))
-    else:
-        hot = F.broadcast(hot_ranges(df, keys, order[0]) if hot is None else hot)
-        number = F.call_function("div", at - F.col("_from"), F.col("_width"))
-        split = keyed.join(hot, list(keys)).withColumn(_CHUNK, number).drop("_from", "_width")
-        marked = (
-            keyed.join(hot, list(keys), "left")
-            .withColumn(_CHUNK, number)
-            .drop("_from", "_width")
-        )
+    hot = F.broadcast(hot_ranges(df, keys, order[0]) if hot is None else hot)
+    split = _cut(keyed.join(hot, list(keys)), order[0])
+    marked = _cut(keyed.join(hot, list(keys), "left"), order[0])
 
     position = F.struct(*[F.col(c) for c in order])
     partial = split.groupBy(*keys, _CHUNK).agg(

@@ -165,9 +165,9 @@ def drop_late(
     ``sliding_end``: a row is judged by its own time alone, not by a session it would prolong. Source partitions are few and large, so all of
     them are cut into chunks of arrival.
     """
-    timed = running(
-        df, [partition], order, {"_stream_time": ("max", F.col(ts))}, split_all=True, **split
-    )
+    if "hot" not in split:
+        split["hot"] = hot_ranges(df, [partition], order[0], few_keys=True)
+    timed = running(df, [partition], order, {"_stream_time": ("max", F.col(ts))}, **split)
     return timed.where(window_end > F.col("_stream_time") - grace_ms).drop("_stream_time")
 
 

@@ -1,11 +1,13 @@
 """Keyed operators: literal cases, ties and nulls, and split keys against the plain result."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from eventloom.operators import running as running_module
 from eventloom.operators.changelog import (
     count_by_key,
     count_updates,
@@ -52,7 +54,7 @@ def test_hot_keys(skewed, rows):
 
 
 @pytest.mark.parametrize("inclusive", [True, False])
-@pytest.mark.parametrize("how", ["hot", "all", "plain"])
+@pytest.mark.parametrize("how", ["hot", "few", "plain"])
 def test_running_split(skewed, rows, how, inclusive):
     end = 0 if inclusive else -1
     w = W.partitionBy("key").orderBy("arrival").rowsBetween(W.unboundedPreceding, end)
@@ -64,8 +66,9 @@ def test_running_split(skewed, rows, how, inclusive):
     )
     ranges = hot_ranges(skewed, ["key"], "arrival", min_rows=100)
     outputs = {"s": ("sum", F.col("v")), "m": ("max", F.col("ts_ms")), "l": ("last", F.col("v"))}
-    split = {"hot": {"hot": ranges}, "all": {"split_all": True}, "plain": {}}[how]
-    got = running(skewed, ["key"], ["arrival"], outputs, chunk=97, inclusive=inclusive, **split)
+    few = hot_ranges(skewed, ["key"], "arrival", min_rows=97, few_keys=True)
+    split = {"hot": {"hot": ranges}, "few": {"hot": few}, "plain": {}}[how]
+    got = running(skewed, ["key"], ["arrival"], outputs, inclusive=inclusive, **split)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
@@ -160,12 +163,27 @@ def test_keyed_table_join(skewed, rows):
         assert rows(join_keyed_table(skewed, t, ["key"], "left", hot_of(skewed))) == rows(want)
 
 
-def test_hot_ranges(skewed, rows):
-    """Chunks of a hot key cover its range and hold about as many rows as asked."""
-    r = hot_ranges(skewed, ["key"], "arrival", 100).collect()
-    assert [(x.key, x._from) for x in r] == [("hot", 0)]
-    chunks = (5997 // r[0]._width) + 1
-    assert chunks == 20
+ORDERS = {
+    "even": "id",
+    "nanoseconds": "1700000000000000000 + id * 1000000000",
+    "outliers": "CASE id WHEN 0 THEN 0 WHEN 1 THEN 4611686018427387904 ELSE 1700000000000 + id END",
+    "burst": "CASE WHEN id % 10 = 0 THEN id * 1000000 ELSE 500000000 + id END",
+}
+
+
+@pytest.mark.parametrize("aim", [60, 100, 1000, 7000])
+@pytest.mark.parametrize("order", ORDERS)
+def test_chunks_by_rows(spark, order, aim):
+    """Whatever the unit of the order column, no chunk has over twice the rows asked for, and chunks
+    follow the order."""
+    df = spark.range(10_000).select(F.lit("hot").alias("key"), F.expr(ORDERS[order]).cast("bigint").alias("at"))
+    found = hot_ranges(df, ["key"], "at", aim)
+    placed = running_module._cut(df.join(found, "key"), "at").select("at", "_chunk").collect()
+    sizes = Counter(r._chunk for r in placed)
+    # A burst narrower than a quantile stays in one chunk.
+    assert max(sizes.values()) <= 2 * aim + 10_000 / running_module.SLICES * (order == "burst")
+    in_order = [r._chunk for r in sorted(placed)]
+    assert in_order == sorted(in_order)
 
 
 def test_running_max(spark, rows):

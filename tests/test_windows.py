@@ -100,9 +100,9 @@ def test_sliding(spark, rows, d, split):
     assert rows(sliding(df, ["key"], "ts_ms", d, **hot)) == brute_sliding(events, d)
 
 
-@pytest.mark.parametrize("chunk", [3, 10**6])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("grace", [0, 300])
-def test_drop_late(spark, rows, grace, chunk):
+def test_drop_late(spark, rows, grace, split):
     rng = random.Random(5)
     data = [(i % 2, i, max(0, i * 20 + rng.randrange(-900, 300))) for i in range(200)]
     df = spark.createDataFrame(data, "p INT, arrival BIGINT, ts_ms BIGINT")
@@ -111,7 +111,8 @@ def test_drop_late(spark, rows, grace, chunk):
         top[p] = max(top.get(p, 0), ts)
         if ts // 500 * 500 + 500 > top[p] - grace:
             want.append((p, arrival, ts))
-    got = drop_late(df, "p", ["arrival"], "ts_ms", tumbling_end("ts_ms", 500), grace, chunk=chunk)
+    hot = {"hot": hot_ranges(df, ["p"], "arrival", 3)} if split else {}
+    got = drop_late(df, "p", ["arrival"], "ts_ms", tumbling_end("ts_ms", 500), grace, **hot)
     assert rows(got) == sorted(want, key=repr)
     assert 0 < len(want) < len(data)
 
