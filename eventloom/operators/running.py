@@ -62,8 +62,10 @@ def hot_ranges(
     rows = df.where(not_null(keys)).select(*keys, order)
     if not few_keys:
         rows = rows.join(F.broadcast(hot_keys(df, keys, min_rows, max_keys)), list(keys), "left_semi")
+    # One parsed expression: a list would cost a call to the JVM for each share.
+    shares = F.expr(f"array({', '.join(f'{i / SLICES}D' for i in range(SLICES + 1))})")
     ranges = rows.groupBy(*keys).agg(
-        F.percentile_approx(order, [i / SLICES for i in range(SLICES + 1)]).alias("_cuts"),
+        F.percentile_approx(order, shares).alias("_cuts"),
         F.ceil(F.count(F.lit(1)) / F.lit(min_rows or HOT_ROWS)).alias("_chunks"),
     )
     return ranges.where("_chunks > 1")
@@ -76,7 +78,7 @@ def _cut(rows: DataFrame, order: str) -> DataFrame:
     times the number of chunks: it never falls as ``order`` rises, and equal rows stay together.
     """
     at, cuts = F.col(order), F.col("_cuts")
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(SLICES.bit_length()))])
+    steps = F.expr(f"array({', '.join(str(1 << i) for i in reversed(range(SLICES.bit_length())))})")
 
     def forward(place: Column, step: Column) -> Column:
         return F.when(F.get(cuts, place + step - 1) <= at, place + step).otherwise(place)
