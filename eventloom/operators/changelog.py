@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from eventloom.operators.running import not_null, running
 
@@ -32,19 +33,18 @@ def count_updates(
     return counted.where(F.col("n") >= min_count)
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
-    values = [c for c in df.columns if c not in keys]
-    row = pick(F.struct(*values), position(order)).alias("_row")
-    picked = df.where(not_null(keys)).groupBy(*keys).agg(row)
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+def _pick(df: DataFrame, keys: Sequence[str], at: Sequence[Column]) -> DataFrame:
+    """The first row per key; Spark cuts to one row per key and map task before the exchange."""
+    number = F.row_number().over(W.partitionBy(*keys).orderBy(*at))
+    return df.where(not_null(keys)).withColumn("_n", number).where("_n = 1").drop("_n")
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, [F.desc(c) for c in order])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, [F.asc_nulls_last(c) for c in order])
 
 
 def keyed_table(

@@ -249,3 +249,16 @@ def test_fold(skewed, rows):
     )
     want = skewed.where("key IS NOT NULL").groupBy("key").agg(F.count("*"), F.max("ts_ms"))
     assert rows(got) == rows(want)
+
+
+def test_pick_without_order(spark, rows):
+    """A row with a NULL order is picked only where its key has no other."""
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3), (None, 1, 4)], "key STRING, at BIGINT, v INT")
+    for pick in (first_by_key, latest_by_key):
+        assert rows(pick(df, ["key"], ["at"])) == [("a", 5, 2), ("b", None, 3)]
+
+
+def test_pick_cuts_before_the_exchange(spark):
+    df = spark.range(10).selectExpr("id % 3 AS key", "id AS at")
+    plan = latest_by_key(df, ["key"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange")[-1]
