@@ -13,7 +13,8 @@ distance from their start. Neighbouring windows share their anchor; about one by
    anchors are sorted in the same way. A set of occurrences with a common left and right part of ``LENGTH`` bytes or
    more in all is a maximal repeat if neither all left nor all right neighbours agree.
 3. A gram with more than ``GROUP`` different ranges is too large for one task. The windows of its ranges are then
-   counted by hash instead, which is exact too.
+   counted by hash instead, which is exact too. For the groups, the parts right of the anchors and left of them are
+   counted, and then the pairs of those that do not all go on in the same way.
 
 A null or empty text has no bytes. Rows count each for itself, also those with equal keys or without one. An
 empty table gives an empty result.
@@ -196,7 +197,9 @@ def _repeats(length: int, merged: bool):
     """
 
     def groups(rows: pa.RecordBatch, repeats: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        spans = rows.column(8).to_numpy()
         for number, (left, right, members) in enumerate(repeats):
+            members = members[np.unique(spans[members], return_index=True)[1]]
             n, own = len(members), pa.array(members)
             sides = [pa.array(np.full(n, x)) for x in (number, left, right)]
             yield pa.RecordBatch.from_arrays(
@@ -257,6 +260,32 @@ def _windows(length: int):
     return run
 
 
+def _parts(length: int):
+    """Rows of ``contexts`` with ``copies`` to (gram, span, copies, side, size, hash, beyond): every part of a range that
+    ends (side 0) or starts (side 1) at the anchor and can be in a repeat, and the byte beyond it, -1 at the range's end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left, right = (np.frombuffer(batch.column(c)[i].as_py(), np.uint8) for c in (6, 7))
+                for side, data, other in ((0, left[::-1], right), (1, right, left)):
+                    sizes = np.arange(max(0, length - len(other)), len(data) + 1)
+                    hashes = W.range_hash(W.prefix_hash(data), np.zeros(len(sizes), np.int64), sizes).view(np.int64)
+                    beyond = np.concatenate([data.astype(np.int64), [-1]])[sizes]
+                    own = pa.array(np.full(len(sizes), i))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c).take(own) for c in (0, 8, 9)), *map(pa.array, (np.full(len(sizes), side), sizes, hashes, beyond))],
+                        names=["gram", "span", "copies", "side", "size", "hash", "beyond"],
+                    )
+
+    return run
+
+
+def _differ(beyond: str):
+    """Whether the occurrences of a group do not all go on with the same byte; at the ends of ranges none agree."""
+    return (F.min(beyond) != F.max(beyond)) | (F.min(beyond) == -1)
+
+
 class Repeats:
     """The tables of steps 1 and 2 for the texts of a frame, each written once."""
 
@@ -297,6 +326,8 @@ class Repeats:
         if merged:
             schema = self._schema(start="long", size="long")
         else:
+            # A range that occurs twice or more is a repeat by itself, and two suffixes stand for any number of equal ones.
+            fitting = fitting.unionByName(fitting.join(self.twice(), ["gram", "span"], "left_semi").select(fitting.columns))
             schema = extended(type(self.id)([]), **dict.fromkeys(["gram", "repeat", "left", "right", "span"], "long"))
         return fitting.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeats(self.length, merged), schema)
 
@@ -307,10 +338,40 @@ class Repeats:
         often = windows.groupBy("gram", "window").count().where("count > 1").drop("count")
         return windows.join(often, ["gram", "window"], "left_semi").select("key", "version", "start")
 
+    def counted_groups(self) -> DataFrame:
+        """(gram, repeat, left, right, span) of the repeats through the other grams.
+
+        Not all occurrences of a repeat go on in the same way beyond its right part, so neither do all that have the
+        right part alone, and the same holds on the left. Only pairs of such parts are counted.
+        """
+        rest = self.around.join(self.large, "gram", "left_semi").select(self.around.columns)
+        rest = rest.join(self.twice().withColumn("twice", F.lit(True)), ["gram", "span"], "left")
+        rest = rest.select(*self.around.columns, F.when(F.col("twice"), 2).otherwise(1).cast("long").alias("copies"))
+        names = ["gram", "span", "copies", "side", "size", "hash", "beyond"]
+        schema = extended(type(self.id)([]), **dict.fromkeys(names, "long"))
+        parts = written(rest.mapInArrow(_parts(self.length), schema), "parts")
+        kind = ["gram", "side", "size", "hash"]
+        ends = parts.groupBy(*kind).agg(F.sum("copies").alias("n"), _differ("beyond").alias("differ")).where("n > 1 AND differ").select(kind)
+        parts = written(parts.join(ends, kind, "left_semi").select(names), "part-ends")
+
+        def side(number: int, name: str) -> DataFrame:
+            renamed = [F.col("size").alias(name), F.col("hash").alias(f"{name}_hash"), F.col("beyond").alias(f"{name}_beyond")]
+            return parts.where(F.col("side") == number).select("gram", "span", *(["copies"] if number else []), *renamed)
+
+        pairs = side(0, "left").join(side(1, "right"), ["gram", "span"]).where(F.col("left") + F.col("right") >= self.length)
+        kind = ["gram", "left", "right", "left_hash", "right_hash"]
+        pairs = written(pairs.withColumn("repeat", F.xxhash64(*kind[1:])), "pairs")
+        found = pairs.groupBy(*kind).agg(F.sum("copies").alias("n"), (_differ("left_beyond") & _differ("right_beyond")).alias("differ"))
+        found = found.where("n > 1 AND differ").select(kind)
+        return pairs.join(found, kind, "left_semi").select("gram", "repeat", "left", "right", "span")
+
+    def twice(self) -> DataFrame:
+        """(gram, span) of the ranges in mixed grams that occur twice or more."""
+        return small(written(self.spans.where("n > 1").select("gram", "span"), "copied-spans"))
+
     def copied(self) -> DataFrame:
         """Anchors of mixed grams whose range occurs twice or more."""
-        twice = written(self.spans.where("n > 1").select("gram", "span"), "copied-spans")
-        return self.mixed.join(small(twice), ["gram", "span"], "left_semi")
+        return self.mixed.join(self.twice(), ["gram", "span"], "left_semi")
 
 
 def repeated_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -332,11 +393,10 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     """(gram, repeat, size, key, version, start): the maximal repeats through each gram, with all occurrences.
 
     A repeat is seen through each anchor in it, as far as the windows with that anchor reach. Repeat 0 of a
-    gram whose occurrences are all alike is that range. Grams with more than ``group`` ranges are left to
-    ``repeated_ranges``.
+    gram whose occurrences are all alike is that range. In grams with more than ``group`` ranges ``repeat`` is a hash.
     """
     found = Repeats(docs, key, text, length, gram, group)
-    ranges = found.trees(merged=False).join(found.mixed.select("gram", "span", "key", "version", "anchor"), ["gram", "span"])
+    ranges = found.trees(merged=False).unionByName(found.counted_groups()).join(found.mixed.select("gram", "span", "key", "version", "anchor"), ["gram", "span"])
     size, start = F.col("left") + F.col("right"), F.col("anchor") - F.col("left")
     mixed = ranges.select("gram", "repeat", size.alias("size"), "key", "version", start.alias("start"))
     size = F.col("last") + length - F.col("first")

@@ -370,6 +370,48 @@ def test_repeat_groups(spark):
     assert any(len(g) == 5 for g in groups.values())
 
 
+def brute_groups(rows, length, gram):
+    """(size, occurrences) of the maximal repeats among all the ranges of each gram, by trying every part of every range."""
+    at = {}
+    for key, text in rows:
+        data = text.encode()
+        _, grams, _, first, anchor, last = repeats.find_anchors(np.frombuffer(data, np.uint8), np.array([0, len(data)]), length, gram)
+        for g, a, b, c in zip(grams.tolist(), first.tolist(), anchor.tolist(), last.tolist()):
+            at.setdefault(g, []).append((key, b, data[a:b], data[b : c + length]))
+    out = Counter()
+    for places in at.values():
+        same = {}
+        for i, (_, _, left, right) in enumerate(places if len(places) > 1 else []):
+            for a in range(len(left) + 1):
+                for b in range(max(gram, length - a), len(right) + 1):
+                    same.setdefault((left[len(left) - a :], right[:b]), []).append(i)
+        for (left, right), members in same.items():
+            a, b = len(left), len(right)
+            before = {places[i][2][len(places[i][2]) - a - 1 :][:1] if len(places[i][2]) > a else i for i in members}
+            after = {places[i][3][b : b + 1] or i for i in members}
+            if len(members) > 1 and len(before) > 1 and len(after) > 1:
+                out[a + b, tuple(sorted((places[i][0], places[i][1] - a) for i in members))] += 1
+    return out
+
+
+@pytest.mark.parametrize("group", [4096, 2])
+def test_repeat_groups_of_copies(spark, group):
+    """Copies whose grams stand in other texts too are groups of their own, unless the others hold all their bytes."""
+    draw, words = random.Random(13), vocabulary(9)
+    base = prose(draw, words, 40)[:150]
+    rows = [base] * 4 + [f"q{base[:120]} {prose(draw, words, 5)}", f"{prose(draw, words, 5)} {base[70:]}"]
+    rows += [f"{prose(draw, words, 4)} {base} {prose(draw, words, 4)}", base[10:100] + "q", base[10:100] + "z"] * 2
+    rows += [base[20:85] + x + prose(draw, words, 9) for x in "abab"]
+    rows = [(i, t) for i, t in enumerate(rows)]
+    found = repeats.repeat_groups(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3), length=60, gram=12, group=group).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault((r.gram, r.repeat, r["size"]), []).append((r.key, r.start))
+    want = brute_groups(rows, 60, 12)
+    assert max(len(places) for _, places in want) > 9
+    assert Counter((size, tuple(sorted(places))) for (_, _, size), places in groups.items()) == want
+
+
 PAGES = "page_id BIGINT, url STRING, html STRING, payload STRING, sha STRING"
 
 
