@@ -10,15 +10,18 @@ them all. A candidate puts the item's whole length over the document, and the pa
 if the weighted similarity of the five-word shingles (sum of the smaller counts over the sum of the greater) is
 at least ``MIN_PERCENT``.
 
-Items come to the tasks in blocks of ``ITEM_BLOCK``, with one pass over the documents for each. Items and documents
-that are null or have no words match nothing. Items of fewer than five words are one shingle.
+Items come to the tasks in blocks of at most ``ITEM_BLOCK`` items and ``BLOCK_WORDS`` words, with one pass over the
+documents for each; a longer item is a block of its own. The driver holds one block at a time, and so does a task: with
+several, each pass writes its hits, which are joined to the documents at the end. Items and documents that are null or have no words match nothing. Items of fewer than five words are one shingle.
 Repeated documents are each reported, repeated items by each of their ids. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm import words as W
-from eventloom.llm.tables import extended, fresh_name
+from eventloom.llm.tables import extended, written
 
 MIN_PERCENT = 75
 RADIUS = 7
 STRIDE = 4
 ITEM_BLOCK = 5_000
+# An index takes about 600 bytes for each word, so a block about 60 MB.
+BLOCK_WORDS = 100_000
 # Words by which a candidate may be moved to fit best.
 SHIFT = 2
 
@@ -108,7 +113,7 @@ class _Table:
             values = (block[:, None] ^ flips[None, :]).ravel()
             order = np.argsort(values, kind="stable")
             ends = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << _BLOCK_BITS))])
-            self.lists.append((ends, order // len(flips)))
+            self.lists.append((ends, (order // len(flips)).astype(np.int32)))
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, fingerprint) of all pairs within the radius; a pair may come more than once."""
@@ -169,23 +174,42 @@ def matches(column, index: Index, percent: int) -> Iterator[tuple[int, int, int,
             yield first + text, item, -at, value
 
 
-def _with_matches(rows: DataFrame, index: Index, text: str, percent: int, id_type: str, hits: str) -> DataFrame:
-    """``rows`` (a struct ``row``, perhaps with earlier hits) with an array ``hits`` of (item, start, similarity)."""
+def _with_matches(rows: DataFrame, index: Index, text: str, percent: int, id_type: str) -> DataFrame:
+    """``rows`` (a struct ``row``, perhaps with more columns) with an array ``hits`` of (item, start, similarity)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: list[list] = [[] for _ in range(batch.num_rows)]
             for row, item, at, value in matches(pa.compute.struct_field(batch.column(0), text), index, percent):
                 own[row].append({"item": index.ids[item], "start": at, "similarity": value})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, kind)], names=[*batch.schema.names, hits])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, kind)], names=[*batch.schema.names, "hits"])
 
-    schema = extended(rows.schema, **{hits: f"array<struct<item:{id_type},start:bigint,similarity:double>>"})
+    schema = extended(rows.schema, hits=_hits(id_type))
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = to_arrow_type(schema[hits].dataType)
+    kind = to_arrow_type(schema["hits"].dataType)
     return rows.mapInArrow(run, schema)
 
 
+def _hits(id_type: str) -> str:
+    return f"array<struct<item:{id_type},start:bigint,similarity:double>>"
+
+
+def item_blocks(items: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """(id, text) pairs in lists of bounded numbers of items and words."""
+    block: list[tuple] = []
+    words = 0
+    for item in items:
+        n = len(item[1].encode().split())
+        if block and (len(block) == ITEM_BLOCK or words + n > BLOCK_WORDS):
+            yield block
+            block, words = [], 0
+        block.append(tuple(item))
+        words += n
+    if block:
+        yield block
+
+
 def find_passages(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = MIN_PERCENT
 ) -> DataFrame:
@@ -195,21 +219,24 @@ def find_passages(
     """
     rows = docs.select(F.struct("*").alias("row"))
     id_type = dict(items.dtypes)[item_id]
-    names = []
-    block: list[tuple] = []
     known = items.where(F.col(item_text).isNotNull()).select(item_id, item_text)
-
-    def add(block: list[tuple]) -> None:
-        nonlocal rows
-        names.append(fresh_name(f"hits_{len(names)}", rows.columns))
-        rows = _with_matches(rows, Index(*map(list, zip(*block))), text, percent, id_type, names[-1])
-
-    for item in known.toLocalIterator():
-        block.append(tuple(item))
-        if len(block) == ITEM_BLOCK:
-            add(block)
-            block = []
-    if block:
-        add(block)
-    empty = F.expr(f"CAST(array() AS array<struct<item:{id_type},start:bigint,similarity:double>>)")
-    return rows.select("row", F.concat(empty, *names).alias("hits"))
+    blocks = item_blocks(known.toLocalIterator())
+
+    def indexed(block: list[tuple]) -> Index:
+        return Index(*map(list, zip(*block)))
+
+    empty = F.expr(f"CAST(array() AS {_hits(id_type)})")
+    first = next(blocks, None)
+    if first is None:
+        return rows.select("row", empty.alias("hits"))
+    second = next(blocks, None)
+    if second is None:
+        return _with_matches(rows, indexed(first), text, percent, id_type)
+    # Written, so that a row has the same number in every pass.
+    rows = written(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    parts = []
+    for i, block in enumerate(chain((first, second), blocks)):
+        found = _with_matches(rows, indexed(block), text, percent, id_type).select("number", F.posexplode("hits").alias("place", "hit"))
+        parts.append(written(found.select("number", F.struct(F.lit(i).alias("block"), "place", "hit").alias("found")), "passages"))
+    every = reduce(DataFrame.unionAll, parts).groupBy("number").agg(F.array_sort(F.collect_list("found")).alias("found"))
+    return rows.join(every, "number", "left").select("row", F.coalesce("found.hit", empty).alias("hits"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -18,14 +16,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fresh_name(name: str, taken: Iterable[str]) -> str:
-    """``name``, with underscores before it until it clashes with none of ``taken``."""
-    known = {t.lower() for t in taken}
-    while name.lower() in known:
-        name = f"_{name}"
-    return name
-
-
 def extended(schema: StructType, **columns: str) -> StructType:
     """``schema`` followed by more columns, given as name and DDL type."""
     return StructType([*schema.fields, *(StructField(n, DataType.fromDDL(t)) for n, t in columns.items())])

@@ -273,6 +273,37 @@ def test_decontamination(spark, docs, empty):
     assert none.where(F.size("hits") > 0).count() == 0
 
 
+def test_blocks_of_long_items(spark, docs, empty, monkeypatch):
+    """No index holds more words than a block may, but for an item that has more by itself; the hits are the same."""
+    draw, words = random.Random(14), vocabulary(10)
+    items = [(i, prose(draw, words, n)) for i, n in enumerate([30, 60, 40, 300, 8, 50, 45, 5])] + [(90, None), (91, ""), (5, "one two three")]
+    rows = [(i, f"{prose(draw, words, 9)} {items[i % 8][1]} {items[(i + 3) % 8][1]} {prose(draw, words, 9)}") for i in range(20)]
+    rows += [rows[3], (None, items[1][1]), (30, None), (31, "")]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    table = spark.createDataFrame(items, "item_id BIGINT, text STRING").coalesce(1)
+
+    def hits():
+        return Counter((r.row.doc_id, r.row.text, tuple(map(tuple, r.hits))) for r in decontamination.find_passages(frame, table).collect())
+
+    sizes = []
+
+    class Counted(decontamination.Index):
+        def __init__(self, ids, texts):
+            super().__init__(ids, texts)
+            sizes.append((len(ids), sum(map(len, self.words))))
+
+    whole = hits()
+    monkeypatch.setattr(decontamination, "Index", Counted)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 100)
+    assert hits() == whole and sum(map(len, (h for _, _, h in whole))) >= 40
+    assert len(sizes) > 3 and all(n == 1 or words <= 100 for n, words in sizes)
+    assert sum(n for n, _ in sizes) == 10
+    found = decontamination.find_passages(docs, table)
+    assert found.columns == ["row", "hits"] and found.count() == docs.count()
+    assert found.select("row.*").columns == docs.columns
+    assert decontamination.find_passages(empty, table).count() == 0
+
+
 def test_hamming_radius():
     """Every pair within the radius is found."""
     draw = np.random.default_rng(6)
