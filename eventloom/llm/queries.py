@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from eventloom.llm.alignment import Vocabulary, align_tokenizers
 from eventloom.llm.chat import best_conversations, formatted, read_back
 from eventloom.llm.classifier import score_documents
 from eventloom.llm.decontamination import find_passages
@@ -16,7 +17,9 @@ from eventloom.llm.quality import COUNTS, judged
 from eventloom.llm.registry import QUERIES, SQL, query, table
 from eventloom.llm.repeats import without_repeats
 from eventloom.llm.sharding import assign_shards
+from eventloom.llm.urls import url_verdicts
 from eventloom.llm.warc import read_archives, write_archives
+from eventloom.llm.whitening import fit_whitening, whitened
 from eventloom.session import work_dir
 
 SHARDS = 40
@@ -198,3 +201,67 @@ def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = score_documents(docs, labels, train=third != 1, fold=F.when(third == 0, 0).otherwise(1))
     held_out = F.coalesce(third == 1, F.lit(False))
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op11_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each vector and component. A deviation that does not fit a BIGINT fails the query."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = fit_whitening(vectors)
+    rows = whitened(vectors, fitted).select("row.vec_id", F.col("deviation").cast("bigint").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    shares = fitted.explained.tolist() if fitted is not None else []
+    explained = F.get(F.array(*map(F.lit, shares)).cast("array<double>"), F.col("at"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fitted.n if fitted is not None else 0).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        explained.alias("explained"),
+        F.lit(fitted.identity_error if fitted is not None else 0.0).alias("identity_error"),
+    )
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    "op12_url_filters",
+    r"""
+    WITH rests AS (
+        SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+    ), places AS (
+        SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1), '') AS path
+        FROM rests
+    ), rules (rule_host, rule_path, verdict) AS (
+        VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    ), decided AS (
+        SELECT host, path, arg_max(rule_host || rule_path, (length(rule_host || rule_path), length(rule_host))) AS rule,
+            arg_max(verdict, (length(rule_host || rule_path), length(rule_host))) AS verdict
+        FROM (SELECT DISTINCT host, path FROM places) JOIN rules
+            ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY host, path
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM places LEFT JOIN decided USING (host, path)
+    """,
+)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host STRING, path STRING, verdict STRING")
+    judged_urls = url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged_urls.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query("op13_alignment")
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary(*public_tokenizer(), public_tokenizers.path("piece_bpe_32k.model"))
+    texts, _ = align_tokenizers(table(spark, sf_dir, "documents"), vocabulary, keep=["doc_id"])
+    return texts.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
