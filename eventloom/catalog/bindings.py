@@ -158,6 +158,20 @@ PARTS = f"""(WITH sized AS (
   UNION ALL SELECT key, id, size, ind, provider_id, text || '!', sent_time FROM base
     WHERE ind=1 AND conv_id%11=0)"""
 
+# Parts of the slow feed are this far apart, so that several periods of a minute pass in a long message.
+SLOW_MS = 23_000
+
+
+def slow_parts(feed: DataFrame) -> DataFrame:
+    """The same parts sent slowly: groups that expire and open again, complete late or after a pause."""
+    pause = F.when(F.col("ind") % 3 == 2, 2 * SLOW_MS).otherwise(0)
+    sent = F.lit(PARTS_START) + F.col("ind") * SLOW_MS + pause + F.col("id") % 7 * 1_000
+    return feed.withColumn("sent_time", F.when(F.col("id") % 4 == 1, F.col("sent_time")).otherwise(sent))
+
+
+SLOW_PARTS = f"""(SELECT key, id, size, ind, provider_id, text, CASE WHEN id%4=1 THEN sent_time
+    ELSE {PARTS_START} + ind*{SLOW_MS} + CASE WHEN ind%3=2 THEN 2*{SLOW_MS} ELSE 0 END + id%7*1000 END AS sent_time FROM {PARTS})"""
+
 # -- message delivery ---------------------------------------------------------------------
 
 # Splits the orders into old and recent ones.

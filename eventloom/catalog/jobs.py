@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from eventloom.catalog.bindings import MONITOR_NOW, PARTS, PARTS_NOW, RECEIVED, SENT, STATUS
-from eventloom.catalog.bindings import events, events_and_views, parts, received, sent, status
+from eventloom.catalog.bindings import MONITOR_NOW, PARTS, PARTS_NOW, PARTS_START, RECEIVED, SENT, SLOW_PARTS, STATUS
+from eventloom.catalog.bindings import events, events_and_views, parts, received, sent, slow_parts, status
 from eventloom.catalog.joins import ACTIVE, FINAL_STATUS, SETTLED
 from eventloom.catalog.registry import query
 from eventloom.plans import monitoring, reassembly, sections
@@ -111,17 +111,54 @@ def udhi_full(spark, sf_dir):
     return reassembly.full_flow(parts(spark, sf_dir), KEY)
 
 
-@query(
-    "udhi_expire",
-    f"""SELECT key, ind::SMALLINT AS ind, id::SMALLINT AS id, provider_id::INTEGER AS provider_id, text,
-      FALSE AS full_message, sent_time FROM {_DISTINCT} WHERE key IN (
-        SELECT key FROM {_DISTINCT} GROUP BY key
-        HAVING COUNT(*) <> arg_min(size, sent_time) AND {PARTS_NOW} - MIN(sent_time) > 60000)""",
-)
+def periods_sql(feed):
+    """Parts with the time their group was opened: the first part, and the first one past each deadline."""
+    return f"""(WITH RECURSIVE p AS MATERIALIZED (SELECT DISTINCT * FROM {feed}),
+      o AS (SELECT key, MIN(sent_time) AS opened_at FROM p GROUP BY key
+        UNION ALL SELECT o.key, MIN(p.sent_time) FROM o JOIN p ON p.key=o.key AND p.sent_time > o.opened_at + 60000
+          GROUP BY o.key)
+      SELECT p.*, o.opened_at FROM p JOIN o ON o.key=p.key AND p.sent_time BETWEEN o.opened_at AND o.opened_at + 60000)"""
+
+
+def _judged_sql(feed):
+    """Parts numbered in their group, with its size; complete groups have a part of that number."""
+    return f"""(SELECT *, MAX(n) OVER (PARTITION BY key, opened_at) >= wanted AS complete FROM (SELECT *,
+      ROW_NUMBER() OVER (PARTITION BY key, opened_at ORDER BY sent_time, ind, text) AS n,
+      FIRST_VALUE(size) OVER (PARTITION BY key, opened_at ORDER BY sent_time, ind, text) AS wanted FROM {periods_sql(feed)}))"""
+
+
+def ready_in_time_sql(feed):
+    return f"""SELECT key, arg_min(id, (sent_time, ind))::SMALLINT AS id,
+      arg_min(provider_id, (sent_time, ind))::INTEGER AS provider_id, string_agg(text, '' ORDER BY ind, text) AS text,
+      TRUE AS full_message, MIN(sent_time) AS sent_time, MAX(sent_time) AS completed_at, opened_at
+    FROM {_judged_sql(feed)} WHERE complete AND n <= wanted GROUP BY key, opened_at"""
+
+
+def expired_sql(feed, now):
+    return f"""SELECT key, opened_at, ind::SMALLINT AS ind, id::SMALLINT AS id, provider_id::INTEGER AS provider_id, text,
+      FALSE AS full_message, sent_time FROM {_judged_sql(feed)} WHERE NOT complete AND {now} - opened_at > 60000"""
+
+
+@query("udhi_expire", expired_sql(PARTS, PARTS_NOW))
 def udhi_expire(spark, sf_dir):
     return reassembly.expire(parts(spark, sf_dir), KEY, PARTS_NOW)
 
 
+# When all but the last groups of the slow feed are past their deadline.
+SLOW_NOW = PARTS_START + 170_000
+
+
+@query("udhi_expire_restart", expired_sql(SLOW_PARTS, SLOW_NOW))
+def udhi_expire_restart(spark, sf_dir):
+    """Groups that expire and are opened again by later parts, some of which complete."""
+    return reassembly.expire(slow_parts(parts(spark, sf_dir)), KEY, SLOW_NOW)
+
+
+@query("udhi_reassemble_in_time", ready_in_time_sql(SLOW_PARTS))
+def udhi_reassemble_in_time(spark, sf_dir):
+    return reassembly.reassemble_in_time(slow_parts(parts(spark, sf_dir)), KEY)
+
+
 @query(
     "monitor_received",
     f"SELECT id, MIN(received_time) AS received_time, MIN(arrival) AS seen, 0::BIGINT AS counter FROM {RECEIVED} GROUP BY id",

@@ -7,8 +7,8 @@ the largest event time, so windows and timers up to it are closed; the SQL says
 from pyspark.sql import functions as F
 
 from eventloom.catalog import bindings as B
-from eventloom.catalog.bindings import EVENTS, HOUR_MS, PARTS, RECEIVED, SENT, STATUS
-from eventloom.catalog.jobs import STATE
+from eventloom.catalog.bindings import EVENTS, HOUR_MS, PARTS, RECEIVED, SENT, SLOW_PARTS, STATUS
+from eventloom.catalog.jobs import STATE, expired_sql, ready_in_time_sql
 from eventloom.catalog.joins import ACTIVE, JOINED_OBJECTS, joined_objects
 from eventloom.catalog.registry import SQL, query
 from eventloom.catalog.sources import ENCODED, order_changes
@@ -233,22 +233,27 @@ def first_seen_stream(spark, sf_dir):
     return run_to_files(spark, seen, work_dir(spark, "first_occurrence_stream"))
 
 
-# Parts in time, and the groups that are complete with them.
-_IN_TIME = f"""(SELECT *, COUNT(*) OVER (PARTITION BY key) AS n, arg_min(size, sent_time) OVER (PARTITION BY key) AS sz
-  FROM (SELECT *, MIN(sent_time) OVER (PARTITION BY key) AS first_seen FROM (SELECT DISTINCT * FROM {PARTS}))
-  WHERE sent_time <= first_seen + 60000)"""
+def _expiry_sql(feed):
+    """What a stream has sent when its closing record, at the last time of the feed, has passed."""
+    last = f"(SELECT MAX(sent_time) FROM {feed})"
+    return f"""SELECT key, NULL::SMALLINT AS ind, id, provider_id, text, full_message, sent_time
+      FROM ({ready_in_time_sql(feed)}) WHERE completed_at < {last}
+    UNION ALL SELECT key, ind, id, provider_id, text, full_message, sent_time FROM ({expired_sql(feed, last)})"""
 
 
-@query(
-    "udhi_expire_stream",
-    f"""SELECT key, NULL::SMALLINT AS ind, id, provider_id, text, full_message, sent_time
-      FROM ({SQL['udhi_reassemble_updates']}) WHERE completed_at < (SELECT MAX(sent_time) FROM {PARTS})
-    UNION ALL SELECT key, ind::SMALLINT, id::SMALLINT, provider_id::INTEGER, text, FALSE, sent_time
-      FROM {_IN_TIME} WHERE n < sz AND first_seen + 60000 < (SELECT MAX(sent_time) FROM {PARTS})""",
-)
+@query("udhi_expire_stream", _expiry_sql(PARTS))
 def udhi_expire_stream(spark, sf_dir):
     sizes = B.message_sizes(B.table(spark, sf_dir, "conversations"))
     stream = B.shape_parts(_stream(spark, sf_dir, "conversations"), sizes)
     work = work_dir(spark, "udhi_expire_stream")
     feed = replay(stream, B.parts(spark, sf_dir), "sent_time", work, key="closing")
     return replay_to_files(spark, feed, reassembly_stream(feed.stream))
+
+
+@query("udhi_expire_restart_stream", _expiry_sql(SLOW_PARTS))
+def udhi_expire_restart_stream(spark, sf_dir):
+    sizes = B.message_sizes(B.table(spark, sf_dir, "conversations"))
+    stream = B.slow_parts(B.shape_parts(_stream(spark, sf_dir, "conversations"), sizes))
+    work = work_dir(spark, "udhi_expire_restart_stream")
+    feed = replay(stream, B.slow_parts(B.parts(spark, sf_dir)), "sent_time", work, key="closing")
+    return replay_to_files(spark, feed, reassembly_stream(feed.stream))

@@ -13,9 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators.joins import asof_join, join_keyed_table
 from eventloom.operators.kv import branch
-from eventloom.operators.joins import join_keyed_table
 from eventloom.operators.running import HOT_KEYS, not_null, running
+from eventloom.operators.windows import session
+from eventloom.session import written
 
 # An incomplete group with more parts is kept out of the exchange that brings groups together.
 LARGE_PARTS = 32_767
@@ -126,6 +128,20 @@ def reassemble_when_complete(
     Distinct parts are numbered by arrival and those up to the announced size kept, so no more
     than that is brought together, whatever the size of the group.
     """
+    complete = _early_parts(parts, keys, arrival, **split).groupBy(*keys, "group_size", "_sized_at").agg(
+        F.collect_list(F.struct(*PART)).alias("parts"), F.max("_arrival").alias("completed_at")
+    )
+    done = complete.where((F.size("parts") == F.col("group_size")) & _size_was_known())
+    return _ready(done, [*keys, "completed_at"])
+
+
+def _size_was_known() -> Column:
+    """A group is not complete by a part that came before its size was announced."""
+    return F.col("completed_at") >= F.col("_sized_at")
+
+
+def _early_parts(parts: DataFrame, keys: Sequence[str], arrival: str, **split) -> DataFrame:
+    """The first distinct parts of each group by arrival, as many as the announced ``group_size``."""
     keys = list(keys)
     rows = parts.where(not_null(keys)).select(*keys, *PART, F.col(arrival).alias("_arrival"))
     distinct = rows.groupBy(*keys, *PART).agg(F.min("_arrival").alias("_arrival"))
@@ -135,17 +151,7 @@ def reassemble_when_complete(
         distinct, keys, ["_arrival", "ind", "text", "size", "sent_time", "id", "provider_id"],
         {"_n": ("sum", F.lit(1))}, **split,
     )
-    early = join_keyed_table(numbered, sizes, keys).where(F.col("_n") <= F.col("group_size"))
-    complete = (
-        early.groupBy(*keys, "group_size", "_sized_at")
-        .agg(
-            F.collect_list(F.struct(*PART)).alias("parts"),
-            F.max("_arrival").alias("completed_at"),
-        )
-        .where(F.size("parts") == F.col("group_size"))
-        .where(F.col("completed_at") >= F.col("_sized_at"))
-    )
-    return _ready(complete, [*keys, "completed_at"])
+    return join_keyed_table(numbered, sizes, keys).where(F.col("_n") <= F.col("group_size"))
 
 
 def reassemble_windowed(
@@ -180,6 +186,75 @@ def full_flow(parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time")
     return pass_through(single).select(*columns).unionByName(assembled.select(*columns))
 
 
+def waiting_periods(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", after_ms: int = EXPIRY_MS
+) -> DataFrame:
+    """(keys, opened_at): when each group was opened, and opened again by its first part after a deadline.
+
+    A part more than ``after_ms`` behind the one before it opens a group whatever came earlier, so
+    groups fall into runs without such a pause. A run no longer than the deadline is one period. In a
+    longer one each time points to the first one past its deadline, and the periods are the chain
+    of pointers from its start, found by doubling: joins by key and time, so that no group
+    is brought together, in as many rounds as the binary logarithm of the periods of a run.
+    """
+    keys = list(keys)
+    times = parts.where(not_null([*keys, arrival])).select(*keys, F.col(arrival).alias("_at"))
+    runs = session(times, keys, "_at", after_ms).select(*keys, F.col("window_start").alias("_run"), "window_end")
+    runs = written(runs, "runs")
+    long = runs.where(F.col("window_end") - F.col("_run") > after_ms)
+    opened = runs.select(*keys, F.col("_run").alias("opened_at"))
+    if long.isEmpty():
+        return opened
+    run = [*keys, "_run"]
+    spans = runs.select(*keys, F.col("_run").alias("_at"), "_run", "window_end")
+    points = times.join(long.select(*keys).distinct(), keys, "left_semi").distinct()
+    inside = asof_join(points, spans, keys, "_at", ["_run", "window_end"], see_equal=True)
+    inside = inside.where((F.col("_at") <= F.col("window_end")) & (F.col("window_end") - F.col("_run") > after_ms))
+    # Backwards in time; a deadline comes before the times equal to it, which are not past it.
+    looks = inside.select(
+        *run,
+        "_at",
+        F.inline(
+            F.array(
+                F.struct((-F.col("_at")).alias("_back"), F.lit(1).alias("_side"), F.col("_at").alias("_time")),
+                F.struct(
+                    (-F.col("_at") - after_ms).alias("_back"), F.lit(0).alias("_side"), F.lit(None).cast("bigint").alias("_time")
+                ),
+            )
+        ),
+    )
+    past = running(looks, run, ["_back", "_side"], {"_next": ("last", F.col("_time"))})
+    jumps = written(past.where("_side = 0 AND _next IS NOT NULL").select(*run, "_at", "_next"), "jumps")
+    found = written(long.select(*run, F.col("_run").alias("_at")), "periods")
+    while True:
+        further = found.join(jumps, [*run, "_at"]).select(*run, F.col("_next").alias("_at"))
+        further = written(further, "periods")
+        if further.isEmpty():
+            break
+        found = found.unionByName(further)
+        onward = jumps.select(*run, F.col("_at").alias("_next"), F.col("_next").alias("_end"))
+        doubled = jumps.join(onward, [*run, "_next"]).select(*run, "_at", F.col("_end").alias("_next"))
+        jumps = written(doubled, "jumps")
+    later = found.where(F.col("_at") > F.col("_run"))
+    return opened.unionByName(later.select(*keys, F.col("_at").alias("opened_at")))
+
+
+def in_periods(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", after_ms: int = EXPIRY_MS
+) -> DataFrame:
+    """``parts`` with the ``opened_at`` of the group they fall into."""
+    periods = waiting_periods(parts, keys, arrival, after_ms).withColumn(arrival, F.col("opened_at"))
+    return asof_join(parts, periods, keys, arrival, ["opened_at"], see_equal=True)
+
+
+def reassemble_in_time(
+    parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", after_ms: int = EXPIRY_MS
+) -> DataFrame:
+    """Ready messages completed before their deadline, ``after_ms`` after their first part; parts past it open
+    a new group. A group completed is only cleared at its deadline: what it gets until then is dropped."""
+    return reassemble_when_complete(in_periods(parts, keys, arrival, after_ms), [*keys, "opened_at"], arrival)
+
+
 def expire(
     parts: DataFrame,
     keys: Sequence[str],
@@ -187,16 +262,22 @@ def expire(
     arrival: str = "sent_time",
     after_ms: int = EXPIRY_MS,
 ) -> DataFrame:
-    """Parts of incomplete groups older than ``after_ms``, each as a message of its own.
+    """Parts of the groups that were not complete ``after_ms`` after their first part, each as a message of its own.
 
+    A part past the deadline opens a new group, as on a stream; ``opened_at`` tells the groups of a key apart.
     ``ind`` is kept: it is the order in which the parts of a group are sent on. A large group is
     never brought together: the join is the last step, so Spark may split its partition.
     """
-    groups = grouped(parts, keys, arrival)
-    overdue = F.lit(now_ms) - F.col("first_seen") > after_ms
-    expired = groups.summary.where(~F.col("complete") & overdue).select(*keys)
-    return groups.parts.join(expired, groups.keys).select(
-        *keys, "ind", "id", "provider_id", "text", F.lit(False).alias("full_message"), "sent_time"
+    group = [*keys, "opened_at"]
+    placed = in_periods(parts, keys, arrival, after_ms).where(F.lit(now_ms) - F.col("opened_at") > after_ms)
+    early = _early_parts(placed, group, arrival)
+    counted = early.groupBy(*group, "group_size", "_sized_at").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_arrival").alias("completed_at")
+    )
+    complete = counted.where((F.col("n") == F.col("group_size")) & _size_was_known()).select(*group)
+    distinct = placed.select(*group, *PART).distinct()
+    return distinct.join(complete, group, "left_anti").select(
+        *group, "ind", "id", "provider_id", "text", F.lit(False).alias("full_message"), "sent_time"
     )
 
 

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,3 +53,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _local_folder()
     return f"{base.rstrip('/')}/eventloom/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the work folder, read again: a loop's plan stays short, and a lost
+    executor costs no more than its tasks."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

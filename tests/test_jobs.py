@@ -1,8 +1,11 @@
 """Reassembly, monitoring and section jobs on small records."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import running
 from eventloom.plans import monitoring as M
 from eventloom.plans import reassembly as R
 from eventloom.plans import sections as S
@@ -65,6 +68,45 @@ def test_expire(spark, rows):
     assert rows(got, "key", "ind", "text", "full_message") == [("a", 0, "x", False), ("a", 2, "z", False)]
 
 
+def simulated_periods(data, after):
+    """(ready, expired): part by part in order of time, a group being cleared at its deadline."""
+    ready, expired = [], []
+    for key in {d[0] for d in data if d[0]}:
+        parts = sorted({d for d in data if d[0] == key}, key=lambda d: (d[4], d[2], d[3], d[1]))
+        while parts:
+            opened = parts[0][4]
+            own, parts = [d for d in parts if d[4] <= opened + after], [d for d in parts if d[4] > opened + after]
+            size, known = next(((d[1], d[4]) for d in own if d[1]), (0, None))
+            done = own[:size]
+            if size and len(done) == size and done[-1][4] >= known:
+                text = "".join(d[3] for d in sorted(done, key=lambda d: (d[2], d[3])))
+                ready.append((key, opened, text, done[-1][4]))
+            else:
+                expired += [(key, opened, d[2], d[3], d[4]) for d in own]
+    return sorted(ready), sorted(expired)
+
+
+@pytest.mark.parametrize("hot", [None, 3])
+@pytest.mark.parametrize("after", [0, 30, 200])
+def test_periods(spark, rows, monkeypatch, after, hot):
+    """Groups that expire and open again, complete late, or get more parts than announced."""
+    if hot:
+        monkeypatch.setattr(running, "HOT_ROWS", hot)
+    rng = random.Random(after)
+    data = [
+        (rng.choice(["a", "b", "c", "d", None]), 3 if rng.random() < 0.8 else 0, rng.randrange(4), rng.choice("xyz"), rng.randrange(60) * 12)
+        for _ in range(160)
+    ]
+    data += [("once", 2, 0, "p", 5), ("once", 2, 1, "q", 5 + after), ("late", 2, 0, "p", 5), ("late", 2, 1, "q", 6 + after)]
+    df = parts(spark, *data).repartition(3)
+    ready, expired = simulated_periods(data, after)
+    found = R.reassemble_in_time(df, ["key"], after_ms=after).select("key", "opened_at", "text", "completed_at")
+    assert rows(found) == sorted(ready, key=repr)
+    now = 400
+    left = R.expire(df, ["key"], now, after_ms=after).select("key", "opened_at", "ind", "text", "sent_time")
+    assert rows(left) == sorted([e for e in expired if now - e[1] > after], key=repr)
+
+
 @pytest.mark.parametrize("hot_list", [0, R.HOT_KEYS])
 def test_oversized_group(spark, rows, monkeypatch, hot_list):
     """A group grown past any announced size is counted, listed and left out; also when it is
@@ -80,7 +122,10 @@ def test_oversized_group(spark, rows, monkeypatch, hot_list):
     assert rows(R.reassemble(df, ["key"]), "key", "text") == [("a", "xy")]
     listed = rows(R.index_list(df, ["key"]))
     assert listed == [("a", 0, 1), ("a", 1, 1), *(("big", i, 8000) for i in range(5))]
-    assert R.expire(df, ["key"], 10**9).count() == n
+    # Three of the parts made it complete.
+    assert R.expire(df, ["key"], 10**9).count() == 0
+    never = df.withColumn("size", F.lit(0).cast("smallint"))
+    assert R.expire(never, ["key"], 10**9).count() == n + 2
     summary = R.group_parts(R.grouped(df, ["key"]))
     assert rows(summary, "key", "n_parts", "complete") == [("a", 2, True), ("big", n, False)]
 
@@ -94,7 +139,6 @@ def test_scans_of_reassembly(spark, work):
         return found._jdf.queryExecution().executedPlan().toString().count("FileScan")
 
     assert scans(R.reassemble(df, ["key"])) == 3
-    assert scans(R.expire(df, ["key"], 10**9)) == 2
     assert scans(R.group_parts(R.grouped(df, ["key"]))) == 1
 
 

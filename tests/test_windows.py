@@ -5,17 +5,21 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import windows
+from eventloom.catalog.windows import ROUNDS, SESSION_GRACE, kept_for_sessions_sql
+from eventloom.operators import running, windows
 from eventloom.operators.running import hot_ranges
 from eventloom.operators.windows import (
     drop_late,
+    drop_late_for_sessions,
     session,
     session_end,
     sliding,
     sliding_end,
     tumbling,
     tumbling_end,
+    with_stream_time,
 )
+from oracle import connect
 
 
 def feed(spark, events):
@@ -131,3 +135,86 @@ def test_late_row_bridges(spark, rows):
     df = spark.createDataFrame(data, "p INT, arrival BIGINT, ts_ms BIGINT").withColumn("key", F.lit("a"))
     kept = drop_late(df, "p", ["arrival"], "ts_ms", session_end("ts_ms", 100), 400)
     assert rows(session(kept, ["key"], "ts_ms", 100)) == [("a", 100, 300, 3), ("a", 880, 900, 2)]
+
+
+def simulated_sessions(data, gap, grace):
+    """Row by row: a row is merged with the sessions it touches, and refused if even then it had closed."""
+    kept, sessions, top = [], {}, {}
+    for source, key, arrival, ts in data:
+        top[source] = max(top.get(source, ts), ts)
+        held = sessions.setdefault((source, key), [])
+        touched = [s for s in held if s[0] - gap <= ts <= s[1] + gap]
+        merged = (min([ts, *(s[0] for s in touched)]), max([ts, *(s[1] for s in touched)]))
+        if merged[1] < top[source] - grace - gap:
+            continue
+        sessions[source, key] = [s for s in held if s not in touched] + [merged]
+        kept.append((source, key, arrival, ts))
+    return sorted(kept), sorted((k, *s) for (_, k), held in sessions.items() for s in held)
+
+
+@pytest.mark.parametrize("hot", [None, 3])
+@pytest.mark.parametrize(("gap", "grace", "spread"), [(0, 0, 30), (1, 5, 40), (20, 0, 60), (20, 30, 300), (90, 10, 600)])
+def test_late_rows_join_open_sessions(spark, rows, monkeypatch, gap, grace, spread, hot):
+    if hot:
+        monkeypatch.setattr(running, "HOT_ROWS", hot)
+    rng = random.Random(gap + spread)
+    data = [(i % 2, 2 * rng.randrange(3) + i % 2, i, max(0, 6 * i - rng.randrange(spread) * rng.randrange(2))) for i in range(300)]
+    df = spark.createDataFrame(data, "source INT, key INT, arrival BIGINT, ts_ms BIGINT").repartition(3)
+    got = drop_late_for_sessions(df, "source", ["key"], ["arrival"], "ts_ms", gap, grace)
+    kept, sessions = simulated_sessions(data, gap, grace)
+    assert rows(got) == sorted(kept, key=repr)
+    found = session(got, ["source", "key"], "ts_ms", gap).select("key", "window_start", "window_end")
+    assert rows(found) == sorted(sessions, key=repr)
+
+
+def test_late_rows_save_one_another(spark, rows):
+    """Each late row is held by the one before it alone; one without a bridge is dropped."""
+    times = [1000, 905, 810, 715, 620, 525, 300, 1400, 520]
+    data = [(0, i, t) for i, t in enumerate(times)]
+    df = spark.createDataFrame(data, "source INT, arrival BIGINT, ts_ms BIGINT").withColumn("key", F.lit("a"))
+    got = drop_late_for_sessions(df, "source", ["key"], ["arrival"], "ts_ms", 100)
+    # 300 touches nothing; after 1400 the whole session has closed.
+    assert rows(got, "ts_ms") == sorted([(t,) for t in (1000, 905, 810, 715, 620, 525, 1400)], key=repr)
+
+
+def test_null_keys_and_no_late_rows(spark, rows):
+    data = [(0, "a", 0, 10), (0, None, 1, 500), (0, None, 2, 20), (0, "a", 3, 25), (0, "b", 4, None)]
+    df = spark.createDataFrame(data, "source INT, key STRING, arrival BIGINT, ts_ms BIGINT")
+    assert rows(drop_late_for_sessions(df, "source", ["key"], ["arrival"], "ts_ms", 30), "arrival") == [(0,), (1,)]
+    assert rows(drop_late_for_sessions(df, "source", ["key"], ["arrival"], "ts_ms", 900), "arrival") == [(0,), (1,), (2,), (3,)]
+
+
+def simulated_sliding(data, d, grace):
+    """Each row counts in the windows that end after stream time - grace when it comes."""
+    top, closed = {}, []
+    for source, key, _, ts in data:
+        top[source] = max(top.get(source, ts), ts)
+        closed.append(top[source] - grace)
+    ends = {(k, t) for (_, k, _, t), c in zip(data, closed) if t > c} | {(k, t + d + 1) for (_, k, _, t), c in zip(data, closed) if t + d + 1 > c}
+    out = []
+    for key, end in ends:
+        n = sum(k == key and end - d <= t <= end and end > c for (_, k, _, t), c in zip(data, closed))
+        if n:
+            out.append((key, end - d, end, n))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize(("d", "grace"), [(0, 0), (20, 0), (60, 25), (400, 7)])
+def test_sliding_windows_close_one_by_one(spark, rows, d, grace, split):
+    rng = random.Random(d)
+    data = [(i % 2, i % 2 + 2 * rng.randrange(2), i, max(0, 4 * i - rng.randrange(150) * rng.randrange(2))) for i in range(250)]
+    df = spark.createDataFrame(data, "source INT, key INT, arrival BIGINT, ts_ms BIGINT")
+    hot = {"hot": hot_ranges(df, ["key"], "ts_ms", 9)} if split else {}
+    timed = with_stream_time(df, "source", ["arrival"], "ts_ms")
+    got = sliding(timed, ["key"], "ts_ms", d, F.col("stream_time") - grace, **hot)
+    assert rows(got) == simulated_sliding(data, d, grace)
+    whole = sliding(timed, ["key"], "ts_ms", d, **hot)
+    assert whole.exceptAll(got).count() > 0
+
+
+def test_sql_rounds_are_enough(spark):
+    """Another round of the SQL of sessions keeps nothing more, and the first one keeps something."""
+    con = connect("/root/testdata/sf0.01")
+    n = [con.execute(f"SELECT COUNT(*) FROM {kept_for_sessions_sql(SESSION_GRACE, rounds=r)}").fetchone()[0] for r in (0, 1, ROUNDS - 1, ROUNDS)]
+    assert n[0] < n[1] <= n[2] == n[3]
