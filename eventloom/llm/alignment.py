@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import cache
 
 import numpy as np
@@ -57,7 +57,7 @@ def _byte_of_char() -> dict[str, int]:
 
 @cache
 def _tokenizers(vocabulary: Vocabulary):
-    """(encode A, encode B, bytes by id of A, of B)."""
+    """(encode A, encode B, tokens of A, of B, names of both)."""
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -84,39 +84,79 @@ def _tokenizers(vocabulary: Vocabulary):
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode_a(text: str) -> list[int]:
+    def encode_a(text: str) -> np.ndarray:
         if fast is None or (len(text) > LONG_RUN and max(map(len, text.split()), default=len(text)) > LONG_RUN):
-            return exact.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
+            return np.array(exact.encode(text, add_special_tokens=False).ids, np.int64)
+        return fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary.model_b)
 
+    def encode_b(text: str) -> np.ndarray:
+        return np.array(model.encode(text, num_threads=1), np.int64)
+
     def piece_b(i: int) -> bytes:
         piece = model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
     bytes_b = [piece_b(i) for i in range(model.get_piece_size())]
-    return encode_a, lambda text: model.encode(text, num_threads=1), bytes_a, bytes_b
+    return encode_a, encode_b, Tokens(bytes_a), Tokens(bytes_b), Names(len(bytes_a), len(bytes_b))
 
 
-@cache
-def _tables(vocabulary: Vocabulary):
-    """Byte lengths by id, and ids as text, of A and B."""
-    _, _, bytes_a, bytes_b = _tokenizers(vocabulary)
-    return [np.fromiter(map(len, b), np.int64) for b in (bytes_a, bytes_b)], [list(map(str, range(len(b)))) for b in (bytes_a, bytes_b)]
+class Tokens:
+    """The bytes of the tokens of a vocabulary, by id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.widths = np.fromiter(map(len, tokens), np.int64)
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.starts = np.cumsum(self.widths) - self.widths
+
+    def ends(self, ids: np.ndarray, start: int = 0) -> np.ndarray:
+        return np.cumsum(self.widths[ids]) + start
+
+    def give(self, ids: np.ndarray, wanted: np.ndarray) -> bool:
+        """Whether the tokens one after the other are these bytes."""
+        widths = self.widths[ids]
+        if widths.sum() != len(wanted):
+            return False
+        places = np.repeat(self.starts[ids] - (np.cumsum(widths) - widths), widths) + np.arange(len(wanted))
+        return bool((self.data[places] == wanted).all())
+
+
+class Names:
+    """Decimal ids with the mark that follows them, as fixed-width bytes: a's, a's last of a group, b's, b's last."""
+
+    def __init__(self, size_a: int, size_b: int):
+        marked = [f"{i}{mark}" for size, marks in ((size_a, ",|"), (size_b, ",;")) for mark in marks for i in range(size)]
+        self.table = np.array(marked, "S")
+        self.at = {"a": 0, "a|": size_a, "b": 2 * size_a, "b;": 2 * size_a + size_b}
 
+    def _text(self, rows: np.ndarray) -> str:
+        return self.table[rows].tobytes().replace(b"\0", b"")[:-1].decode()
 
-def encode_both(text: str, vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
-    """Ids of space + text by A and of text by B; two empty lists if one of them does not give the bytes back."""
+    def listed(self, kind: str, ids: np.ndarray) -> str:
+        return self._text(ids + self.at[kind])
+
+    def groups(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> str:
+        """All groups, which end after ``to_a`` and ``to_b`` ids: of each the ids of a, then those of b."""
+        own_a, own_b = (np.repeat(np.arange(len(to)), np.diff(to, prepend=0)) for to in (to_a, to_b))
+        rows = np.concatenate([a, b + self.at["b"]])
+        rows[to_a - 1] += self.at["a|"]
+        rows[len(a) + to_b - 1] += self.at["b;"] - self.at["b"]
+        return self._text(rows[np.argsort(np.concatenate([own_a, own_b]), kind="stable")])
+
+
+def encode_both(text: str, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of space + text by A and of text by B; both empty if one of them does not give the bytes back."""
+    none = np.zeros(0, np.int64)
     if not text:
-        return [], []
-    encode_a, encode_b, bytes_a, bytes_b = _tokenizers(vocabulary)
-    wanted = b" " + text.encode()
+        return none, none
+    encode_a, encode_b, tokens_a, tokens_b, _ = _tokenizers(vocabulary)
+    wanted = np.frombuffer(b" " + text.encode(), np.uint8)
     b = encode_b(text)
-    if b"".join([bytes_b[i] for i in b]) != wanted:
-        return [], []
+    if not tokens_b.give(b, wanted):
+        return none, none
     a = encode_a(" " + text)
-    return (a, b) if b"".join([bytes_a[i] for i in a]) == wanted else ([], [])
+    return (a, b) if tokens_a.give(a, wanted) else (none, none)
 
 
 def crossing(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int]:
@@ -160,12 +200,14 @@ def piece_of(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarra
 
 
 def overlaps(p: Piece) -> np.ndarray:
-    """Pairs of ids, one for each stretch that ends in the piece."""
-    ends = np.union1d(p.ends_a[: p.own_a], p.ends_b[: p.own_b])
-    # The end that b shares with the last one of a before the cut is counted there.
-    ends = ends[ends > p.begin]
-    at_a, at_b = np.searchsorted(p.ends_a, ends), np.searchsorted(p.ends_b, ends)
-    return p.a[at_a] * PAIR + p.b[at_b]
+    """Pairs of ids, one for each stretch that ends in the piece: with each end the tokens of both kinds that it lies in."""
+    ends_a, ends_b = p.ends_a[: p.own_a], p.ends_b[: p.own_b]
+    first = p.a[: p.own_a] * PAIR + p.b[np.searchsorted(p.ends_b, ends_a)]
+    at = np.searchsorted(p.ends_a, ends_b)
+    # An end that both have is counted with a's, which may be the last one before the cut.
+    alone = ends_b > p.begin
+    alone[at < len(p.ends_a)] &= p.ends_a[at[at < len(p.ends_a)]] != ends_b[at < len(p.ends_a)]
+    return np.concatenate([first, p.a[at[alone]] * PAIR + p.b[: p.own_b][alone]])
 
 
 def common_ends(p: Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -181,38 +223,49 @@ def common_ends(p: Piece) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside, at + 1, 0)[shared], shared + 1
 
 
-def group_texts(p: Piece, names: list[list[str]]) -> tuple[list[str], list[str], list[str], list[str], list[str]]:
-    """(a and b before the first common end, texts of the groups after it, a and b after the last one); without a
-    common end everything stands in the last two."""
-    a = [names[0][i] for i in p.a[: p.own_a].tolist()]
-    b = [names[1][i] for i in p.b[: p.own_b].tolist()]
-    to_a, to_b = (x.tolist() for x in common_ends(p))
-    if not to_a:
-        return [], [], [], a, b
-    texts = [
-        f"{a[i]}|{b[j]}" if i2 - i == 1 == j2 - j else f"{','.join(a[i:i2])}|{','.join(b[j:j2])}"
-        for i, i2, j, j2 in zip(to_a, to_a[1:], to_b, to_b[1:])
-    ]
-    return a[: to_a[0]], b[: to_b[0]], texts, a[to_a[-1] :], b[to_b[-1] :]
+@dataclass(frozen=True)
+class Groups:
+    """What a piece has of groups, as text: ids of a and of b before its first common end, the groups between its first and
+    last one and their number, ids after its last one. Without a common end everything stands in the tails."""
+
+    head_a: str
+    head_b: str
+    inner: str
+    n_inner: int
+    tail_a: str
+    tail_b: str
+
+
+def groups_of(p: Piece, names: Names) -> Groups:
+    a, b = p.a[: p.own_a], p.b[: p.own_b]
+    to_a, to_b = common_ends(p)
+    if not len(to_a):
+        return Groups("", "", "", 0, names.listed("a", a), names.listed("b", b))
+    inner = names.groups(a[to_a[0] : to_a[-1]], b[to_b[0] : to_b[-1]], to_a[1:] - to_a[0], to_b[1:] - to_b[0])
+    heads = names.listed("a", a[: to_a[0]]), names.listed("b", b[: to_b[0]])
+    return Groups(*heads, inner, len(to_a) - 1, names.listed("a", a[to_a[-1] :]), names.listed("b", b[to_b[-1] :]))
 
 
-def stitch(parts: Iterable[tuple[list[str], list[str], list[str], list[str], list[str]]]) -> tuple[str, int]:
+def stitch(parts: Iterable[Groups]) -> tuple[str, int]:
     """All groups of a text from those of its pieces in order, and their number."""
     texts: list[str] = []
     open_a: list[str] = []
     open_b: list[str] = []
-    for head_a, head_b, inner, tail_a, tail_b in parts:
+    n = 0
+    for g in parts:
         # Up to a common end there is an id of b at least.
-        if head_b:
-            texts.append(f"{','.join(open_a + head_a)}|{','.join(open_b + head_b)}")
-            texts += inner
-            open_a, open_b = tail_a, tail_b
+        if g.head_b:
+            open_a, open_b = [*open_a, g.head_a], [*open_b, g.head_b]
+            texts += ["|".join(",".join(filter(None, side)) for side in (open_a, open_b)), g.inner]
+            n += 1 + g.n_inner
+            open_a, open_b = [g.tail_a], [g.tail_b]
         else:
-            open_a, open_b = open_a + tail_a, open_b + tail_b
-    return ";".join(texts), len(texts)
+            open_a.append(g.tail_a)
+            open_b.append(g.tail_b)
+    return ";".join(filter(None, texts)), n
 
 
-def _counted(codes: np.ndarray) -> tuple[list, list, int]:
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     pairs, times = np.unique(codes, return_counts=True)
     return pairs, times.astype(np.int32), len(codes)
 
@@ -228,14 +281,14 @@ def _encoded(rows: DataFrame, vocabulary: Vocabulary, piece: int) -> DataFrame:
     piece its links and groups, of others what a piece needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths, names = _tables(vocabulary)
+        *_, tokens_a, tokens_b, names = _tokenizers(vocabulary)
         empty = np.zeros(0, np.int64)
         for batch in batches:
             owner: list[int] = []
             found: list[tuple] = []
             for i, body in enumerate(text_column(batch.column(2))):
-                a, b = (np.array(x, np.int64) for x in encode_both(body.as_py(), vocabulary))
-                ends_a, ends_b = np.cumsum(widths[0][a]), np.cumsum(widths[1][b])
+                a, b = encode_both(body.as_py(), vocabulary)
+                ends_a, ends_b = tokens_a.ends(a), tokens_b.ends(b)
                 parts = cut(ends_a, ends_b, piece)
                 for k, at in enumerate(parts):
                     p = piece_of(a, b, ends_a, ends_b, at)
@@ -243,7 +296,7 @@ def _encoded(rows: DataFrame, vocabulary: Vocabulary, piece: int) -> DataFrame:
                     raw = p.a, p.b, p.own_a, p.own_b, start_a, start_b, p.begin
                     own: tuple = empty, empty, 0, 0, ""
                     if len(parts) == 1:
-                        joined, n_groups = stitch([group_texts(p, names)])
+                        joined, n_groups = stitch([groups_of(p, names)])
                         own = *_counted(overlaps(p)), n_groups, hashlib.sha256(joined.encode()).hexdigest()
                         raw = empty, empty, 0, 0, 0, 0, 0
                     found.append((k, len(parts), len(a), len(b), *own, *raw))
@@ -276,19 +329,18 @@ def _aligned(pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(number, piece, codes, times, n_links, groups) of the pieces of long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths, names = _tables(vocabulary)
+        *_, tokens_a, tokens_b, names = _tokenizers(vocabulary)
         for batch in batches:
             column = dict(zip(batch.schema.names, batch.columns))
             found = []
             for i in range(batch.num_rows):
                 a, b = (column[c][i].values.to_numpy().astype(np.int64) for c in "ab")
                 own_a, own_b, start_a, start_b, begin = (column[c][i].as_py() for c in ("own_a", "own_b", "start_a", "start_b", "begin"))
-                p = Piece(a, b, np.cumsum(widths[0][a]) + start_a, np.cumsum(widths[1][b]) + start_b, own_a, own_b, begin)
-                groups = dict(zip(("head_a", "head_b", "inner", "tail_a", "tail_b"), group_texts(p, names)))
-                found.append((*_counted(overlaps(p)), groups))
+                p = Piece(a, b, tokens_a.ends(a, start_a), tokens_b.ends(b, start_b), own_a, own_b, begin)
+                found.append((*_counted(overlaps(p)), asdict(groups_of(p, names))))
             yield _batch([column["number"], column["piece"]], found, schema)
 
-    groups = "struct<head_a:array<string>,head_b:array<string>,inner:array<string>,tail_a:array<string>,tail_b:array<string>>"
+    groups = "struct<head_a:string,head_b:string,inner:string,n_inner:bigint,tail_a:string,tail_b:string>"
     schema = extended(pieces.select("number", "piece", "codes", "times", "n_links").schema, groups=groups)
     return pieces.select("number", "piece", "a", "b", "own_a", "own_b", "start_a", "start_b", "begin").mapInArrow(run, schema)
 
@@ -302,7 +354,7 @@ def _stitched(aligned: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for parts in batch.column(2):
-                joined, n = stitch(p["groups"].as_py().values() for p in parts.values) if parts.is_valid else ("", 0)
+                joined, n = stitch(Groups(**p["groups"].as_py()) for p in parts.values) if parts.is_valid else ("", 0)
                 found.append((n, hashlib.sha256(joined.encode()).hexdigest()))
             yield _batch([batch.column(0), batch.column(1)], found, schema)
 
