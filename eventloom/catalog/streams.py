@@ -12,25 +12,39 @@ from eventloom.catalog.jobs import STATE, expired_sql, ready_in_time_sql
 from eventloom.catalog.joins import ACTIVE, JOINED_OBJECTS, joined_objects
 from eventloom.catalog.registry import SQL, query
 from eventloom.catalog.sources import ENCODED, order_changes
-from eventloom.catalog.windows import GAP, SESSIONS, SIZE, sliding_sql
+from eventloom.catalog.windows import GAP, ORDER, SESSIONS, SIZE, in_disorder, sliding_sql
 from eventloom.operators.changelog import latest_by_key
-from eventloom.operators.windows import tumbling
+from eventloom.operators.windows import tumbling, tumbling_end
 from eventloom.schemas import TABLES
 from eventloom.session import work_dir
-from eventloom.sources.feeds import file_feed
-from eventloom.sources.sinks import for_each_batch, log_changes, read_child, read_log, split_sink, topic_rows
+from eventloom.sources.feeds import file_feed, write_in_stages
+from eventloom.sources.sinks import (
+    for_each_batch,
+    log_changes,
+    read_child,
+    read_log,
+    split_sink,
+    topic_rows,
+    write_files,
+)
 from eventloom.streaming.flows import (
     asof_stream,
     first_occurrence_stream,
     last_seen_stream,
+    lookup_batches,
     monitor_stream,
     reassembly_stream,
     replay,
     replay_to_files,
     run_to_files,
+    seen_types_stream,
     session_stream,
     sliding_stream,
+    state_changes,
+    stored_list,
     stored_state,
+    stored_timers,
+    stream_time_stream,
 )
 
 FILES_PER_BATCH = 1000
@@ -140,6 +154,59 @@ def lookup_state_store(spark, sf_dir):
     return latest_by_key(stored, ["key"], ["n"])
 
 
+@query(
+    "lookup_state_store_map",
+    f"SELECT key, type, COUNT(*) AS n, MIN(arrival) AS first_arrival FROM {EVENTS} GROUP BY key, type",
+)
+def lookup_state_store_map(spark, sf_dir):
+    """A map store of which each micro-batch reads and writes only the entries of its rows."""
+    stream = B.shape_events(_stream(spark, sf_dir, "events")).select("key", "arrival", "type")
+    stored = run_to_files(spark, seen_types_stream(stream), work_dir(spark, "lookup_state_store_map"))
+    return latest_by_key(stored, ["key", "type"], ["n"])
+
+
+STAGES = 4
+# Views and errors change the table of a stage before its other events come.
+_STAGED = f"(SELECT *, arrival * {STAGES} // (SELECT MAX(arrival) + 1 FROM {EVENTS}) AS stage FROM {EVENTS})"
+
+
+@query(
+    "lookup_global_stream",
+    f"""SELECT e.key, e.arrival, e.type, arg_max(v.ts_ms, v.arrival) AS view_ms
+    FROM (SELECT * FROM {_STAGED} WHERE type NOT IN ('view','error')) e
+    LEFT JOIN (SELECT key, arrival, ts_ms, stage FROM {_STAGED} WHERE type = 'view') v
+      ON v.key = e.key AND v.stage <= e.stage GROUP BY ALL""",
+)
+def lookup_global_stream(spark, sf_dir):
+    """A global table that gets changes between micro-batches; a batch sees those that came before it."""
+    work = work_dir(spark, "lookup_global_stream")
+    e = B.events(spark, sf_dir).select("key", "ts_ms", "arrival", "type")
+    last = e.agg(F.max("arrival")).first()[0] or 0
+    layout = "key BIGINT, arrival BIGINT, view_ms BIGINT"
+    change = log_changes(f"{work}/log")
+    look_up = lookup_batches(work, f"{work}/log", layout, ["key"], ["arrival"], ["view_ms"])
+    others = e.where(~F.col("type").isin("view", "error")).select("key", "arrival", "type")
+    stream = file_feed(spark, f"{work}/feed", others.schema, streaming=True, max_files_per_batch=1)
+    for stage in range(STAGES):
+        own = F.expr(f"arrival * {STAGES} div {last + 1} = {stage}")
+        change(e.where(own & (F.col("type") == "view")).select("key", "arrival", F.col("ts_ms").alias("view_ms")), stage)
+        others.where(own).coalesce(1).write.mode("append").parquet(f"{work}/feed")
+        for_each_batch(stream, look_up, f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/out").drop("batch")
+
+
+@query("late_drop_stream", SQL["late_drop"])
+def late_drop_stream(spark, sf_dir):
+    """Stream time per source partition, carried from micro-batch to micro-batch, in six of them."""
+    work = work_dir(spark, "late_drop_stream")
+    rows = in_disorder(spark, sf_dir)
+    write_in_stages(rows, "late_arrival", 6, f"{work}/feed")
+    stream = file_feed(spark, f"{work}/feed", rows.schema, streaming=True, max_files_per_batch=1)
+    timed = stream_time_stream(stream, "source", ORDER, "ts_ms")
+    kept = timed.where(tumbling_end("ts_ms", SIZE) > F.col("stream_time")).drop("stream_time")
+    return run_to_files(spark, kept, work)
+
+
 @query("state_read", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key")
 def state_read(spark, sf_dir):
     work = work_dir(spark, "state_read")
@@ -149,6 +216,36 @@ def state_read(spark, sf_dir):
     return state.select(F.col("key.key").alias("key"), F.col("value.count").alias("n"))
 
 
+@query(
+    "state_timers",
+    f"""SELECT id, received_time, CASE WHEN counter >= 2 THEN greatest(sent_status_time, dr_status_time)
+      ELSE seen + 120000 END + 1 AS due FROM {STATE}""",
+)
+def state_timers(spark, sf_dir):
+    """Messages that the monitor still waits for before its feed is closed, and until when."""
+    work = work_dir(spark, "state_timers")
+    stream = _monitor_rows(_stream(spark, sf_dir, "orders"))
+    feed = replay(stream, _monitor_rows(B.table(spark, sf_dir, "orders")), "time", work, id="closing", feed="received")
+    write_files(monitor_stream(feed.stream), f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    records = stored_list(spark, f"{work}/checkpoint", "records").where("feed = 'received'")
+    first = records.groupBy("id").agg(F.min("time").alias("received_time"))
+    return first.join(stored_timers(spark, f"{work}/checkpoint"), "id")
+
+
+@query("state_changes", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key")
+def state_changes_query(spark, sf_dir):
+    """Counts as the last change of each key in the change feed of a stream's state."""
+    work = work_dir(spark, "state_changes")
+    rows = B.events(spark, sf_dir).select("key", "arrival")
+    write_in_stages(rows, "arrival", 3, f"{work}/feed")
+    stream = file_feed(spark, f"{work}/feed", rows.schema, streaming=True, max_files_per_batch=1)
+    counts = stream.groupBy("key").count()
+    for_each_batch(counts, log_changes(f"{work}/log"), f"{work}/checkpoint", "update").awaitTermination()
+    changes = state_changes(spark, f"{work}/checkpoint").where("change_type = 'update'")
+    last = changes.groupBy(F.col("key.key").alias("key")).agg(F.max_by("value.count", "batch_id").alias("n"))
+    return last
+
+
 @query("count_by_key_stream", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key HAVING COUNT(*) > 1")
 def count_by_key_stream(spark, sf_dir):
     """Update mode: each micro-batch logs its new counts, the table is the latest of each key."""

@@ -43,7 +43,7 @@ def win_tumbling_updates(spark, sf_dir):
 ORDER = ["late_arrival", "arrival"]
 
 
-def _in_disorder(spark, sf_dir):
+def in_disorder(spark, sf_dir):
     return shuffled(events(spark, sf_dir)).select("source", "key", "ts_ms", "arrival", "late_arrival")
 
 
@@ -54,7 +54,7 @@ TIMED = f"""(SELECT source, key, ts_ms, arrival, late_arrival, MAX(ts_ms) OVER (
 
 def _kept(spark, sf_dir, window_end, grace_ms=0):
     """The feed in disorder without its late rows."""
-    return drop_late(_in_disorder(spark, sf_dir), "source", ORDER, "ts_ms", window_end, grace_ms)
+    return drop_late(in_disorder(spark, sf_dir), "source", ORDER, "ts_ms", window_end, grace_ms)
 
 
 def _kept_sql(window_end, grace_ms=0):
@@ -87,7 +87,7 @@ def kept_for_sessions_sql(grace_ms=0, gap_ms=None, rounds=ROUNDS):
 
 
 def _kept_for_sessions(spark, sf_dir, grace_ms=0):
-    return drop_late_for_sessions(_in_disorder(spark, sf_dir), "source", ["key"], ORDER, "ts_ms", GAP, grace_ms)
+    return drop_late_for_sessions(in_disorder(spark, sf_dir), "source", ["key"], ORDER, "ts_ms", GAP, grace_ms)
 
 
 TUMBLING_END = f"ts_ms - ts_ms%{SIZE} + {SIZE}"
@@ -154,7 +154,7 @@ def sliding_open_sql(feed):
 def win_sliding(spark, sf_dir):
     # The few late rows hardly move the quantiles of a hot key.
     hot = hot_ranges(events(spark, sf_dir), ["key"], "ts_ms")
-    timed = with_stream_time(_in_disorder(spark, sf_dir), "source", ORDER, "ts_ms")
+    timed = with_stream_time(in_disorder(spark, sf_dir), "source", ORDER, "ts_ms")
     return sliding(timed, ["key"], "ts_ms", SIZE, F.col("stream_time") - SLIDING_GRACE, hot=hot)
 
 

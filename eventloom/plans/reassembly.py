@@ -207,9 +207,10 @@ def waiting_periods(
         return opened
     run = [*keys, "_run"]
     spans = runs.select(*keys, F.col("_run").alias("_at"), "_run", "window_end")
-    points = times.join(long.select(*keys).distinct(), keys, "left_semi").distinct()
-    inside = asof_join(points, spans, keys, "_at", ["_run", "window_end"], see_equal=True)
-    inside = inside.where((F.col("_at") <= F.col("window_end")) & (F.col("window_end") - F.col("_run") > after_ms))
+    points = written(times.join(long.select(*keys).distinct(), keys, "left_semi").distinct(), "points")
+    met = asof_join(points, spans, keys, "_at", ["_run", "window_end"], see_equal=True)
+    in_long = (F.col("_at") <= F.col("window_end")) & (F.col("window_end") - F.col("_run") > after_ms)
+    inside = written(met.where(in_long).select(*run, "_at"), "inside")
     # Backwards in time; a deadline comes before the times equal to it, which are not past it.
     looks = inside.select(
         *run,
@@ -242,9 +243,10 @@ def waiting_periods(
 def in_periods(
     parts: DataFrame, keys: Sequence[str], arrival: str = "sent_time", after_ms: int = EXPIRY_MS
 ) -> DataFrame:
-    """``parts`` with the ``opened_at`` of the group they fall into."""
+    """``parts`` with the ``opened_at`` of the group they fall into, as a table in the work folder: what follows
+    reads it several times."""
     periods = waiting_periods(parts, keys, arrival, after_ms).withColumn(arrival, F.col("opened_at"))
-    return asof_join(parts, periods, keys, arrival, ["opened_at"], see_equal=True)
+    return written(asof_join(parts, periods, keys, arrival, ["opened_at"], see_equal=True), "in-periods")
 
 
 def reassemble_in_time(
@@ -270,12 +272,20 @@ def expire(
     """
     group = [*keys, "opened_at"]
     placed = in_periods(parts, keys, arrival, after_ms).where(F.lit(now_ms) - F.col("opened_at") > after_ms)
-    early = _early_parts(placed, group, arrival)
-    counted = early.groupBy(*group, "group_size", "_sized_at").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_arrival").alias("completed_at")
-    )
-    complete = counted.where((F.col("n") == F.col("group_size")) & _size_was_known()).select(*group)
-    distinct = placed.select(*group, *PART).distinct()
+    distinct = placed.groupBy(*group, *PART).agg(F.min(arrival).alias("_arrival"))
+    sized_at = F.min(F.when(F.col("size") != 0, F.col("_arrival")))
+    summary = distinct.groupBy(*group).agg(_first_size("_arrival"), F.count(F.lit(1)).alias("n"), sized_at.alias("_sized_at"))
+    # A group whose first part told its size was complete as soon as it had as many parts.
+    large = summary.where((F.col("group_size") > 0) & (F.col("n") >= F.col("group_size")))
+    large = written(large.select(*group, (F.col("_sized_at") == F.col("opened_at")).alias("sure")), "large")
+    complete, unclear = large.where("sure").select(*group), large.where("NOT sure").select(*group)
+    if not unclear.isEmpty():
+        early = _early_parts(placed.join(unclear, group, "left_semi"), group, arrival)
+        counted = early.groupBy(*group, "group_size", "_sized_at").agg(
+            F.count(F.lit(1)).alias("n"), F.max("_arrival").alias("completed_at")
+        )
+        done = counted.where((F.col("n") == F.col("group_size")) & _size_was_known())
+        complete = complete.unionByName(done.select(*group))
     return distinct.join(complete, group, "left_anti").select(
         *group, "ind", "id", "provider_id", "text", F.lit(False).alias("full_message"), "sent_time"
     )

@@ -89,3 +89,18 @@ def json_feed(records: DataFrame, schema: T.StructType, *keep: str | Column) ->
     return decoded.select(
         F.col("_key").alias("record_key"), *[F.col(f"_value.`{f}`").alias(f) for f in fields], *kept
     )
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in whatever store Spark reads it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def write_in_stages(rows: DataFrame, order: str, stages: int, path: str) -> None:
+    """A finite feed as one file for each of ``stages`` equal stretches of the whole number ``order``, written one
+    after the other: a stream of one file per micro-batch takes them in that order."""
+    last = rows.agg(F.max(order)).first()[0] or 0
+    for stage in range(stages):
+        own = F.expr(f"`{order}` * {stages} div {last + 1} = {stage}")
+        rows.where(own).coalesce(1).write.mode("append").parquet(path)

@@ -5,8 +5,9 @@ Tumbling windows and interval joins are the batch operators on a watermarked str
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.changelog import latest_by_key
-from eventloom.operators.joins import asof_join
+from eventloom.operators.joins import asof_join, lookup
 from eventloom.operators.running import not_null
-from eventloom.sources.feeds import file_feed
+from eventloom.sources.feeds import exists, file_feed
 from eventloom.sources.sinks import read_log, write_files
 from eventloom.streaming import processors as P
 
@@ -202,13 +203,82 @@ def asof_batches(
     return act
 
 
+def with_store(
+    stream: DataFrame,
+    keys: Sequence[str],
+    fold: Callable[[tuple, Iterator, Any], Iterator],
+    output: str,
+    layout: str,
+    kind: str = "value",
+    map_layout: str | None = None,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """A user function per key and micro-batch with a store of its own that lasts.
+
+    ``fold(key, frames, store)`` takes pandas frames and gives frames of the layout ``output``; it may not
+    rely on an order of rows. ``store`` is a state of ``kind`` value or list, of rows of ``layout``, or
+    map, from rows of ``layout`` to rows of ``map_layout``. ``ttl_ms``, on the wall clock, bounds how long entries last.
+    """
+    if kind not in ("value", "list", "map") or (kind == "map") != (map_layout is not None):
+        raise ValueError("a store is a value, a list, or a map with a layout of its values")
+    machine = P.StoreFold(fold, kind, layout, map_layout, ttl_ms)
+    clock = "none" if ttl_ms is None else "processingTime"
+    keyed = stream.where(not_null(keys)).groupBy(*keys)
+    return keyed.transformWithStateInPandas(machine, output, "append", clock)
+
+
 def last_seen_stream(stream: DataFrame) -> DataFrame:
     """Per key and micro-batch: the count and latest record its store holds after it."""
-    return stream.where(not_null(["key"])).groupBy("key").transformWithStateInPandas(
-        P.LastSeen(), P.STORE_OUTPUT, "append", "none"
+    return with_store(stream, ["key"], P.last_seen, P.STORE_OUTPUT, P.STORE_STATE)
+
+
+def seen_types_stream(stream: DataFrame) -> DataFrame:
+    """Per key and micro-batch: how often each of its types came so far, and when first."""
+    return with_store(
+        stream, ["key"], P.seen_types, P.TYPES_OUTPUT, "type STRING", "map", "n BIGINT, first_arrival BIGINT"
+    )
+
+
+def stream_time_stream(
+    stream: DataFrame, partition: str, order: Sequence[str], ts: str, name: str = "stream_time"
+) -> DataFrame:
+    """``with_stream_time`` on a feed whose micro-batches come in order: the largest ``ts`` that the source
+    partition had seen when a row came. Unlike a watermark it is one for each partition and moves with
+    every row, so a filter on it drops the same rows however they fall into micro-batches."""
+    machine = P.StreamTime(list(order), ts, name, [*stream.columns, name])
+    layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    return stream.where(not_null([partition])).groupBy(partition).transformWithStateInPandas(
+        machine, f"{layout}, `{name}` BIGINT", "append", "none"
     )
 
 
+def lookup_batches(
+    root: str, log: str, layout: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str], how: str = "left"
+) -> Callable[[DataFrame, int], None]:
+    """Batch action: records with the row of their key in a table that changes while the stream runs.
+
+    The table is a change log (``log_changes``) that something else writes, rows of ``layout``. A micro-batch sees
+    the changes that were there when it first ran, and the same ones when it is repeated: which ones
+    is written down ahead of its output. The lookup replicates the table while that is small.
+    """
+
+    def act(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        noted = f"{root}/versions/batch={batch_id}"
+        if not exists(spark, noted):
+            changes = spark.read.schema(f"{layout}, batch BIGINT").parquet(log) if exists(spark, log) else None
+            last = changes.agg(F.max("batch")).first()[0] if changes is not None else None
+            spark.createDataFrame([(-1 if last is None else last,)], "version BIGINT").write.mode("overwrite").parquet(noted)
+        version = spark.read.parquet(noted).first().version
+        known = spark.createDataFrame([], layout)
+        if version >= 0:
+            known = read_log(spark, log, known.schema, keys, order, range(version + 1))
+        met = lookup(rows, known.select(*keys, *values), keys, how)
+        met.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    return act
+
+
 def run_to_files(spark: SparkSession, stream: DataFrame, work: str) -> DataFrame:
     """Run a stream over all that is available and read back what it wrote."""
     schema = stream.schema
@@ -217,5 +287,25 @@ def run_to_files(spark: SparkSession, stream: DataFrame, work: str) -> DataFrame
 
 
 def stored_state(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
-    """The state of a stream as a table: key and value structs as of its last commit."""
+    """The state of a stream as a table: key and value structs as of its last commit.
+
+    Options are those of the state source, as ``batchId``; a state machine also needs a ``stateVarName``.
+    """
     return spark.read.format("statestore").options(**options).load(checkpoint)
+
+
+def stored_list(spark: SparkSession, checkpoint: str, name: str, **options) -> DataFrame:
+    """A row for each entry of a list that a state machine holds, with its key's columns."""
+    held = stored_state(spark, checkpoint, stateVarName=name, **options)
+    return held.select("key.*", "list_element.*")
+
+
+def stored_timers(spark: SparkSession, checkpoint: str, name: str = "due", **options) -> DataFrame:
+    """The timers that a state machine waits for, with their key's columns."""
+    held = stored_state(spark, checkpoint, readRegisteredTimers="true", **options)
+    return held.select("key.*", F.col("expiration_timestamp_ms").alias(name))
+
+
+def state_changes(spark: SparkSession, checkpoint: str, since: int = 0, **options) -> DataFrame:
+    """What each micro-batch from ``since`` on wrote to the state: batch_id, change_type (update or delete), key, value."""
+    return stored_state(spark, checkpoint, readChangeFeed="true", changeStartBatchId=str(since), **options)

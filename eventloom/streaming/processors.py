@@ -432,26 +432,90 @@ class AsOf(StatefulProcessor):
         pass
 
 
-STORE_OUTPUT = "key BIGINT, n BIGINT, last_arrival BIGINT, last_type STRING"
+class StoreFold(StatefulProcessor):
+    """A user function with a keyed store that it reads and writes.
 
+    ``fold(key, frames, store)`` gets the rows of a key in a micro-batch as frames and gives frames;
+    ``store`` is the value, list or map state of ``kind``. ``ttl_ms`` forgets what was not written for so long.
+    """
 
-class LastSeen(StatefulProcessor):
-    """A keyed store read and written per micro-batch: how many records, and the latest one."""
+    def __init__(self, fold, kind: str, layout: str, map_layout: str | None, ttl_ms: int | None) -> None:
+        self.fold, self.kind = fold, kind
+        self.layout, self.map_layout, self.ttl_ms = layout, map_layout, ttl_ms
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("seen", "n BIGINT, last_arrival BIGINT, last_type STRING")
+        if self.kind == "value":
+            self.store = handle.getValueState("store", self.layout, self.ttl_ms)
+        elif self.kind == "list":
+            self.store = handle.getListState("store", self.layout, self.ttl_ms)
+        else:
+            self.store = handle.getMapState("store", self.layout, self.map_layout, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, arrival, kind = self.state.get() if self.state.exists() else (0, -1, None)
-        for frame in rows:
-            n += len(frame)
-            top = frame.loc[frame["arrival"].idxmax()]
-            if top["arrival"] > arrival:
-                arrival, kind = int(top["arrival"]), top["type"]
-        self.state.update((n, arrival, kind))
-        yield pd.DataFrame(
-            {"key": [key[0]], "n": [n], "last_arrival": [arrival], "last_type": [kind]}
-        )
+        yield from self.fold(key, rows, self.store)
 
     def close(self) -> None:
         pass
+
+
+class StreamTime(StatefulProcessor):
+    """Rows of a source partition with the largest ``ts`` that it had seen when each came, in ``order``.
+
+    The state is one number. The rows that a source partition has in a micro-batch are put in order together.
+    """
+
+    def __init__(self, order: list[str], ts: str, name: str, columns: list[str]) -> None:
+        self.order, self.ts, self.name, self.columns = order, ts, name, columns
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("top", "top BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(self.order, ignore_index=True)
+        top = self.state.get()[0] if self.state.exists() else None
+        times = frame[self.ts].astype("Int64").cummax().ffill()
+        if top is not None:
+            times = times.fillna(top).clip(lower=top)
+        if len(times) and not pd.isna(times.iloc[-1]):
+            self.state.update((int(times.iloc[-1]),))
+        frame[self.name] = times
+        yield frame[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+STORE_OUTPUT = "key BIGINT, n BIGINT, last_arrival BIGINT, last_type STRING"
+STORE_STATE = "n BIGINT, last_arrival BIGINT, last_type STRING"
+
+
+def last_seen(key, frames, store) -> Iterator[pd.DataFrame]:
+    """How many records of a key there were, and the latest one."""
+    n, arrival, kind = store.get() if store.exists() else (0, -1, None)
+    for frame in frames:
+        n += len(frame)
+        top = frame.loc[frame["arrival"].idxmax()]
+        if top["arrival"] > arrival:
+            arrival, kind = int(top["arrival"]), top["type"]
+    store.update((n, arrival, kind))
+    yield pd.DataFrame({"key": [key[0]], "n": [n], "last_arrival": [arrival], "last_type": [kind]})
+
+
+TYPES_OUTPUT = "key BIGINT, type STRING, n BIGINT, first_arrival BIGINT"
+
+
+def seen_types(key, frames, store) -> Iterator[pd.DataFrame]:
+    """How often each type of record came for a key, and when first; only the types of these rows are read and written."""
+    counts: dict[str, int] = {}
+    first: dict[str, int] = {}
+    for frame in frames:
+        for kind, group in frame.groupby("type")["arrival"]:
+            counts[kind] = counts.get(kind, 0) + len(group)
+            first[kind] = min(first.get(kind, group.min()), group.min())
+    rows = []
+    for kind, n in counts.items():
+        held, since = store.getValue((kind,)) if store.containsKey((kind,)) else (0, first[kind])
+        row = held + n, int(min(since, first[kind]))
+        store.updateValue((kind,), row)
+        rows.append((key[0], kind, *row))
+    yield pd.DataFrame(rows, columns=["key", "type", "n", "first_arrival"])

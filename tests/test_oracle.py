@@ -14,11 +14,14 @@ QUERIES = {name: query for name, query in entry.queries().items() if name in loa
 # Queries that run a stream.
 STREAMED = [
     "lookup_state_store",
+    "lookup_state_store_map",
     "sink_foreach",
     "sink_processor",
     "sink_topic",
     "src_earliest",
+    "state_changes",
     "state_read",
+    "state_timers",
     "stateful_processor",
     "timers",
 ]

@@ -1,6 +1,7 @@
 """Streams over several micro-batches: late rows, timers, repeated batches, and parity with batch."""
 
 import os
+import random
 import time
 
 import pytest
@@ -10,10 +11,10 @@ from pyspark.sql import types as T
 from eventloom.catalog import load, streams
 from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.joins import interval_join
-from eventloom.operators.windows import session, sliding, tumbling
+from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end
 from eventloom.plans import monitoring
 from eventloom.schemas import TOPIC_RECORD
-from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options
+from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options, write_in_stages
 from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink, write_files
 from eventloom.streaming import flows
 from oracle import compare, connect
@@ -326,3 +327,57 @@ def test_feeds(spark, work, rows):
     layout = spark.createDataFrame([], "v STRING").schema
     found = file_feeds_by_pattern(spark, work + "/*", "/(sent|status)-messages/", layout, "json")
     assert rows(found, "v") == [("sent-messages",), ("status-messages",)]
+
+
+@pytest.mark.parametrize("files", [1, 3, 6])
+def test_stream_time_per_source(spark, work, rows, files):
+    """The same rows are late however the feed is cut into micro-batches; a null time moves nothing."""
+    rng = random.Random(9)
+    data = [(i % 2, i, None if i == 3 else max(0, i * 20 + rng.randrange(-900, 300)), rng.choice("ab")) for i in range(200)]
+    df = spark.createDataFrame(data, "source INT, arrival BIGINT, ts_ms BIGINT, kind STRING")
+    write_in_stages(df, "arrival", files, work + "/in")
+    feed = file_feed(spark, work + "/in", df.schema, streaming=True, max_files_per_batch=1)
+    timed = flows.stream_time_stream(feed, "source", ["arrival"], "ts_ms")
+    kept = timed.where(tumbling_end("ts_ms", 500) > F.col("stream_time")).drop("stream_time")
+    want = drop_late(df, "source", ["arrival"], "ts_ms", tumbling_end("ts_ms", 500))
+    got = flows.run_to_files(spark, kept, work)
+    assert rows(got) == rows(want) and 0 < want.count() < len(data) - 1
+
+
+def test_store_of_a_user_function(spark, work, rows):
+    """A list store: each micro-batch sends its records that the key has not had, by value."""
+
+    def new_only(key, frames, store):
+        import pandas as pd
+
+        held = {r[0] for r in store.get()} if store.exists() else set()
+        new = {v for frame in frames for v in frame["arrival"].tolist()} - held
+        store.appendList([(v,) for v in sorted(new)])
+        yield pd.DataFrame({"key": [key[0]] * len(new), "arrival": sorted(new)})
+
+    write_batches(spark, work + "/in", EVENT, [(1, 0, 5), (1, 0, 6), (2, 0, 5)], [(1, 0, 6), (1, 0, 7), (None, 0, 1)])
+    feed = stream(spark, work + "/in", EVENT, ts=None)
+    stored = flows.with_store(feed, ["key"], new_only, "key BIGINT, arrival BIGINT", "arrival BIGINT", "list")
+    assert rows(flows.run_to_files(spark, stored, work + "/a")) == [(1, 5), (1, 6), (1, 7), (2, 5)]
+    with pytest.raises(ValueError):
+        flows.with_store(feed, ["key"], new_only, "key BIGINT", "arrival BIGINT", "map")
+    with pytest.raises(ValueError):
+        flows.with_store(feed, ["key"], new_only, "key BIGINT", "arrival BIGINT", "list", "n BIGINT")
+
+
+def test_global_table_changes_between_batches(spark, work, rows):
+    """A batch sees the changes before it; repeated, it sees the same ones again."""
+    layout = "key BIGINT, at BIGINT, name STRING"
+    change = log_changes(work + "/log")
+    act = flows.lookup_batches(work, work + "/log", layout, ["key"], ["at"], ["name"])
+    records = spark.createDataFrame([(1, 10), (2, 20)], "key BIGINT, n BIGINT")
+    act(records, 0)
+    change(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], layout), 0)
+    act(records, 1)
+    change(spark.createDataFrame([(1, 2, "A"), (2, 3, None)], layout), 1)
+    act(records, 1)
+    act(records, 2)
+    got = spark.read.parquet(work + "/out")
+    assert rows(got, "batch", "key", "name") == sorted(
+        [(0, 1, None), (0, 2, None), (1, 1, "a"), (1, 2, "b"), (2, 1, "A"), (2, 2, None)], key=repr
+    )
