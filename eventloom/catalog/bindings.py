@@ -189,15 +189,15 @@ def shape_messages(orders: DataFrame) -> DataFrame:
         wall_clock_millis(F.col("o_orderdate")).alias("t"),
         (F.col("o_custkey") % 97).cast("string").alias("provider_id"),
         F.concat(F.lit("x"), F.col("o_orderkey")).alias("ext_message_id"),
-        F.when(F.col("o_orderkey") % 8 != 1, F.concat(F.lit("9725"), F.col("o_custkey") % 10)).alias("from"),
-        F.concat(F.lit("9726"), F.col("o_custkey") % 10).alias("to"),
+        F.when(F.col("o_orderkey") % 8 != 1, F.concat(F.lit("31"), F.col("o_custkey") % 10)).alias("from"),
+        F.concat(F.lit("44"), F.col("o_custkey") % 10).alias("to"),
     )
 
 
 _MESSAGES = """(SELECT o_orderkey AS n, o_orderkey::VARCHAR AS id, epoch_us(o_orderdate)//1000 AS t,
   (o_custkey%97)::VARCHAR AS provider_id, 'x' || o_orderkey::VARCHAR AS ext_message_id,
-  CASE WHEN o_orderkey%8<>1 THEN '9725' || (o_custkey%10)::VARCHAR END AS "from",
-  '9726' || (o_custkey%10)::VARCHAR AS "to" FROM orders)"""
+  CASE WHEN o_orderkey%8<>1 THEN '31' || (o_custkey%10)::VARCHAR END AS "from",
+  '44' || (o_custkey%10)::VARCHAR AS "to" FROM orders)"""
 
 
 def received(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,17 +222,17 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sent_rows(messages: DataFrame) -> DataFrame:
-    """Three of four messages 10 ms later; some are sent twice, with or without a status to come,
+    """Four of five messages 12 ms later; some are sent twice, with or without a status to come,
     some come before their message was received."""
     n, t = F.col("n"), F.col("t")
     times = F.filter(
         F.array(
-            F.when(n % 25 == 1, t - 10).otherwise(t + 10),
-            F.when(((n % 6 == 0) & (n % 10 == 6)) | (n % 10 == 3), t + 15),
+            F.when(n % 25 == 1, t - 9).otherwise(t + 12),
+            F.when(((n % 7 == 4) & (n % 10 == 6)) | (n % 10 == 4), t + 21),
         ),
         lambda x: x.isNotNull(),
     )
-    rows = messages.where(n % 4 != 0).select(
+    rows = messages.where(n % 5 != 3).select(
         "id", "provider_id", "ext_message_id", "from", "to",
         F.lit("SENT").alias("status"), F.explode(times).alias("sent_time"),
     )
@@ -242,10 +242,10 @@ def sent_rows(messages: DataFrame) -> DataFrame:
 
 
 SENT = f"""(SELECT id, provider_id, ext_message_id, "from", "to", 'SENT' AS status,
-    CASE WHEN n%25=1 THEN t-10 ELSE t+10 END AS sent_time,
-    CASE WHEN n%25=1 THEN t-10 ELSE t+10 END AS arrival FROM {_MESSAGES} WHERE n%4<>0
-  UNION ALL SELECT id, provider_id, ext_message_id, "from", "to", 'SENT', t+15, t+15
-    FROM {_MESSAGES} WHERE n%4<>0 AND (n%6=0 AND n%10=6 OR n%10=3))"""
+    CASE WHEN n%25=1 THEN t-9 ELSE t+12 END AS sent_time,
+    CASE WHEN n%25=1 THEN t-9 ELSE t+12 END AS arrival FROM {_MESSAGES} WHERE n%5<>3
+  UNION ALL SELECT id, provider_id, ext_message_id, "from", "to", 'SENT', t+21, t+21
+    FROM {_MESSAGES} WHERE n%5<>3 AND (n%7=4 AND n%10=6 OR n%10=4))"""
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,12 +253,12 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_rows(messages: DataFrame) -> DataFrame:
-    """Delivery status 30 ms after the message; every seventh before the sent record, every
+    """Delivery status 40 ms after the message; every seventh before the sent record, every
     eleventh a minute too late for the match, some after the alert."""
     n, t = F.col("n"), F.col("t")
-    delay = F.when(n % 7 == 0, 2).when(n % 11 == 0, 60_011).when(n % 11 == 1, 60_010)
-    delay = delay.when(n % 11 == 2, 120_001).when(n % 11 == 3, 120_000).otherwise(30)
-    rows = messages.where((n % 4 != 0) & (n % 6 != 0)).select(
+    delay = F.when(n % 7 == 0, 2).when(n % 11 == 0, 60_013).when(n % 11 == 1, 60_012)
+    delay = delay.when(n % 11 == 2, 120_001).when(n % 11 == 3, 120_000).otherwise(40)
+    rows = messages.where((n % 5 != 3) & (n % 7 != 4)).select(
         "id", "provider_id", "ext_message_id", "from", "to",
         F.lit("DELIVERED").alias("status"), (t + delay).alias("status_time"),
     )
@@ -269,6 +269,6 @@ def status_rows(messages: DataFrame) -> DataFrame:
 
 STATUS = f"""(SELECT id, provider_id, ext_message_id, "from", "to", 'DELIVERED' AS status,
     t + d AS status_time, t + d AS arrival
-  FROM (SELECT *, CASE WHEN n%7=0 THEN 2 WHEN n%11=0 THEN 60011 WHEN n%11=1 THEN 60010
-      WHEN n%11=2 THEN 120001 WHEN n%11=3 THEN 120000 ELSE 30 END AS d
-    FROM {_MESSAGES} WHERE n%4<>0 AND n%6<>0))"""
+  FROM (SELECT *, CASE WHEN n%7=0 THEN 2 WHEN n%11=0 THEN 60013 WHEN n%11=1 THEN 60012
+      WHEN n%11=2 THEN 120001 WHEN n%11=3 THEN 120000 ELSE 40 END AS d
+    FROM {_MESSAGES} WHERE n%5<>3 AND n%7<>4))"""
