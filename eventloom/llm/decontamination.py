@@ -93,6 +93,7 @@ class Index:
             hashes = W.word_hashes(data, start, end, lower=True)
             self.words += [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         self.shingles = [_shingle_counts(w) for w in self.words]
+        self.known = [np.array(sorted(c), np.uint64) for c in self.shingles]
         found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for i, words in enumerate(self.words):
             running = _running_counts(words)
@@ -102,6 +103,13 @@ class Index:
         self.tables = {size: _Table(*map(np.concatenate, zip(*parts))) for size, parts in found.items()}
 
 
+    def common(self, item: int, shingles: np.ndarray) -> int:
+        """How many of these shingles the item has: no place among them has more in common with it."""
+        known = self.known[item]
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        return int(np.count_nonzero(known[at] == shingles))
+
+
 class _Table:
     """Fingerprints of one size, by the values and one-bit neighbours of their blocks."""
 
@@ -159,8 +167,14 @@ def matches(column, index: Index, percent: int) -> Iterator[tuple[int, int, int,
             candidates.update(zip(text[window].tolist(), table.item[row].tolist(), place.tolist()))
         best: dict[tuple[int, int], tuple[float, int]] = {}
         tried = set()
+        # Shingles from every word on; those of a place within a text are a stretch of them.
+        rolled = W.shingle_hashes(words, np.array([0, len(words)]))[0]
         for text, item, place in candidates:
             n = len(index.words[item])
+            if n >= W.SHINGLE_WORDS:
+                low, high = max(place - SHIFT, bounds[text]), min(place + n + SHIFT, bounds[text + 1])
+                if index.common(item, rolled[low : high - W.SHINGLE_WORDS + 1]) * 100 < percent * (n - W.SHINGLE_WORDS + 1):
+                    continue
             for moved in range(place - SHIFT, place + SHIFT + 1):
                 low, high = max(moved, bounds[text]), min(moved + n, bounds[text + 1])
                 if high <= low or (text, item, low, high) in tried:
