@@ -60,6 +60,20 @@ def index_list(spark, sf_dir):
     return reassembly.index_list(parts(spark, sf_dir), KEY)
 
 
+# Small enough that long messages have several texts.
+INDEXES = 5
+
+
+@query(
+    "index_text",
+    f"""SELECT key, shard, string_agg(ind::VARCHAR, ',' ORDER BY ind) AS indexes FROM (
+      SELECT key, ind, (ROW_NUMBER() OVER (PARTITION BY key ORDER BY ind) - 1) // {INDEXES} AS shard FROM {_DISTINCT})
+    GROUP BY key, shard""",
+)
+def index_text(spark, sf_dir):
+    return reassembly.index_text(parts(spark, sf_dir), KEY, INDEXES)
+
+
 @query(
     "udhi_passthrough",
     f"""SELECT key, id::SMALLINT AS id, provider_id::INTEGER AS provider_id, text, TRUE AS full_message,

@@ -37,6 +37,7 @@ from eventloom.streaming.flows import (
     replay,
     replay_to_files,
     run_to_files,
+    running_max_batches,
     seen_types_stream,
     session_stream,
     sliding_stream,
@@ -195,6 +196,20 @@ def lookup_global_stream(spark, sf_dir):
     return spark.read.parquet(f"{work}/out").drop("batch")
 
 
+@query("lookup_running_max_stream", SQL["lookup_running_max"])
+def lookup_running_max_stream(spark, sf_dir):
+    """One query keeps the largest time of each key, another reads its state."""
+    work = work_dir(spark, "lookup_running_max_stream")
+    rows = B.shuffled(B.events(spark, sf_dir)).select("key", "arrival", "late_arrival", "ts_ms")
+    write_in_stages(rows, "late_arrival", STAGES, f"{work}/feed")
+    stream = file_feed(spark, f"{work}/feed", rows.schema, streaming=True, max_files_per_batch=1)
+    tops = stream.groupBy("key").agg(F.max("ts_ms").alias("max"))
+    for_each_batch(tops, log_changes(f"{work}/tops"), f"{work}/one", "update").awaitTermination()
+    lift = running_max_batches(work, f"{work}/one", ["key"], ORDER, "ts_ms")
+    for_each_batch(stream, lift, f"{work}/two").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{work}/out").select(rows.columns)
+
+
 @query("late_drop_stream", SQL["late_drop"])
 def late_drop_stream(spark, sf_dir):
     """Stream time per source partition, carried from micro-batch to micro-batch, in six of them."""

@@ -295,3 +295,26 @@ def index_list(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, ind, n): the distinct parts of each group by index, a row for each index."""
     distinct = parts.where(not_null(keys)).select(*keys, *PART).distinct()
     return distinct.groupBy(*keys, "ind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Indexes in one text of ``index_text``.
+SHARD_PARTS = 10_000
+
+
+def index_text(parts: DataFrame, keys: Sequence[str], per_shard: int = SHARD_PARTS, **split) -> DataFrame:
+    """(keys, shard, indexes): the indexes of the distinct parts of each group in order, joined by commas; an index that
+    has several parts comes as often.
+
+    A group has a text for each ``per_shard`` parts, so none grows with its group. Parts are counted by index
+    before anything is brought together.
+    """
+    counts = index_list(parts, keys).withColumn("_at", F.col("ind").cast("bigint"))
+    placed = running(counts, keys, ["_at"], {"_end": ("sum", F.col("n"))}, **split)
+    first = F.col("_end") - F.col("n")
+    shards = F.sequence(F.expr(f"(_end - n) div {per_shard}"), F.expr(f"(_end - 1) div {per_shard}"))
+    each = placed.withColumn("shard", F.explode(shards))
+    end, start = (F.col("shard") + 1) * per_shard, F.col("shard") * per_shard
+    own = (F.least(F.col("_end"), end) - F.greatest(first, start)).cast("int")
+    listed = each.groupBy(*keys, "shard").agg(F.array_sort(F.collect_list(F.struct("ind", own.alias("times")))).alias("_parts"))
+    repeated = F.flatten(F.transform("_parts", lambda p: F.array_repeat(p["ind"].cast("string"), p["times"])))
+    return listed.select(*keys, "shard", F.array_join(repeated, ",").alias("indexes"))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from eventloom.functions.eventtime import field_time, with_event_time
 from eventloom.operators.changelog import latest_by_key
-from eventloom.operators.joins import asof_join, lookup
+from eventloom.operators.joins import asof_join, lookup, raise_to_running_max
 from eventloom.operators.running import not_null
 from eventloom.sources.feeds import exists, file_feed
 from eventloom.sources.sinks import read_log, write_files
@@ -49,6 +49,36 @@ def first_occurrence_stream(stream: DataFrame, keys: Sequence[str]) -> DataFrame
     return stream.where(not_null(keys)).dropDuplicates(list(keys))
 
 
+def first_occurrence_within(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key and stretch of event time: a key is forgotten when the watermark has passed its row by the
+    lateness, so the state holds the keys of that span alone. A key that comes again later is sent again."""
+    return stream.where(not_null(keys)).dropDuplicatesWithinWatermark(list(keys))
+
+
+def running_max_batches(
+    root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], ts: str
+) -> Callable[[DataFrame, int], None]:
+    """Batch action: ``ts`` of each record lifted to the largest value of its key, read from the state of another query.
+
+    That query keeps ``max(ts)`` per key over the same feed, cut into the same micro-batches, with its
+    ``checkpoint``; it must be a batch behind at most. Its state as of the batch before is what the
+    records of a batch start from, so the result is that of one query over the feed in order. Hot keys are split.
+    """
+
+    def act(rows: DataFrame, batch_id: int) -> None:
+        fed = rows.withColumn("_held", F.lit(False))
+        if batch_id > 0:
+            state = stored_state(rows.sparkSession, checkpoint, batchId=str(batch_id - 1))
+            held = state.select("key.*", F.col("value.max").alias(ts))
+            needed = held.join(rows.select(*keys).distinct(), list(keys), "left_semi")
+            first = {c: F.lit(-(1 << 62)).cast(rows.schema[c].dataType) for c in order}
+            fed = fed.unionByName(needed.withColumns({**first, "_held": F.lit(True)}), allowMissingColumns=True)
+        lifted = raise_to_running_max(fed, keys, order, ts).where("NOT _held").drop("_held")
+        lifted.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    return act
+
+
 def monitor_stream(
     rows: DataFrame, alert_after_ms: int = 120_000, clock: str = "eventTime"
 ) -> DataFrame:

@@ -147,6 +147,17 @@ def test_index_list(spark, rows):
     assert rows(R.index_list(df, ["key"])) == [("a", 0, 1), ("a", 2, 2)]
 
 
+@pytest.mark.parametrize("hot", [None, 2])
+def test_index_text(spark, rows, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(running, "HOT_ROWS", hot)
+    data = [("a", 3, i % 5, f"t{i % 9}", i) for i in range(40)] + [("b", 1, 12, "x", 1), ("b", 1, 3, "x", 1), ("b", 1, 3, "x", 1), (None, 1, 1, "x", 1)]
+    got = R.index_text(parts(spark, *data), ["key"], per_shard=7)
+    index = sorted(i % 5 for i in range(40))
+    want = [("a", n, ",".join(map(str, index[low : low + 7]))) for n, low in enumerate(range(0, 40, 7))]
+    assert rows(got) == sorted([*want, ("b", 0, "3,12")], key=repr)
+
+
 def feeds(spark, n=10):
     """The delivery funnel: order 0, 4, 8 never sent, 6 sent without status."""
     orders = [i for i in range(n)]

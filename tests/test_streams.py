@@ -381,3 +381,16 @@ def test_global_table_changes_between_batches(spark, work, rows):
     assert rows(got, "batch", "key", "name") == sorted(
         [(0, 1, None), (0, 2, None), (1, 1, "a"), (1, 2, "b"), (2, 1, "A"), (2, 2, None)], key=repr
     )
+
+
+def test_forgetting_duplicates(spark, work, rows):
+    """A repeat within the lateness is dropped, a later one sent again; keys long gone are no state any more."""
+    batches = [[(k, 1000 + 1000 * b, b) for k in range(50 * b, 50 * b + 60)] for b in range(6)]
+    write_batches(spark, work + "/in", EVENT, *batches, [(10_000, 90_000, 9)], [(0, 90_500, 10)])
+    feed = stream(spark, work + "/in", EVENT, lateness="2 seconds")
+    query = write_files(flows.first_occurrence_within(feed, ["key"]), work + "/out", work + "/checkpoint")
+    query.awaitTermination()
+    got = rows(file_feed(spark, work + "/out", feed.schema), "key")
+    assert got == sorted([*((k,) for k in range(310)), (10_000,), (0,)], key=repr)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) < 310 and held[-1] <= 2
