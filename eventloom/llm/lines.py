@@ -31,6 +31,10 @@ BATCHES = 4
 _BLANK = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HASH = ["line_a", "line_b"]
+# Rows of three numbers that are broadcast: a few megabytes.
+COMMON = 100_000
+# Makes Spark rely on the order of a bucket that is one file.
+_FILE_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def line_key(line: Column) -> Column:
@@ -61,53 +65,85 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fan_in: int = FAN_IN):
         self.spark = spark
         self.fan_in = fan_in
+        # As many as a shuffle has partitions, so that a batch is dealt out as the runs are.
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
 
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
 
     def _write(self, rows: DataFrame) -> str:
+        """``rows``, dealt out by their hashes, as a table of one sorted file for each bucket."""
         name = f"line_run_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (
-            rows.repartition(buckets, "line_a")
-            .write.option("path", work_dir(self.spark, "run"))
-            .bucketBy(buckets, "line_a")
-            .sortBy(*_HASH)
-            .saveAsTable(name)
-        )
+        path = work_dir(self.spark, "run")
+        rows.write.option("path", path).bucketBy(self.buckets, *_HASH).sortBy(*_HASH).saveAsTable(name)
         return name
 
+    def merged(self, one: str, other: str) -> DataFrame:
+        """The rows of two runs, which have none in common, merged bucket by bucket."""
+        a, b = self.spark.table(one).alias("a"), self.spark.table(other).alias("b")
+        same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in _HASH]
+        both = a.join(b.hint("merge"), same, "full_outer")
+        return both.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in _HASH])
+
     def _push(self, rows: DataFrame, level: int = 0) -> None:
         if len(self.levels) == level:
             self.levels.append([])
         self.levels[level].append(self._write(rows))
         if len(self.levels[level]) == self.fan_in:
             full, self.levels[level] = self.levels[level], []
-            self._push(reduce(DataFrame.unionAll, map(self.spark.table, full)), level + 1)
-            for name in full:
-                self.spark.sql(f"DROP TABLE {name}")
+            while len(full) > 2:
+                one, other = full.pop(), full.pop()
+                full.append(self._write(self.merged(one, other)))
+                self._drop(one, other)
+            self._push(self.merged(*full) if len(full) == 2 else self.spark.table(*full), level + 1)
+            self._drop(*full)
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """(key, version, pos) of the lines to drop from this batch, whose lines join the runs."""
-        seen = lines.groupBy(*_HASH).agg(F.min("key").alias("owner"), F.max("key").alias("last"))
-        fresh = seen
-        for run in self.runs():
-            fresh = fresh.join(run.hint("merge"), _HASH, "left_anti")
-        known = [seen.join(run.hint("merge"), _HASH, "left_semi").select(*_HASH, F.lit(None).alias("owner")) for run in self.runs()]
-        shared = fresh.where(F.col("owner") < F.col("last")).select(*_HASH, "owner")
-        marked = reduce(DataFrame.unionByName, [shared, *known])
-        # One row for each repeated line: a line that very many documents hold is split on the other side.
-        repeated = lines.join(marked, _HASH)
+        """(key, version, pos) of the lines to drop from this batch, whose lines join the runs.
+
+        The batch's different lines are dealt out once, like a run. Joins with the runs then need no
+        exchange, and no sort, as each bucket is one sorted file."""
+        trusted = self.spark.conf.get(_FILE_ORDER)
+        self.spark.conf.set(_FILE_ORDER, "true")
+        try:
+            return self._add(lines)
+        finally:
+            self.spark.conf.set(_FILE_ORDER, trusted)
+
+    def _add(self, lines: DataFrame) -> DataFrame:
+        counts = [F.min("key").alias("owner"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n")]
+        batch = self._write(lines.groupBy(*_HASH).agg(*counts).repartition(self.buckets, *_HASH))
+        seen = self.spark.table(batch)
+        fresh = self.unseen(seen)
+        known = [seen.join(run.hint("merge"), _HASH, "left_semi").select(*_HASH, "n", F.lit(None).alias("owner")) for run in self.runs()]
+        shared = fresh.where(F.col("owner") < F.col("last")).select(*_HASH, "n", "owner")
+        marked = written(reduce(DataFrame.unionByName, [shared, *known]), "marked")
+        # The most frequent of the repeated lines, which are sent to all; each other one holds under 1 / COMMON of the lines.
+        common = marked.orderBy(F.desc("n"), *_HASH).limit(COMMON).select(*_HASH, "owner")
+        rare = marked.select(*_HASH, "owner").join(F.broadcast(common.select(*_HASH)), _HASH, "left_anti")
+        repeated = lines.join(F.broadcast(common), _HASH)
+        if marked.count() > COMMON:
+            rest = lines.join(F.broadcast(common.select(*_HASH)), _HASH, "left_anti")
+            repeated = repeated.unionByName(rest.join(rare, _HASH))
         drops = repeated.where(F.col("owner").isNull() | (F.col("key") > F.col("owner")))
         drops = written(drops.select("key", "version", "pos"), "line-drops")
         self._push(fresh.select(*_HASH))
+        self._drop(batch)
         return drops
 
+    def unseen(self, lines: DataFrame) -> DataFrame:
+        """Rows of a table dealt out like the runs that are in none of them."""
+        for run in self.runs():
+            lines = lines.join(run.hint("merge"), _HASH, "left_anti")
+        return lines
+
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
+
     def close(self) -> None:
-        for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
+        self._drop(*(name for level in self.levels for name in level))
         self.levels = []
 
 

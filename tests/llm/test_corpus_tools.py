@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm import alignment, queries, urls, whitening
+from eventloom.llm import alignment, lines, queries, urls, whitening
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -282,3 +282,32 @@ def test_url_verdicts_without_rules_or_urls(spark):
 def test_url_plan_is_native(spark):
     plan = queries.url_filters(spark, SF_DIR)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# -- runs of lines
+
+
+def test_runs_meet_without_exchange(spark):
+    """A batch that is dealt out like the runs meets them, and runs are merged, bucket by bucket."""
+    runs = lines.LineRuns(spark, fan_in=3)
+
+    def dealt(ids):
+        return ids.select(F.xxhash64("id").alias("line_a"), F.xxhash64("id", F.lit(1)).alias("line_b")).repartition(runs.buckets, "line_a", "line_b")
+
+    for low in (0, 500, 900):
+        runs._push(runs.unseen(spark.table(runs._write(dealt(spark.range(low, low + 700))))))
+    for low in (1500, 100):
+        runs._push(runs.unseen(spark.table(runs._write(dealt(spark.range(low, low + 200))))))
+    assert [len(level) for level in runs.levels] == [2, 1]
+    assert sum(run.count() for run in runs.runs()) == 1700
+    batch = spark.table(runs._write(dealt(spark.range(1600, 2000))))
+    spark.conf.set(lines._FILE_ORDER, "true")
+    try:
+        found = runs.unseen(batch)
+        assert found.count() == 300
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, runs.merged(*runs.levels[0]))]
+    finally:
+        spark.conf.set(lines._FILE_ORDER, "false")
+    for plan in plans:
+        assert "SortMergeJoin" in plan and "Sort " not in plan and "Exchange" not in plan
+    runs.close()
