@@ -86,8 +86,7 @@ def simulated_periods(data, after):
     return sorted(ready), sorted(expired)
 
 
-@pytest.mark.parametrize("hot", [None, 3])
-@pytest.mark.parametrize("after", [0, 30, 200])
+@pytest.mark.parametrize(("after", "hot"), [(0, None), (30, 3), (200, None)])
 def test_periods(spark, rows, monkeypatch, after, hot):
     """Groups that expire and open again, complete late, or get more parts than announced."""
     if hot:

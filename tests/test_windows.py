@@ -152,8 +152,10 @@ def simulated_sessions(data, gap, grace):
     return sorted(kept), sorted((k, *s) for (_, k), held in sessions.items() for s in held)
 
 
-@pytest.mark.parametrize("hot", [None, 3])
-@pytest.mark.parametrize(("gap", "grace", "spread"), [(0, 0, 30), (1, 5, 40), (20, 0, 60), (20, 30, 300), (90, 10, 600)])
+@pytest.mark.parametrize(
+    ("gap", "grace", "spread", "hot"),
+    [(0, 0, 30, None), (1, 5, 40, None), (20, 0, 60, 3), (20, 30, 300, None), (90, 10, 600, None), (90, 10, 600, 3)],
+)
 def test_late_rows_join_open_sessions(spark, rows, monkeypatch, gap, grace, spread, hot):
     if hot:
         monkeypatch.setattr(running, "HOT_ROWS", hot)
