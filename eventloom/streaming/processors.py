@@ -8,6 +8,7 @@ shipped to the executors by value and uses nothing of this package.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -168,6 +169,10 @@ def _by_arrival(part: dict) -> tuple:
     return tuple((part[f] is not None, part[f]) for f in order)
 
 
+# Parts of a micro-batch that are looked up together.
+READ_PARTS = 10_000
+
+
 class Reassembly(StatefulProcessor):
     """Collect the distinct parts of a message; send it as it was when it first became complete,
     send its parts one by one when that has not been ``expire_after_ms`` after its first part.
@@ -178,7 +183,8 @@ class Reassembly(StatefulProcessor):
     ``sent_time`` within a micro-batch, and the age counts from when the first one was.
 
     Parts lie in a map state, keyed by the whole part, and are read together only when there are
-    as many as the announced size, a SMALLINT, or the group expires.
+    as many as the announced size, a SMALLINT, or the group expires, or when a micro-batch brings as many as
+    are held: one read then tells which are new, instead of a call for each.
     """
 
     def __init__(self, expire_after_ms: int, wall_clock: bool) -> None:
@@ -196,14 +202,28 @@ class Reassembly(StatefulProcessor):
     def _held(self) -> list[dict]:
         return sorted((dict(zip(PART_FIELDS, p)) for p in self.parts.keys()), key=_by_arrival)
 
+    def _told_apart(self, rows, n: int) -> Iterator[tuple]:
+        """Each part, its values, and the set of the parts held: of all of them, or of those that come."""
+        rows = iter(rows)
+        while chunk := [(part, tuple(part[f] for f in PART_FIELDS)) for part in islice(rows, READ_PARTS)]:
+            coming = {values for _, values in chunk}
+            if n <= len(coming):
+                known = {tuple(p) for p in self.parts.keys()} if self.parts.exists() else set()
+            else:
+                known = {values for values in coming if self.parts.containsKey(values)}
+            before = len(known)
+            for part, values in chunk:
+                yield part, values, known
+            n += len(known) - before
+
     def _add(self, key, rows, now: int | None, reached: int) -> Iterator[Row]:
         size, size_time, size_ind, n, first_seen, sent = (
             self.group.get() if self.group.exists() else (0, None, None, 0, now, False)
         )
-        for part in rows:
-            values = tuple(part[f] for f in PART_FIELDS)
-            if not self.parts.containsKey(values):
+        for part, values, known in self._told_apart(rows, n):
+            if values not in known:
                 self.parts.updateValue(values, (True,))
+                known.add(values)
                 n += 1
             position = (part["sent_time"], part["ind"])
             if part["size"] and (not size or (now is None and position < (size_time, size_ind))):
