@@ -36,13 +36,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once; those without an id stay."""
+    """The document with the smallest id of each group of near duplicates, once; those without an id stay.
+
+    Of rows with one id that stays the first by hash of the text, then by the text, then by a hash of all columns."""
     repeated = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     kept = docs.join(small(written(repeated, "repeated")), "doc_id", "left_anti")
     twice = kept.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
     twice = small(written(twice, "twice"))
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    rows = kept.join(twice, "doc_id", "left_semi").select("doc_id", F.struct(*docs.columns).alias("row"))
+    order = F.struct(F.xxhash64("row.text"), "row.text", F.xxhash64("row"))
+    once = rows.groupBy("doc_id").agg(F.min_by("row", order).alias("row")).select("row.*")
+    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
