@@ -23,11 +23,11 @@ def count_final(spark, sf_dir):
     return count_by_key(events(spark, sf_dir), ["key"], min_count=2)
 
 
-@query(
-    "count_by_key_updates",
-    f"""SELECT key, arrival, n FROM (SELECT key, arrival,
-      ROW_NUMBER() OVER (PARTITION BY key ORDER BY arrival) AS n FROM {EVENTS}) WHERE n > 1""",
-)
+COUNTS = f"""SELECT key, arrival, n FROM (SELECT key, arrival,
+  ROW_NUMBER() OVER (PARTITION BY key ORDER BY arrival) AS n FROM {EVENTS}) WHERE n > 1"""
+
+
+@query("count_by_key_updates", COUNTS)
 def count_all(spark, sf_dir):
     e = events(spark, sf_dir).select("key", "arrival")
     return count_updates(e, ["key"], ["arrival"], min_count=2)

@@ -20,12 +20,14 @@ from eventloom.plans.sections import active_events, not_page_views, settled_even
 
 
 def _timed(feed, kind, prefix):
+    """Events of a kind; on a stream their time is the watermarked ``ts``, so that state is let go."""
     rows = feed.where(F.col("type") == kind)
+    time = F.col("ts") if "ts" in feed.columns else F.timestamp_millis("ts_ms")
     return rows.select(
         "key",
         F.col("arrival").alias(f"{prefix}_arrival"),
         F.col("type").alias(f"{prefix}_value"),
-        F.timestamp_millis("ts_ms").alias(f"{prefix}_ts"),
+        time.alias(f"{prefix}_ts"),
     )
 
 

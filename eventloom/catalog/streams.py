@@ -7,6 +7,7 @@ the largest event time, so windows and timers up to it are closed; the SQL says
 from pyspark.sql import functions as F
 
 from eventloom.catalog import bindings as B
+from eventloom.catalog.aggregates import COUNTS
 from eventloom.catalog.bindings import EVENTS, HOUR_MS, PARTS, RECEIVED, SENT, SLOW_PARTS, STATUS
 from eventloom.catalog.jobs import STATE, expired_sql, ready_in_time_sql
 from eventloom.catalog.joins import ACTIVE, JOINED_OBJECTS, joined_objects
@@ -28,8 +29,10 @@ from eventloom.sources.sinks import (
     write_files,
 )
 from eventloom.streaming.flows import (
+    asof_batches,
     asof_stream,
     first_occurrence_stream,
+    in_order,
     last_seen_stream,
     lookup_batches,
     monitor_stream,
@@ -47,6 +50,7 @@ from eventloom.streaming.flows import (
     stored_timers,
     stream_time_stream,
 )
+from eventloom.streaming.held import InOrder, running_batches
 
 FILES_PER_BATCH = 1000
 MAX_TS = f"(SELECT MAX(ts_ms) FROM {EVENTS})"
@@ -298,6 +302,55 @@ def win_tumbling_stream(spark, sf_dir):
     return replay_to_files(spark, feed, tumbling(feed.stream, ["key"], "ts", SIZE))
 
 
+# One event of eleven is held up by half the feed; micro-batches are stretches of what is left.
+DELAYED_STAGES = 6
+DAY_MS = 24 * HOUR_MS
+DELAYED = f"""(SELECT *, delayed * {DELAYED_STAGES} // (MAX(delayed) OVER () + 1) AS stage FROM (
+  SELECT *, arrival + CASE WHEN arrival % 11 = 0 THEN (SELECT MAX(arrival) + 1 FROM {EVENTS}) // 2 ELSE 0 END AS delayed
+  FROM {EVENTS}))"""
+
+
+def _watermark_sql(top, back):
+    """The watermark, a day behind, that micro-batch ``stage`` has, or had ``back`` batches before; NULL if none yet."""
+    return f"""(SELECT CASE WHEN {top} > {DAY_MS} THEN {top} - {DAY_MS} END FROM {DELAYED} w WHERE w.stage < d.stage - {back})"""
+
+
+def _delayed(spark, sf_dir, work):
+    """The feed with held-up events as a stream with a watermark a day behind, a micro-batch for each stage."""
+    e = B.events(spark, sf_dir).select("key", "ts_ms", "arrival", "type")
+    half = ((e.agg(F.max("arrival")).first()[0] or 0) + 1) // 2
+    feed = e.withColumn("delayed", F.col("arrival") + F.when(F.col("arrival") % 11 == 0, half).otherwise(0))
+    write_in_stages(feed, "delayed", DELAYED_STAGES, f"{work}/feed")
+    stream = file_feed(spark, f"{work}/feed", feed.schema, streaming=True, max_files_per_batch=1)
+    return in_order(stream, "ts_ms", DAY_MS)
+
+
+_END = f"(ts_ms - ts_ms % {SIZE} + {SIZE})"
+
+
+@query(
+    "win_tumbling_late_stream",
+    f"""SELECT key, {_END} - {SIZE} AS window_start, {_END} AS window_end, COUNT(*) AS counter FROM {DELAYED} d
+    WHERE COALESCE({_END} > {_watermark_sql("MAX(w.ts_ms)", 1)}, true) AND {_END} <= {MAX_TS} - {DAY_MS} GROUP BY ALL""",
+)
+def win_tumbling_late_stream(spark, sf_dir):
+    """Windows as they are closed by the watermark; an event whose window the batch before has closed is dropped."""
+    work = work_dir(spark, "win_tumbling_late_stream")
+    return run_to_files(spark, tumbling(_delayed(spark, sf_dir, work), ["key"], "ts", SIZE), work)
+
+
+# Each side of the join has a watermark of its own, and the lower one holds.
+_SIDES = "least(MAX(w.ts_ms) FILTER (w.type = 'click'), MAX(w.ts_ms) FILTER (w.type = 'purchase'))"
+_IN_TIME = f"(SELECT * FROM {DELAYED} d WHERE COALESCE(ts_ms > {_watermark_sql(_SIDES, 1)}, true))"
+
+
+@query("join_interval_late_stream", JOINED_OBJECTS.replace(EVENTS, _IN_TIME))
+def join_interval_late_stream(spark, sf_dir):
+    """Pairs of what comes in time; an event behind the watermark of the batch before meets nothing."""
+    work = work_dir(spark, "join_interval_late_stream")
+    return run_to_files(spark, joined_objects(_delayed(spark, sf_dir, work)), work)
+
+
 @query(
     "win_session_stream",
     f"SELECT * FROM {SESSIONS} WHERE window_end + {GAP} <= {MAX_TS}",
@@ -320,24 +373,61 @@ def join_interval_stream(spark, sf_dir):
     return replay_to_files(spark, feed, joined_objects(feed.stream))
 
 
+def _events_and_updates(feed):
+    """Events, and page views as updates of a table, in one feed."""
+    e, views = B.events_and_views(feed)
+    return e.withColumn("is_update", F.lit(False)).unionByName(
+        views.withColumn("is_update", F.lit(True)), allowMissingColumns=True
+    )
+
+
 @query(
     "join_stream_table_stream",
     f"SELECT * FROM ({ACTIVE}) WHERE arrival < (SELECT MAX(arrival) FROM {EVENTS})",
 )
 def join_stream_table_stream(spark, sf_dir):
-    def both(rows):
-        e, views = B.events_and_views(B.shape_events(rows))
-        return e.withColumn("is_update", F.lit(False)).unionByName(
-            views.withColumn("is_update", F.lit(True)), allowMissingColumns=True
-        )
-
     work = work_dir(spark, "join_stream_table_stream")
-    stream, rows = both(_stream(spark, sf_dir, "events")), both(B.table(spark, sf_dir, "events"))
+    stream = _events_and_updates(B.shape_events(_stream(spark, sf_dir, "events")))
+    rows = _events_and_updates(B.events(spark, sf_dir))
     feed = replay(stream, rows, "arrival", work, key=-1, is_update=True)
     met = asof_stream(feed.stream, "key", "arrival", ["view_ms"], tombstone="view_ms")
     return replay_to_files(spark, feed, met.where(F.col("ts_ms") > F.col("view_ms")))
 
 
+# ``late_arrival`` is at most so much later than ``arrival``.
+DISORDER = 49
+
+
+def _in_order(spark, feed, work, act):
+    """Run ``act`` over a table in order of ``arrival``, as a stream that comes in order of ``late_arrival``."""
+    write_in_stages(feed, "late_arrival", STAGES, f"{work}/feed")
+    stream = file_feed(spark, f"{work}/feed", feed.schema, streaming=True, max_files_per_batch=1)
+    ordered = InOrder(f"{work}/held", "arrival", DISORDER, act)
+    for_each_batch(stream, ordered, f"{work}/checkpoint").awaitTermination()
+    ordered.close(spark, feed.schema)
+
+
+@query("count_updates_stream", COUNTS)
+def count_updates_stream(spark, sf_dir):
+    """Counts in order of arrival of a feed in disorder, carried in tables, so that hot keys are split."""
+    work = work_dir(spark, "count_updates_stream")
+    feed = B.shuffled(B.events(spark, sf_dir)).select("key", "arrival", "late_arrival")
+    _in_order(spark, feed, work, running_batches(work, ["key"], ["arrival"], {"n": ("sum", F.lit(1))}))
+    counted = spark.read.schema("key BIGINT, arrival BIGINT, n BIGINT").parquet(f"{work}/out")
+    return counted.drop("batch").where(F.col("n") > 1)
+
+
+@query("join_stream_table_split_stream", ACTIVE)
+def join_stream_table_split_stream(spark, sf_dir):
+    """The as-of join of a feed in disorder with its table in a change log, so that hot keys are split."""
+    work = work_dir(spark, "join_stream_table_split_stream")
+    feed = _events_and_updates(B.events(spark, sf_dir))
+    feed = feed.withColumn("late_arrival", F.col("arrival") + F.col("arrival") * 7919 % 50)
+    _in_order(spark, feed, work, asof_batches(work, ["key"], "arrival", ["view_ms"], tombstone="view_ms"))
+    layout = "key BIGINT, ts_ms BIGINT, arrival BIGINT, type STRING, view_ms BIGINT"
+    return spark.read.schema(layout).parquet(f"{work}/out").drop("batch").where(F.col("ts_ms") > F.col("view_ms"))
+
+
 @query("first_occurrence_stream", f"SELECT DISTINCT key, type FROM {EVENTS}")
 def first_seen_stream(spark, sf_dir):
     stream = B.shape_events(_stream(spark, sf_dir, "events")).select("key", "type")

@@ -91,7 +91,7 @@ def _cut(rows: DataFrame, order: str) -> DataFrame:
     return placed.drop("_cuts", "_chunks", "_below")
 
 
-def _partial(kind: str, col: Column, order: Column) -> Column:
+def partial_value(kind: str, col: Column, order: Column) -> Column:
     if kind == "sum":
         return F.sum(col)
     if kind == "max":
@@ -134,7 +134,7 @@ def running(
 
     position = F.struct(*[F.col(c) for c in order])
     partial = split.groupBy(*keys, _CHUNK).agg(
-        *[_partial(kind, F.col(f"_in_{n}"), position).alias(f"_in_{n}") for n, (kind, _) in outputs.items()]
+        *[partial_value(kind, F.col(f"_in_{n}"), position).alias(f"_in_{n}") for n, (kind, _) in outputs.items()]
     )
     before = W.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
     carry = partial.select(

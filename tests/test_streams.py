@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from eventloom.catalog import load, streams
 from eventloom.functions.eventtime import field_time, with_event_time
-from eventloom.operators.joins import interval_join
+from eventloom.operators import running
+from eventloom.operators.joins import asof_join, interval_join
 from eventloom.operators.windows import drop_late, session, sliding, tumbling, tumbling_end
 from eventloom.plans import monitoring
 from eventloom.schemas import TOPIC_RECORD
 from eventloom.sources.feeds import feeds_by_pattern, file_feed, file_feeds_by_pattern, kafka_options, write_in_stages
 from eventloom.sources.sinks import compact_log, for_each_batch, log_changes, read_child, read_log, split_sink, write_files
-from eventloom.streaming import flows
+from eventloom.streaming import flows, held
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -394,3 +395,97 @@ def test_forgetting_duplicates(spark, work, rows):
     assert got == sorted([*((k,) for k in range(310)), (10_000,), (0,)], key=repr)
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
     assert max(held) < 310 and held[-1] <= 2
+
+
+def hot_feed(n=1200):
+    """Nine tenths of the rows have one key; ``arrival`` is out of order by at most 40."""
+    rng = random.Random(11)
+    rows = [(1 if rng.random() < 0.9 else rng.randrange(2, 9), i, rng.randrange(1000)) for i in range(n)]
+    return sorted(rows, key=lambda r: r[1] + rng.randrange(40))
+
+
+def test_hot_keys_of_a_stream(spark, work, rows, monkeypatch):
+    """Running values and as-of joins over a feed in disorder, each micro-batch twice, one key cut into chunks."""
+    monkeypatch.setattr(running, "HOT_ROWS", 50)
+    cut, chunks = running._cut, []
+
+    def watched(frame, order):
+        chunks.append(cut(frame, order))
+        return chunks[-1]
+
+    monkeypatch.setattr(running, "_cut", watched)
+    layout = "key BIGINT, arrival BIGINT, amount BIGINT, view_ms BIGINT, is_update BOOLEAN"
+    # A view without a time takes back the one before.
+    data = [(k, a, v, v if v % 3 else None, a % 5 == 0) for k, a, v in hot_feed()]
+    write_batches(spark, work + "/in", layout, *[data[i : i + 300] for i in range(0, 1200, 300)])
+    feed, table = stream(spark, work + "/in", layout, None), spark.createDataFrame(data, layout)
+    outputs = {
+        "n": ("sum", F.lit(1)), "total": ("sum", F.col("amount")), "top": ("max", F.col("amount")),
+        "least": ("min", F.col("amount")), "seen": ("last", F.col("view_ms")),
+    }
+
+    def run(name, act):
+        ordered = held.InOrder(f"{work}/{name}/held", "arrival", 40, act)
+
+        def twice(df, batch):
+            ordered(df, batch)
+            ordered(df, batch)
+
+        for_each_batch(feed, twice, f"{work}/{name}/c").awaitTermination()
+        ordered.close(spark, table.schema)
+        assert ordered.late(spark, table.schema).count() == 0
+        return spark.read.parquet(f"{work}/{name}/out").drop("batch")
+
+    got = run("sums", held.running_batches(f"{work}/sums", ["key"], ["arrival"], outputs, snapshot_every=2))
+    # The rows and carries of the last micro-batch; each call cuts twice, and closing is one more.
+    sizes = [r["count"] for r in chunks[-3].where("key = 1").groupBy("_chunk").count().collect()]
+    assert len(sizes) > 3 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    columns = ["key", "arrival", *outputs]
+    assert rows(got, *columns) == rows(running.running(table, ["key"], ["arrival"], outputs), *columns)
+
+    values = {"how": "left", "tombstone": "view_ms"}
+    act = flows.asof_batches(f"{work}/asof", ["key"], "arrival", ["view_ms"], 2, **values)
+    columns = ["key", "arrival", "amount", "view_ms"]
+    events = table.where("NOT is_update").drop("view_ms", "is_update")
+    want = asof_join(events, table.where("is_update"), ["key"], "arrival", ["view_ms"], **values)
+    assert rows(run("asof", act), *columns) == rows(want, *columns)
+
+
+def test_rows_in_order(spark, work, rows):
+    """Rows wait until no smaller one can come; later ones and those without a position are kept aside."""
+    layout = "key BIGINT, arrival BIGINT, n BIGINT"
+    write_batches(
+        spark, work + "/in", layout,
+        [(1, 10, 0), (1, 3, 1), (None, 4, 2)], [(1, 5, 3), (1, 4, 4), (1, None, 5), (2, 30, 6)], [(2, 24, 7), (2, 25, 8), (1, 9, 9)],
+    )
+    given = []
+    ordered = held.InOrder(f"{work}/held", "arrival", 5, lambda df, batch: given.append((batch, rows(df, "arrival", "n"))))
+    table = spark.createDataFrame([], layout)
+    for_each_batch(stream(spark, work + "/in", layout, None), ordered, work + "/c").awaitTermination()
+    ordered.close(spark, table.schema)
+    assert given == [(0, [(3, 1), (4, 2)]), (1, [(10, 0), (5, 3)]), (2, []), (3, [(25, 8), (30, 6)])]
+    assert rows(ordered.late(spark, table.schema), "n") == [(4,), (5,), (7,), (9,)]
+
+
+def test_running_batches_of_decimals_and_nulls(spark, work, rows):
+    """The carry keeps its type; a key without a value yet has none; rows without a key are dropped."""
+    layout = "key BIGINT, arrival BIGINT, amount DECIMAL(10,2)"
+    act = held.running_batches(f"{work}/a", ["key"], ["arrival"], {"total": ("sum", F.col("amount")), "last": ("last", F.col("amount"))}, 2)
+    for batch, row in enumerate([(1, 1, None), (1, 2, 5), (None, 3, 6), (1, 4, 7), (1, 5, None)]):
+        act(spark.createDataFrame([row], "key BIGINT, arrival BIGINT, amount INT").select("key", "arrival", F.col("amount").cast("decimal(10,2)").alias("amount")), batch)
+    act(spark.createDataFrame([], layout), 5)
+    got = spark.read.parquet(f"{work}/a/out").selectExpr("key", "arrival", "CAST(total AS INT) AS total", "CAST(last AS INT) AS last")
+    assert rows(got) == [(1, 1, None, None), (1, 2, 5, 5), (1, 4, 12, 7), (1, 5, 12, 7)]
+
+
+def test_joined_rows_leave_the_state(spark, work):
+    """The interval join lets go of rows that no later one can meet."""
+    from eventloom.catalog.joins import joined_objects
+
+    layout = "key BIGINT, ts_ms BIGINT, arrival BIGINT, type STRING"
+    hour = 3_600_000
+    write_batches(spark, work + "/in", layout, *[[(1, (i + 1) * 3 * hour, i, "click"), (1, (i + 1) * 3 * hour + 9, i, "purchase")] for i in range(8)])
+    query = write_files(joined_objects(stream(spark, work + "/in", layout)), work + "/out", work + "/c")
+    query.awaitTermination()
+    assert spark.read.parquet(work + "/out").count() == 8
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
