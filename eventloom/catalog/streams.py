@@ -351,6 +351,38 @@ def join_interval_late_stream(spark, sf_dir):
     return run_to_files(spark, joined_objects(_delayed(spark, sf_dir, work)), work)
 
 
+def _late_sessions_sql(gap):
+    """Sessions as each micro-batch merges its events with the open ones, those closed by the watermark of the batch gone."""
+
+    def mark(stage):
+        return f"COALESCE((SELECT MAX(ts_ms) - {DAY_MS} FROM delayed WHERE stage < {stage}), 0)"
+
+    def merged(parts):
+        return f"""(SELECT key, MIN(a) AS a, MAX(b) AS b, SUM(n)::BIGINT AS n FROM (
+          SELECT *, SUM(fresh) OVER (PARTITION BY key ORDER BY a, b) AS island FROM (SELECT *, CASE WHEN a < MAX(b) OVER (
+            PARTITION BY key ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {gap} THEN 0 ELSE 1 END AS fresh
+          FROM ({parts}))) GROUP BY key, island)"""
+
+    steps, sent = [f"delayed AS MATERIALIZED (SELECT * FROM {DELAYED})"], []
+    for i in range(DELAYED_STAGES):
+        parts = f"""SELECT key, ts_ms AS a, ts_ms AS b, 1 AS n FROM delayed
+          WHERE stage = {i} AND ts_ms + {gap} > {mark(i - 1)}"""
+        if i:
+            parts += f" UNION ALL SELECT * FROM s{i - 1} WHERE b + {gap} > {mark(i - 1)}"
+        steps.append(f"s{i} AS MATERIALIZED {merged(parts)}")
+        sent.append(f"SELECT * FROM s{i} WHERE b + {gap} <= {mark(i)}")
+    sent.append(f"SELECT * FROM s{i} WHERE b + {gap} > {mark(i)} AND b + {gap} <= {mark(i + 1)}")
+    return f"""WITH {", ".join(steps)}
+      SELECT key, a AS window_start, b AS window_end, n AS counter FROM ({" UNION ALL ".join(sent)})"""
+
+
+@query("win_session_late_stream", _late_sessions_sql(3 * GAP))
+def win_session_late_stream(spark, sf_dir):
+    """Sessions as they are closed by the watermark; what one that is gone would have joined starts another."""
+    work = work_dir(spark, "win_session_late_stream")
+    return run_to_files(spark, session_stream(_delayed(spark, sf_dir, work), ["key"], 3 * GAP), work)
+
+
 @query(
     "win_session_stream",
     f"SELECT * FROM {SESSIONS} WHERE window_end + {GAP} <= {MAX_TS}",
