@@ -35,6 +35,7 @@ from eventloom.streaming.flows import (
     in_order,
     last_seen_stream,
     lookup_batches,
+    monitor_records,
     monitor_stream,
     reassembly_stream,
     replay,
@@ -45,7 +46,6 @@ from eventloom.streaming.flows import (
     session_stream,
     sliding_stream,
     state_changes,
-    stored_list,
     stored_state,
     stored_timers,
     stream_time_stream,
@@ -246,9 +246,11 @@ def state_timers(spark, sf_dir):
     stream = _monitor_rows(_stream(spark, sf_dir, "orders"))
     feed = replay(stream, _monitor_rows(B.table(spark, sf_dir, "orders")), "time", work, id="closing", feed="received")
     write_files(monitor_stream(feed.stream), f"{work}/out", f"{work}/checkpoint").awaitTermination()
-    records = stored_list(spark, f"{work}/checkpoint", "records").where("feed = 'received'")
-    first = records.groupBy("id").agg(F.min("time").alias("received_time"))
-    return first.join(stored_timers(spark, f"{work}/checkpoint"), "id")
+    records = monitor_records(spark, f"{work}/checkpoint").where("feed = 'received'")
+    first = records.groupBy("bucket", "id").agg(F.min("time").alias("received_time"), F.min("due").alias("due"))
+    # The timer of a bucket is that of its next message.
+    timers = stored_timers(spark, f"{work}/checkpoint", "next")
+    return first.join(timers, "bucket").where("due >= next").select("id", "received_time", "due")
 
 
 @query("state_changes", f"SELECT key, COUNT(*) AS n FROM {EVENTS} GROUP BY key")

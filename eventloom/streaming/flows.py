@@ -80,15 +80,18 @@ def running_max_batches(
 
 
 def monitor_stream(
-    rows: DataFrame, alert_after_ms: int = 120_000, clock: str = "eventTime"
+    rows: DataFrame, alert_after_ms: int = 120_000, clock: str = "eventTime", buckets: int = 4096
 ) -> DataFrame:
     """Outcomes of messages; ``rows`` is the union of the three feeds.
 
-    ``clock`` is ``eventTime``, with ``rows`` watermarked on ``ts``, or ``processingTime``.
+    ``clock`` is ``eventTime``, with ``rows`` watermarked on ``ts``, or ``processingTime``. Messages are kept in
+    ``buckets`` by a hash of their id; a bucket must fit into memory, and the state is started with their number.
     """
     machine = P.DeliveryMonitor(alert_after_ms, clock == "processingTime")
-    keyed = rows.where(not_null(["id"]))
-    return keyed.groupBy("id").transformWithState(machine, P.MONITOR_OUTPUT, "append", clock)
+    keyed = rows.where(not_null(["id"])).withColumns(
+        {"bucket": F.pmod(F.xxhash64("id"), F.lit(buckets)), "time": F.coalesce("time", F.lit(P.NO_TIME))}
+    )
+    return keyed.groupBy("bucket").transformWithStateInPandas(machine, P.MONITOR_OUTPUT, "append", clock)
 
 
 def reassembly_stream(
@@ -336,6 +339,12 @@ def stored_timers(spark: SparkSession, checkpoint: str, name: str = "due", **opt
     return held.select("key.*", F.col("expiration_timestamp_ms").alias(name))
 
 
+def monitor_records(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
+    """A row for each record that a monitor holds: its bucket, id, ``due``, until when its message waits, and content."""
+    blocks = stored_list(spark, checkpoint, "records", **options)
+    return blocks.select("bucket", F.inline(F.arrays_zip(*P.RECORD_FIELDS)))
+
+
 def state_changes(spark: SparkSession, checkpoint: str, since: int = 0, **options) -> DataFrame:
     """What each micro-batch from ``since`` on wrote to the state: batch_id, change_type (update or delete), key, value."""
     return stored_state(spark, checkpoint, readChangeFeed="true", changeStartBatchId=str(since), **options)

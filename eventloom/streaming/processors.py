@@ -1,8 +1,8 @@
 """State machines for ``transformWithState``: per-key state with event-time timers.
 
 Rows of one key in one micro-batch come in no fixed order, so each machine folds them in a
-way that does not depend on it and never holds more than one frame of them. The module is
-shipped to the executors by value and uses nothing of this package.
+way that does not depend on it, and most never hold more than one frame of them; ``DeliveryMonitor`` holds
+those of a bucket of messages. The module is shipped to the executors by value and uses nothing of this package.
 """
 
 from __future__ import annotations
@@ -15,17 +15,6 @@ import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-MONITOR_FIELDS = [
-    "received_time",
-    "provider_id",
-    "ext_message_id",
-    "sent_status",
-    "sent_status_time",
-    "dr_status",
-    "dr_status_time",
-    "counter",
-    "seen",
-]
 MONITOR_STATE = (
     "received_time BIGINT, provider_id STRING, ext_message_id STRING, sent_status STRING, "
     "sent_status_time BIGINT, dr_status STRING, dr_status_time BIGINT, counter BIGINT, seen BIGINT"
@@ -37,28 +26,65 @@ MONITOR_OUTPUT = f"id STRING, outcome STRING, {MONITOR_STATE}"
 PAST = 1
 
 
-RECORD_FIELDS = ["at", "time", "feed", "provider_id", "ext_message_id", "status"]
+RECORD_TEXTS = ["feed", "provider_id", "ext_message_id", "status"]
+RECORD_FIELDS = ["id", "due", "at", "time", *RECORD_TEXTS]
 RECORD_STATE = (
-    "at BIGINT, time BIGINT, feed STRING, provider_id STRING, ext_message_id STRING, status STRING"
+    "id ARRAY<STRING>, due ARRAY<BIGINT>, at ARRAY<BIGINT>, time ARRAY<BIGINT>, feed ARRAY<STRING>, "
+    "provider_id ARRAY<STRING>, ext_message_id ARRAY<STRING>, status ARRAY<STRING>"
 )
+# Records in one entry of the state, and the time of one that has none; it is the first in order.
+BLOCK = 10_000
+NO_TIME = -(1 << 63)
 
 
-def _in_order(record: dict) -> tuple:
-    """Arrival, then whole content, so that equal times have one order."""
-    return tuple((record[f] is not None, record[f]) for f in RECORD_FIELDS)
+def _in_order(who: np.ndarray, records: dict[str, np.ndarray]) -> np.ndarray:
+    """Places by message, then arrival, then whole content, so that equal times have one order; nulls first."""
+    order = np.lexsort((records["time"], records["at"], who))
+    sorted_ = [v[order] for v in (who, records["at"], records["time"])]
+    same = np.logical_and.reduce([v[1:] == v[:-1] for v in sorted_])
+    bounds = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
+    for run in np.flatnonzero(np.diff(bounds) > 1):
+        tied = slice(bounds[run], bounds[run + 1])
+        order[tied] = sorted(order[tied], key=lambda i: [(records[f][i] is not None, records[f][i]) for f in RECORD_TEXTS])
+    return order
+
+
+def _last_known(values: np.ndarray, *picks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``picks``, pairs of places and whether they count, the last value that is set; and which have none."""
+    found, unset = values[picks[0][0]], np.ones(len(picks[0][0]), bool)
+    for place, use in picks:
+        taken = values[place]
+        use = use & ~(pd.isna(taken) if taken.dtype == object else taken == NO_TIME)
+        found[use] = taken[use]
+        unset &= ~use
+    return found, unset
+
+
+def _text(values: np.ndarray, *picks: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    found, unset = _last_known(values, *picks)
+    found[unset] = None
+    return found
+
+
+def _number(values: np.ndarray, *picks: tuple[np.ndarray, np.ndarray]) -> pd.api.extensions.ExtensionArray:
+    return pd.arrays.IntegerArray(*_last_known(values, *picks))
 
 
 class DeliveryMonitor(StatefulProcessor):
-    """Follow a message from received to sent to status; ``complete`` on the second record after
+    """Follow messages from received to sent to status; ``complete`` on the second record after
     received, ``alert`` when that has not come ``alert_after_ms`` after the message was first seen.
 
-    Input rows: id, feed (received | sent | status), provider_id, ext_message_id, status, time.
+    Input frames: id, feed (received | sent | status), provider_id, ext_message_id, status, time.
     Records that come before their message, after the second one, or after the deadline do not
     count. On event time the records of a message wait until the watermark has passed them and
     are taken in order of ``time``, so the outcome does not depend on how they fall into
     micro-batches. With ``wall_clock`` they are taken as they are processed, in order of ``time``
     within a micro-batch, and a message is first seen when it is processed.
     A message received again after its outcome starts anew.
+
+    A key is a bucket of messages. They are settled together, so that the calls to the state do not grow with
+    their number: the state is blocks of records, each with the time its message waits for (``due``), and one
+    timer per bucket waits for the earliest. A micro-batch reads and writes the waiting messages of its buckets.
     """
 
     def __init__(self, alert_after_ms: int, wall_clock: bool) -> None:
@@ -69,86 +95,115 @@ class DeliveryMonitor(StatefulProcessor):
         self.handle = handle
         self.records = handle.getListState("records", RECORD_STATE)
 
-    def _load(self) -> list[dict]:
-        if not self.records.exists():
-            return []
-        return [dict(zip(RECORD_FIELDS, r)) for r in self.records.get()]
-
-    def _settle(
-        self, key, records: list[dict], reached: int, clock: int, timers: list[int]
-    ) -> Iterator[Row]:
-        """Send the outcome if it is settled: complete by records before ``reached``, before which
-        none can still come, or past the time of an alert on ``clock``. Otherwise keep the
-        records and wait; ``timers`` are those still open."""
-        records = sorted(records, key=_in_order)
-        first = next((r for r in records if r["feed"] == "received"), None)
-        if first is None:
-            due = None if self.wall_clock or not records else records[-1]["at"] + PAST
-            kept = records if due is not None and due > reached else []
-            self._wait(kept, due, timers)
+    def _load(self) -> dict[str, np.ndarray]:
+        blocks = list(self.records.get()) if self.records.exists() else []
+        kinds = {"due": np.int64, "at": np.int64, "time": np.int64}
+        return {
+            f: np.concatenate([np.empty(0, kinds.get(f, object)), *(np.array(block[i], kinds.get(f, object)) for block in blocks)])
+            for i, f in enumerate(RECORD_FIELDS)
+        }
+
+    def _settle(self, held: dict, records: dict, reached: int, clock: int, timer: int | None) -> Iterator[pd.DataFrame]:
+        """Send the outcomes that are settled: complete by records before ``reached``, before which
+        none can still come, or past the time of an alert on ``clock``. Keep the records of the other
+        messages and wait; ``held`` is what the state has, ``timer`` the one still open."""
+        if not len(records["id"]):
             return
-        position, deadline = (first["at"], first["time"]), first["at"] + self.alert_after_ms
-        later = [
-            r for r in records
-            if r["feed"] != "received" and (r["at"], r["time"]) > position and r["at"] <= deadline
-        ][:2]
-        if len(later) == 2 and later[1]["at"] < reached:
-            self._wait([], None, timers)
-            yield self._outcome(key, "complete", first, later)
-        elif deadline < clock:
-            self._wait([], None, timers)
-            yield self._outcome(key, "alert", first, later)
-        else:
+        who, ids = pd.factorize(records["id"])
+        order = _in_order(who, records)
+        who, records = who[order], {f: v[order] for f, v in records.items()}
+        at, time, place = records["at"], records["time"], np.arange(len(who))
+        start = np.flatnonzero(np.diff(who, prepend=-1))
+        received = records["feed"] == "received"
+        first = np.minimum.reduceat(np.where(received, place, len(who)), start)
+        known = first < len(who)
+        head = np.where(known, first, start)
+        deadline = at[head] + self.alert_after_ms
+        after = (at > at[head][who]) | ((at == at[head][who]) & (time > time[head][who]))
+        others = known[who] & ~received
+        later = others & after & (at <= deadline[who])
+        nth = np.cumsum(later)
+        nth -= (nth - later)[start][who]
+        later &= nth <= 2
+        one, two = np.full(len(ids), -1), np.full(len(ids), -1)
+        for n, nth_place in ((1, one), (2, two)):
+            found = np.flatnonzero(later & (nth == n))
+            nth_place[who[found]] = found
+
+        complete = (two >= 0) & (at[two] < reached)
+        settled = complete | (known & (deadline < clock))
+        due = np.where(two >= 0, at[two], deadline) + PAST
+        waits = known & ~settled
+        keep = later | (place == first[who])
+        if not self.wall_clock:
             # An earlier received record may still make those before this one count.
-            earlier = [r for r in records if r["feed"] != "received" and (r["at"], r["time"]) <= position]
-            kept = [first, *later] if self.wall_clock else [*earlier, first, *later]
-            due = (later[1]["at"] if len(later) == 2 else deadline) + PAST
-            self._wait(kept, due, timers)
-
-    def _wait(self, kept: list[dict], due: int | None, timers: list[int]) -> None:
-        for timer in timers:
-            if not kept or timer != due:
-                self.handle.deleteTimer(timer)
-        if kept:
-            self.records.put([tuple(r[f] for f in RECORD_FIELDS) for r in kept])
-            if due not in timers:
+            keep |= others & ~after
+            last = at[np.append(start[1:], len(who)) - 1]
+            due = np.where(known, due, last + PAST)
+            keep |= ~known[who]
+            waits |= ~known & (due > reached)
+        keep &= waits[who]
+        self._wait(held, {f: v[keep] for f, v in (records | {"due": due[who]}).items()}, timer)
+
+        gone = np.flatnonzero(settled)
+        if len(gone):
+            yield self._outcomes(ids[gone], complete[gone], records, head[gone], one[gone], two[gone])
+
+    def _wait(self, held: dict, kept: dict, timer: int | None) -> None:
+        due = int(kept["due"].min()) if len(kept["due"]) else None
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        blocks = [
+            tuple(kept[f][i : i + BLOCK].tolist() for f in RECORD_FIELDS) for i in range(0, len(kept["due"]), BLOCK)
+        ]
+        if blocks:
+            self.records.put(blocks[:1])
+            for block in blocks[1:]:
+                self.records.appendValue(block)
+            if due != timer:
                 self.handle.registerTimer(due)
-        else:
+        elif len(held["due"]):
             self.records.clear()
 
-    def _outcome(self, key, outcome: str, first: dict, later: list[dict]) -> Row:
-        message = dict.fromkeys(MONITOR_FIELDS)
-        message.update(received_time=first["time"], seen=first["at"], counter=len(later))
-        for record in later:
-            prefix = "sent_status" if record["feed"] == "sent" else "dr_status"
-            found = {
-                "provider_id": record["provider_id"],
-                "ext_message_id": record["ext_message_id"],
-                prefix: record["status"],
-                f"{prefix}_time": record["time"],
-            }
-            message.update({name: value for name, value in found.items() if value is not None})
-        return Row(id=key[0], outcome=outcome, **message)
+    def _outcomes(
+        self, ids: np.ndarray, complete: np.ndarray, records: dict, first: np.ndarray, one: np.ndarray, two: np.ndarray
+    ) -> pd.DataFrame:
+        both = [(one, one >= 0), (two, two >= 0)]
+        sent = [(place, found & (records["feed"][place] == "sent")) for place, found in both]
+        status = [(place, found & (records["feed"][place] != "sent")) for place, found in both]
+        message = {
+            "received_time": _number(records["time"], (first, np.ones(len(first), bool))),
+            "provider_id": _text(records["provider_id"], *both),
+            "ext_message_id": _text(records["ext_message_id"], *both),
+            "sent_status": _text(records["status"], *sent),
+            "sent_status_time": _number(records["time"], *sent),
+            "dr_status": _text(records["status"], *status),
+            "dr_status_time": _number(records["time"], *status),
+            "counter": (one >= 0).astype(np.int64) + (two >= 0),
+            "seen": records["at"][first],
+        }
+        return pd.DataFrame({"id": ids, "outcome": np.where(complete, "complete", "alert").astype(object), **message})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs() if self.wall_clock else None
-        records = self._load()
-        timers = list(self.handle.listTimers()) if records else []
-        for row in rows:
-            at = row.time if now is None else now
-            records.append(
-                dict(zip(RECORD_FIELDS, (at, row.time, row.feed, row.provider_id, row.ext_message_id, row.status)))
-            )
+        held, come = self._load(), pd.concat(list(rows), ignore_index=True)
+        time = come["time"].to_numpy(np.int64)
+        new = {f: come[f].to_numpy(object) for f in ("id", *RECORD_TEXTS)}
+        new = {f: np.where(pd.isna(v), None, v) for f, v in new.items()}
+        new |= {"time": time, "due": time, "at": time if now is None else np.full(len(time), now)}
+        records = {f: np.concatenate([held[f], new[f]]) for f in RECORD_FIELDS}
+        timer = int(held["due"].min()) if len(held["due"]) else None
         # On the wall clock all that has come is in order; alerts are left to the timer.
         reached = timerValues.getCurrentWatermarkInMs() if now is None else now + PAST
-        yield from self._settle(key, records, reached, reached if now is None else 0, timers)
+        yield from self._settle(held, records, reached, reached if now is None else 0, timer)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.wall_clock:
             now = timerValues.getCurrentProcessingTimeInMs()
         else:
             now = timerValues.getCurrentWatermarkInMs()
-        yield from self._settle(key, self._load(), now, now, [])
+        held = self._load()
+        yield from self._settle(held, held, now, now, None)
 
     def close(self) -> None:
         pass
