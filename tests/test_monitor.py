@@ -4,8 +4,15 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from eventloom.catalog import load, streams
+from eventloom.functions.eventtime import field_time, with_event_time
+from eventloom.sources.feeds import file_feed
+from eventloom.sources.sinks import write_files
+from eventloom.streaming import flows
 from eventloom.streaming.processors import MONITOR_OUTPUT, NO_TIME, DeliveryMonitor
+from oracle import compare, connect
 
 COLUMNS = ["id", "feed", "provider_id", "ext_message_id", "status", "time"]
 OUTPUT = [part.split()[0] for part in MONITOR_OUTPUT.split(", ")]
@@ -144,3 +151,26 @@ def test_last_known_fields():
         (1, "b", "complete", 10, "p", None, "x", 12, None, None, 2, 10),
         (1, "c", "alert", 10, None, None, None, None, None, None, 0, 10),
     ]
+
+
+def test_state_of_a_stream(spark, work, rows):
+    """Two micro-batches in four buckets: each record with the due time of its message, and a timer for each bucket."""
+    feed = messages(40)
+    layout = ", ".join(f"{c} {'BIGINT' if c == 'time' else 'STRING'}" for c in COLUMNS)
+    for part in (feed[:60], feed[60:]):
+        spark.createDataFrame(part, layout).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    fed = file_feed(spark, f"{work}/in", spark.createDataFrame([], layout).schema, streaming=True, max_files_per_batch=1)
+    timed = with_event_time(fed, field_time(F.col("time")), "1 day")
+    write_files(flows.monitor_stream(timed, buckets=4), f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    records = flows.monitor_records(spark, f"{work}/checkpoint")
+    due = {f"m{i}": 1001 + 7 * i + (9 if i % 3 else 120_000) for i in range(40)}
+    assert rows(records, "id", "due", "feed", "time") == sorted(((r[0], due[r[0]], r[1], r[5]) for r in feed), key=repr)
+    firsts = records.groupBy("bucket").agg(F.min("due"))
+    assert rows(flows.stored_timers(spark, f"{work}/checkpoint")) == rows(firsts) and firsts.count() == 4
+
+
+def test_state_timers_in_batches(spark, work, monkeypatch):
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 1)
+    sf_dir = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(3, F.rand(7)).write.parquet(f"{work}/orders.parquet")
+    assert compare(load()[0]["state_timers"](spark, work), connect(sf_dir), load()[1]["state_timers"]) == []
